@@ -96,3 +96,22 @@ def station_series(core, city=None, station=None, parameter=None) -> DataFrame:
     return r.select("measured_at", "city", "location_name", "parameter_code",
                     F.col("value").cast("double").alias("value"), "unit", "sensor_id") \
         .orderBy("city", "location_name", "parameter_code", "measured_at", "sensor_id")
+
+
+def alerts_list(core, alerts_df: DataFrame, city=None, parameter=None, status=None,
+                limit: int = 200) -> DataFrame:
+    """Q4: J11 alert -> reading -> rule -> sensor -> location -> parameter."""
+    r = readings(core).select(F.col("measurement_id"), F.col("measured_at").alias("measurement_measured_at"),
+                              F.col("measured_at"), "value", "unit", "city", "location_name",
+                              "parameter_code", "parameter_name")
+    t = core.threshold_rule.select("threshold_rule_id", F.col("min_value").alias("threshold_value"))
+    j = alerts_df.join(r, ["measurement_id", "measurement_measured_at"]).join(t, "threshold_rule_id")
+    j = optional_eq(j, "city", city)
+    j = optional_eq(j, "parameter_code", parameter)
+    j = optional_eq(j, "status", status)
+    out = j.select("pollution_alert_id", "generated_at", "alert_level", "status",
+                   F.col("value").cast("double").alias("measurement_value"),
+                   F.col("unit").alias("measurement_unit"), "measured_at", "city", "location_name",
+                   "parameter_code", "parameter_name",
+                   F.col("threshold_value").cast("double").alias("threshold_value"), "reviewed_at", "notes")
+    return top_n(out, [F.desc("generated_at"), F.desc("pollution_alert_id")], limit, 1, 1000)

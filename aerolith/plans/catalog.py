@@ -91,3 +91,288 @@ ORDER BY city, location_name, parameter_code, measured_at, sensor_id
 """)
 def _station_series(spark, sf):
     return reads.station_series(core(spark, sf), city="NATION_7")
+
+
+# --- warehouse: dims, SCD2, facts ------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql.window import Window  # noqa: E402
+
+from aerolith.functions import scalars as S  # noqa: E402
+from aerolith.operators import alerts as A  # noqa: E402
+from aerolith.operators import dims, facts, scd2  # noqa: E402
+from aerolith.plans import scenarios as SC  # noqa: E402
+from aerolith.plans.oracle import ALERTS, FIRST_LOAD, LOC_HIST, SEN_HIST  # noqa: E402
+
+
+def first_load_fact(c):
+    return facts.load_measurement_facts(c, SC.dim_location_first_load(c), SC.dim_sensor_first_load(c))
+
+
+FACT_COLS = ["source_measurement_id", "source_location_id", "source_sensor_id", "parameter_code", "date_key",
+             "time_key", "risk_class_key", "measured_at", "measurement_value", "unit", "ingestion_run_id"]
+
+
+@register("calendar_profile", FIRST_LOAD + """
+, dd AS (SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(year(d) AS INTEGER) AS year,
+                CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS month,
+                strftime(d, '%A') AS day_name, CAST(isodow(d) AS INTEGER) AS weekday,
+                isodow(d) IN (6, 7) AS is_weekend
+         FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2026-12-31', INTERVAL 1 DAY) t(d))
+SELECT dd.year, dd.quarter, dd.month, dd.weekday, dd.day_name, dd.is_weekend,
+       count(*) AS readings, count(DISTINCT f.date_key) AS days,
+       avg(f.measurement_value) AS mean_value
+FROM fact_m f JOIN dd ON dd.date_key = f.date_key
+GROUP BY ALL
+""")
+def _calendar_profile(spark, sf):
+    """E1 dim_date joined to the reading fact (1096-row dim: broadcast is bounded)."""
+    c = core(spark, sf)
+    f = first_load_fact(c)
+    dd = dims.dim_date(spark)
+    return f.join(F.broadcast(dd), "date_key").groupBy(
+        "year", "quarter", "month", "weekday", "day_name", "is_weekend").agg(
+        F.count(F.lit(1)).alias("readings"), F.countDistinct("date_key").alias("days"),
+        F.avg("measurement_value").alias("mean_value"))
+
+
+@register("part_of_day_profile", FIRST_LOAD + """
+, dt AS (SELECT CAST(h * 100 + mi AS INTEGER) AS time_key, CAST(h AS INTEGER) AS hour,
+                CASE WHEN h BETWEEN 0 AND 5 THEN 'night' WHEN h BETWEEN 6 AND 11 THEN 'morning'
+                     WHEN h BETWEEN 12 AND 17 THEN 'afternoon' ELSE 'evening' END AS part_of_day
+         FROM range(0, 24) a(h), range(0, 60) b(mi))
+SELECT dt.part_of_day, f.parameter_code, count(*) AS readings,
+       count(DISTINCT dt.hour) AS hours, avg(f.measurement_value) AS mean_value,
+       max(f.measurement_value) AS max_value
+FROM fact_m f JOIN dt ON dt.time_key = f.time_key
+GROUP BY ALL
+""")
+def _part_of_day_profile(spark, sf):
+    """E2 dim_time joined to the reading fact."""
+    c = core(spark, sf)
+    f = first_load_fact(c)
+    dt_ = dims.dim_time(spark)
+    return f.join(F.broadcast(dt_), "time_key").groupBy("part_of_day", "parameter_code").agg(
+        F.count(F.lit(1)).alias("readings"), F.countDistinct("hour").alias("hours"),
+        F.avg("measurement_value").alias("mean_value"), F.max("measurement_value").alias("max_value"))
+
+
+@register("risk_share", FIRST_LOAD + """
+, rc AS (SELECT * FROM (VALUES (1, 'low', 'Low'), (2, 'moderate', 'Moderate'), (3, 'high', 'High'),
+                                (4, 'critical', 'Critical')) v(risk_class_key, code, label))
+SELECT rc.code, rc.label, count(*) AS readings,
+       count(*) / sum(count(*)) OVER () AS share
+FROM fact_m f JOIN rc ON rc.risk_class_key = f.risk_class_key
+GROUP BY rc.code, rc.label
+""")
+def _risk_share(spark, sf):
+    """E3 dim_risk_class + A25: share of readings per risk class."""
+    c = core(spark, sf)
+    f = first_load_fact(c)
+    rc = dims.dim_risk_class(spark).select("risk_class_key", "code", "label")
+    per = f.groupBy("risk_class_key").agg(F.count(F.lit(1)).alias("readings"))
+    # the share's denominator is a window over the (at most four) class rows
+    return per.join(F.broadcast(rc), "risk_class_key").select(
+        "code", "label", "readings",
+        (F.col("readings") / F.sum("readings").over(Window.partitionBy())).alias("share"))
+
+
+@register("dim_parameter_upsert", """
+, cur AS (SELECT parameter_id AS parameter_key, parameter_id AS source_parameter_id, code,
+                 lower(code) AS display_name, 'ppm' AS preferred_unit
+          FROM parameter WHERE parameter_id <= 3)
+SELECT COALESCE(c.parameter_key, p.parameter_id) AS parameter_key, p.code,
+       p.parameter_id AS source_parameter_id, p.display_name, p.preferred_unit
+FROM parameter p LEFT JOIN cur c ON c.code = p.code
+""")
+def _dim_parameter_upsert(spark, sf):
+    """SCD1 upsert of the parameter dimension over a stale snapshot."""
+    c = core(spark, sf)
+    stale = dims.dim_parameter(c.parameter.filter("parameter_id <= 3")) \
+        .withColumn("display_name", F.lower("code")).withColumn("preferred_unit", F.lit("ppm"))
+    return dims.dim_parameter_upsert(c.parameter, stale) \
+        .select("parameter_key", "code", "source_parameter_id", "display_name", "preferred_unit")
+
+
+LOC_COLS = ["source_location_id", "openaq_location_id", "name", "city", "country", "latitude", "longitude",
+            "valid_from", "valid_to", "is_current", "row_hash"]
+
+
+@register("scd2_location", LOC_HIST + """
+SELECT source_location_id, openaq_location_id, name, city, country,
+       CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude,
+       valid_from, valid_to, is_current, row_hash
+FROM dim_loc2
+""")
+def _scd2_location(spark, sf):
+    """E5: two SCD2 syncs (first load, then renamed/relocated/new sources)."""
+    d = SC.dim_location_history(core(spark, sf))
+    return d.select(*[F.col(x).cast("double").alias(x) if x in ("latitude", "longitude") else x
+                      for x in LOC_COLS])
+
+
+@register("scd2_sensor", SEN_HIST + """
+SELECT source_sensor_id, openaq_sensor_id, location_id, parameter_id, unit, valid_from, valid_to,
+       is_current, row_hash
+FROM dim_sen2
+""")
+def _scd2_sensor(spark, sf):
+    """Sensor SCD2 with a unit change."""
+    d = SC.dim_sensor_history(core(spark, sf))
+    return d.select("source_sensor_id", "openaq_sensor_id", "location_id", "parameter_id", "unit",
+                    "valid_from", "valid_to", "is_current", "row_hash")
+
+
+@register("scd2_point_in_time", LOC_HIST + """
+SELECT r.measurement_id, r.measured_at, d.source_location_id, d.name AS location_name, d.city,
+       d.valid_from, d.is_current
+FROM readings r JOIN dim_loc2 d
+  ON d.source_location_id = r.location_id AND r.measured_at >= d.valid_from
+ AND (d.valid_to IS NULL OR r.measured_at < d.valid_to)
+""")
+def _scd2_point_in_time(spark, sf):
+    """Each reading joined to the location version valid at its time."""
+    c = core(spark, sf)
+    d = SC.dim_location_history(c)
+    r = reads.readings(c).select("measurement_id", "measured_at", "location_id")
+    j = scd2.as_of_join(r, d, "location_id", "source_location_id", "measured_at")
+    return j.select("measurement_id", "measured_at", "source_location_id", F.col("name").alias("location_name"),
+                    "city", "valid_from", "is_current")
+
+
+@register("fact_measurement", FIRST_LOAD + """
+SELECT * FROM fact_m
+""")
+def _fact_measurement(spark, sf):
+    """E7 first load (P4 filter, J3 current dims, J4 risk band, F6/F7 keys)."""
+    return first_load_fact(core(spark, sf)).select(*FACT_COLS)
+
+
+@register("fact_measurement_incremental", FIRST_LOAD + """
+SELECT * FROM fact_m WHERE measured_at >= TIMESTAMP '2024-01-15 00:00:00'
+""")
+def _fact_measurement_incremental(spark, sf):
+    """Second run of E7 inserts only readings not yet in the fact."""
+    c = core(spark, sf)
+    dl, ds = SC.dim_location_first_load(c), SC.dim_sensor_first_load(c)
+    first = facts.load_measurement_facts(c, dl, ds).filter(
+        F.col("measured_at") < F.lit(SC.INCREMENTAL_CUT).cast("timestamp_ntz"))
+    return facts.load_measurement_facts(c, dl, ds, existing=first).select(*FACT_COLS)
+
+
+@register("fact_purge_negative", """
+SELECT c_custkey AS source_measurement_id, c_acctbal AS measurement_value,
+       c_acctbal >= 0 AND c_acctbal < 100000 AS passes_quality
+FROM customer WHERE c_acctbal IS NULL OR c_acctbal >= 0
+""")
+def _fact_purge_negative(spark, sf):
+    """P5 (and P4 flag): account balances loaded as readings, negatives purged."""
+    c = core(spark, sf)
+    raw = c.raw("customer").select(F.col("c_custkey").alias("source_measurement_id"),
+                                   F.col("c_acctbal").alias("measurement_value"))
+    kept = facts.purge_negative(raw)
+    return kept.withColumn("passes_quality", (F.col("measurement_value") >= 0) &
+                           (F.col("measurement_value") < S.VALUE_OPEN_MAX))
+
+
+# --- alerts ----------------------------------------------------------------
+
+ALERT_COLS = ["pollution_alert_id", "measurement_id", "measurement_measured_at", "threshold_rule_id",
+              "alert_level", "status", "generated_at", "reviewed_at", "notes"]
+
+
+@register("alert_generation", ALERTS + """
+SELECT * FROM alerts
+""")
+def _alert_generation(spark, sf):
+    """One alert per reading for the best matching active rule."""
+    return A.alerts(core(spark, sf)).select(*ALERT_COLS)
+
+
+@register("alert_review", ALERTS + """
+SELECT pollution_alert_id, status, reviewed_at, notes, alert_level, generated_at FROM reviewed
+""")
+def _alert_review(spark, sf):
+    """Review commands applied to the alert table."""
+    return SC.reviewed_alerts(core(spark, sf)).select(
+        "pollution_alert_id", "status", "reviewed_at", "notes", "alert_level", "generated_at")
+
+
+OUTBOX_SQL = ALERTS + """
+, outbox AS (
+  SELECT pollution_alert_id, measurement_id, measurement_measured_at, threshold_rule_id,
+         'created' AS event_type, CAST(NULL AS VARCHAR) AS previous_status, status AS current_status,
+         json_object('alert_level', alert_level,
+                     'generated_at', strftime(generated_at, '%Y-%m-%dT%H:%M:%S.%f'),
+                     'reviewed_at', strftime(reviewed_at, '%Y-%m-%dT%H:%M:%S.%f'),
+                     'notes', notes)::VARCHAR AS payload,
+         COALESCE(reviewed_at, generated_at) AS created_at
+  FROM alerts
+  UNION ALL
+  SELECT r.pollution_alert_id, r.measurement_id, r.measurement_measured_at, r.threshold_rule_id,
+         'status_changed', a.status, r.status,
+         json_object('alert_level', r.alert_level,
+                     'generated_at', strftime(r.generated_at, '%Y-%m-%dT%H:%M:%S.%f'),
+                     'reviewed_at', strftime(r.reviewed_at, '%Y-%m-%dT%H:%M:%S.%f'),
+                     'notes', r.notes)::VARCHAR,
+         COALESCE(r.reviewed_at, r.generated_at)
+  FROM reviewed r JOIN alerts a ON a.pollution_alert_id = r.pollution_alert_id
+  WHERE r.status IS DISTINCT FROM a.status)
+"""
+
+
+@register("outbox_events", OUTBOX_SQL + """
+SELECT pollution_alert_id, measurement_id, measurement_measured_at, threshold_rule_id, event_type,
+       previous_status, current_status, payload, created_at
+FROM outbox
+""")
+def _outbox_events(spark, sf):
+    """T5: 'created' per new alert, 'status_changed' per real status change."""
+    return SC.outbox(core(spark, sf)).drop("processed_at")
+
+
+@register("outbox_pending", OUTBOX_SQL + """
+SELECT pollution_alert_id, event_type, current_status, created_at
+FROM outbox ORDER BY created_at, pollution_alert_id, event_type LIMIT 100
+""")
+def _outbox_pending(spark, sf):
+    """The next 100 unprocessed outbox events, oldest first."""
+    return A.pending_outbox(SC.outbox(core(spark, sf)), limit=100).select(
+        "pollution_alert_id", "event_type", "current_status", "created_at")
+
+
+@register("fact_alert", ALERTS + """
+SELECT a.pollution_alert_id AS source_alert_id, l.location_id AS source_location_id, p.code AS parameter_code,
+       CAST(CASE a.alert_level WHEN 'low' THEN 1 WHEN 'moderate' THEN 2 WHEN 'high' THEN 3
+                               WHEN 'critical' THEN 4 END AS INTEGER) AS risk_class_key,
+       CAST(strftime(a.generated_at, '%Y%m%d') AS INTEGER) AS date_key,
+       CAST(hour(a.generated_at) * 100 + minute(a.generated_at) AS INTEGER) AS time_key,
+       a.alert_level, a.status AS alert_status, CAST(m.value AS DOUBLE) AS measurement_value, a.generated_at
+FROM alerts a
+JOIN m ON m.measurement_id = a.measurement_id AND m.measured_at = a.measurement_measured_at
+JOIN sensor s ON s.sensor_id = m.sensor_id
+JOIN location l ON l.location_id = s.location_id AND l.is_active
+JOIN parameter p ON p.parameter_id = s.parameter_id
+""")
+def _fact_alert(spark, sf):
+    """Alert facts on the current location version."""
+    c = core(spark, sf)
+    f = facts.load_alert_facts(c, A.alerts(c), SC.dim_location_first_load(c))
+    return f.drop("location_key")
+
+
+@register("alerts_list", ALERTS + """
+SELECT a.pollution_alert_id, a.generated_at, a.alert_level, a.status,
+       CAST(r.value AS DOUBLE) AS measurement_value, r.unit AS measurement_unit, r.measured_at,
+       r.city, r.location_name, r.parameter_code, r.parameter_name,
+       CAST(t.min_value AS DOUBLE) AS threshold_value, a.reviewed_at, a.notes
+FROM reviewed a
+JOIN readings r ON r.measurement_id = a.measurement_id AND r.measured_at = a.measurement_measured_at
+JOIN threshold_rule t ON t.threshold_rule_id = a.threshold_rule_id
+ORDER BY a.generated_at DESC, a.pollution_alert_id DESC
+LIMIT 200
+""")
+def _alerts_list(spark, sf):
+    """Q4: newest 200 alerts with reading, rule, place and parameter."""
+    c = core(spark, sf)
+    return reads.alerts_list(c, SC.reviewed_alerts(c), limit=200)

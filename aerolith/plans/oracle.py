@@ -73,3 +73,129 @@ def q(body: str) -> str:
     if body.startswith(","):
         return CORE.rstrip() + body
     return CORE + body
+
+
+# Warehouse scenario fragments (mirror aerolith.plans.scenarios) -------------
+
+LOC_HIST = """
+, loc_src1 AS (
+  SELECT location_id, openaq_location_id, name, city, country, latitude, longitude, first_seen_at,
+         md5(concat_ws('|', openaq_location_id, name, city, country, latitude, longitude)) AS row_hash
+  FROM location WHERE is_active AND location_id % 20 <> 2)
+, dim_loc1 AS (
+  SELECT location_id AS source_location_id, openaq_location_id, name, city, country, latitude, longitude,
+         COALESCE(first_seen_at, TIMESTAMP '2024-01-01 00:00:00') AS valid_from,
+         CAST(NULL AS TIMESTAMP) AS valid_to, true AS is_current, row_hash
+  FROM loc_src1)
+, loc_src2 AS (
+  SELECT location_id, openaq_location_id,
+         CASE WHEN location_id % 10 = 0 THEN name || ' (renamed)' ELSE name END AS name,
+         CASE WHEN location_id % 15 = 1 THEN 'RELOCATED' ELSE city END AS city,
+         country, latitude, longitude, first_seen_at
+  FROM location WHERE is_active)
+, loc_src2h AS (
+  SELECT *, md5(concat_ws('|', openaq_location_id, name, city, country, latitude, longitude)) AS row_hash
+  FROM loc_src2)
+, dim_loc2 AS (
+  SELECT d.source_location_id, d.openaq_location_id, d.name, d.city, d.country, d.latitude, d.longitude,
+         d.valid_from,
+         CASE WHEN d.is_current AND s.row_hash IS NOT NULL AND s.row_hash <> d.row_hash
+              THEN TIMESTAMP '2024-01-15 00:00:00' ELSE d.valid_to END AS valid_to,
+         CASE WHEN d.is_current AND s.row_hash IS NOT NULL AND s.row_hash <> d.row_hash
+              THEN false ELSE d.is_current END AS is_current,
+         d.row_hash
+  FROM dim_loc1 d LEFT JOIN loc_src2h s ON s.location_id = d.source_location_id
+  UNION ALL
+  SELECT s.location_id, s.openaq_location_id, s.name, s.city, s.country, s.latitude, s.longitude,
+         CASE WHEN x.source_location_id IS NULL THEN COALESCE(s.first_seen_at, TIMESTAMP '2024-01-15 00:00:00')
+              ELSE TIMESTAMP '2024-01-15 00:00:00' END,
+         CAST(NULL AS TIMESTAMP), true, s.row_hash
+  FROM loc_src2h s
+  LEFT JOIN (SELECT source_location_id, max(CASE WHEN is_current THEN row_hash END) AS cur_hash
+             FROM dim_loc1 GROUP BY 1) x ON x.source_location_id = s.location_id
+  WHERE x.cur_hash IS NULL OR x.cur_hash <> s.row_hash)
+"""
+
+SEN_HIST = """
+, sen_src1 AS (
+  SELECT sensor_id, openaq_sensor_id, location_id, parameter_id, unit, first_seen_at,
+         md5(concat_ws('|', openaq_sensor_id, location_id, parameter_id, unit)) AS row_hash
+  FROM sensor WHERE is_active AND sensor_id % 11 <> 3)
+, dim_sen1 AS (
+  SELECT sensor_id AS source_sensor_id, openaq_sensor_id, location_id, parameter_id, unit,
+         COALESCE(first_seen_at, TIMESTAMP '2024-01-01 00:00:00') AS valid_from,
+         CAST(NULL AS TIMESTAMP) AS valid_to, true AS is_current, row_hash
+  FROM sen_src1)
+, sen_src2h AS (
+  SELECT sensor_id, openaq_sensor_id, location_id, parameter_id,
+         CASE WHEN sensor_id % 7 = 0 THEN 'ppb' ELSE unit END AS unit, first_seen_at,
+         md5(concat_ws('|', openaq_sensor_id, location_id, parameter_id,
+                       CASE WHEN sensor_id % 7 = 0 THEN 'ppb' ELSE unit END)) AS row_hash
+  FROM sensor WHERE is_active)
+, dim_sen2 AS (
+  SELECT d.source_sensor_id, d.openaq_sensor_id, d.location_id, d.parameter_id, d.unit, d.valid_from,
+         CASE WHEN d.is_current AND s.row_hash IS NOT NULL AND s.row_hash <> d.row_hash
+              THEN TIMESTAMP '2024-01-15 00:00:00' ELSE d.valid_to END AS valid_to,
+         CASE WHEN d.is_current AND s.row_hash IS NOT NULL AND s.row_hash <> d.row_hash
+              THEN false ELSE d.is_current END AS is_current,
+         d.row_hash
+  FROM dim_sen1 d LEFT JOIN sen_src2h s ON s.sensor_id = d.source_sensor_id
+  UNION ALL
+  SELECT s.sensor_id, s.openaq_sensor_id, s.location_id, s.parameter_id, s.unit,
+         CASE WHEN x.source_sensor_id IS NULL THEN COALESCE(s.first_seen_at, TIMESTAMP '2024-01-15 00:00:00')
+              ELSE TIMESTAMP '2024-01-15 00:00:00' END,
+         CAST(NULL AS TIMESTAMP), true, s.row_hash
+  FROM sen_src2h s
+  LEFT JOIN (SELECT source_sensor_id, max(CASE WHEN is_current THEN row_hash END) AS cur_hash
+             FROM dim_sen1 GROUP BY 1) x ON x.source_sensor_id = s.sensor_id
+  WHERE x.cur_hash IS NULL OR x.cur_hash <> s.row_hash)
+"""
+
+# Alert trigger, written the reference's way: best rule by (min desc, id desc).
+ALERTS = """
+, alert_cand AS (
+  SELECT r.measurement_id, r.measured_at, t.threshold_rule_id, t.warning_level,
+         row_number() OVER (PARTITION BY r.measurement_id
+                            ORDER BY t.min_value DESC, t.threshold_rule_id DESC) AS rn
+  FROM readings r
+  JOIN threshold_rule t ON t.parameter_id = r.parameter_id AND t.city = r.city AND t.is_active
+  WHERE t.warning_level <> 'low' AND r.value >= t.min_value)
+, alerts AS (
+  SELECT measurement_id AS pollution_alert_id, measurement_id, measured_at AS measurement_measured_at,
+         threshold_rule_id, warning_level AS alert_level, 'open' AS status, measured_at AS generated_at,
+         CAST(NULL AS TIMESTAMP) AS reviewed_at, CAST(NULL AS VARCHAR) AS notes
+  FROM alert_cand WHERE rn = 1)
+, review_cmd AS (
+  SELECT pollution_alert_id,
+         CASE WHEN pollution_alert_id % 5 = 0 THEN 'closed' ELSE 'reviewed' END AS new_status,
+         CASE WHEN pollution_alert_id % 3 = 0 THEN 'checked' END AS new_notes,
+         generated_at + INTERVAL 2 HOUR AS command_at
+  FROM alerts WHERE pollution_alert_id % 5 = 0 OR pollution_alert_id % 3 = 0)
+, reviewed AS (
+  SELECT a.pollution_alert_id, a.measurement_id, a.measurement_measured_at, a.threshold_rule_id,
+         a.alert_level, a.generated_at,
+         COALESCE(c.new_status, a.status) AS status,
+         CASE WHEN c.new_status IN ('reviewed', 'closed') THEN COALESCE(a.reviewed_at, c.command_at)
+              ELSE a.reviewed_at END AS reviewed_at,
+         CASE WHEN c.new_status IS NOT NULL THEN COALESCE(c.new_notes, a.notes) ELSE a.notes END AS notes
+  FROM alerts a LEFT JOIN review_cmd c ON c.pollution_alert_id = a.pollution_alert_id)
+"""
+
+FIRST_LOAD = """
+, cur_loc AS (SELECT * FROM location WHERE is_active)
+, cur_sen AS (SELECT * FROM sensor WHERE is_active)
+, fact_m AS (
+  SELECT m.measurement_id AS source_measurement_id, l.location_id AS source_location_id,
+         s.sensor_id AS source_sensor_id, p.code AS parameter_code,
+         CAST(strftime(m.measured_at, '%Y%m%d') AS INTEGER) AS date_key,
+         CAST(hour(m.measured_at) * 100 + minute(m.measured_at) AS INTEGER) AS time_key,
+         CAST(CASE WHEN m.value >= 0 AND m.value < 10 THEN 1 WHEN m.value >= 10 AND m.value < 25 THEN 2
+                   WHEN m.value >= 25 AND m.value < 50 THEN 3 WHEN m.value >= 50 THEN 4 END AS INTEGER)
+              AS risk_class_key,
+         m.measured_at, CAST(m.value AS DOUBLE) AS measurement_value, m.unit, m.ingestion_run_id
+  FROM m
+  JOIN cur_sen s ON s.sensor_id = m.sensor_id
+  JOIN cur_loc l ON l.location_id = s.location_id
+  JOIN parameter p ON p.parameter_id = s.parameter_id
+  WHERE m.value IS NOT NULL AND m.value >= 0 AND m.value < 100000)
+"""
