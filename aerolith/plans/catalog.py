@@ -376,3 +376,296 @@ def _alerts_list(spark, sf):
     """Q4: newest 200 alerts with reading, rule, place and parameter."""
     c = core(spark, sf)
     return reads.alerts_list(c, SC.reviewed_alerts(c), limit=200)
+
+
+# --- runs, reports, gaps ---------------------------------------------------
+
+from aerolith.operators import reports as R  # noqa: E402
+from aerolith.operators import runs as RN  # noqa: E402
+
+RUNS_SQL = """
+, run_day AS (SELECT ingestion_run_id, count(*) AS n, min(measured_at) AS started_at,
+                     max(measured_at) AS finished_at, ingestion_run_id % 100 AS d
+              FROM m GROUP BY ingestion_run_id)
+, runs AS (
+  SELECT ingestion_run_id, 'incremental' AS run_type,
+         CASE WHEN d % 4 = 3 THEN 'failed' WHEN d % 4 = 2 THEN 'partial' ELSE 'succeeded' END AS status,
+         started_at, finished_at,
+         CAST(CASE WHEN d % 4 = 3 THEN 0 WHEN d % 4 = 2 THEN n - (n % 5 + 1) ELSE n END AS INTEGER)
+             AS records_inserted,
+         CAST(CASE WHEN d % 4 = 3 THEN 1 WHEN d % 4 = 2 THEN n % 5 + 1 ELSE 0 END AS INTEGER) AS records_failed,
+         CASE WHEN d % 4 = 3 THEN 'run failed'
+              WHEN d % 4 = 2 THEN 'measurement skipped: ' || CAST(n % 5 + 1 AS VARCHAR) || ' invalid' END
+             AS error_message
+  FROM run_day)
+"""
+
+
+def _runs(c):
+    return RN.fold_runs(RN.run_events_from_readings(c.measurement))
+
+
+@register("run_status_rollup", RUNS_SQL + "SELECT * FROM runs")
+def _run_status_rollup(spark, sf):
+    """Open + close events folded to one row per run."""
+    return _runs(core(spark, sf)).select(*RN.RUN_COLS)
+
+
+@register("runs_list", RUNS_SQL + """
+SELECT * FROM runs ORDER BY started_at DESC, ingestion_run_id DESC LIMIT 50
+""")
+def _runs_list(spark, sf):
+    """Q6/L4."""
+    return RN.runs_list(_runs(core(spark, sf)), limit=50)
+
+
+@register("run_kpis", RUNS_SQL + """
+SELECT count(*) AS runs, count(*) FILTER (WHERE status IN ('failed', 'partial')) AS failed_or_partial,
+       CAST(sum(records_inserted) AS BIGINT) AS rows_inserted, CAST(sum(records_failed) AS BIGINT) AS rows_failed
+FROM runs
+""")
+def _run_kpis(spark, sf):
+    """A16."""
+    return RN.run_kpis(_runs(core(spark, sf)))
+
+
+@register("run_status_counts", RUNS_SQL + """
+SELECT status, count(*) AS runs FROM runs GROUP BY status
+""")
+def _run_status_counts(spark, sf):
+    """A17."""
+    return RN.run_status_counts(_runs(core(spark, sf)))
+
+
+@register("watermark_bound", RUNS_SQL + """
+, hw AS (SELECT max(measured_at) AS high_water_mark FROM m)
+, ls AS (SELECT max(COALESCE(finished_at, started_at)) AS last_success_at FROM runs WHERE status = 'succeeded')
+SELECT hw.high_water_mark, ls.last_success_at,
+       COALESCE(hw.high_water_mark - INTERVAL 12 HOUR, ls.last_success_at,
+                TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 1 DAY) AS lower_bound
+FROM hw, ls
+""")
+def _watermark_bound(spark, sf):
+    """Incremental lower bound = high-water mark minus 12 h overlap."""
+    c = core(spark, sf)
+    return RN.lower_bound(c.measurement, _runs(c), now="2024-02-01 00:00:00")
+
+
+HOURLY_FULL = """
+, hourly AS (SELECT date_trunc('hour', measured_at) AS measured_hour, city, parameter_code, unit,
+                    avg(CAST(value AS DOUBLE)) AS average_value, count(*) AS measurement_count
+             FROM readings GROUP BY ALL)
+"""
+
+
+@register("daily_mean", HOURLY_FULL + """
+SELECT CAST(measured_hour AS DATE) AS day, parameter_code, avg(average_value) AS daily_mean,
+       CAST(sum(measurement_count) AS BIGINT) AS measurement_count
+FROM hourly GROUP BY ALL
+""")
+def _daily_mean(spark, sf):
+    """Unweighted mean of hourly means per day and parameter."""
+    return R.daily_mean(reads.hourly_series(core(spark, sf), limit=None))
+
+
+@register("hourly_mean", HOURLY_FULL + """
+SELECT measured_hour, city, parameter_code, avg(average_value) AS average_value,
+       CAST(sum(measurement_count) AS BIGINT) AS measurement_count
+FROM hourly GROUP BY ALL
+""")
+def _hourly_mean(spark, sf):
+    """A7."""
+    return R.hourly_mean(reads.hourly_series(core(spark, sf), limit=None))
+
+
+@register("daily_actuals", """
+SELECT CAST(measured_at AS DATE) AS day, parameter_code, avg(CAST(value AS DOUBLE)) AS daily_actual,
+       count(DISTINCT location_id) AS stations, count(DISTINCT location_id) > 3 AS use_daily_mean
+FROM readings GROUP BY ALL
+""")
+def _daily_actuals(spark, sf):
+    """A8."""
+    return R.daily_actuals(reads.readings(core(spark, sf)))
+
+
+@register("overview_kpis", ALERTS + """
+SELECT arg_max(CAST(value AS DOUBLE), (measured_at, measurement_id)) AS latest_value,
+       avg(CASE WHEN measured_at >= (SELECT max(measured_at) FROM readings) - INTERVAL 7 DAY
+                THEN CAST(value AS DOUBLE) END) AS mean_last_days,
+       count(DISTINCT location_id) AS stations,
+       (SELECT count(*) FROM reviewed WHERE status = 'open') AS open_alerts
+FROM readings
+""")
+def _overview_kpis(spark, sf):
+    """A14."""
+    c = core(spark, sf)
+    return R.overview_kpis(reads.readings(c), SC.reviewed_alerts(c))
+
+
+@register("home_kpis", ALERTS + """
+SELECT count(DISTINCT location_id) AS stations,
+       count(*) FILTER (WHERE measured_at >= (SELECT max(measured_at) FROM readings) - INTERVAL 24 HOUR)
+           AS recent_readings,
+       (SELECT count(*) FROM reviewed WHERE status = 'open') AS open_alerts
+FROM readings
+""")
+def _home_kpis(spark, sf):
+    """A23."""
+    c = core(spark, sf)
+    return R.home_kpis(reads.readings(c), SC.reviewed_alerts(c))
+
+
+LATEST_SQL = """
+, latest AS (
+  SELECT city, location_name, parameter_code,
+         arg_max(measured_at, (measured_at, measurement_id)) AS measured_at,
+         arg_max(CAST(value AS DOUBLE), (measured_at, measurement_id)) AS value,
+         arg_max(measurement_id, (measured_at, measurement_id)) AS measurement_id
+  FROM readings GROUP BY ALL)
+"""
+
+
+@register("latest_by_station", LATEST_SQL + "SELECT * FROM latest")
+def _latest_by_station(spark, sf):
+    """W6."""
+    return R.latest_by_station(reads.readings(core(spark, sf)))
+
+
+@register("worst_station", LATEST_SQL + """
+SELECT * FROM latest ORDER BY value DESC, city, location_name, parameter_code LIMIT 1
+""")
+def _worst_station(spark, sf):
+    """Top-1 station by latest value."""
+    return R.worst_station(R.latest_by_station(reads.readings(core(spark, sf))))
+
+
+@register("records_per_day", """
+SELECT CAST(measured_at AS DATE) AS day, count(*) AS records FROM m GROUP BY 1
+""")
+def _records_per_day(spark, sf):
+    """A15."""
+    return R.records_per_day(core(spark, sf).measurement)
+
+
+@register("date_bounds", ALERTS + RUNS_SQL.replace("\n, run_day", "\n, run_day", 1) + """
+, u AS (SELECT CAST(measured_at AS DATE) AS d FROM m
+        UNION ALL SELECT CAST(generated_at AS DATE) FROM alerts
+        UNION ALL SELECT CAST(started_at AS DATE) FROM runs)
+SELECT min(d) AS min_date, max(d) AS max_date FROM u
+""")
+def _date_bounds(spark, sf):
+    """Bounds across readings, alerts and runs."""
+    c = core(spark, sf)
+    return R.date_bounds({"readings": (c.measurement, "measured_at"),
+                          "alerts": (A.alerts(c), "generated_at"),
+                          "runs": (_runs(c), "started_at")})
+
+
+@register("city_options", """
+SELECT DISTINCT city FROM readings WHERE city IS NOT NULL ORDER BY city
+""")
+def _city_options(spark, sf):
+    """Sorted distinct cities that have readings."""
+    return R.options(reads.readings(core(spark, sf)), "city")
+
+
+ALERTS_ENRICHED = ALERTS + """
+, ae AS (SELECT a.pollution_alert_id, a.generated_at, a.alert_level, a.status, r.city, r.location_name,
+                r.parameter_code
+         FROM reviewed a JOIN readings r ON r.measurement_id = a.measurement_id
+                                        AND r.measured_at = a.measurement_measured_at)
+"""
+
+
+def _alerts_enriched(c):
+    a = SC.reviewed_alerts(c)
+    r = reads.readings(c).select("measurement_id", F.col("measured_at").alias("measurement_measured_at"),
+                                 "city", "location_name", "parameter_code")
+    return a.join(r, ["measurement_id", "measurement_measured_at"])
+
+
+@register("alert_heatmap", ALERTS_ENRICHED + """
+SELECT CAST(isodow(generated_at) AS INTEGER) AS weekday_index, strftime(generated_at, '%A') AS weekday,
+""" + ",\n".join(f"       count(*) FILTER (WHERE hour(generated_at) = {h}) AS h{h:02d}" for h in range(24)) + """
+FROM ae GROUP BY 1, 2
+""")
+def _alert_heatmap(spark, sf):
+    """A9."""
+    return R.alert_heatmap(_alerts_enriched(core(spark, sf)))
+
+
+@register("alert_severity", ALERTS_ENRICHED + """
+SELECT alert_level, count(*) AS alerts FROM ae GROUP BY 1 ORDER BY alerts DESC, alert_level
+""")
+def _alert_severity(spark, sf):
+    """A10."""
+    return R.value_counts(_alerts_enriched(core(spark, sf)), "alert_level")
+
+
+@register("alert_by_pollutant", ALERTS_ENRICHED + """
+SELECT parameter_code, count(*) AS alerts FROM ae GROUP BY 1 ORDER BY alerts DESC, parameter_code
+""")
+def _alert_by_pollutant(spark, sf):
+    """A11."""
+    return R.value_counts(_alerts_enriched(core(spark, sf)), "parameter_code")
+
+
+@register("alert_top_stations", ALERTS_ENRICHED + """
+SELECT location_name, count(*) AS alerts FROM ae GROUP BY 1 ORDER BY alerts DESC, location_name LIMIT 10
+""")
+def _alert_top_stations(spark, sf):
+    """A12."""
+    return R.top_stations(_alerts_enriched(core(spark, sf)), 10)
+
+
+@register("alert_kpis", ALERTS_ENRICHED + """
+SELECT count(*) AS total_alerts, count(*) FILTER (WHERE alert_level = 'critical') AS critical_alerts,
+       count(DISTINCT location_name) AS stations, count(DISTINCT parameter_code) AS pollutants
+FROM ae
+""")
+def _alert_kpis(spark, sf):
+    """A13."""
+    return R.alert_kpis(_alerts_enriched(core(spark, sf)))
+
+
+@register("gaps", """
+, g AS (SELECT measurement_id, sensor_id, measured_at,
+               lag(measured_at) OVER (PARTITION BY sensor_id ORDER BY measured_at) AS previous_at
+        FROM m)
+SELECT sensor_id, measurement_id, measured_at, previous_at,
+       round((epoch_us(measured_at) - epoch_us(previous_at)) / 3600000000.0, 2) AS gap_hours
+FROM g
+WHERE previous_at IS NOT NULL AND (epoch_us(measured_at) - epoch_us(previous_at)) / 3600000000.0 > 6
+""")
+def _gaps(spark, sf):
+    """Gaps above 6 h per sensor (chunked lag, safe for hot sensors)."""
+    g = R.gaps(core(spark, sf).measurement)
+    return g.select("sensor_id", "measurement_id", "measured_at", "previous_at", "gap_hours")
+
+
+@register("gap_sessions", """
+, g AS (SELECT sensor_id, measured_at,
+               CASE WHEN lag(measured_at) OVER w IS NULL
+                      OR measured_at - lag(measured_at) OVER w > INTERVAL 6 HOUR THEN 1 ELSE 0 END AS new_s
+        FROM m WINDOW w AS (PARTITION BY sensor_id ORDER BY measured_at))
+, s AS (SELECT *, sum(new_s) OVER (PARTITION BY sensor_id ORDER BY measured_at ROWS UNBOUNDED PRECEDING) AS sid
+        FROM g)
+SELECT sensor_id, min(measured_at) AS first_at, max(measured_at) AS last_at, count(*) AS readings
+FROM s GROUP BY sensor_id, sid
+""")
+def _gap_sessions(spark, sf):
+    """session_window with a 6 h gap per sensor."""
+    return R.gap_sessions(core(spark, sf).measurement)
+
+
+@register("date_rollup", FIRST_LOAD + """
+SELECT year(measured_at) AS year, quarter(measured_at) AS quarter, month(measured_at) AS month,
+       day(measured_at) AS day, count(*) AS readings, avg(measurement_value) AS mean_value
+FROM fact_m GROUP BY ROLLUP (year(measured_at), quarter(measured_at), month(measured_at), day(measured_at))
+""")
+def _date_rollup(spark, sf):
+    """Date drill-down: ROLLUP(year, quarter, month, day) over the reading fact."""
+    f = first_load_fact(core(spark, sf))
+    return f.rollup(F.year("measured_at").alias("year"), F.quarter("measured_at").alias("quarter"),
+                    F.month("measured_at").alias("month"), F.dayofmonth("measured_at").alias("day")) \
+        .agg(F.count(F.lit(1)).alias("readings"), F.avg("measurement_value").alias("mean_value"))
