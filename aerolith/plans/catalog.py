@@ -669,3 +669,156 @@ def _date_rollup(spark, sf):
     return f.rollup(F.year("measured_at").alias("year"), F.quarter("measured_at").alias("quarter"),
                     F.month("measured_at").alias("month"), F.dayofmonth("measured_at").alias("day")) \
         .agg(F.count(F.lit(1)).alias("readings"), F.avg("measurement_value").alias("mean_value"))
+
+
+# --- features, split, predictions ------------------------------------------
+
+from aerolith.operators import features as FT  # noqa: E402
+
+FEATS_SQL = FIRST_LOAD + """
+, star AS (SELECT f.*, CAST(isodow(measured_at) AS INTEGER) AS weekday, CAST(month(measured_at) AS INTEGER) AS month,
+                  CAST(hour(measured_at) AS INTEGER) AS hour, CAST(minute(measured_at) AS INTEGER) AS minute
+           FROM fact_m f)
+, feat_all AS (
+  SELECT source_sensor_id, source_location_id, parameter_code, measured_at,
+         measurement_value AS current_value, hour, minute, weekday, month,
+         lag(measurement_value) OVER (PARTITION BY source_sensor_id ORDER BY measured_at) AS previous_value,
+         CASE WHEN count(measurement_value) OVER (PARTITION BY source_sensor_id ORDER BY measured_at
+                                                  ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) = 3
+              THEN avg(measurement_value) OVER (PARTITION BY source_sensor_id ORDER BY measured_at
+                                                ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) END AS rolling_3h,
+         CASE WHEN count(measurement_value) OVER (PARTITION BY source_sensor_id ORDER BY measured_at
+                                                  ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) = 6
+              THEN avg(measurement_value) OVER (PARTITION BY source_sensor_id ORDER BY measured_at
+                                                ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) END AS rolling_6h,
+         lead(measurement_value) OVER (PARTITION BY source_sensor_id ORDER BY measured_at) AS target_value,
+         lead(measured_at) OVER (PARTITION BY source_sensor_id ORDER BY measured_at) AS target_measured_at
+  FROM star)
+, feat AS (SELECT * FROM feat_all
+           WHERE previous_value IS NOT NULL AND rolling_3h IS NOT NULL AND rolling_6h IS NOT NULL
+             AND target_value IS NOT NULL AND target_measured_at IS NOT NULL)
+"""
+
+FEATURE_OUT = ["source_sensor_id", "source_location_id", "parameter_code", "measured_at", "current_value",
+               "previous_value", "rolling_3h", "rolling_6h", "hour", "minute", "weekday", "month",
+               "target_value", "target_measured_at"]
+
+
+def _features(c):
+    return FT.features(FT.star_rows(first_load_fact(c), c.spark))
+
+
+@register("features", FEATS_SQL + "SELECT " + ", ".join(FEATURE_OUT) + " FROM feat")
+def _features_q(spark, sf):
+    """Lag, rolling means over 3 and 6 rows, next value and time."""
+    return _features(core(spark, sf)).select(*FEATURE_OUT)
+
+
+@register("train_test_split", FEATS_SQL + """
+, n AS (SELECT count(*) AS n FROM feat)
+, k AS (SELECT CASE WHEN greatest(1, CAST(floor(n * 0.8) AS BIGINT)) >= n THEN n - 1
+                    ELSE greatest(1, CAST(floor(n * 0.8) AS BIGINT)) END AS k FROM n)
+SELECT source_sensor_id, measured_at, target_measured_at,
+       CASE WHEN row_number() OVER (ORDER BY target_measured_at, source_sensor_id) <= (SELECT k FROM k)
+            THEN 'train' ELSE 'test' END AS split
+FROM feat
+""")
+def _train_test_split(spark, sf):
+    """Exact chronological 80/20 split."""
+    f = _features(core(spark, sf))
+    return FT.chronological_split(f).select("source_sensor_id", "measured_at", "target_measured_at", "split")
+
+
+INPUTS_SQL = FIRST_LOAD + """
+, lastrows AS (SELECT *, row_number() OVER (PARTITION BY source_sensor_id ORDER BY measured_at DESC) AS rd
+               FROM fact_m)
+, inputs AS (
+  SELECT source_sensor_id, source_location_id, parameter_code,
+         max(CASE WHEN rd = 1 THEN measured_at END) AS last_measured_at,
+         max(CASE WHEN rd = 1 THEN measurement_value END) AS current_value,
+         max(CASE WHEN rd = 2 THEN measurement_value END) AS previous_value,
+         avg(CASE WHEN rd <= 3 THEN measurement_value END) AS rolling_3h,
+         avg(CASE WHEN rd <= 6 THEN measurement_value END) AS rolling_6h,
+         max(CASE WHEN rd = 1 THEN measured_at END) + INTERVAL 1 HOUR AS target_measured_at
+  FROM lastrows WHERE rd <= 6 GROUP BY 1, 2, 3 HAVING count(*) >= 6)
+"""
+
+
+def _inputs(c):
+    return FT.prediction_inputs(FT.star_rows(first_load_fact(c), c.spark))
+
+
+@register("prediction_inputs", INPUTS_SQL + "SELECT * FROM inputs")
+def _prediction_inputs(spark, sf):
+    """Last-row features per sensor with at least 6 readings."""
+    return _inputs(core(spark, sf)).select(
+        "source_sensor_id", "source_location_id", "parameter_code", "last_measured_at", "current_value",
+        "previous_value", "rolling_3h", "rolling_6h", "target_measured_at")
+
+
+# Spark rounds a double to decimal from its shortest decimal text; the oracle does the same.
+SCORE_SQL = "(current_value * 0.6 + previous_value * 0.25 + rolling_3h * 0.1 + rolling_6h * 0.05)"
+RISK_OF = lambda x: (f"CAST(CASE WHEN {x} >= 0 AND {x} < 10 THEN 1 WHEN {x} >= 10 AND {x} < 25 THEN 2 "
+                     f"WHEN {x} >= 25 AND {x} < 50 THEN 3 WHEN {x} >= 50 THEN 4 END AS INTEGER)")
+CREATED_AT = "2024-02-01 00:00:00"
+
+
+@register("fact_prediction", INPUTS_SQL + f"""
+SELECT source_location_id, source_sensor_id, parameter_code, target_measured_at,
+       CAST(CAST(CAST({SCORE_SQL} AS VARCHAR) AS DECIMAL(12,4)) AS DOUBLE) AS predicted_value,
+       'fixed_linear' AS model_name, '0.1.0' AS model_version, {RISK_OF(SCORE_SQL)} AS risk_class_key,
+       TIMESTAMP '{CREATED_AT}' AS prediction_created_at
+FROM inputs
+""")
+def _fact_prediction(spark, sf):
+    """Score, classify (unrounded), round to 4 places, insert new keys."""
+    i = _inputs(core(spark, sf))
+    rows = FT.prediction_rows(i, FT.fixed_linear_score(i), "fixed_linear", CREATED_AT)
+    return FT.load_prediction_facts(rows).drop("feature_payload")
+
+
+def _backtest(c):
+    f = _features(c)
+    return FT.prediction_rows(f, FT.fixed_linear_score(f), "fixed_linear", CREATED_AT)
+
+
+BACKTEST_SQL = FEATS_SQL + f"""
+, preds AS (
+  SELECT source_location_id, source_sensor_id, parameter_code, target_measured_at,
+         CAST(CAST(CAST({SCORE_SQL} AS VARCHAR) AS DECIMAL(12,4)) AS DOUBLE) AS predicted_value,
+         'fixed_linear' AS model_name, '0.1.0' AS model_version, {RISK_OF(SCORE_SQL)} AS risk_class_key,
+         TIMESTAMP '{CREATED_AT}' AS created_at
+  FROM feat)
+, pva AS (
+  SELECT p.*, CASE p.risk_class_key WHEN 1 THEN 'Low' WHEN 2 THEN 'Moderate' WHEN 3 THEN 'High'
+                                    WHEN 4 THEN 'Critical' END AS risk_class_label,
+         f.measurement_value AS actual_value, abs(p.predicted_value - f.measurement_value) AS absolute_error
+  FROM preds p LEFT JOIN fact_m f
+    ON f.source_location_id = p.source_location_id AND f.parameter_code = p.parameter_code
+   AND f.measured_at = p.target_measured_at
+   AND (p.source_sensor_id IS NULL OR f.source_sensor_id = p.source_sensor_id))
+"""
+
+
+@register("predictions_vs_actual", BACKTEST_SQL + """
+SELECT source_location_id, source_sensor_id, parameter_code, target_measured_at, predicted_value, model_name,
+       model_version, created_at, risk_class_label, actual_value, absolute_error
+FROM pva ORDER BY target_measured_at DESC, created_at DESC, source_sensor_id LIMIT 200
+""")
+def _predictions_vs_actual(spark, sf):
+    """Newest 200 predictions with the matching actual and error."""
+    c = core(spark, sf)
+    return FT.predictions_vs_actual(_backtest(c), first_load_fact(c), limit=200)
+
+
+@register("error_metrics", BACKTEST_SQL + """
+SELECT count(*) AS matched, avg(abs(predicted_value - actual_value)) AS mae,
+       sqrt(avg((predicted_value - actual_value) * (predicted_value - actual_value))) AS rmse,
+       1 - sum((predicted_value - actual_value) * (predicted_value - actual_value))
+           / (sum(actual_value * actual_value) - sum(actual_value) * sum(actual_value) / count(*)) AS r2
+FROM pva WHERE actual_value IS NOT NULL AND predicted_value IS NOT NULL
+""")
+def _error_metrics(spark, sf):
+    """MAE, RMSE, R2 of the backtest predictions."""
+    c = core(spark, sf)
+    return FT.error_metrics(FT.predictions_vs_actual(_backtest(c), first_load_fact(c), limit=None))
