@@ -822,3 +822,200 @@ def _error_metrics(spark, sf):
     """MAE, RMSE, R2 of the backtest predictions."""
     c = core(spark, sf)
     return FT.error_metrics(FT.predictions_vs_actual(_backtest(c), first_load_fact(c), limit=None))
+
+
+# --- quality rules and warehouse checks ------------------------------------
+
+from aerolith.operators import quality as QL  # noqa: E402
+
+
+def _quality_tables(c):
+    a = SC.reviewed_alerts(c)
+    return {"location": c.location, "parameter": c.parameter, "sensor": c.sensor,
+            "measurement_raw": c.measurement, "threshold_rule": c.threshold_rule,
+            "pollution_alert": a, "ingestion_run_log": _runs(c), "pollution_alert_outbox": SC.outbox(c)}
+
+
+def _dq_rules_sql():
+    parts = []
+    src = {"location": "location", "parameter": "parameter", "sensor": "sensor", "measurement_raw": "m",
+           "threshold_rule": "threshold_rule", "pollution_alert": "reviewed", "ingestion_run_log": "runs",
+           "pollution_alert_outbox": "outbox"}
+    for t, rs in QL.ROW_RULES.items():
+        for name, pred in rs.items():
+            parts.append(f"SELECT '{name}' AS rule, '{t}' AS table_name, "
+                         f"count(*) FILTER (WHERE {pred}) AS bad_count FROM {src[t]}")
+    return OUTBOX_SQL + RUNS_SQL + "\n" + "\nUNION ALL ".join(parts)
+
+
+@register("dq_rules", _dq_rules_sql())
+def _dq_rules(spark, sf):
+    """Violation counts per rule and table (one pass per table)."""
+    return QL.row_rule_counts(_quality_tables(core(spark, sf)))
+
+
+@register("dq_duplicates", LOC_HIST + SEN_HIST + ALERTS + FIRST_LOAD + """
+SELECT 'C9_parameter_code' AS rule, 'parameter' AS table_name,
+       (SELECT count(*) FROM (SELECT code FROM parameter GROUP BY 1 HAVING count(*) > 1)) AS bad_count
+UNION ALL SELECT 'C9_location_source_id', 'location',
+       (SELECT count(*) FROM (SELECT openaq_location_id FROM location GROUP BY 1 HAVING count(*) > 1))
+UNION ALL SELECT 'C9_sensor_source_id', 'sensor',
+       (SELECT count(*) FROM (SELECT openaq_sensor_id FROM sensor GROUP BY 1 HAVING count(*) > 1))
+UNION ALL SELECT 'C9_reading_sensor_time', 'measurement_raw',
+       (SELECT count(*) FROM (SELECT sensor_id, measured_at FROM m GROUP BY 1, 2 HAVING count(*) > 1))
+UNION ALL SELECT 'C9_rule_key', 'threshold_rule',
+       (SELECT count(*) FROM (SELECT parameter_id, city, warning_level FROM threshold_rule
+                              GROUP BY 1, 2, 3 HAVING count(*) > 1))
+UNION ALL SELECT 'C9_alert_reading_rule', 'pollution_alert',
+       (SELECT count(*) FROM (SELECT measurement_id, threshold_rule_id FROM alerts GROUP BY 1, 2
+                              HAVING count(*) > 1))
+UNION ALL SELECT 'C9_one_current_location', 'dim_location',
+       (SELECT count(*) FROM (SELECT source_location_id FROM dim_loc2 WHERE is_current GROUP BY 1
+                              HAVING count(*) > 1))
+UNION ALL SELECT 'C9_location_version', 'dim_location',
+       (SELECT count(*) FROM (SELECT source_location_id, valid_from FROM dim_loc2 GROUP BY 1, 2
+                              HAVING count(*) > 1))
+UNION ALL SELECT 'C9_one_current_sensor', 'dim_sensor',
+       (SELECT count(*) FROM (SELECT source_sensor_id FROM dim_sen2 WHERE is_current GROUP BY 1
+                              HAVING count(*) > 1))
+UNION ALL SELECT 'C9_fact_grain', 'fact_air_quality_measurement',
+       (SELECT count(*) FROM (SELECT source_measurement_id FROM fact_m GROUP BY 1 HAVING count(*) > 1))
+""")
+def _dq_duplicates(spark, sf):
+    """Duplicate keys per unique constraint (incl. partial unique on is_current)."""
+    c = core(spark, sf)
+    dl, ds = SC.dim_location_history(c), SC.dim_sensor_history(c)
+    checks = [
+        ("C9_parameter_code", "parameter", c.parameter, ["code"], None),
+        ("C9_location_source_id", "location", c.location, ["openaq_location_id"], None),
+        ("C9_sensor_source_id", "sensor", c.sensor, ["openaq_sensor_id"], None),
+        ("C9_reading_sensor_time", "measurement_raw", c.measurement, ["sensor_id", "measured_at"], None),
+        ("C9_rule_key", "threshold_rule", c.threshold_rule, ["parameter_id", "city", "warning_level"], None),
+        ("C9_alert_reading_rule", "pollution_alert", A.alerts(c), ["measurement_id", "threshold_rule_id"], None),
+        ("C9_one_current_location", "dim_location", dl, ["source_location_id"], "is_current"),
+        ("C9_location_version", "dim_location", dl, ["source_location_id", "valid_from"], None),
+        ("C9_one_current_sensor", "dim_sensor", ds, ["source_sensor_id"], "is_current"),
+        ("C9_fact_grain", "fact_air_quality_measurement", first_load_fact(c), ["source_measurement_id"], None),
+    ]
+    return QL.union_all([QL.count_rows(n, QL.duplicate_keys(df, keys, where), t)
+                         for n, t, df, keys, where in checks])
+
+
+@register("dq_orphans", ALERTS + """
+SELECT 'C10_sensor_location' AS rule, 'sensor' AS table_name,
+       (SELECT count(*) FROM sensor s WHERE s.location_id IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM location l WHERE l.location_id = s.location_id)) AS bad_count
+UNION ALL SELECT 'C10_sensor_parameter', 'sensor',
+       (SELECT count(*) FROM sensor s WHERE NOT EXISTS (SELECT 1 FROM parameter p WHERE p.parameter_id = s.parameter_id))
+UNION ALL SELECT 'C10_reading_sensor', 'measurement_raw',
+       (SELECT count(*) FROM m WHERE NOT EXISTS (SELECT 1 FROM sensor s WHERE s.sensor_id = m.sensor_id))
+UNION ALL SELECT 'C10_rule_parameter', 'threshold_rule',
+       (SELECT count(*) FROM threshold_rule t
+         WHERE NOT EXISTS (SELECT 1 FROM parameter p WHERE p.parameter_id = t.parameter_id))
+UNION ALL SELECT 'C10_alert_reading', 'pollution_alert',
+       (SELECT count(*) FROM alerts a WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.measurement_id = a.measurement_id
+                                                          AND m.measured_at = a.measurement_measured_at))
+UNION ALL SELECT 'C10_alert_rule', 'pollution_alert',
+       (SELECT count(*) FROM alerts a
+         WHERE NOT EXISTS (SELECT 1 FROM threshold_rule t WHERE t.threshold_rule_id = a.threshold_rule_id))
+UNION ALL SELECT 'C10_customer_without_nation', 'customer',
+       (SELECT count(*) FROM customer c WHERE c.c_nationkey IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM nation n WHERE n.n_nationkey = c.c_nationkey))
+""")
+def _dq_orphans(spark, sf):
+    """References without a parent (left anti counts)."""
+    c = core(spark, sf)
+    a = A.alerts(c)
+    checks = [
+        ("C10_sensor_location", "sensor", c.sensor, c.location, ["location_id"], ["location_id"]),
+        ("C10_sensor_parameter", "sensor", c.sensor, c.parameter, ["parameter_id"], ["parameter_id"]),
+        ("C10_reading_sensor", "measurement_raw", c.measurement, c.sensor, ["sensor_id"], ["sensor_id"]),
+        ("C10_rule_parameter", "threshold_rule", c.threshold_rule, c.parameter, ["parameter_id"], ["parameter_id"]),
+        ("C10_alert_reading", "pollution_alert", a, c.measurement,
+         ["measurement_id", "measurement_measured_at"], ["measurement_id", "measured_at"]),
+        ("C10_alert_rule", "pollution_alert", a, c.threshold_rule, ["threshold_rule_id"], ["threshold_rule_id"]),
+        ("C10_customer_without_nation", "customer", c.raw("customer"), c.raw("nation"),
+         ["c_nationkey"], ["n_nationkey"]),
+    ]
+    return QL.union_all([QL.count_rows(n, QL.orphans(ch, pa, ck, pk), t) for n, t, ch, pa, ck, pk in checks])
+
+
+@register("dw_verify", LOC_HIST + FIRST_LOAD + """
+, f1 AS (SELECT f.*, d.valid_from AS loc_valid_from FROM fact_m f
+         JOIN dim_loc1 d ON d.source_location_id = f.source_location_id AND d.is_current)
+SELECT 'V1_dim_date_rows' AS check_name,
+       (SELECT count(*) FROM generate_series(DATE '2024-01-01', DATE '2026-12-31', INTERVAL 1 DAY)) AS value
+UNION ALL SELECT 'V1_dim_time_rows', 1440
+UNION ALL SELECT 'V1_dim_risk_class_rows', 4
+UNION ALL SELECT 'V2_fact_rows', (SELECT count(*) FROM f1)
+UNION ALL SELECT 'V2_facts_missing_dimension',
+       (SELECT count(*) FROM f1 WHERE date_key NOT IN (SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER)
+              FROM generate_series(DATE '2024-01-01', DATE '2026-12-31', INTERVAL 1 DAY) t(d))
+              OR risk_class_key IS NULL OR parameter_code IS NULL)
+UNION ALL SELECT 'V2_duplicate_facts',
+       (SELECT count(*) FROM (SELECT source_measurement_id FROM f1 GROUP BY 1 HAVING count(*) > 1))
+UNION ALL SELECT 'V2_outside_band',
+       (SELECT count(*) FROM f1 WHERE NOT (
+          (risk_class_key = 1 AND measurement_value >= 0 AND measurement_value < 10) OR
+          (risk_class_key = 2 AND measurement_value >= 10 AND measurement_value < 25) OR
+          (risk_class_key = 3 AND measurement_value >= 25 AND measurement_value < 50) OR
+          (risk_class_key = 4 AND measurement_value >= 50)))
+UNION ALL SELECT 'V3_sources_without_one_current',
+       (SELECT count(*) FROM (SELECT source_location_id FROM dim_loc2 GROUP BY 1
+                              HAVING count(*) FILTER (WHERE is_current) <> 1))
+UNION ALL SELECT 'V3_expired_not_closed',
+       (SELECT count(*) FROM dim_loc2 WHERE NOT is_current AND valid_to IS NULL)
+UNION ALL SELECT 'V3_expired_versions', (SELECT count(*) FROM dim_loc2 WHERE NOT is_current)
+UNION ALL SELECT 'V3_facts_on_expired_version',
+       (SELECT count(*) FROM f1 JOIN dim_loc2 d ON d.source_location_id = f1.source_location_id
+                              AND d.valid_from = f1.loc_valid_from WHERE NOT d.is_current)
+""")
+def _dw_verify(spark, sf):
+    """V1-V3: dimension sizes, fact integrity, SCD2 history invariants."""
+    c = core(spark, sf)
+    d0 = scd2.empty_location_dim(spark, c.location)
+    d1 = scd2.sync_locations(SC.location_snapshot_1(c.location), d0, SC.AS_OF_1)
+    d2 = scd2.sync_locations(SC.location_snapshot_2(c.location), d1, SC.AS_OF_2)
+    f1 = facts.load_measurement_facts(c, d1, SC.dim_sensor_first_load(c))
+    dd = dims.dim_date(spark).select("date_key")
+    n = lambda name, df: df.agg(F.count(F.lit(1)).cast("bigint").alias("value")).select(
+        F.lit(name).alias("check_name"), "value")
+    band = F.col("risk_class_key") == S.risk_class_key("measurement_value")
+    versions = d2.select("source_location_id", "valid_from", "is_current")
+    f1v = f1.join(d1.filter("is_current").select(F.xxhash64("source_location_id", "valid_from").alias("location_key"),
+                                                 F.col("valid_from").alias("loc_valid_from")), "location_key")
+    return QL.union_all([
+        n("V1_dim_date_rows", dims.dim_date(spark)),
+        n("V1_dim_time_rows", dims.dim_time(spark)),
+        n("V1_dim_risk_class_rows", dims.dim_risk_class(spark)),
+        n("V2_fact_rows", f1),
+        n("V2_facts_missing_dimension",
+          f1.join(F.broadcast(dd), "date_key", "left_anti").unionByName(
+              f1.filter(F.col("risk_class_key").isNull() | F.col("parameter_code").isNull()))),
+        n("V2_duplicate_facts", QL.duplicate_keys(f1, ["source_measurement_id"])),
+        n("V2_outside_band", f1.filter(~band)),
+        n("V3_sources_without_one_current",
+          d2.groupBy("source_location_id").agg(F.count_if("is_current").alias("k")).filter("k <> 1")),
+        n("V3_expired_not_closed", d2.filter(~F.col("is_current") & F.col("valid_to").isNull())),
+        n("V3_expired_versions", d2.filter(~F.col("is_current"))),
+        n("V3_facts_on_expired_version",
+          f1v.join(versions.withColumnRenamed("valid_from", "loc_valid_from"),
+                   ["source_location_id", "loc_valid_from"]).filter(~F.col("is_current"))),
+    ])
+
+
+@register("rowcount_audit", ALERTS + FIRST_LOAD + """
+SELECT 'parameter' AS table_name, (SELECT count(*) FROM parameter) AS row_count
+UNION ALL SELECT 'location', (SELECT count(*) FROM location)
+UNION ALL SELECT 'sensor', (SELECT count(*) FROM sensor)
+UNION ALL SELECT 'measurement_raw', (SELECT count(*) FROM m)
+UNION ALL SELECT 'threshold_rule', (SELECT count(*) FROM threshold_rule)
+UNION ALL SELECT 'pollution_alert', (SELECT count(*) FROM alerts)
+UNION ALL SELECT 'fact_air_quality_measurement', (SELECT count(*) FROM fact_m)
+""")
+def _rowcount_audit(spark, sf):
+    """UNION ALL of table row counts."""
+    c = core(spark, sf)
+    return QL.rowcount_audit({"parameter": c.parameter, "location": c.location, "sensor": c.sensor,
+                              "measurement_raw": c.measurement, "threshold_rule": c.threshold_rule,
+                              "pollution_alert": A.alerts(c), "fact_air_quality_measurement": first_load_fact(c)})
