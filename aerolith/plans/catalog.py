@@ -1019,3 +1019,218 @@ def _rowcount_audit(spark, sf):
     return QL.rowcount_audit({"parameter": c.parameter, "location": c.location, "sensor": c.sensor,
                               "measurement_raw": c.measurement, "threshold_rule": c.threshold_rule,
                               "pollution_alert": A.alerts(c), "fact_air_quality_measurement": first_load_fact(c)})
+
+
+# --- bronze: landing, parsing, scope, first writer, upserts -----------------
+
+from aerolith.sources import bronze as B  # noqa: E402
+
+
+def _measurement_pages(c):
+    return B.land_once(c.spark, B.measurement_pages(c.raw("events"), c.parameter), f"m-{id(c)}")
+
+
+def _parsed_measurements(c):
+    return B.parse_measurements(B.unnest(_measurement_pages(c), B.MEASUREMENT_JSON))
+
+
+@register("bronze_measurements", """
+SELECT e.user_id * 1000 + p.parameter_id AS sensor_id, e.ts AS measured_at,
+       CASE WHEN e.event_id % 50 <> 7 THEN CAST(CAST(e.value AS DECIMAL(12,4)) AS DOUBLE) END AS value,
+       'ug/m3' AS unit,
+       CASE WHEN e.event_id % 50 = 7 THEN 'measurement skipped: missing time or value' END AS error
+FROM events e JOIN parameter p ON p.code = e.event_type
+""")
+def _bronze_measurements(spark, sf):
+    """S1 + S2 + S6 + F1 + F4: landed JSON pages -> parsed readings with error tags."""
+    p = _parsed_measurements(core(spark, sf))
+    return p.select("sensor_id", "measured_at", F.col("value").cast("double").alias("value"), "unit", "error")
+
+
+@register("unit_normalize", """
+SELECT CASE WHEN event_id % 3 = 0 THEN 'µg/m³' ELSE 'ug/m3' END AS raw_unit, 'ug/m3' AS unit,
+       count(*) AS records
+FROM events GROUP BY 1
+""")
+def _unit_normalize(spark, sf):
+    """raw units in the pages and their normalised form."""
+    pages = _measurement_pages(core(spark, sf))
+    rec = B.unnest(pages, B.MEASUREMENT_JSON)
+    return rec.groupBy(F.col("rec")["unit"].alias("raw_unit")).agg(F.count(F.lit(1)).alias("records")) \
+        .select("raw_unit", S.normalize_unit("raw_unit").alias("unit"), "records")
+
+
+@register("json_props_parse", """
+SELECT measurement_id, sensor_id, CAST(json_extract(raw_payload, '$.k') AS BIGINT) AS k FROM m
+""")
+def _json_props_parse(spark, sf):
+    """JSONB payload column parsed with a declared schema (from_json)."""
+    m = core(spark, sf).measurement
+    return m.select("measurement_id", "sensor_id",
+                    F.from_json("raw_payload", "k BIGINT")["k"].alias("k"))
+
+
+def _location_records(c):
+    pages = B.land_once(c.spark, B.location_pages(c.location, c.sensor, c.parameter), f"l-{id(c)}")
+    return pages
+
+
+@register("location_scope", """
+, parsed AS (
+  SELECT location_id,
+         CASE WHEN location_id % 11 = 5 THEN 'Location ' || CAST(location_id AS VARCHAR) ELSE name END AS name,
+         city, country,
+         CASE WHEN location_id % 11 = 5 THEN '' ELSE name END AS raw_name
+  FROM location)
+SELECT location_id, name, city, country FROM parsed
+WHERE lower(concat_ws(' ', city, name)) LIKE '%nation_1%'
+   OR lower(concat_ws(' ', city, name)) LIKE '%nation_22%'
+""")
+def _location_scope(spark, sf):
+    """S3 + F2/F3 + S7: parsed location pages in the city scope (substring match)."""
+    pages = _location_records(core(spark, sf))
+    locs = B.parse_locations(B.unnest(pages.filter(F.col("endpoint") == "/v3/locations"), B.LOCATION_JSON))
+    return B.in_scope(locs, cities=["Nation_1", "NATION_22"]).select("location_id", "name", "city", "country")
+
+
+@register("sensors_from_pages", """
+SELECT s.sensor_id, s.location_id, p.code AS parameter_code, p.display_name AS parameter_name, s.unit
+FROM sensor s JOIN parameter p ON p.parameter_id = s.parameter_id
+""")
+def _sensors_from_pages(spark, sf):
+    """S4 + S5: embedded sensors, sensor pages only for locations without them."""
+    pages = _location_records(core(spark, sf))
+    locs = B.parse_locations(B.unnest(pages.filter(F.col("endpoint") == "/v3/locations"), B.LOCATION_JSON))
+    fallback = pages.filter(F.col("endpoint") == "/v3/locations/{id}/sensors")
+    return B.sensors_of(locs, fallback)
+
+
+@register("dedupe_first_writer", """
+SELECT e.user_id * 1000 + p.parameter_id AS sensor_id, e.ts AS measured_at,
+       CAST(CAST(e.value AS DECIMAL(12,4)) AS DOUBLE) AS value
+FROM events e JOIN parameter p ON p.code = e.event_type
+WHERE e.event_id % 50 <> 7
+""")
+def _dedupe_first_writer(spark, sf):
+    """Original pages plus an overlap replay (last 12 h re-sent with
+    corrected values, later run): first writer wins per (sensor, time)."""
+    c = core(spark, sf)
+    ev = c.raw("events")
+    hw = ev.agg(F.max("ts")).scalar()
+    replay = ev.filter(F.col("ts") > F.timestamp_add("HOUR", F.lit(-12), hw)).select(
+        (F.col("event_id") + 10_000_000).alias("event_id"), "ts", "user_id", "event_type",
+        (F.col("value") + 1).alias("value"), "props")
+    rp = B.measurement_pages(replay, c.parameter).withColumn("run_id", F.lit(99999999))
+    pages = _measurement_pages(c).unionByName(rp)
+    parsed = B.parse_measurements(B.unnest(pages, B.MEASUREMENT_JSON)).filter(F.col("error").isNull())
+    kept = B.insert_if_absent(parsed.select("sensor_id", "measured_at", "value", "run_id", "page_no", "position"),
+                              None)
+    return kept.select("sensor_id", "measured_at", F.col("value").cast("double").alias("value"))
+
+
+@register("bronze_run_counts", """
+SELECT CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS run_id,
+       count(*) FILTER (WHERE event_id % 50 <> 7) AS records_inserted,
+       count(*) FILTER (WHERE event_id % 50 = 7) AS records_failed,
+       CASE WHEN count(*) FILTER (WHERE event_id % 50 = 7) > 0 THEN 'partial' ELSE 'succeeded' END AS status,
+       CASE WHEN count(*) FILTER (WHERE event_id % 50 = 7) > 0
+            THEN 'measurement skipped: missing time or value' END AS error_message
+FROM events GROUP BY 1
+""")
+def _bronze_run_counts(spark, sf):
+    """Per run, rows kept and failed, status, capped error text."""
+    c = core(spark, sf)
+    parsed = _parsed_measurements(c)
+    good = parsed.filter(F.col("error").isNull())
+    kept = B.insert_if_absent(good.select("sensor_id", "measured_at", "value", "run_id", "page_no", "position"),
+                              None)
+    return B.run_counts(parsed, kept)
+
+
+@register("upsert_location", """
+, cur AS (SELECT * FROM location WHERE location_id % 20 <> 2)
+SELECT l.location_id,
+       CASE WHEN l.location_id % 11 = 5 THEN 'Location ' || CAST(l.location_id AS VARCHAR) ELSE l.name END AS name,
+       l.city, l.country, CAST(l.latitude AS DOUBLE) AS latitude, CAST(l.longitude AS DOUBLE) AS longitude,
+       COALESCE(c.first_seen_at, TIMESTAMP '2024-02-01 00:00:00') AS first_seen_at,
+       TIMESTAMP '2024-02-01 00:00:00' AS last_seen_at, true AS is_active
+FROM location l LEFT JOIN cur c ON c.location_id = l.location_id
+""")
+def _upsert_location(spark, sf):
+    """Location upsert from parsed pages: listed columns updated,
+    first_seen_at kept, last_seen_at = now, is_active = true."""
+    c = core(spark, sf)
+    pages = _location_records(c)
+    locs = B.parse_locations(B.unnest(pages.filter(F.col("endpoint") == "/v3/locations"), B.LOCATION_JSON))
+    now = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    new = locs.select("location_id", "name", "city", "country", "latitude", "longitude",
+                      now.alias("first_seen_at"), now.alias("last_seen_at"), F.lit(True).alias("is_active"))
+    cur = c.location.filter((F.col("location_id") % 20) != 2).select(
+        "location_id", "name", "city", "country", "latitude", "longitude", "first_seen_at", "last_seen_at",
+        "is_active")
+    up = dims.upsert_by_key(new, cur, ["location_id"],
+                            update=["name", "city", "country", "latitude", "longitude", "last_seen_at", "is_active"])
+    return up.select("location_id", "name", "city", "country", F.col("latitude").cast("double").alias("latitude"),
+                     F.col("longitude").cast("double").alias("longitude"), "first_seen_at", "last_seen_at",
+                     "is_active")
+
+
+@register("threshold_upsert", """
+, cmd AS (
+  SELECT t.parameter_id, t.city, t.warning_level, CAST(t.min_value + 5 AS DECIMAL(12,4)) AS min_value,
+         true AS is_active
+  FROM threshold_rule t WHERE t.warning_level = 'critical' AND NOT t.is_active
+  UNION ALL
+  SELECT DISTINCT s.parameter_id, l.country, 'high', CAST(30 AS DECIMAL(12,4)), true
+  FROM sensor s JOIN location l ON l.location_id = s.location_id)
+SELECT COALESCE(c.parameter_id, t.parameter_id) AS parameter_id, COALESCE(c.city, t.city) AS city,
+       COALESCE(c.warning_level, t.warning_level) AS warning_level, t.threshold_rule_id,
+       CAST(COALESCE(c.min_value, t.min_value) AS DOUBLE) AS min_value,
+       COALESCE(c.is_active, t.is_active) AS is_active,
+       CASE WHEN c.parameter_id IS NOT NULL THEN TIMESTAMP '2024-02-01 00:00:00' ELSE t.updated_at END AS updated_at
+FROM cmd c FULL OUTER JOIN threshold_rule t
+  ON t.parameter_id = c.parameter_id AND t.city = c.city AND t.warning_level = c.warning_level
+""")
+def _threshold_upsert(spark, sf):
+    """Re-enable inactive critical rules (+5), add 'high' rules per country;
+    commands naming an unknown parameter or invalid level are ignored."""
+    c = core(spark, sf)
+    p = c.parameter.select("parameter_id", F.col("code").alias("parameter_code"))
+    inactive = c.threshold_rule.filter((F.col("warning_level") == "critical") & ~F.col("is_active")).join(
+        p, "parameter_id").select("parameter_code", "city", "warning_level",
+                                  (F.col("min_value") + 5).alias("min_value"), F.lit(True).alias("is_active"))
+    per_country = c.sensor.join(c.location.select("location_id", "country"), "location_id").join(
+        p, "parameter_id").select("parameter_code", F.col("country").alias("city")).distinct().select(
+        "parameter_code", "city", F.lit("high").alias("warning_level"), F.lit(30).alias("min_value"),
+        F.lit(True).alias("is_active"))
+    unknown = per_country.select(F.lit("no_such_parameter").alias("parameter_code"), "city", "warning_level",
+                                 "min_value", "is_active")
+    bad_level = per_country.select("parameter_code", "city", F.lit("impossible").alias("warning_level"),
+                                   "min_value", "is_active")
+    cmds = inactive.unionByName(per_country).unionByName(unknown).unionByName(bad_level)
+    out = A.threshold_upsert(c.threshold_rule, c.parameter, cmds, "2024-02-01 00:00:00")
+    return out.select("parameter_id", "city", "warning_level", "threshold_rule_id",
+                      F.col("min_value").cast("double").alias("min_value"), "is_active", "updated_at")
+
+
+@register("default_rules", """
+, scope AS (SELECT DISTINCT l.country AS city, s.parameter_id
+            FROM sensor s JOIN location l ON l.location_id = s.location_id
+            UNION SELECT DISTINCT l.city, s.parameter_id
+            FROM sensor s JOIN location l ON l.location_id = s.location_id)
+, lv AS (SELECT * FROM (VALUES ('low', 0), ('moderate', 10), ('high', 25), ('critical', 50)) v(warning_level, base))
+SELECT sc.city, sc.parameter_id, lv.warning_level, CAST(lv.base AS DOUBLE) AS min_value, true AS is_active
+FROM scope sc, lv
+WHERE NOT EXISTS (SELECT 1 FROM threshold_rule t WHERE t.parameter_id = sc.parameter_id AND t.city = sc.city
+                    AND t.warning_level = lv.warning_level)
+""")
+def _default_rules(spark, sf):
+    """Default rules for every in-scope (city, parameter) not yet covered
+    (cities and countries of sensor locations; existing city rules untouched)."""
+    c = core(spark, sf)
+    sl = c.sensor.join(c.location.select("location_id", "city", "country"), "location_id")
+    scope = sl.select(F.col("country").alias("city"), "parameter_id").unionByName(
+        sl.select("city", "parameter_id")).distinct()
+    out = A.default_rules(scope, c.threshold_rule)
+    return out.select("city", "parameter_id", "warning_level", F.col("min_value").cast("double").alias("min_value"),
+                      "is_active")
