@@ -1234,3 +1234,63 @@ def _default_rules(spark, sf):
     out = A.default_rules(scope, c.threshold_rule)
     return out.select("city", "parameter_id", "warning_level", F.col("min_value").cast("double").alias("min_value"),
                       "is_active")
+
+
+# --- streaming ---------------------------------------------------------------
+
+from aerolith.streaming import jobs as ST  # noqa: E402
+
+
+def _landing_path(c):
+    _measurement_pages(c)
+    return B.landing_dir(c.spark, f"m-{id(c)}")
+
+
+@register("stream_hourly", """
+, hw AS (SELECT max(measured_at) - INTERVAL 12 HOUR AS wm FROM readings)
+SELECT date_trunc('hour', measured_at) AS measured_hour, city, parameter_code, unit,
+       avg(CAST(value AS DOUBLE)) AS average_value, count(*) AS measurement_count
+FROM readings
+WHERE measurement_id % 50 <> 7
+GROUP BY 1, 2, 3, 4
+HAVING date_trunc('hour', measured_at) + INTERVAL 1 HOUR <= (SELECT wm FROM hw)
+""")
+def _stream_hourly(spark, sf):
+    """T8 + T2: streaming hourly windows, 12 h watermark, append mode (closed windows)."""
+    c = core(spark, sf)
+    return ST.hourly_stream(spark, c, _landing_path(c))
+
+
+@register("stream_alerts", ALERTS + """
+SELECT r.sensor_id, a.measurement_measured_at, a.threshold_rule_id, a.alert_level, a.status
+FROM alerts a JOIN readings r ON r.measurement_id = a.measurement_id
+WHERE a.measurement_id % 50 <> 7
+""")
+def _stream_alerts(spark, sf):
+    """T4: alert generation as a stream-static join over the landed pages."""
+    c = core(spark, sf)
+    return ST.alert_stream(spark, c, _landing_path(c))
+
+
+@register("stream_dedupe", """
+SELECT e.user_id * 1000 + p.parameter_id AS sensor_id, e.ts AS measured_at,
+       CAST(CAST(e.value AS DECIMAL(12,4)) AS DOUBLE) AS value
+FROM events e JOIN parameter p ON p.code = e.event_type
+WHERE e.event_id % 50 <> 7
+""")
+def _stream_dedupe(spark, sf):
+    """Original pages, then a 12 h overlap replay with corrected values,
+    through the same checkpointed stream: first writer wins."""
+    c = core(spark, sf)
+    d = ST.new_stream_dirs(spark, "dedupe")
+    ev = c.raw("events")
+    B.measurement_pages(ev, c.parameter).write.mode("append").partitionBy("run_id").json(d["landing"])
+    ST.first_writer_stream(spark, d["landing"], d["table"], d["checkpoint"])
+    hw = ev.agg(F.max("ts")).scalar()
+    replay = ev.filter(F.col("ts") > F.timestamp_add("HOUR", F.lit(-12), hw)).select(
+        (F.col("event_id") + 10_000_000).alias("event_id"), "ts", "user_id", "event_type",
+        (F.col("value") + 1).alias("value"), "props")
+    B.measurement_pages(replay, c.parameter).withColumn("run_id", F.lit(99999999)) \
+        .write.mode("append").partitionBy("run_id").json(d["landing"])
+    t = ST.first_writer_stream(spark, d["landing"], d["table"], d["checkpoint"])
+    return t.select("sensor_id", "measured_at", F.col("value").cast("double").alias("value"))

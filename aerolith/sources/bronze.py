@@ -9,8 +9,6 @@ path runs at the size of the data.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -293,10 +291,10 @@ def landing_dir(spark, name: str) -> str:
 
 def land_once(spark, pages: DataFrame, name: str) -> DataFrame:
     """Land derived pages once per session folder, then read them back from files."""
+    from aerolith.sources import store
     path = landing_dir(spark, name)
-    marker = os.path.join(path, "_LANDED")
-    if not os.path.exists(marker):
+    marker = path + "._landed"
+    if store.read_marker(spark, marker) is None:
         pages.write.mode("overwrite").partitionBy("run_id").json(path)
-        with open(marker, "w") as fh:
-            fh.write("ok")
+        store.write_marker(spark, marker, path)
     return read_landed(spark, path)

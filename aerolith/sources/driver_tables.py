@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -155,15 +156,8 @@ class Core:
         return read(self.spark, self.sf_dir, name)
 
     def _store_dir(self) -> str:
-        sig = []
-        for t in ("events", "customer", "nation", "region"):
-            p = os.path.join(self.sf_dir, f"{t}.parquet")
-            try:
-                st = os.stat(p)
-                sig.append(f"{p}:{st.st_size}:{int(st.st_mtime)}")
-            except OSError:
-                sig.append(p)
-        h = hashlib.sha1("|".join(sig).encode()).hexdigest()[:16]
+        # keyed by the input folder; a new input folder gets a new core store
+        h = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:16]
         return scratch_path(self.spark, "core", h)
 
     def _lazy(self) -> dict[str, DataFrame]:
@@ -177,11 +171,13 @@ class Core:
                     measurement=measurement, threshold_rule=rule)
 
     def _materialize(self) -> None:
+        from aerolith.sources import store
         root = self._store_dir()
-        done = os.path.join(root, "_PUBLISHED")
+        done = os.path.join(root, "_published")
         with _LOCK:
-            if not os.path.exists(done):
-                run = os.path.join(root, f"run-{os.getpid()}-{threading.get_ident()}")
+            run = store.read_marker(self.spark, done)
+            if run is None:
+                run = os.path.join(root, f"run-{uuid.uuid4().hex[:12]}")
                 ev = self.raw("events").select("event_id", "ts", "user_id", "event_type", "value", "props")
                 parameter = build_parameter(ev)
                 parameter.coalesce(1).write.mode("overwrite").parquet(os.path.join(run, "parameter"))
@@ -201,11 +197,7 @@ class Core:
                 build_threshold_rule(sensor, location).write.mode("overwrite") \
                     .parquet(os.path.join(run, "threshold_rule"))
                 # publish last: the marker names the finished run folder
-                with open(done + ".tmp", "w") as fh:
-                    fh.write(run)
-                os.replace(done + ".tmp", done)
-        with open(done) as fh:
-            run = fh.read().strip()
+                store.write_marker(self.spark, done, run)
         for t in self.TABLES:
             self._frames[t] = self.spark.read.parquet(os.path.join(run, t))
 
