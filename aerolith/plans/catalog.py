@@ -1294,3 +1294,58 @@ def _stream_dedupe(spark, sf):
         .write.mode("append").partitionBy("run_id").json(d["landing"])
     t = ST.first_writer_stream(spark, d["landing"], d["table"], d["checkpoint"])
     return t.select("sensor_id", "measured_at", F.col("value").cast("double").alias("value"))
+
+
+# --- grid interpolation and forecasts ----------------------------------------
+
+from aerolith.operators import forecast as FC  # noqa: E402
+
+
+def _hourly_means(c):
+    return R.hourly_mean(reads.hourly_series(c, limit=None)).select(
+        "city", "parameter_code", "measured_hour", F.col("average_value").alias("hourly_mean"))
+
+
+@register("grid_interpolate", HOURLY_FULL + """
+, hm AS (SELECT measured_hour, city, parameter_code, avg(average_value) AS hourly_mean FROM hourly GROUP BY ALL)
+, b AS (SELECT city, parameter_code, min(measured_hour) AS lo, max(measured_hour) AS hi FROM hm GROUP BY ALL)
+, grid AS (SELECT city, parameter_code, UNNEST(generate_series(lo, hi, INTERVAL 1 HOUR)) AS measured_hour FROM b)
+, g AS (SELECT grid.city, grid.parameter_code, grid.measured_hour, hm.hourly_mean AS v,
+               epoch(grid.measured_hour) AS secs
+        FROM grid LEFT JOIN hm ON hm.city = grid.city AND hm.parameter_code = grid.parameter_code
+                              AND hm.measured_hour = grid.measured_hour)
+, w AS (SELECT *,
+          last_value(v IGNORE NULLS) OVER (PARTITION BY city, parameter_code ORDER BY measured_hour
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pv,
+          last_value(CASE WHEN v IS NOT NULL THEN secs END IGNORE NULLS)
+              OVER (PARTITION BY city, parameter_code ORDER BY measured_hour
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pt,
+          first_value(v IGNORE NULLS) OVER (PARTITION BY city, parameter_code ORDER BY measured_hour
+                                            ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nv,
+          first_value(CASE WHEN v IS NOT NULL THEN secs END IGNORE NULLS)
+              OVER (PARTITION BY city, parameter_code ORDER BY measured_hour
+                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nt
+        FROM g)
+SELECT city, parameter_code, measured_hour,
+       CASE WHEN v IS NOT NULL THEN v WHEN nt = pt THEN pv ELSE pv + (nv - pv) * (secs - pt) / (nt - pt) END
+           AS hourly_mean,
+       v IS NOT NULL AS is_observed
+FROM w
+""")
+def _grid_interpolate(spark, sf):
+    """Hourly grid per (city, parameter) with linear interpolation."""
+    h = _hourly_means(core(spark, sf))
+    return FC.regular_grid(h, ["city", "parameter_code"], "measured_hour", "hourly_mean", "1 hour")
+
+
+@register("forecast_hourly")
+def _forecast_hourly(spark, sf):
+    """M9: 72 h forecast per (city, parameter) from [1, t, sin/cos 24 h] least squares."""
+    return FC.hourly_forecast(_hourly_means(core(spark, sf)), ["city", "parameter_code"])
+
+
+@register("forecast_daily")
+def _forecast_daily(spark, sf):
+    """Daily curve per parameter over history + 14 days, yearly seasonality."""
+    d = R.daily_mean(reads.hourly_series(core(spark, sf), limit=None))
+    return FC.daily_forecast(d, ["parameter_code"])
