@@ -767,6 +767,8 @@ CREATED_AT = "2024-02-01 00:00:00"
 SELECT source_location_id, source_sensor_id, parameter_code, target_measured_at,
        CAST(CAST(CAST({SCORE_SQL} AS VARCHAR) AS DECIMAL(12,4)) AS DOUBLE) AS predicted_value,
        'fixed_linear' AS model_name, '0.1.0' AS model_version, {RISK_OF(SCORE_SQL)} AS risk_class_key,
+       CAST(strftime(target_measured_at, '%Y%m%d') AS INTEGER) AS date_key,
+       CAST(hour(target_measured_at) * 100 + minute(target_measured_at) AS INTEGER) AS time_key,
        TIMESTAMP '{CREATED_AT}' AS prediction_created_at
 FROM inputs
 """)
@@ -1349,3 +1351,40 @@ def _forecast_daily(spark, sf):
     """Daily curve per parameter over history + 14 days, yearly seasonality."""
     d = R.daily_mean(reads.hourly_series(core(spark, sf), limit=None))
     return FC.daily_forecast(d, ["parameter_code"])
+
+
+# --- Spark ML train / select / save / load / score ----------------------------
+
+from aerolith.operators import ml as ML  # noqa: E402
+from aerolith.session import scratch_path  # noqa: E402
+
+
+_TRAINED: dict = {}
+
+
+def _train(c):
+    """One fit per core (both ML queries share it)."""
+    if id(c) not in _TRAINED:
+        split = FT.chronological_split(_features(c))
+        _TRAINED[id(c)] = ML.evaluate(split)
+    return _TRAINED[id(c)]
+
+
+@register("ml_model_metrics")
+def _ml_model_metrics(spark, sf):
+    """M3-M6: both candidates' MAE/RMSE/R2 on the chronological test split, chosen flag."""
+    _model, metrics = _train(core(spark, sf))
+    return metrics
+
+
+@register("ml_train_predict")
+def _ml_train_predict(spark, sf):
+    """M3-M8 + S16 + E9: train, pick, save, reload, score the latest inputs, build prediction rows."""
+    c = core(spark, sf)
+    model, metrics = _train(c)
+    path = scratch_path(spark, "models", f"m-{id(c)}")
+    ML.save(model, metrics, path, FT.MODEL_VERSION, CREATED_AT)
+    loaded, bundle = ML.load(spark, path)
+    scored = ML.score(loaded, _inputs(c))
+    rows = FT.prediction_rows(scored, F.col("prediction"), bundle["model_name"], CREATED_AT)
+    return FT.load_prediction_facts(rows)
