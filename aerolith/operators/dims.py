@@ -95,3 +95,17 @@ def dim_parameter_upsert(parameter: DataFrame, current_dim: DataFrame) -> DataFr
     """SCD1 upsert by code; the key of an existing code is kept."""
     return upsert_by_key(dim_parameter(parameter), current_dim, ["code"],
                          update=["source_parameter_id", "display_name", "preferred_unit"])
+
+
+def backfill_from_parent(child: DataFrame, parent: DataFrame, child_key: list[str], parent_key: list[str],
+                         column: str, parent_column: str) -> DataFrame:
+    """Fill ``column`` of child rows where it is NULL from the parent row
+    with the same key (UPDATE ... FROM). Only the rows that need the value
+    take part in the join; the rest pass through untouched."""
+    need = child.filter(F.col(column).isNull())
+    done = child.filter(F.col(column).isNotNull())
+    p = parent.select(*[F.col(a).alias(b) for a, b in zip(parent_key, child_key)],
+                      F.col(parent_column).alias("__fill"))
+    filled = need.join(p, child_key, "left").withColumn(column, F.coalesce(F.col(column), F.col("__fill"))) \
+        .drop("__fill").select(*child.columns)
+    return done.unionByName(filled)

@@ -1388,3 +1388,117 @@ def _ml_train_predict(spark, sf):
     scored = ML.score(loaded, _inputs(c))
     rows = FT.prediction_rows(scored, F.col("prediction"), bundle["model_name"], CREATED_AT)
     return FT.load_prediction_facts(rows)
+
+
+# --- whole load, seeds, rewrite, back-fill, dashboard filter, caps --------------
+
+from aerolith.plans import pipeline as PL  # noqa: E402
+from aerolith.sources import seeds as SD  # noqa: E402
+import uuid  # noqa: E402
+
+
+@register("etl_load_counts", ALERTS + FIRST_LOAD + """
+SELECT (SELECT count(*) FROM parameter) AS parameters,
+       (SELECT count(*) FROM location WHERE is_active) AS locations,
+       (SELECT count(*) FROM sensor WHERE is_active) AS sensors,
+       (SELECT count(*) FROM fact_m) AS readings,
+       (SELECT count(*) FROM alerts a JOIN m ON m.measurement_id = a.measurement_id
+          JOIN sensor s ON s.sensor_id = m.sensor_id
+          JOIN location l ON l.location_id = s.location_id AND l.is_active) AS alerts
+""")
+def _etl_load_counts(spark, sf):
+    """First whole load into an empty warehouse; the five counts."""
+    c = core(spark, sf)
+    root = scratch_path(spark, "warehouse", uuid.uuid4().hex[:12])
+    n = PL.run_etl(spark, c, root, A.alerts(c), SC.AS_OF_1)
+    return spark.createDataFrame([tuple(int(n[k]) for k in ("parameters", "locations", "sensors", "readings",
+                                                           "alerts"))],
+                                 "parameters long, locations long, sensors long, readings long, alerts long")
+
+
+@register("seed_parameters", """
+, seeds AS (SELECT * FROM (VALUES
+    (2, 'pm25', 'PM2.5', 'Fine particulate matter with diameter smaller than 2.5 micrometers', 'ug/m3'),
+    (1, 'pm10', 'PM10', 'Particulate matter with diameter smaller than 10 micrometers', 'ug/m3'),
+    (7, 'no2', 'NO2', 'Nitrogen dioxide', 'ug/m3'),
+    (3, 'o3', 'O3', 'Ozone', 'ug/m3')) v(openaq_parameter_id, code, display_name, description, preferred_unit))
+SELECT code, parameter_id, openaq_parameter_id, display_name, description, preferred_unit FROM parameter
+WHERE code NOT IN (SELECT code FROM seeds)
+UNION ALL
+SELECT s.code, COALESCE(p.parameter_id, 100 + s.openaq_parameter_id), s.openaq_parameter_id, s.display_name,
+       s.description, s.preferred_unit
+FROM seeds s LEFT JOIN parameter p ON p.code = s.code
+""")
+def _seed_parameters(spark, sf):
+    """Seeded parameters applied over the stored ones (overwrite by code)."""
+    out = SD.seed_parameters(spark, core(spark, sf).parameter)
+    return out.select("code", "parameter_id", "openaq_parameter_id", "display_name", "description",
+                      "preferred_unit")
+
+
+@register("partition_rewrite", """
+SELECT measured_month, count(*) AS readings, min(measurement_id) AS min_id, max(measurement_id) AS max_id,
+       sum(measurement_id) AS id_sum
+FROM m GROUP BY 1
+""")
+def _partition_rewrite(spark, sf):
+    """An unpartitioned copy of the readings rewritten as month partitions, ids kept."""
+    c = core(spark, sf)
+    base = scratch_path(spark, "rewrite", uuid.uuid4().hex[:12])
+    c.measurement.drop("measured_month").write.mode("overwrite").parquet(base + "/flat")
+    t = PL.rewrite_partitioned(spark, base + "/flat", base + "/by_month")
+    return t.groupBy("measured_month").agg(F.count(F.lit(1)).alias("readings"),
+                                           F.min("measurement_id").alias("min_id"),
+                                           F.max("measurement_id").alias("max_id"),
+                                           F.sum("measurement_id").alias("id_sum"))
+
+
+@register("alert_time_backfill", ALERTS + """
+SELECT pollution_alert_id, measurement_measured_at FROM alerts
+""")
+def _alert_time_backfill(spark, sf):
+    """Alert rows missing their reading time get it from the reading by id."""
+    c = core(spark, sf)
+    a = A.alerts(c)
+    blank = a.withColumn("measurement_measured_at",
+                         F.when(F.col("pollution_alert_id") % 2 == 0, F.col("measurement_measured_at")))
+    out = dims.backfill_from_parent(blank, c.measurement, ["measurement_id"], ["measurement_id"],
+                                    "measurement_measured_at", "measured_at")
+    return out.select("pollution_alert_id", "measurement_measured_at")
+
+
+@register("dashboard_view", """
+SELECT measured_at, city, location_name, parameter_code, CAST(value AS DOUBLE) AS value
+FROM readings
+WHERE parameter_code = 'purchase'
+  AND measured_at >= TIMESTAMP '2024-01-03 00:00:00' AND measured_at < TIMESTAMP '2024-01-11 00:00:00'
+""")
+def _dashboard_view(spark, sf):
+    """Dashboard filter: city 'All', one parameter, day range [start, end + 1 day)."""
+    r = reads.readings(core(spark, sf))
+    r = R_all(r)
+    return r.select("measured_at", "city", "location_name", "parameter_code",
+                    F.col("value").cast("double").alias("value"))
+
+
+def R_all(r):
+    from aerolith.operators.filters import all_option, day_range
+    r = all_option(r, "city", "All")
+    r = all_option(r, "parameter_code", "purchase")
+    return day_range(r, "measured_at", "2024-01-03", "2024-01-10")
+
+
+@register("location_scope_capped", """
+SELECT location_id, name, city FROM (
+  SELECT location_id, CASE WHEN location_id % 11 = 5 THEN 'Location ' || CAST(location_id AS VARCHAR)
+                           ELSE name END AS name, city
+  FROM location)
+WHERE lower(concat_ws(' ', city, name)) LIKE '%nation_2%'
+ORDER BY location_id LIMIT 50
+""")
+def _location_scope_capped(spark, sf):
+    """S7 + S8: in-scope locations from the pages, capped to the first 50 in page order."""
+    pages = _location_records(core(spark, sf))
+    locs = B.parse_locations(B.unnest(pages.filter(F.col("endpoint") == "/v3/locations"), B.LOCATION_JSON))
+    return B.first_n(B.in_scope(locs, cities=["nation_2"]), ["location_id"], 50).select("location_id", "name",
+                                                                                        "city")
