@@ -149,8 +149,8 @@ def gaps(readings: DataFrame, key: str = "sensor_id", ts: str = "measured_at",
 
 def previous_time(df: DataFrame, key: str, ts: str, chunk=None) -> DataFrame:
     """Previous ``ts`` of the same ``key`` for every row, computed in bounded chunks."""
-    chunk = F.to_date(F.col(ts)) if chunk is None else chunk
-    b = df.withColumn("__chunk", chunk)
+    from aerolith.operators.windows import with_chunks
+    b = with_chunks(df, [key], ts, chunk)
     w_in = Window.partitionBy(key, "__chunk").orderBy(ts)
     b = b.withColumn("__prev_in", F.lag(ts).over(w_in))
     summ = b.groupBy(key, "__chunk").agg(F.max(ts).alias("__chunk_max"))
@@ -158,15 +158,38 @@ def previous_time(df: DataFrame, key: str, ts: str, chunk=None) -> DataFrame:
                            F.lag("__chunk_max").over(Window.partitionBy(key).orderBy("__chunk")))
     j = b.join(summ.select(key, "__chunk", "__prev_chunk_max"), [key, "__chunk"])
     return j.withColumn("previous_at", F.coalesce("__prev_in", "__prev_chunk_max")) \
-        .drop("__chunk", "__prev_in", "__prev_chunk_max")
+        .drop("__prev_in", "__prev_chunk_max")
 
 
 def gap_sessions(readings: DataFrame, key: str = "sensor_id", ts: str = "measured_at",
-                 gap: str = "6 hours") -> DataFrame:
-    """Gap-bounded sessions per series (the dual of W8): readings closer
-    than the gap share a session. Built-in session_window (merge is by
-    aggregation, a session is one group)."""
-    t = readings.withColumn("__t", F.col(ts).cast("timestamp"))
-    s = t.groupBy(key, F.session_window("__t", gap).alias("sw")).agg(
-        F.count(F.lit(1)).alias("readings"), F.min(ts).alias("first_at"), F.max(ts).alias("last_at"))
-    return s.select(key, "first_at", "last_at", "readings")
+                 gap_hours: float = 6.0, chunk=None) -> DataFrame:
+    """Gap-bounded sessions per series (the dual of W8): a reading more
+    than ``gap_hours`` after the previous one starts a new session.
+
+    Skew-safe: each row's session start is the running maximum of start
+    times, taken inside bounded chunks and carried across chunks by a prefix
+    maximum over the chunk summaries; the final grouping is by session, not
+    by series, and aggregates partially before the shuffle."""
+    p = previous_time(readings.select(key, ts), key, ts, chunk)
+    gap = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("previous_at").cast("timestamp"))) \
+        / F.lit(3_600_000_000.0)
+    start = F.when(F.col("previous_at").isNull() | (gap > F.lit(gap_hours)), F.col(ts))
+    b = p.withColumn("__start", start)
+    run_in = F.max("__start").over(Window.partitionBy(key, "__chunk").orderBy(ts)
+                                   .rowsBetween(Window.unboundedPreceding, 0))
+    b = b.withColumn("__run", run_in)
+    summ = b.groupBy(key, "__chunk").agg(F.max("__start").alias("__last_start"))
+    summ = summ.withColumn("__carry", F.max("__last_start").over(
+        Window.partitionBy(key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)))
+    j = b.join(summ.select(key, "__chunk", "__carry"), [key, "__chunk"])
+    s = j.withColumn("session_start", F.coalesce("__run", "__carry"))
+    return s.groupBy(key, "session_start").agg(F.count(F.lit(1)).alias("readings"),
+                                               F.min(ts).alias("first_at"), F.max(ts).alias("last_at")) \
+        .select(key, "first_at", "last_at", "readings")
+
+
+def gap_sessions_streaming(events: DataFrame, key: str, event_time: str, gap: str = "6 hours") -> DataFrame:
+    """T9 on a stream: built-in session windows (needs a watermark upstream)."""
+    return events.groupBy(key, F.session_window(event_time, gap).alias("session")).agg(
+        F.count(F.lit(1)).alias("readings"), F.min(event_time).alias("first_at"),
+        F.max(event_time).alias("last_at"))

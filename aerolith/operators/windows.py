@@ -2,7 +2,10 @@
 
 A plain ``Window.partitionBy(series)`` puts a whole series into one task; if
 one sensor holds a third of all readings, that task does a third of the job.
-Here a series is cut into chunks (by default: days). Window functions run per
+Here a series is cut into chunks of about ``TARGET_ROWS`` rows each (the
+chunk width in time is chosen per series from its row count and time span,
+so a hot series gets narrow chunks and a sparse one a single chunk; a
+calendar bucket can be passed instead). Window functions run per
 (series, chunk); the rows they need from neighbouring chunks (the last
 ``before`` rows of earlier chunks, the first ``after`` rows of later ones) are
 copied in as *halo* rows and dropped afterwards. Halo rows come from a
@@ -19,8 +22,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 
-def _ranked(df: DataFrame, key: list[str], chunk) -> DataFrame:
-    b = df.withColumn("__chunk", chunk)
+TARGET_ROWS = 1_000_000
+
+
+def with_chunks(df: DataFrame, key: list[str], ts: str, chunk=None, target_rows: int | None = None) -> DataFrame:
+    """Add ``__chunk``. Given a column, use it; otherwise size chunks by rows:
+    per series width = span / ceil(rows / target_rows), from one aggregate
+    (one row per series) joined back on the key."""
+    if chunk is not None:
+        return df.withColumn("__chunk", chunk)
+    target_rows = target_rows or TARGET_ROWS
+    secs = F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(1e6)
+    st = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__rows"), F.min(secs).alias("__t0"),
+                              F.max(secs).alias("__t1"))
+    st = st.select(*key, "__t0", (F.greatest(F.lit(1e-6), F.col("__t1") - F.col("__t0") + F.lit(1e-6))
+                                  / F.ceil(F.col("__rows") / F.lit(target_rows))).alias("__w"))
+    return df.join(st, key).withColumn("__chunk", F.floor((secs - F.col("__t0")) / F.col("__w"))) \
+        .drop("__t0", "__w")
+
+
+def _ranked(df: DataFrame, key: list[str], chunk, ts: str) -> DataFrame:
+    b = with_chunks(df, key, ts, chunk)
     summ = b.groupBy(*key, "__chunk").agg(F.count(F.lit(1)).alias("__n"))
     summ = summ.withColumn("__crank", F.row_number().over(Window.partitionBy(*key).orderBy("__chunk")))
     return b.join(summ.select(*key, "__chunk", "__crank"), [*key, "__chunk"])
@@ -33,8 +55,7 @@ def sequence_window(df: DataFrame, key: list[str], order: list[str], before: int
 
     ``order`` must be unique within a series (add a tie-break column).
     """
-    chunk = F.to_date(F.col(order[0])) if chunk is None else chunk
-    b = _ranked(df, key, chunk)
+    b = _ranked(df, key, chunk, order[0])
     cols = df.columns
     in_chunk = Window.partitionBy(*key, "__chunk")
     parts = [b.select(*cols, F.col("__crank").alias("__target"), F.lit(False).alias("__halo"))]
@@ -67,8 +88,7 @@ def top_k_per_key(df: DataFrame, key: list[str], order_desc: list[str], k: int,
     """The k last rows per series (by ``order_desc`` descending), in two
     bounded steps: top k inside each (series, chunk), then top k over those
     candidates (at most k per chunk). Adds ``rank_desc`` 1..k."""
-    chunk = F.to_date(F.col(order_desc[0])) if chunk is None else chunk
-    b = df.withColumn("__chunk", chunk)
+    b = with_chunks(df, key, order_desc[0], chunk)
     desc = [F.desc(c) for c in order_desc]
     b = b.withColumn("__r", F.row_number().over(Window.partitionBy(*key, "__chunk").orderBy(*desc)))
     b = b.filter(F.col("__r") <= k).drop("__r", "__chunk")

@@ -106,9 +106,15 @@ from aerolith.plans.oracle import ALERTS, FIRST_LOAD, LOC_HIST, SEN_HIST  # noqa
 
 
 def first_load_fact(c):
+    """E7 computed in the plan (used by the queries that test the load itself)."""
     return facts.load_measurement_facts(c, SC.dim_location_first_load(c), SC.dim_sensor_first_load(c))
 
 
+def published_fact(c):
+    """The reading fact as published by the session's warehouse load."""
+    return SC.published(c, "fact_measurement")
+
+
 FACT_COLS = ["source_measurement_id", "source_location_id", "source_sensor_id", "parameter_code", "date_key",
              "time_key", "risk_class_key", "measured_at", "measurement_value", "unit", "ingestion_run_id"]
 
@@ -128,7 +134,7 @@ GROUP BY ALL
 def _calendar_profile(spark, sf):
     """E1 dim_date joined to the reading fact (1096-row dim: broadcast is bounded)."""
     c = core(spark, sf)
-    f = first_load_fact(c)
+    f = published_fact(c)
     dd = dims.dim_date(spark)
     return f.join(F.broadcast(dd), "date_key").groupBy(
         "year", "quarter", "month", "weekday", "day_name", "is_weekend").agg(
@@ -150,7 +156,7 @@ GROUP BY ALL
 def _part_of_day_profile(spark, sf):
     """E2 dim_time joined to the reading fact."""
     c = core(spark, sf)
-    f = first_load_fact(c)
+    f = published_fact(c)
     dt_ = dims.dim_time(spark)
     return f.join(F.broadcast(dt_), "time_key").groupBy("part_of_day", "parameter_code").agg(
         F.count(F.lit(1)).alias("readings"), F.countDistinct("hour").alias("hours"),
@@ -168,7 +174,7 @@ GROUP BY rc.code, rc.label
 def _risk_share(spark, sf):
     """E3 dim_risk_class + A25: share of readings per risk class."""
     c = core(spark, sf)
-    f = first_load_fact(c)
+    f = published_fact(c)
     rc = dims.dim_risk_class(spark).select("risk_class_key", "code", "label")
     per = f.groupBy("risk_class_key").agg(F.count(F.lit(1)).alias("readings"))
     # the share's denominator is a window over the (at most four) class rows
@@ -665,7 +671,7 @@ FROM fact_m GROUP BY ROLLUP (year(measured_at), quarter(measured_at), month(meas
 """)
 def _date_rollup(spark, sf):
     """Date drill-down: ROLLUP(year, quarter, month, day) over the reading fact."""
-    f = first_load_fact(core(spark, sf))
+    f = published_fact(core(spark, sf))
     return f.rollup(F.year("measured_at").alias("year"), F.quarter("measured_at").alias("quarter"),
                     F.month("measured_at").alias("month"), F.dayofmonth("measured_at").alias("day")) \
         .agg(F.count(F.lit(1)).alias("readings"), F.avg("measurement_value").alias("mean_value"))
@@ -705,7 +711,7 @@ FEATURE_OUT = ["source_sensor_id", "source_location_id", "parameter_code", "meas
 
 
 def _features(c):
-    return FT.features(FT.star_rows(first_load_fact(c), c.spark))
+    return FT.features(FT.star_rows(published_fact(c), c.spark))
 
 
 @register("features", FEATS_SQL + "SELECT " + ", ".join(FEATURE_OUT) + " FROM feat")
@@ -745,7 +751,7 @@ INPUTS_SQL = FIRST_LOAD + """
 
 
 def _inputs(c):
-    return FT.prediction_inputs(FT.star_rows(first_load_fact(c), c.spark))
+    return FT.prediction_inputs(FT.star_rows(published_fact(c), c.spark))
 
 
 @register("prediction_inputs", INPUTS_SQL + "SELECT * FROM inputs")
@@ -810,7 +816,7 @@ FROM pva ORDER BY target_measured_at DESC, created_at DESC, source_sensor_id LIM
 def _predictions_vs_actual(spark, sf):
     """Newest 200 predictions with the matching actual and error."""
     c = core(spark, sf)
-    return FT.predictions_vs_actual(_backtest(c), first_load_fact(c), limit=200)
+    return FT.predictions_vs_actual(_backtest(c), published_fact(c), limit=200)
 
 
 @register("error_metrics", BACKTEST_SQL + """
@@ -823,7 +829,7 @@ FROM pva WHERE actual_value IS NOT NULL AND predicted_value IS NOT NULL
 def _error_metrics(spark, sf):
     """MAE, RMSE, R2 of the backtest predictions."""
     c = core(spark, sf)
-    return FT.error_metrics(FT.predictions_vs_actual(_backtest(c), first_load_fact(c), limit=None))
+    return FT.error_metrics(FT.predictions_vs_actual(_backtest(c), published_fact(c), limit=None))
 
 
 # --- quality rules and warehouse checks ------------------------------------
@@ -897,7 +903,7 @@ def _dq_duplicates(spark, sf):
         ("C9_one_current_location", "dim_location", dl, ["source_location_id"], "is_current"),
         ("C9_location_version", "dim_location", dl, ["source_location_id", "valid_from"], None),
         ("C9_one_current_sensor", "dim_sensor", ds, ["source_sensor_id"], "is_current"),
-        ("C9_fact_grain", "fact_air_quality_measurement", first_load_fact(c), ["source_measurement_id"], None),
+        ("C9_fact_grain", "fact_air_quality_measurement", published_fact(c), ["source_measurement_id"], None),
     ]
     return QL.union_all([QL.count_rows(n, QL.duplicate_keys(df, keys, where), t)
                          for n, t, df, keys, where in checks])
@@ -1020,7 +1026,7 @@ def _rowcount_audit(spark, sf):
     c = core(spark, sf)
     return QL.rowcount_audit({"parameter": c.parameter, "location": c.location, "sensor": c.sensor,
                               "measurement_raw": c.measurement, "threshold_rule": c.threshold_rule,
-                              "pollution_alert": A.alerts(c), "fact_air_quality_measurement": first_load_fact(c)})
+                              "pollution_alert": A.alerts(c), "fact_air_quality_measurement": published_fact(c)})
 
 
 # --- bronze: landing, parsing, scope, first writer, upserts -----------------

@@ -81,3 +81,30 @@ def outbox(core) -> DataFrame:
     a = A.alerts(core)
     r = A.review_alerts(a, A.valid_review_commands(review_commands(a)))
     return A.outbox_events(None, a).unionByName(A.outbox_events(a, r))
+
+
+_PUBLISHED: dict = {}
+
+
+def warehouse_root(core) -> str:
+    """The session's published warehouse: one E10 load (first run, AS_OF_1)
+    that downstream jobs (features, reports, audits) read instead of
+    recomputing dimensions and facts in every plan."""
+    import hashlib
+    import os
+
+    from aerolith.plans import pipeline as PL
+    from aerolith.session import scratch_path
+    key = (id(core), core.spark.conf.get("spark.checkpoint.dir", ""))
+    if key not in _PUBLISHED:
+        h = hashlib.sha1(os.path.abspath(core.sf_dir).encode()).hexdigest()[:16]
+        root = scratch_path(core.spark, "warehouse-published", h)
+        if PL.read_manifest(core.spark, root) is None:
+            PL.run_etl(core.spark, core, root, A.alerts(core), AS_OF_1)
+        _PUBLISHED[key] = root
+    return _PUBLISHED[key]
+
+
+def published(core, name: str) -> DataFrame:
+    from aerolith.plans import pipeline as PL
+    return PL.table(core.spark, warehouse_root(core), name)

@@ -45,3 +45,19 @@ def test_chunked_previous_time_equals_lag(spark):
         Window.partitionBy("sensor_id").orderBy("measured_at")))
     cols = ["sensor_id", "measured_at", "previous_at"]
     assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_row_sized_chunks_match_plain_windows(spark, monkeypatch):
+    from aerolith.operators import windows as W
+    monkeypatch.setattr(W, "TARGET_ROWS", 4)  # ~4 rows per chunk: boundaries everywhere
+    m = core(spark, SF_MID).measurement.select("sensor_id", "measured_at",
+                                               F.col("value").cast("double").alias("v"))
+
+    def compute(ctx, w):
+        return ctx.select("*", F.lag("v", 5).over(w).alias("p5"), F.lead("v", 1).over(w).alias("n1"))
+    got = sequence_window(m, ["sensor_id"], ["measured_at"], 5, 1, compute)
+    want = compute(m, Window.partitionBy("sensor_id").orderBy("measured_at"))
+    cols = ["sensor_id", "measured_at", "p5", "n1"]
+    assert _rows(got, cols) == _rows(want, cols)
+    sess = R.gap_sessions(m.withColumnRenamed("v", "value"))
+    assert sess.agg(F.sum("readings")).first()[0] == m.count()
