@@ -150,3 +150,15 @@ def test_f5_rejections(spark):
                              "2026-01-01 00:00:00")
     got = {(r.warning_level, float(r.min_value), r.is_active) for r in out.collect()}
     assert got == {("low", 0.0, True), ("moderate", 10.0, True), ("high", 30.0, False), ("critical", 50.0, True)}
+
+
+def test_seeded_city_rules_only_for_known_parameters(spark):
+    from aerolith.sources import seeds
+    param = spark.createDataFrame([(7, "pm25")], "parameter_id int, code string")
+    existing = _rules(spark).filter("warning_level = 'low'").withColumn("city", F.lit("Pécs"))
+    out = seeds.seed_city_rules(spark, param, existing)
+    assert sorted((r.city, r.warning_level, float(r.min_value)) for r in out.collect()) == [
+        ("Budapest", "critical", 50.0), ("Budapest", "high", 25.0), ("Budapest", "low", 0.0),
+        ("Budapest", "moderate", 10.0)]
+    empty = seeds.seed_city_rules(spark, param.filter("code = 'x'"), existing)
+    assert empty.count() == 0
