@@ -96,13 +96,13 @@ def warehouse_root(core) -> str:
     from aerolith.plans import pipeline as PL
     from aerolith.session import scratch_path
     key = (id(core), core.spark.conf.get("spark.checkpoint.dir", ""))
-    if key not in _PUBLISHED:
+    if key not in _PUBLISHED or _PUBLISHED[key][0] is not core:
         h = hashlib.sha1(os.path.abspath(core.sf_dir).encode()).hexdigest()[:16]
         root = scratch_path(core.spark, "warehouse-published", h)
         if PL.read_manifest(core.spark, root) is None:
             PL.run_etl(core.spark, core, root, A.alerts(core), AS_OF_1)
-        _PUBLISHED[key] = root
-    return _PUBLISHED[key]
+        _PUBLISHED[key] = (core, root)
+    return _PUBLISHED[key][1]
 
 
 def published(core, name: str) -> DataFrame:

@@ -82,10 +82,15 @@ def measurement_pages(events: DataFrame, parameter: DataFrame, sensor_factor: in
         F.struct(F.struct(F.when(k == 1, iso).alias("utc")).alias("datetimeFrom")).alias("period"),
         F.when(k == 2, iso).alias("date"),
         F.when(k == 3, iso).alias("datetimeUtc"))
-    day = F.to_date("ts")
-    w = Window.partitionBy("sensor_id", day).orderBy("ts", "event_id")
-    e = e.withColumn("__pos", F.row_number().over(w) - 1).withColumn("__day", day)
-    e = e.withColumn("__page", (F.col("__pos") / PAGE_SIZE).cast("int"))
+    # Records are numbered inside row-sized chunks of each (sensor, day), so
+    # a hot sensor-day is spread over several tasks; chunk order then block
+    # order keeps pages in time order within a run.
+    from aerolith.operators.windows import TARGET_ROWS, with_chunks
+    e = with_chunks(e.withColumn("__day", F.to_date("ts")), ["sensor_id", "__day"], "ts")
+    w = Window.partitionBy("sensor_id", "__day", "__chunk").orderBy("ts", "event_id")
+    e = e.withColumn("__pos", F.row_number().over(w) - 1)
+    blocks = TARGET_ROWS // PAGE_SIZE + 1
+    e = e.withColumn("__page", (F.col("__chunk") * blocks + (F.col("__pos") / PAGE_SIZE).cast("int")).cast("int"))
     pages = e.groupBy("sensor_id", "__day", "__page").agg(
         F.sort_array(F.collect_list(F.struct(F.col("__pos"), rec.alias("r")))).alias("__recs"))
     body = F.to_json(F.struct(F.transform("__recs", lambda x: x["r"]).alias("results")))

@@ -220,7 +220,7 @@ def core(spark: SparkSession, sf_dir: str) -> Core:
     """One Core per (session, folder)."""
     key = (id(spark), os.path.abspath(sf_dir), spark.conf.get("spark.checkpoint.dir", ""))
     c = _CORES.get(key)
-    if c is None:
+    if c is None or c.spark is not spark:  # ids can be reused by a later session
         c = Core(spark, sf_dir)
         _CORES[key] = c
     return c

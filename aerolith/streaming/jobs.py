@@ -105,9 +105,20 @@ def first_writer_stream(spark: SparkSession, landing: str, table: str, checkpoin
     cols = ["sensor_id", "measured_at", "value", "unit", "run_id", "page_no", "position"]
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        good = batch.filter(F.col("error").isNull()).select(*cols)
-        stored = spark.read.parquet(table) if store.exists(spark, table) else None
-        B.insert_if_absent(good, stored).write.mode("append").parquet(table)
+        good = batch.filter(F.col("error").isNull()).select(*cols) \
+            .withColumn("measured_month", F.trunc(F.col("measured_at").cast("date"), "MM"))
+        stored = None
+        if store.exists(spark, table):
+            # only the stored rows inside the batch's time range can clash:
+            # month partitions are pruned and the time filter is pushed down
+            lo, hi = good.agg(F.min("measured_at"), F.max("measured_at")).first()
+            if lo is None:
+                return
+            stored = spark.read.parquet(table).filter(
+                (F.col("measured_month") >= F.trunc(F.lit(lo).cast("date"), "MM"))
+                & (F.col("measured_month") <= F.trunc(F.lit(hi).cast("date"), "MM"))
+                & F.col("measured_at").between(F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")))
+        B.insert_if_absent(good, stored).write.mode("append").partitionBy("measured_month").parquet(table)
 
     q = (parsed_stream(spark, landing).writeStream.foreachBatch(upsert)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
