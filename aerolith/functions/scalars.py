@@ -171,6 +171,14 @@ def cap_text(c, cap: int = ERROR_TEXT_CAP) -> Column:
     return F.when(F.length(c) > cap, F.concat(F.substring(c, 1, cap - 3), F.lit("..."))).otherwise(c)
 
 
+def exact_mean(c, scale: int = 4) -> Column:
+    """Mean of a fixed-scale value as DOUBLE, computed in decimal: exact sum,
+    one rounding (half-up) at the result scale, then one conversion. The
+    result does not depend on the order rows are summed in, so every task
+    layout (and another engine) gets the same bits."""
+    return F.avg(col_(c).cast(f"decimal(18,{scale})")).cast("double")
+
+
 def absolute_error(pred, actual) -> Column:
     """F13."""
     return F.abs(col_(pred) - col_(actual))

@@ -61,14 +61,17 @@ def measurements_list(core, city=None, parameter=None, date_from=None, date_to=N
 
 
 def hourly_series(core, city=None, parameter=None, date_from=None, date_to=None,
-                  limit: int | None = 10000) -> DataFrame:
-    """Q3: hourly mean and count per (hour, city, parameter, unit) (A3 + L2)."""
+                  limit: int | None = 10000, decimal_mean: bool = False) -> DataFrame:
+    """Q3: hourly mean and count per (hour, city, parameter, unit) (A3 + L2).
+
+    The mean is taken over the decimal values (exact, order-independent);
+    ``decimal_mean`` keeps it decimal for means of means (A6, A7)."""
     r = readings(core)
     r = optional_eq(r, "city", city)
     r = optional_eq(r, "parameter_code", parameter)
     r = time_bounds(r, "measured_at", date_from, date_to, month_column="measured_month")
     agg = r.groupBy(S.hour_floor("measured_at").alias("measured_hour"), "city", "parameter_code", "unit") \
-        .agg(F.avg(F.col("value").cast("double")).alias("average_value"),
+        .agg((F.avg("value") if decimal_mean else S.exact_mean("value")).alias("average_value"),
              F.count(F.lit(1)).alias("measurement_count"))
     return top_n(agg, [F.desc("measured_hour"), "city", "parameter_code", "unit"], limit, 1, 50000)
 

@@ -17,14 +17,14 @@ from aerolith.functions import scalars as S
 def daily_mean(hourly: DataFrame) -> DataFrame:
     """Per (day, parameter) the unweighted mean of hourly means, sum of counts."""
     return hourly.groupBy(F.to_date("measured_hour").alias("day"), "parameter_code").agg(
-        F.avg("average_value").alias("daily_mean"),
+        F.avg("average_value").cast("double").alias("daily_mean"),
         F.sum("measurement_count").cast("bigint").alias("measurement_count"))
 
 
 def hourly_mean(hourly: DataFrame) -> DataFrame:
     """Per (hour, city, parameter), collapsing units."""
     return hourly.groupBy("measured_hour", "city", "parameter_code").agg(
-        F.avg("average_value").alias("average_value"),
+        F.avg("average_value").cast("double").alias("average_value"),
         F.sum("measurement_count").cast("bigint").alias("measurement_count"))
 
 
@@ -32,7 +32,7 @@ def daily_actuals(readings: DataFrame, min_stations: int = 3) -> DataFrame:
     """Daily mean of actual values per parameter and whether the daily
     view applies (more than ``min_stations`` stations in view)."""
     return readings.groupBy(F.to_date("measured_at").alias("day"), "parameter_code").agg(
-        F.avg(F.col("value").cast("double")).alias("daily_actual"),
+        S.exact_mean("value").alias("daily_actual"),
         F.countDistinct("location_id").alias("stations"),
     ).withColumn("use_daily_mean", F.col("stations") > min_stations)
 
@@ -97,7 +97,7 @@ def overview_kpis(readings: DataFrame, alerts_df: DataFrame, days: int = 7) -> D
     recent = F.col("measured_at") >= F.timestamp_add("DAY", F.lit(-days), max_at)
     return readings.agg(
         F.max_by(v, F.struct("measured_at", "measurement_id")).alias("latest_value"),
-        F.avg(F.when(recent, v)).alias("mean_last_days"),
+        S.exact_mean(F.when(recent, F.col("value"))).alias("mean_last_days"),
         F.countDistinct("location_id").alias("stations"),
     ).select("latest_value", "mean_last_days", "stations", open_alerts.alias("open_alerts"))
 

@@ -63,7 +63,7 @@ def _measurements_filtered(spark, sf):
 
 @register("hourly_series", """
 SELECT date_trunc('hour', measured_at) AS measured_hour, city, parameter_code, unit,
-       avg(CAST(value AS DOUBLE)) AS average_value, count(*) AS measurement_count
+       CAST(CAST(((2 * sum(CAST(round(value * 10000) AS HUGEINT)) * 10000 + NULLIF(count(value), 0)) // (2 * NULLIF(count(value), 0))) AS VARCHAR) || 'e-8' AS DOUBLE) AS average_value, count(*) AS measurement_count
 FROM readings
 GROUP BY 1, 2, 3, 4
 ORDER BY measured_hour DESC, city, parameter_code, unit
@@ -127,7 +127,7 @@ FACT_COLS = ["source_measurement_id", "source_location_id", "source_sensor_id",
          FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2026-12-31', INTERVAL 1 DAY) t(d))
 SELECT dd.year, dd.quarter, dd.month, dd.weekday, dd.day_name, dd.is_weekend,
        count(*) AS readings, count(DISTINCT f.date_key) AS days,
-       avg(f.measurement_value) AS mean_value
+       CAST(CAST(((2 * sum(CAST(round(f.measurement_value * 10000) AS HUGEINT)) * 10000 + NULLIF(count(f.measurement_value), 0)) // (2 * NULLIF(count(f.measurement_value), 0))) AS VARCHAR) || 'e-8' AS DOUBLE) AS mean_value
 FROM fact_m f JOIN dd ON dd.date_key = f.date_key
 GROUP BY ALL
 """)
@@ -139,7 +139,7 @@ def _calendar_profile(spark, sf):
     return f.join(F.broadcast(dd), "date_key").groupBy(
         "year", "quarter", "month", "weekday", "day_name", "is_weekend").agg(
         F.count(F.lit(1)).alias("readings"), F.countDistinct("date_key").alias("days"),
-        F.avg("measurement_value").alias("mean_value"))
+        S.exact_mean("measurement_value").alias("mean_value"))
 
 
 @register("part_of_day_profile", FIRST_LOAD + """
@@ -148,7 +148,7 @@ def _calendar_profile(spark, sf):
                      WHEN h BETWEEN 12 AND 17 THEN 'afternoon' ELSE 'evening' END AS part_of_day
          FROM range(0, 24) a(h), range(0, 60) b(mi))
 SELECT dt.part_of_day, f.parameter_code, count(*) AS readings,
-       count(DISTINCT dt.hour) AS hours, avg(f.measurement_value) AS mean_value,
+       count(DISTINCT dt.hour) AS hours, CAST(CAST(((2 * sum(CAST(round(f.measurement_value * 10000) AS HUGEINT)) * 10000 + NULLIF(count(f.measurement_value), 0)) // (2 * NULLIF(count(f.measurement_value), 0))) AS VARCHAR) || 'e-8' AS DOUBLE) AS mean_value,
        max(f.measurement_value) AS max_value
 FROM fact_m f JOIN dt ON dt.time_key = f.time_key
 GROUP BY ALL
@@ -160,7 +160,7 @@ def _part_of_day_profile(spark, sf):
     dt_ = dims.dim_time(spark)
     return f.join(F.broadcast(dt_), "time_key").groupBy("part_of_day", "parameter_code").agg(
         F.count(F.lit(1)).alias("readings"), F.countDistinct("hour").alias("hours"),
-        F.avg("measurement_value").alias("mean_value"), F.max("measurement_value").alias("max_value"))
+        S.exact_mean("measurement_value").alias("mean_value"), F.max("measurement_value").alias("max_value"))
 
 
 @register("risk_share", FIRST_LOAD + """
@@ -459,33 +459,33 @@ def _watermark_bound(spark, sf):
 
 HOURLY_FULL = """
 , hourly AS (SELECT date_trunc('hour', measured_at) AS measured_hour, city, parameter_code, unit,
-                    avg(CAST(value AS DOUBLE)) AS average_value, count(*) AS measurement_count
+                    ((2 * sum(CAST(round(value * 10000) AS HUGEINT)) * 10000 + NULLIF(count(value), 0)) // (2 * NULLIF(count(value), 0))) AS avg_units8, count(*) AS measurement_count
              FROM readings GROUP BY ALL)
 """
 
 
 @register("daily_mean", HOURLY_FULL + """
-SELECT CAST(measured_hour AS DATE) AS day, parameter_code, avg(average_value) AS daily_mean,
+SELECT CAST(measured_hour AS DATE) AS day, parameter_code, CAST(CAST(((2 * sum(CAST(avg_units8 AS HUGEINT)) * 10000 + NULLIF(count(avg_units8), 0)) // (2 * NULLIF(count(avg_units8), 0))) AS VARCHAR) || 'e-12' AS DOUBLE) AS daily_mean,
        CAST(sum(measurement_count) AS BIGINT) AS measurement_count
 FROM hourly GROUP BY ALL
 """)
 def _daily_mean(spark, sf):
     """Unweighted mean of hourly means per day and parameter."""
-    return R.daily_mean(reads.hourly_series(core(spark, sf), limit=None))
+    return R.daily_mean(reads.hourly_series(core(spark, sf), limit=None, decimal_mean=True))
 
 
 @register("hourly_mean", HOURLY_FULL + """
-SELECT measured_hour, city, parameter_code, avg(average_value) AS average_value,
+SELECT measured_hour, city, parameter_code, CAST(CAST(((2 * sum(CAST(avg_units8 AS HUGEINT)) * 10000 + NULLIF(count(avg_units8), 0)) // (2 * NULLIF(count(avg_units8), 0))) AS VARCHAR) || 'e-12' AS DOUBLE) AS average_value,
        CAST(sum(measurement_count) AS BIGINT) AS measurement_count
 FROM hourly GROUP BY ALL
 """)
 def _hourly_mean(spark, sf):
     """A7."""
-    return R.hourly_mean(reads.hourly_series(core(spark, sf), limit=None))
+    return R.hourly_mean(reads.hourly_series(core(spark, sf), limit=None, decimal_mean=True))
 
 
 @register("daily_actuals", """
-SELECT CAST(measured_at AS DATE) AS day, parameter_code, avg(CAST(value AS DOUBLE)) AS daily_actual,
+SELECT CAST(measured_at AS DATE) AS day, parameter_code, CAST(CAST(((2 * sum(CAST(round(value * 10000) AS HUGEINT)) * 10000 + NULLIF(count(value), 0)) // (2 * NULLIF(count(value), 0))) AS VARCHAR) || 'e-8' AS DOUBLE) AS daily_actual,
        count(DISTINCT location_id) AS stations, count(DISTINCT location_id) > 3 AS use_daily_mean
 FROM readings GROUP BY ALL
 """)
@@ -496,8 +496,7 @@ def _daily_actuals(spark, sf):
 
 @register("overview_kpis", ALERTS + """
 SELECT arg_max(CAST(value AS DOUBLE), (measured_at, measurement_id)) AS latest_value,
-       avg(CASE WHEN measured_at >= (SELECT max(measured_at) FROM readings) - INTERVAL 7 DAY
-                THEN CAST(value AS DOUBLE) END) AS mean_last_days,
+       CAST(CAST(((2 * sum(CAST(round(CASE WHEN measured_at >= (SELECT max(measured_at) FROM readings) - INTERVAL 7 DAY THEN value END * 10000) AS HUGEINT)) * 10000 + NULLIF(count(CASE WHEN measured_at >= (SELECT max(measured_at) FROM readings) - INTERVAL 7 DAY THEN value END), 0)) // (2 * NULLIF(count(CASE WHEN measured_at >= (SELECT max(measured_at) FROM readings) - INTERVAL 7 DAY THEN value END), 0))) AS VARCHAR) || 'e-8' AS DOUBLE) AS mean_last_days,
        count(DISTINCT location_id) AS stations,
        (SELECT count(*) FROM reviewed WHERE status = 'open') AS open_alerts
 FROM readings
@@ -666,7 +665,7 @@ def _gap_sessions(spark, sf):
 
 @register("date_rollup", FIRST_LOAD + """
 SELECT year(measured_at) AS year, quarter(measured_at) AS quarter, month(measured_at) AS month,
-       day(measured_at) AS day, count(*) AS readings, avg(measurement_value) AS mean_value
+       day(measured_at) AS day, count(*) AS readings, CAST(CAST(((2 * sum(CAST(round(measurement_value * 10000) AS HUGEINT)) * 10000 + NULLIF(count(measurement_value), 0)) // (2 * NULLIF(count(measurement_value), 0))) AS VARCHAR) || 'e-8' AS DOUBLE) AS mean_value
 FROM fact_m GROUP BY ROLLUP (year(measured_at), quarter(measured_at), month(measured_at), day(measured_at))
 """)
 def _date_rollup(spark, sf):
@@ -674,7 +673,7 @@ def _date_rollup(spark, sf):
     f = published_fact(core(spark, sf))
     return f.rollup(F.year("measured_at").alias("year"), F.quarter("measured_at").alias("quarter"),
                     F.month("measured_at").alias("month"), F.dayofmonth("measured_at").alias("day")) \
-        .agg(F.count(F.lit(1)).alias("readings"), F.avg("measurement_value").alias("mean_value"))
+        .agg(F.count(F.lit(1)).alias("readings"), S.exact_mean("measurement_value").alias("mean_value"))
 
 
 # --- features, split, predictions ------------------------------------------
@@ -1257,7 +1256,7 @@ def _landing_path(c):
 @register("stream_hourly", """
 , hw AS (SELECT max(measured_at) - INTERVAL 12 HOUR AS wm FROM readings)
 SELECT date_trunc('hour', measured_at) AS measured_hour, city, parameter_code, unit,
-       avg(CAST(value AS DOUBLE)) AS average_value, count(*) AS measurement_count
+       CAST(CAST(((2 * sum(CAST(round(value * 10000) AS HUGEINT)) * 10000 + NULLIF(count(value), 0)) // (2 * NULLIF(count(value), 0))) AS VARCHAR) || 'e-8' AS DOUBLE) AS average_value, count(*) AS measurement_count
 FROM readings
 WHERE measurement_id % 50 <> 7
 GROUP BY 1, 2, 3, 4
@@ -1310,12 +1309,13 @@ from aerolith.operators import forecast as FC  # noqa: E402
 
 
 def _hourly_means(c):
-    return R.hourly_mean(reads.hourly_series(c, limit=None)).select(
+    return R.hourly_mean(reads.hourly_series(c, limit=None, decimal_mean=True)).select(
         "city", "parameter_code", "measured_hour", F.col("average_value").alias("hourly_mean"))
 
 
 @register("grid_interpolate", HOURLY_FULL + """
-, hm AS (SELECT measured_hour, city, parameter_code, avg(average_value) AS hourly_mean FROM hourly GROUP BY ALL)
+, hm AS (SELECT measured_hour, city, parameter_code, CAST(CAST(((2 * sum(CAST(avg_units8 AS HUGEINT)) * 10000 + NULLIF(count(avg_units8), 0)) // (2 * NULLIF(count(avg_units8), 0))) AS VARCHAR) || 'e-12' AS DOUBLE) AS hourly_mean
+         FROM hourly GROUP BY ALL)
 , b AS (SELECT city, parameter_code, min(measured_hour) AS lo, max(measured_hour) AS hi FROM hm GROUP BY ALL)
 , grid AS (SELECT city, parameter_code, UNNEST(generate_series(lo, hi, INTERVAL 1 HOUR)) AS measured_hour FROM b)
 , g AS (SELECT grid.city, grid.parameter_code, grid.measured_hour, hm.hourly_mean AS v,
@@ -1355,7 +1355,7 @@ def _forecast_hourly(spark, sf):
 @register("forecast_daily")
 def _forecast_daily(spark, sf):
     """Daily curve per parameter over history + 14 days, yearly seasonality."""
-    d = R.daily_mean(reads.hourly_series(core(spark, sf), limit=None))
+    d = R.daily_mean(reads.hourly_series(core(spark, sf), limit=None, decimal_mean=True))
     return FC.daily_forecast(d, ["parameter_code"])
 
 

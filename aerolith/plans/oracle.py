@@ -199,3 +199,22 @@ FIRST_LOAD = """
   JOIN parameter p ON p.parameter_id = s.parameter_id
   WHERE m.value IS NOT NULL AND m.value >= 0 AND m.value < 100000)
 """
+
+
+# Exact means, written the way Spark computes avg over decimal(12,4): the
+# exact sum divided by the count, rounded half-up at scale 8 (a mean of such
+# means: scale 12). The integer quotient is turned into a DOUBLE by parsing
+# its decimal text, so both engines produce the same bits (inputs >= 0).
+
+def units8(col: str) -> str:
+    n = f"NULLIF(count({col}), 0)"
+    return f"((2 * sum(CAST(round({col} * 10000) AS HUGEINT)) * 10000 + {n}) // (2 * {n}))"
+
+
+def avg_dec4(col: str) -> str:
+    return f"CAST(CAST({units8(col)} AS VARCHAR) || 'e-8' AS DOUBLE)"
+
+
+def avg_units8(col: str) -> str:
+    n = f"NULLIF(count({col}), 0)"
+    return f"CAST(CAST(((2 * sum(CAST({col} AS HUGEINT)) * 10000 + {n}) // (2 * {n})) AS VARCHAR) || 'e-12' AS DOUBLE)"

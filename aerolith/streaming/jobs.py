@@ -21,6 +21,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolith.functions import scalars as S
 from aerolith.operators import alerts as A
 from aerolith.session import scratch_path
 from aerolith.sources import bronze as B
@@ -64,7 +65,7 @@ def hourly_stream(spark: SparkSession, core, landing: str) -> DataFrame:
     r = enrich(good, core).withColumn("event_time", F.col("measured_at").cast("timestamp"))
     agg = (r.withWatermark("event_time", WATERMARK)
            .groupBy(F.window("event_time", "1 hour").alias("w"), "city", "parameter_code", "unit")
-           .agg(F.avg(F.col("value").cast("double")).alias("average_value"),
+           .agg(S.exact_mean("value").alias("average_value"),
                 F.count(F.lit(1)).alias("measurement_count")))
     res = agg.select(F.col("w.start").cast("timestamp_ntz").alias("measured_hour"), "city", "parameter_code", "unit",
                      "average_value", "measurement_count")
