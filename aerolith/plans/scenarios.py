@@ -97,8 +97,12 @@ def warehouse_root(core) -> str:
     from aerolith.session import scratch_path
     key = (id(core), core.spark.conf.get("spark.checkpoint.dir", ""))
     if key not in _PUBLISHED or _PUBLISHED[key][0] is not core:
+        from aerolith.operators import alerts, facts, scd2 as scd2_mod
+        from aerolith.session import code_version
+        from aerolith.sources import driver_tables
         h = hashlib.sha1(os.path.abspath(core.sf_dir).encode()).hexdigest()[:16]
-        root = scratch_path(core.spark, "warehouse-published", h)
+        v = code_version(driver_tables, facts, scd2_mod, alerts, PL)
+        root = scratch_path(core.spark, "warehouse-published", f"{h}-{v}")
         if PL.read_manifest(core.spark, root) is None:
             PL.run_etl(core.spark, core, root, A.alerts(core), AS_OF_1)
         _PUBLISHED[key] = (core, root)

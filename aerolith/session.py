@@ -71,3 +71,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A sub-folder of the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), *parts)
+
+
+def code_version(*modules) -> str:
+    """Short hash of the source of the given modules: stores published in the
+    shared folder are keyed by it, so a change to the code that builds them
+    never reuses an old store."""
+    import hashlib
+    import inspect
+    h = hashlib.sha1()
+    for m in modules:
+        h.update(inspect.getsource(m).encode())
+    return h.hexdigest()[:12]

@@ -156,9 +156,12 @@ class Core:
         return read(self.spark, self.sf_dir, name)
 
     def _store_dir(self) -> str:
-        # keyed by the input folder; a new input folder gets a new core store
+        # keyed by the input folder and the code that builds the store
+        import sys
+
+        from aerolith.session import code_version
         h = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:16]
-        return scratch_path(self.spark, "core", h)
+        return scratch_path(self.spark, "core", f"{h}-{code_version(sys.modules[__name__])}")
 
     def _lazy(self) -> dict[str, DataFrame]:
         ev = self.raw("events").select("event_id", "ts", "user_id", "event_type", "value", "props")
