@@ -8,7 +8,8 @@
   one Spark aggregate per series (t centred for conditioning). Only the 4x4
   solve runs in numpy, one row per series, through ``mapInPandas``; the
   pseudo-inverse gives the same minimum-norm answer as ``lstsq`` on the
-  design matrix, also for (near-)singular series.
+  design matrix, also for (near-)singular series. Grid positions come from
+  ``posexplode``, so the sums need no window.
 """
 
 from __future__ import annotations
@@ -24,32 +25,38 @@ from pyspark.sql.window import Window
 TWO_PI = 2 * math.pi
 
 
-def regular_grid(series: DataFrame, keys: list[str], ts: str, value: str, step: str) -> DataFrame:
+def regular_grid(series: DataFrame, keys: list[str], ts: str, value: str, step: str,
+                 with_position: bool = False) -> DataFrame:
     """Grid rows from first to last point of each series, step ``step``
     (e.g. '1 hour', '1 day'); missing values linearly interpolated (equal
-    spacing, so position and time interpolation agree). Adds ``is_observed``."""
+    spacing, so position and time interpolation agree). Adds ``is_observed``;
+    ``with_position`` also keeps each point's position and the grid length
+    (straight from ``posexplode``/``size``, no ranking window)."""
     s = series.select(*keys, ts, value).where(F.col(value).isNotNull())
     b = s.groupBy(*keys).agg(F.min(ts).alias("__lo"), F.max(ts).alias("__hi"))
-    grid = b.select(*keys, F.explode(F.sequence("__lo", "__hi", F.expr(f"INTERVAL {step}"))).alias(ts))
+    seq = F.sequence("__lo", "__hi", F.expr(f"INTERVAL {step}"))
+    grid = b.select(*keys, F.size(seq).alias("grid_n"), F.posexplode(seq).alias("grid_pos", ts))
     g = grid.join(s, [*keys, ts], "left")
-    w = Window.partitionBy(*keys).orderBy(ts)
-    back = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
+    # Both neighbours are running frames (start of partition to current row),
+    # which Spark evaluates incrementally; "next known" is the running last
+    # value in descending time order (a frame reaching to the partition end
+    # would be re-aggregated for every row).
+    back = Window.partitionBy(*keys).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*keys).orderBy(F.desc(ts)).rowsBetween(Window.unboundedPreceding, 0)
     secs = F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
     known_t = F.when(F.col(value).isNotNull(), secs)
     pv, pt = F.last(value, True).over(back), F.last(known_t, True).over(back)
-    nv, nt = F.first(value, True).over(ahead), F.first(known_t, True).over(ahead)
+    nv, nt = F.last(value, True).over(ahead), F.last(known_t, True).over(ahead)
     interp = F.when(F.col(value).isNotNull(), F.col(value)).otherwise(
         F.when(nt == pt, pv).otherwise(pv + (nv - pv) * (secs - pt) / (nt - pt)))
-    return g.select(*keys, ts, interp.alias(value), F.col(value).isNotNull().alias("is_observed"))
+    extra = ["grid_pos", "grid_n"] if with_position else []
+    return g.select(*keys, ts, interp.alias(value), F.col(value).isNotNull().alias("is_observed"), *extra)
 
 
 def _design_sums(grid: DataFrame, keys: list[str], ts: str, value: str, period: float, phase_col) -> DataFrame:
     """Per series: n and the normal-equation sums over x = [1, u, sin, cos],
     u = t - (n - 1) / 2 with t the grid position."""
-    w = Window.partitionBy(*keys).orderBy(ts)
-    g = grid.withColumn("__t", (F.row_number().over(w) - 1).cast("double")) \
-        .withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys)).cast("double"))
+    g = grid.withColumn("__t", F.col("grid_pos").cast("double")).withColumn("__n", F.col("grid_n").cast("double"))
     ang = F.lit(TWO_PI) * phase_col / F.lit(period)
     x = [F.lit(1.0), F.col("__t") - (F.col("__n") - 1) / 2, F.sin(ang), F.cos(ang)]
     y = F.col(value)
@@ -94,7 +101,7 @@ def hourly_forecast(hourly: DataFrame, keys: list[str], horizon_hours: int = 72,
     series with fewer than ``min_points`` observed hours get no forecast."""
     obs = hourly.groupBy(*keys).agg(F.count(value).alias("__obs"))
     ok = hourly.join(obs.filter(F.col("__obs") >= min_points).select(*keys), keys, "left_semi")
-    grid = regular_grid(ok, keys, ts, value, "1 hour")
+    grid = regular_grid(ok, keys, ts, value, "1 hour", with_position=True)
     coef = fit(grid, keys, ts, value, 24.0, F.hour(ts).cast("double"))
     fut = coef.select(*keys, "n", "c0", "c1", "c2", "c3", "last_at",
                       F.explode(F.sequence(F.lit(1), F.lit(horizon_hours))).alias("__k"))
@@ -114,7 +121,7 @@ def daily_forecast(daily: DataFrame, keys: list[str], horizon_days: int = 14, mi
     days; clipped at 0; fewer than ``min_points`` days -> no forecast."""
     obs = daily.groupBy(*keys).agg(F.count(value).alias("__obs"))
     ok = daily.join(obs.filter(F.col("__obs") >= min_points).select(*keys), keys, "left_semi")
-    grid = regular_grid(ok, keys, ts, value, "1 day")
+    grid = regular_grid(ok, keys, ts, value, "1 day", with_position=True)
     coef = fit(grid, keys, ts, value, 365.25, F.dayofyear(ts).cast("double"))
     fut = coef.select(*keys, "n", "c0", "c1", "c2", "c3", "first_at",
                       F.explode(F.sequence(F.lit(0), (F.col("n") - 1 + horizon_days).cast("int"))).alias("__k"))

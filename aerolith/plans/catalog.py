@@ -1370,10 +1370,12 @@ _TRAINED: dict = {}
 
 def _train(c):
     """One fit per core (both ML queries share it)."""
-    if id(c) not in _TRAINED or _TRAINED[id(c)][0] is not c:
-        split = FT.chronological_split(_features(c))
-        _TRAINED[id(c)] = (c, ML.evaluate(split))
-    return _TRAINED[id(c)][1]
+    from aerolith.sources.store import PUBLISH_LOCK
+    with PUBLISH_LOCK:
+        if id(c) not in _TRAINED or _TRAINED[id(c)][0] is not c:
+            split = FT.chronological_split(_features(c))
+            _TRAINED[id(c)] = (c, ML.evaluate(split))
+        return _TRAINED[id(c)][1]
 
 
 @register("ml_model_metrics")

@@ -90,12 +90,18 @@ def warehouse_root(core) -> str:
     """The session's published warehouse: one E10 load (first run, AS_OF_1)
     that downstream jobs (features, reports, audits) read instead of
     recomputing dimensions and facts in every plan."""
+    from aerolith.sources.store import PUBLISH_LOCK
+    key = (id(core), core.spark.conf.get("spark.checkpoint.dir", ""))
+    with PUBLISH_LOCK:
+        return _warehouse_root(core, key)
+
+
+def _warehouse_root(core, key) -> str:
     import hashlib
     import os
 
     from aerolith.plans import pipeline as PL
     from aerolith.session import scratch_path
-    key = (id(core), core.spark.conf.get("spark.checkpoint.dir", ""))
     if key not in _PUBLISHED or _PUBLISHED[key][0] is not core:
         from aerolith.operators import alerts, facts, scd2 as scd2_mod
         from aerolith.session import code_version

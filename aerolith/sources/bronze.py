@@ -299,7 +299,8 @@ def land_once(spark, pages: DataFrame, name: str) -> DataFrame:
     from aerolith.sources import store
     path = landing_dir(spark, name)
     marker = path + "._landed"
-    if store.read_marker(spark, marker) is None:
-        pages.write.mode("overwrite").partitionBy("run_id").json(path)
-        store.write_marker(spark, marker, path)
+    with store.PUBLISH_LOCK:
+        if store.read_marker(spark, marker) is None:
+            pages.write.mode("overwrite").partitionBy("run_id").json(path)
+            store.write_marker(spark, marker, path)
     return read_landed(spark, path)

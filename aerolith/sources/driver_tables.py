@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +37,7 @@ SENSOR_ID_FACTOR = 1000
 RULE_NATION_FACTOR = 1000
 LOCATION_FIRST_SEEN_BASE = "2023-12-01 00:00:00"
 
-_LOCK = threading.Lock()
+from aerolith.sources.store import PUBLISH_LOCK as _LOCK  # noqa: E402
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -3,9 +3,15 @@ so they work on any file system the cluster mounts (HDFS, object stores)."""
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
+# Held while a shared store is checked and, if missing, built and published,
+# so concurrent callers in one driver never build the same store twice.
+PUBLISH_LOCK = threading.RLock()
+
 
 def exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     try:
