@@ -172,3 +172,34 @@ def default_rules(scope: DataFrame, existing: DataFrame, parameter_id_col: str =
         F.col("lv.base").cast("decimal(12,4)").alias("min_value"), F.lit(True).alias("is_active"))
     return cand.join(existing.select("parameter_id", "city", "warning_level"),
                      ["parameter_id", "city", "warning_level"], "left_anti")
+
+
+def review_not_found(alerts_df: DataFrame, commands: DataFrame) -> DataFrame:
+    """Review commands naming no stored alert (the 'not found' answers)."""
+    return commands.join(alerts_df.select("pollution_alert_id"), "pollution_alert_id", "left_anti")
+
+
+def threshold_update_by_id(rules: DataFrame, parameter: DataFrame, commands: DataFrame, at) -> tuple:
+    """E11 (by id): full-row update of rules named by ``threshold_rule_id``.
+
+    Commands carry parameter_code, city, warning_level, min_value, is_active.
+    Returns (new rules, rejected commands with a reason): unknown rule id ->
+    'not found'; unknown parameter code, invalid level or negative minimum ->
+    'invalid'. Valid commands replace every listed column and stamp
+    ``updated_at``."""
+    if isinstance(at, str):
+        at = dt.datetime.fromisoformat(at)
+    p = parameter.select(F.col("code").alias("parameter_code"), F.col("parameter_id").alias("__pid"))
+    c = commands.join(p, "parameter_code", "left") \
+        .join(rules.select("threshold_rule_id", F.lit(True).alias("__exists")), "threshold_rule_id", "left")
+    reason = (F.when(F.col("__exists").isNull(), F.lit("not found"))
+              .when(F.col("__pid").isNull() | ~F.col("warning_level").isin(*S.WARNING_LEVELS)
+                    | (F.col("min_value") < 0), F.lit("invalid")))
+    c = c.withColumn("reason", reason)
+    ok = c.filter(F.col("reason").isNull()).select(
+        "threshold_rule_id", F.col("__pid").cast("int").alias("parameter_id"), "city", "warning_level",
+        F.col("min_value").cast("decimal(12,4)").alias("min_value"), "is_active",
+        F.lit(at).cast("timestamp_ntz").alias("updated_at"))
+    cols = ["parameter_id", "city", "warning_level", "min_value", "is_active", "updated_at"]
+    new = upsert_by_key(ok, rules.select("threshold_rule_id", *cols), ["threshold_rule_id"], update=cols)
+    return new, c.filter(F.col("reason").isNotNull()).select(*commands.columns, "reason")

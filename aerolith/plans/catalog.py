@@ -1510,3 +1510,15 @@ def _location_scope_capped(spark, sf):
     locs = B.parse_locations(B.unnest(pages.filter(F.col("endpoint") == "/v3/locations"), B.LOCATION_JSON))
     return B.first_n(B.in_scope(locs, cities=["nation_2"]), ["location_id"], 50).select("location_id", "name",
                                                                                         "city")
+
+
+@register("open_alerts_first10", ALERTS_ENRICHED + """
+SELECT pollution_alert_id, generated_at, alert_level, city, location_name, parameter_code
+FROM ae WHERE status = 'open'
+ORDER BY generated_at DESC, pollution_alert_id DESC LIMIT 10
+""")
+def _open_alerts_first10(spark, sf):
+    """P8 + L8: the first ten open alerts of the newest-first alert list."""
+    a = _alerts_enriched(core(spark, sf)).filter(F.col("status") == "open")
+    return a.select("pollution_alert_id", "generated_at", "alert_level", "city", "location_name",
+                    "parameter_code").orderBy(F.desc("generated_at"), F.desc("pollution_alert_id")).limit(10)

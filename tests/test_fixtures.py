@@ -162,3 +162,38 @@ def test_seeded_city_rules_only_for_known_parameters(spark):
         ("Budapest", "moderate", 10.0)]
     empty = seeds.seed_city_rules(spark, param.filter("code = 'x'"), existing)
     assert empty.count() == 0
+
+
+def test_review_unknown_id_is_not_found(spark):
+    reading = spark.createDataFrame([(100, dt.datetime(2026, 1, 1), 30.0, 7, "Budapest")],
+                                    "measurement_id long, measured_at timestamp_ntz, value double, "
+                                    "parameter_id int, city string")
+    alerts = A.generate_alerts(reading, _rules(spark))
+    cmd = spark.createDataFrame([(999, "closed", None, dt.datetime(2026, 1, 2))],
+                                "pollution_alert_id long, status string, notes string, command_at timestamp_ntz")
+    assert [r.pollution_alert_id for r in A.review_not_found(alerts, cmd).collect()] == [999]
+    assert A.review_alerts(alerts, cmd).first().status == "open"
+
+
+def test_threshold_update_by_id(spark):
+    rules = _rules(spark).withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
+    param = spark.createDataFrame([(7, "pm25")], "parameter_id int, code string")
+    cmds = spark.createDataFrame([(3, "pm25", "Budapest", "high", 30.0, False),
+                                  (42, "pm25", "Budapest", "high", 30.0, True),
+                                  (4, "nope", "Budapest", "critical", 60.0, True),
+                                  (1, "pm25", "Budapest", "impossible", 1.0, True)],
+                                 "threshold_rule_id long, parameter_code string, city string, warning_level string, "
+                                 "min_value double, is_active boolean")
+    new, rejected = A.threshold_update_by_id(rules, param, cmds, "2026-01-01 00:00:00")
+    got = {r.threshold_rule_id: (float(r.min_value), r.is_active, r.updated_at is not None) for r in new.collect()}
+    assert got[3] == (30.0, False, True) and got[4] == (50.0, True, False) and len(got) == 4
+    assert sorted((r.threshold_rule_id, r.reason) for r in rejected.collect()) == \
+        [(1, "invalid"), (4, "invalid"), (42, "not found")]
+
+
+def test_scope_by_parameter_membership(spark):
+    rows = [(1, "Budapest", "Station A", "PM25"), (2, "Budapest", "Station B", "no2"),
+            (3, "Debrecen", "Budapest Road", "pm25"), (4, "Pécs", "X", "pm25")]
+    df = spark.createDataFrame(rows, "id int, city string, name string, parameter_code string")
+    got = sorted(r.id for r in B.in_scope(df, cities=["budapest"], parameters=["pm25"]).collect())
+    assert got == [1, 3]  # case-insensitive, substring over the joined place text
