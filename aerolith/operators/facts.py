@@ -86,3 +86,11 @@ def load_alert_facts(core, alerts: DataFrame, dim_location: DataFrame,
 def purge_negative(fact: DataFrame, value: str = "measurement_value") -> DataFrame:
     """P5: rewrite of a fact without negative values (NULLs are kept)."""
     return fact.filter(F.col(value).isNull() | (F.col(value) >= 0))
+
+
+def refresh_alert_status(fact: DataFrame, alerts: DataFrame) -> DataFrame:
+    """Option to the insert-only alert fact: take the current status of each
+    alert (a keyed update; facts without a stored alert keep theirs)."""
+    cur = alerts.select(F.col("pollution_alert_id").alias("source_alert_id"), F.col("status").alias("__status"))
+    return fact.join(cur, "source_alert_id", "left") \
+        .withColumn("alert_status", F.coalesce("__status", "alert_status")).drop("__status")

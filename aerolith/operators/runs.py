@@ -102,3 +102,11 @@ def lower_bound(measurement: DataFrame, runs: DataFrame, now, overlap_hours: int
         bound = F.coalesce(F.timestamp_add("HOUR", F.lit(-overlap_hours), F.col("high_water_mark")),
                            F.col("last_success_at"), F.timestamp_add("DAY", F.lit(-fallback_days), now_c))
     return j.select("high_water_mark", "last_success_at", bound.alias("lower_bound"))
+
+
+def lower_bound_per_sensor(measurement: DataFrame, overlap_hours: int = 12) -> DataFrame:
+    """Option to T1: one lower bound per sensor (its own newest reading minus
+    the overlap), so a sensor far behind the others loses nothing. A partial
+    aggregation per sensor."""
+    return measurement.groupBy("sensor_id").agg(F.max("measured_at").alias("high_water_mark")).withColumn(
+        "lower_bound", F.timestamp_add("HOUR", F.lit(-overlap_hours), F.col("high_water_mark")))

@@ -36,7 +36,8 @@ def empty_dim(spark: SparkSession, source: DataFrame, key: str, dim_key: str, at
 
 def scd2_sync(source: DataFrame, dim: DataFrame, key: str, dim_key: str, tracked: list[str],
               attrs: list[str], as_of, first_seen: str | None = "first_seen_at",
-              active: str | None = "is_active") -> DataFrame:
+              active: str | None = "is_active", close_inactive: bool = False,
+              null_marker: str | None = None) -> DataFrame:
     """One SCD2 step. ``source``: operational rows; ``dim``: current snapshot.
 
     1. current versions whose tracked-column hash differs from the (active)
@@ -45,21 +46,32 @@ def scd2_sync(source: DataFrame, dim: DataFrame, key: str, dim_key: str, tracked
        new current version; ``valid_from`` is the source's first-seen time when
        the key was never in the dimension, else ``as_of``.
 
-    Sources that went inactive stay current (the reference behaviour).
+    Sources that went inactive stay current (the reference behaviour);
+    ``close_inactive`` closes their current version instead. ``null_marker``
+    hashes NULLs as that text, so (NULL, x) and (x, NULL) no longer collide.
     Both joins are on the business key, so they hash-partition the same way
     and the planner reuses the exchange of the dimension side.
     """
     as_of = _ts(as_of)
     src = source
+    inactive_keys = None
     if active:
+        if close_inactive:
+            inactive_keys = src.filter(~F.col(active)).select(F.col(key).alias(dim_key),
+                                                             F.lit(True).alias("__gone"))
         src = src.filter(F.col(active))
+    hashed = tracked if null_marker is None else [F.coalesce(F.col(c).cast("string"), F.lit(null_marker))
+                                                  for c in tracked]
     src = src.select(F.col(key).alias(dim_key), *attrs,
                      (F.col(first_seen) if first_seen else F.lit(None).cast("timestamp_ntz")).alias("__first"),
-                     S.row_hash(*tracked).alias("__hash"))
+                     S.row_hash(*hashed).alias("__hash"))
 
     # step 1: close changed current versions
     d = dim.join(src.select(dim_key, F.col("__hash").alias("__src_hash")), dim_key, "left")
     changed = F.col("is_current") & F.col("__src_hash").isNotNull() & (F.col("__src_hash") != F.col("row_hash"))
+    if inactive_keys is not None:
+        d = d.join(inactive_keys, dim_key, "left")
+        changed = changed | (F.col("is_current") & F.col("__gone").isNotNull())
     closed = d.select(dim_key, *attrs, "valid_from",
                       F.when(changed, as_of).otherwise(F.col("valid_to")).alias("valid_to"),
                       F.when(changed, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),

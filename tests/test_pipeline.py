@@ -49,3 +49,17 @@ def test_rewrite_partitioned_keeps_ids(spark):
     assert sorted(r[0] for r in t.select("measurement_id").collect()) == \
         sorted(r[0] for r in c.measurement.select("measurement_id").collect())
     assert "measured_month" in t.columns
+
+
+def test_alert_status_refresh_and_per_sensor_bound(spark):
+    from aerolith.operators import facts, runs
+    c = core(spark, SF_SMALL)
+    a = A.alerts(c)
+    fact = facts.load_alert_facts(c, a, SC.dim_location_first_load(c))
+    reviewed = SC.reviewed_alerts(c)
+    fresh = facts.refresh_alert_status(fact, reviewed)
+    assert fresh.count() == fact.count()
+    assert fresh.filter("alert_status <> 'open'").count() > 0
+    assert fact.filter("alert_status <> 'open'").count() == 0
+    b = runs.lower_bound_per_sensor(c.measurement)
+    assert b.count() == c.measurement.select("sensor_id").distinct().count()

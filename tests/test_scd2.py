@@ -34,3 +34,23 @@ def test_inactive_source_stays_current(spark):
     d2 = scd2.sync_locations(gone, d1, "2024-03-01 00:00:00")
     assert d2.filter(~F.col("is_current")).count() == 0
     assert d2.count() == d1.count()
+
+
+def test_close_inactive_option(spark):
+    c = core(spark, SF_SMALL)
+    d1 = SC.dim_location_first_load(c)
+    gone = c.location.withColumn("is_active", F.lit(False))
+    src = scd2.location_source(gone)
+    d2 = scd2.scd2_sync(src, d1, "location_id", "source_location_id", scd2.LOCATION_TRACKED,
+                        scd2.LOCATION_TRACKED, "2024-03-01 00:00:00", close_inactive=True)
+    assert d2.filter("is_current").count() == 0
+    assert d2.count() == d1.count()
+
+
+def test_null_marker_separates_swapped_nulls(spark):
+    from aerolith.functions import scalars as S
+    df = spark.createDataFrame([(None, "x"), ("x", None)], "a string, b string")
+    plain = {r[0] for r in df.select(S.row_hash("a", "b")).collect()}
+    marked = {r[0] for r in df.select(S.row_hash(*[F.coalesce("a", F.lit("\\u0000")), F.coalesce("b", F.lit("\\u0000"))]))
+              .collect()}
+    assert len(plain) == 1 and len(marked) == 2
