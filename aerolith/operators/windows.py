@@ -8,9 +8,9 @@ so a hot series gets narrow chunks and a sparse one a single chunk; a
 calendar bucket can be passed instead). Window functions run per
 (series, chunk); the rows they need from neighbouring chunks (the last
 ``before`` rows of earlier chunks, the first ``after`` rows of later ones) are
-copied in as *halo* rows and dropped afterwards. Halo rows come from a
-per-chunk ranking over chunk summaries (one row per series and chunk), so no
-step ever holds a whole series.
+copied in as *halo* rows and dropped afterwards. Chunks are numbered by a
+ranking over chunk summaries (one row per series and chunk), so no step ever
+holds a whole series.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql.window import Window, WindowSpec
 
 
 TARGET_ROWS = 1_000_000
+_COPIES = "array<struct<t:int,h:boolean>>"
 
 
 def with_chunks(df: DataFrame, key: list[str], ts: str, chunk=None, target_rows: int | None = None) -> DataFrame:
@@ -53,32 +54,28 @@ def sequence_window(df: DataFrame, key: list[str], order: list[str], before: int
     """Apply ``compute(frame, w)`` where ``w`` orders each series by ``order``
     and may look ``before`` rows back and ``after`` rows ahead.
 
+    One pass: every row is emitted for its own chunk, and the last ``before``
+    rows of a chunk (first ``after`` rows) are also emitted as halo rows for
+    the next ``before`` (previous ``after``) chunks, all by one ``explode``.
+    A chunk may receive more halo rows than needed; they sit further away in
+    the order than the window reaches, so they change nothing.
     ``order`` must be unique within a series (add a tie-break column).
     """
     b = _ranked(df, key, chunk, order[0])
     cols = df.columns
     in_chunk = Window.partitionBy(*key, "__chunk")
-    parts = [b.select(*cols, F.col("__crank").alias("__target"), F.lit(False).alias("__halo"))]
+    b = b.withColumn("__rd", F.row_number().over(in_chunk.orderBy(*[F.desc(c) for c in order]))) \
+        .withColumn("__ra", F.row_number().over(in_chunk.orderBy(*order)))
+    target = lambda t, halo: F.struct(t.alias("t"), F.lit(halo).alias("h"))
+    copies = F.array(target(F.col("__crank"), False))
     if before > 0:
-        tail = b.withColumn("__r", F.row_number().over(in_chunk.orderBy(*[F.desc(c) for c in order])))
-        tail = tail.filter(F.col("__r") <= before).withColumn(
-            "__step", F.explode(F.sequence(F.lit(1), F.lit(before))))
-        tail = tail.withColumn("__target", F.col("__crank") + F.col("__step"))
-        # only the `before` latest candidates matter for each target chunk
-        tw = Window.partitionBy(*key, "__target").orderBy(*[F.desc(c) for c in order])
-        tail = tail.withColumn("__r2", F.row_number().over(tw)).filter(F.col("__r2") <= before)
-        parts.append(tail.select(*cols, "__target", F.lit(True).alias("__halo")))
+        fwd = F.transform(F.sequence(F.lit(1), F.lit(before)), lambda k: target(F.col("__crank") + k, True))
+        copies = F.concat(copies, F.when(F.col("__rd") <= before, fwd).otherwise(F.array().cast(_COPIES)))
     if after > 0:
-        head = b.withColumn("__r", F.row_number().over(in_chunk.orderBy(*order)))
-        head = head.filter(F.col("__r") <= after).withColumn(
-            "__step", F.explode(F.sequence(F.lit(1), F.lit(after))))
-        head = head.withColumn("__target", F.col("__crank") - F.col("__step"))
-        hw = Window.partitionBy(*key, "__target").orderBy(*order)
-        head = head.withColumn("__r2", F.row_number().over(hw)).filter(F.col("__r2") <= after)
-        parts.append(head.select(*cols, "__target", F.lit(True).alias("__halo")))
-    ctx = parts[0]
-    for p in parts[1:]:
-        ctx = ctx.unionByName(p)
+        back = F.transform(F.sequence(F.lit(1), F.lit(after)), lambda k: target(F.col("__crank") - k, True))
+        copies = F.concat(copies, F.when(F.col("__ra") <= after, back).otherwise(F.array().cast(_COPIES)))
+    ctx = b.select(*cols, F.explode(copies).alias("__c")) \
+        .select(*cols, F.col("__c.t").alias("__target"), F.col("__c.h").alias("__halo"))
     w = Window.partitionBy(*key, "__target").orderBy(*order)
     out = compute(ctx, w)
     return out.filter(~F.col("__halo")).drop("__target", "__halo")
