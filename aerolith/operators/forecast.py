@@ -26,14 +26,15 @@ TWO_PI = 2 * math.pi
 
 
 def regular_grid(series: DataFrame, keys: list[str], ts: str, value: str, step: str,
-                 with_position: bool = False) -> DataFrame:
+                 with_position: bool = False, min_points: int = 1) -> DataFrame:
     """Grid rows from first to last point of each series, step ``step``
     (e.g. '1 hour', '1 day'); missing values linearly interpolated (equal
     spacing, so position and time interpolation agree). Adds ``is_observed``;
     ``with_position`` also keeps each point's position and the grid length
     (straight from ``posexplode``/``size``, no ranking window)."""
     s = series.select(*keys, ts, value).where(F.col(value).isNotNull())
-    b = s.groupBy(*keys).agg(F.min(ts).alias("__lo"), F.max(ts).alias("__hi"))
+    b = s.groupBy(*keys).agg(F.min(ts).alias("__lo"), F.max(ts).alias("__hi"), F.count(F.lit(1)).alias("__obs"))
+    b = b.filter(F.col("__obs") >= min_points)  # short series: no grid (and no forecast)
     seq = F.sequence("__lo", "__hi", F.expr(f"INTERVAL {step}"))
     grid = b.select(*keys, F.size(seq).alias("grid_n"), F.posexplode(seq).alias("grid_pos", ts))
     g = grid.join(s, [*keys, ts], "left")
@@ -99,9 +100,8 @@ def hourly_forecast(hourly: DataFrame, keys: list[str], horizon_hours: int = 72,
     """M9: per series fit on the hourly grid; forecast the next ``horizon_hours``
     hours after the last point; hour-of-day seasonality; clipped at 0;
     series with fewer than ``min_points`` observed hours get no forecast."""
-    obs = hourly.groupBy(*keys).agg(F.count(value).alias("__obs"))
-    ok = hourly.join(obs.filter(F.col("__obs") >= min_points).select(*keys), keys, "left_semi")
-    grid = regular_grid(ok, keys, ts, value, "1 hour", with_position=True)
+    grid = regular_grid(hourly, keys, ts, value, "1 hour", with_position=True,
+                        min_points=min_points)
     coef = fit(grid, keys, ts, value, 24.0, F.hour(ts).cast("double"))
     fut = coef.select(*keys, "n", "c0", "c1", "c2", "c3", "last_at",
                       F.explode(F.sequence(F.lit(1), F.lit(horizon_hours))).alias("__k"))
@@ -119,9 +119,8 @@ def daily_forecast(daily: DataFrame, keys: list[str], horizon_days: int = 14, mi
     """Per series fit on the daily grid with day-of-year seasonality
     (period 365.25 d); values over the whole history plus ``horizon_days``
     days; clipped at 0; fewer than ``min_points`` days -> no forecast."""
-    obs = daily.groupBy(*keys).agg(F.count(value).alias("__obs"))
-    ok = daily.join(obs.filter(F.col("__obs") >= min_points).select(*keys), keys, "left_semi")
-    grid = regular_grid(ok, keys, ts, value, "1 day", with_position=True)
+    grid = regular_grid(daily, keys, ts, value, "1 day", with_position=True,
+                        min_points=min_points)
     coef = fit(grid, keys, ts, value, 365.25, F.dayofyear(ts).cast("double"))
     fut = coef.select(*keys, "n", "c0", "c1", "c2", "c3", "first_at",
                       F.explode(F.sequence(F.lit(0), (F.col("n") - 1 + horizon_days).cast("int"))).alias("__k"))

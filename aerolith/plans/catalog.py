@@ -363,7 +363,7 @@ JOIN parameter p ON p.parameter_id = s.parameter_id
 def _fact_alert(spark, sf):
     """Alert facts on the current location version."""
     c = core(spark, sf)
-    f = facts.load_alert_facts(c, A.alerts(c), SC.dim_location_first_load(c))
+    f = facts.load_alert_facts(c, SC.stored_alerts(c), SC.dim_location_first_load(c))
     return f.drop("location_key")
 
 
@@ -562,7 +562,7 @@ def _date_bounds(spark, sf):
     """Bounds across readings, alerts and runs."""
     c = core(spark, sf)
     return R.date_bounds({"readings": (c.measurement, "measured_at"),
-                          "alerts": (A.alerts(c), "generated_at"),
+                          "alerts": (SC.stored_alerts(c), "generated_at"),
                           "runs": (_runs(c), "started_at")})
 
 
@@ -891,14 +891,15 @@ UNION ALL SELECT 'C9_fact_grain', 'fact_air_quality_measurement',
 def _dq_duplicates(spark, sf):
     """Duplicate keys per unique constraint (incl. partial unique on is_current)."""
     c = core(spark, sf)
-    dl, ds = SC.dim_location_history(c), SC.dim_sensor_history(c)
+    # shared by several checks: computed once, lineage cut in the shared folder
+    dl, ds = SC.dim_location_history(c).checkpoint(), SC.dim_sensor_history(c).checkpoint()
     checks = [
         ("C9_parameter_code", "parameter", c.parameter, ["code"], None),
         ("C9_location_source_id", "location", c.location, ["openaq_location_id"], None),
         ("C9_sensor_source_id", "sensor", c.sensor, ["openaq_sensor_id"], None),
         ("C9_reading_sensor_time", "measurement_raw", c.measurement, ["sensor_id", "measured_at"], None),
         ("C9_rule_key", "threshold_rule", c.threshold_rule, ["parameter_id", "city", "warning_level"], None),
-        ("C9_alert_reading_rule", "pollution_alert", A.alerts(c), ["measurement_id", "threshold_rule_id"], None),
+        ("C9_alert_reading_rule", "pollution_alert", SC.stored_alerts(c), ["measurement_id", "threshold_rule_id"], None),
         ("C9_one_current_location", "dim_location", dl, ["source_location_id"], "is_current"),
         ("C9_location_version", "dim_location", dl, ["source_location_id", "valid_from"], None),
         ("C9_one_current_sensor", "dim_sensor", ds, ["source_sensor_id"], "is_current"),
@@ -932,7 +933,7 @@ UNION ALL SELECT 'C10_customer_without_nation', 'customer',
 def _dq_orphans(spark, sf):
     """References without a parent (left anti counts)."""
     c = core(spark, sf)
-    a = A.alerts(c)
+    a = SC.stored_alerts(c)
     checks = [
         ("C10_sensor_location", "sensor", c.sensor, c.location, ["location_id"], ["location_id"]),
         ("C10_sensor_parameter", "sensor", c.sensor, c.parameter, ["parameter_id"], ["parameter_id"]),
@@ -984,6 +985,8 @@ def _dw_verify(spark, sf):
     d1 = scd2.sync_locations(SC.location_snapshot_1(c.location), d0, SC.AS_OF_1)
     d2 = scd2.sync_locations(SC.location_snapshot_2(c.location), d1, SC.AS_OF_2)
     f1 = facts.load_measurement_facts(c, d1, SC.dim_sensor_first_load(c))
+    # every check below reads these: compute them once, cut lineage in the shared folder
+    d1, d2, f1 = d1.checkpoint(), d2.checkpoint(), f1.checkpoint()
     dd = dims.dim_date(spark).select("date_key")
     n = lambda name, df: df.agg(F.count(F.lit(1)).cast("bigint").alias("value")).select(
         F.lit(name).alias("check_name"), "value")
@@ -1025,7 +1028,7 @@ def _rowcount_audit(spark, sf):
     c = core(spark, sf)
     return QL.rowcount_audit({"parameter": c.parameter, "location": c.location, "sensor": c.sensor,
                               "measurement_raw": c.measurement, "threshold_rule": c.threshold_rule,
-                              "pollution_alert": A.alerts(c), "fact_air_quality_measurement": published_fact(c)})
+                              "pollution_alert": SC.stored_alerts(c), "fact_air_quality_measurement": published_fact(c)})
 
 
 # --- bronze: landing, parsing, scope, first writer, upserts -----------------
@@ -1418,7 +1421,7 @@ def _etl_load_counts(spark, sf):
     """First whole load into an empty warehouse; the five counts."""
     c = core(spark, sf)
     root = scratch_path(spark, "warehouse", uuid.uuid4().hex[:12])
-    n = PL.run_etl(spark, c, root, A.alerts(c), SC.AS_OF_1)
+    n = PL.run_etl(spark, c, root, SC.stored_alerts(c), SC.AS_OF_1)
     return spark.createDataFrame([tuple(int(n[k]) for k in ("parameters", "locations", "sensors", "readings",
                                                            "alerts"))],
                                  "parameters long, locations long, sensors long, readings long, alerts long")
@@ -1467,7 +1470,7 @@ SELECT pollution_alert_id, measurement_measured_at FROM alerts
 def _alert_time_backfill(spark, sf):
     """Alert rows missing their reading time get it from the reading by id."""
     c = core(spark, sf)
-    a = A.alerts(c)
+    a = SC.stored_alerts(c)
     blank = a.withColumn("measurement_measured_at",
                          F.when(F.col("pollution_alert_id") % 2 == 0, F.col("measurement_measured_at")))
     out = dims.backfill_from_parent(blank, c.measurement, ["measurement_id"], ["measurement_id"],

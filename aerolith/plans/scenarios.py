@@ -72,13 +72,27 @@ def review_commands(alerts_df: DataFrame) -> DataFrame:
         F.timestamp_add("HOUR", F.lit(2), F.col("generated_at")).alias("command_at"))
 
 
+def stored_alerts(core) -> DataFrame:
+    """The alert table as ingest stores it (T4 output, generated once into the
+    shared folder); reads, reviews and audits scan it instead of re-running
+    the trigger join in every plan."""
+    import hashlib
+    import os
+
+    from aerolith.session import code_version, scratch_path
+    from aerolith.sources import driver_tables, store
+    h = hashlib.sha1(os.path.abspath(core.sf_dir).encode()).hexdigest()[:16]
+    root = scratch_path(core.spark, "alerts-published", f"{h}-{code_version(driver_tables, A)}")
+    return core.spark.read.parquet(store.publish_once(core.spark, root, lambda: A.alerts(core)))
+
+
 def reviewed_alerts(core) -> DataFrame:
-    a = A.alerts(core)
+    a = stored_alerts(core)
     return A.review_alerts(a, A.valid_review_commands(review_commands(a)))
 
 
 def outbox(core) -> DataFrame:
-    a = A.alerts(core)
+    a = stored_alerts(core)
     r = A.review_alerts(a, A.valid_review_commands(review_commands(a)))
     return A.outbox_events(None, a).unionByName(A.outbox_events(a, r))
 
@@ -110,7 +124,7 @@ def _warehouse_root(core, key) -> str:
         v = code_version(driver_tables, facts, scd2_mod, alerts, PL)
         root = scratch_path(core.spark, "warehouse-published", f"{h}-{v}")
         if PL.read_manifest(core.spark, root) is None:
-            PL.run_etl(core.spark, core, root, A.alerts(core), AS_OF_1)
+            PL.run_etl(core.spark, core, root, stored_alerts(core), AS_OF_1)
         _PUBLISHED[key] = (core, root)
     return _PUBLISHED[key][1]
 

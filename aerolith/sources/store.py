@@ -32,3 +32,18 @@ def read_marker(spark: SparkSession, path: str) -> str | None:
     except AnalysisException:
         return None
     return None if row is None else row[0]
+
+
+def publish_once(spark: SparkSession, root: str, build, fmt: str = "parquet") -> str:
+    """Build a table into ``root/run-<id>`` unless a published one exists;
+    the marker naming the run folder is written last. Returns the folder."""
+    import os
+    import uuid
+    marker = os.path.join(root, "_published")
+    with PUBLISH_LOCK:
+        path = read_marker(spark, marker)
+        if path is None:
+            path = os.path.join(root, f"run-{uuid.uuid4().hex[:12]}")
+            build().write.mode("overwrite").format(fmt).save(path)
+            write_marker(spark, marker, path)
+    return path
