@@ -68,9 +68,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+# Sub-folder of the shared folder that published stores go to. Empty: stores
+# are shared by every session; the bench sets a fresh one so each run
+# measures the ingest instead of reusing an earlier run's stores.
+STORE_NAMESPACE = ""
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A sub-folder of the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), *parts)
+    base = checkpoint_dir(spark)
+    if STORE_NAMESPACE:
+        base = os.path.join(base, STORE_NAMESPACE)
+    return os.path.join(base, *parts)
 
 
 def code_version(*modules) -> str:
