@@ -197,3 +197,13 @@ def test_scope_by_parameter_membership(spark):
     df = spark.createDataFrame(rows, "id int, city string, name string, parameter_code string")
     got = sorted(r.id for r in B.in_scope(df, cities=["budapest"], parameters=["pm25"]).collect())
     assert got == [1, 3]  # case-insensitive, substring over the joined place text
+
+
+def test_split_by_rules_quarantines_with_reasons(spark):
+    df = spark.createDataFrame([(1, " ", 12.0), (2, "ug/m3", -5000.0), (3, "ug/m3", 5.0)],
+                               "id int, unit string, value double")
+    rules = {k: QL.ROW_RULES["measurement_raw"][k] for k in ("C1_unit_not_blank", "C4_value_range")}
+    good, bad = QL.split_by_rules(df, rules)
+    assert [r.id for r in good.collect()] == [3]
+    assert sorted((r.id, tuple(r.broken_rules)) for r in bad.collect()) == \
+        [(1, ("C1_unit_not_blank",)), (2, ("C4_value_range",))]
