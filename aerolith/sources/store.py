@@ -27,11 +27,13 @@ def write_marker(spark: SparkSession, path: str, text: str) -> None:
 
 
 def read_marker(spark: SparkSession, path: str) -> str | None:
+    """The published value, or None when absent or being rewritten by another
+    process (the caller then builds its own run folder: wasteful, never wrong)."""
     try:
         row = spark.read.text(path).first()
-    except AnalysisException:
+    except Exception:  # noqa: BLE001 - missing, or replaced while listing
         return None
-    return None if row is None else row[0]
+    return None if row is None or not row[0] else row[0]
 
 
 def publish_once(spark: SparkSession, root: str, build, fmt: str = "parquet") -> str:
