@@ -808,14 +808,17 @@ BACKTEST_SQL = FEATS_SQL + f"""
 
 
 @register("predictions_vs_actual", BACKTEST_SQL + """
-SELECT source_location_id, source_sensor_id, parameter_code, target_measured_at, predicted_value, model_name,
-       model_version, created_at, risk_class_label, actual_value, absolute_error
-FROM pva ORDER BY target_measured_at DESC, created_at DESC, source_sensor_id LIMIT 200
+SELECT pva.source_location_id, l.city, l.name AS location_name, source_sensor_id, parameter_code,
+       target_measured_at, predicted_value, model_name, model_version, created_at, risk_class_label,
+       actual_value, absolute_error
+FROM pva JOIN cur_loc l ON l.location_id = pva.source_location_id
+ORDER BY target_measured_at DESC, created_at DESC, source_sensor_id LIMIT 200
 """)
 def _predictions_vs_actual(spark, sf):
     """Newest 200 predictions with the matching actual and error."""
     c = core(spark, sf)
-    return FT.predictions_vs_actual(_backtest(c), published_fact(c), limit=200)
+    return FT.predictions_vs_actual(_backtest(c), published_fact(c), scd2.current(SC.published(c, "dim_location")),
+                                    limit=200)
 
 
 @register("error_metrics", BACKTEST_SQL + """

@@ -63,3 +63,20 @@ def test_alert_status_refresh_and_per_sensor_bound(spark):
     assert fact.filter("alert_status <> 'open'").count() == 0
     b = runs.lower_bound_per_sensor(c.measurement)
     assert b.count() == c.measurement.select("sensor_id").distinct().count()
+
+
+def test_prediction_list_filters(spark):
+    from aerolith.operators import features as FT
+    from aerolith.operators import scd2
+    c = core(spark, SF_SMALL)
+    fact = SC.published(c, "fact_measurement")
+    locs = scd2.current(SC.published(c, "dim_location"))
+    f = FT.features(FT.star_rows(fact, spark))
+    preds = FT.prediction_rows(f, FT.fixed_linear_score(f), "fixed_linear", "2024-02-01 00:00:00")
+    some = FT.predictions_vs_actual(preds, fact, locs, limit=None).first()
+    out = FT.predictions_vs_actual(preds, fact, locs, city=some.city, location=some.location_name,
+                                   parameter=some.parameter_code, limit=None)
+    rows = out.collect()
+    assert rows and all((r.city, r.location_name, r.parameter_code) ==
+                        (some.city, some.location_name, some.parameter_code) for r in rows)
+    assert all(r.actual_value is not None for r in rows)  # backtest targets are real readings
