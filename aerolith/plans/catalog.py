@@ -6,13 +6,31 @@ whole input tables. Column names match the oracle SQL exactly.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from aerolith.plans.oracle import q
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from aerolith.functions import scalars as S
+from aerolith.operators import alerts as A
+from aerolith.operators import dims, facts, scd2, reads
+from aerolith.operators import features as FT
+from aerolith.operators import forecast as FC
+from aerolith.operators import ml as ML
+from aerolith.operators import quality as QL
+from aerolith.operators import reports as R
+from aerolith.operators import runs as RN
+from aerolith.operators.filters import all_option, day_range
+from aerolith.plans import pipeline as PL
+from aerolith.plans import scenarios as SC
+from aerolith.plans.oracle import ALERTS, FIRST_LOAD, LOC_HIST, SEN_HIST, q
+from aerolith.session import scratch_path
+from aerolith.sources import bronze as B
+from aerolith.sources import seeds as SD
 from aerolith.sources.driver_tables import core
-from aerolith.operators import reads
+from aerolith.streaming import jobs as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -95,15 +113,6 @@ def _station_series(spark, sf):
 
 # --- warehouse: dims, SCD2, facts ------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql.window import Window  # noqa: E402
-
-from aerolith.functions import scalars as S  # noqa: E402
-from aerolith.operators import alerts as A  # noqa: E402
-from aerolith.operators import dims, facts, scd2  # noqa: E402
-from aerolith.plans import scenarios as SC  # noqa: E402
-from aerolith.plans.oracle import ALERTS, FIRST_LOAD, LOC_HIST, SEN_HIST  # noqa: E402
-
 
 def first_load_fact(c):
     """E7 computed in the plan (used by the queries that test the load itself)."""
@@ -386,8 +395,6 @@ def _alerts_list(spark, sf):
 
 # --- runs, reports, gaps ---------------------------------------------------
 
-from aerolith.operators import reports as R  # noqa: E402
-from aerolith.operators import runs as RN  # noqa: E402
 
 RUNS_SQL = """
 , run_day AS (SELECT ingestion_run_id, count(*) AS n, min(measured_at) AS started_at,
@@ -552,7 +559,7 @@ def _records_per_day(spark, sf):
     return R.records_per_day(core(spark, sf).measurement)
 
 
-@register("date_bounds", ALERTS + RUNS_SQL.replace("\n, run_day", "\n, run_day", 1) + """
+@register("date_bounds", ALERTS + RUNS_SQL + """
 , u AS (SELECT CAST(measured_at AS DATE) AS d FROM m
         UNION ALL SELECT CAST(generated_at AS DATE) FROM alerts
         UNION ALL SELECT CAST(started_at AS DATE) FROM runs)
@@ -678,7 +685,6 @@ def _date_rollup(spark, sf):
 
 # --- features, split, predictions ------------------------------------------
 
-from aerolith.operators import features as FT  # noqa: E402
 
 FEATS_SQL = FIRST_LOAD + """
 , star AS (SELECT f.*, CAST(isodow(measured_at) AS INTEGER) AS weekday, CAST(month(measured_at) AS INTEGER) AS month,
@@ -836,8 +842,6 @@ def _error_metrics(spark, sf):
 
 # --- quality rules and warehouse checks ------------------------------------
 
-from aerolith.operators import quality as QL  # noqa: E402
-
 
 def _quality_tables(c):
     a = SC.reviewed_alerts(c)
@@ -1036,8 +1040,6 @@ def _rowcount_audit(spark, sf):
 
 # --- bronze: landing, parsing, scope, first writer, upserts -----------------
 
-from aerolith.sources import bronze as B  # noqa: E402
-
 
 def _measurement_pages(c):
     return B.land_once(c.spark, B.measurement_pages(c.raw("events"), c.parameter), f"m-{id(c)}")
@@ -1251,8 +1253,6 @@ def _default_rules(spark, sf):
 
 # --- streaming ---------------------------------------------------------------
 
-from aerolith.streaming import jobs as ST  # noqa: E402
-
 
 def _landing_path(c):
     _measurement_pages(c)
@@ -1311,8 +1311,6 @@ def _stream_dedupe(spark, sf):
 
 # --- grid interpolation and forecasts ----------------------------------------
 
-from aerolith.operators import forecast as FC  # noqa: E402
-
 
 def _hourly_means(c):
     return R.hourly_mean(reads.hourly_series(c, limit=None, decimal_mean=True)).select(
@@ -1367,9 +1365,6 @@ def _forecast_daily(spark, sf):
 
 # --- Spark ML train / select / save / load / score ----------------------------
 
-from aerolith.operators import ml as ML  # noqa: E402
-from aerolith.session import scratch_path  # noqa: E402
-
 
 _TRAINED: dict = {}
 
@@ -1406,10 +1401,6 @@ def _ml_train_predict(spark, sf):
 
 # --- whole load, seeds, rewrite, back-fill, dashboard filter, caps --------------
 
-from aerolith.plans import pipeline as PL  # noqa: E402
-from aerolith.sources import seeds as SD  # noqa: E402
-import uuid  # noqa: E402
-
 
 @register("etl_load_counts", ALERTS + FIRST_LOAD + """
 SELECT (SELECT count(*) FROM parameter) AS parameters,
@@ -1490,16 +1481,11 @@ WHERE parameter_code = 'purchase'
 def _dashboard_view(spark, sf):
     """Dashboard filter: city 'All', one parameter, day range [start, end + 1 day)."""
     r = reads.readings(core(spark, sf))
-    r = R_all(r)
-    return r.select("measured_at", "city", "location_name", "parameter_code",
-                    F.col("value").cast("double").alias("value"))
-
-
-def R_all(r):
-    from aerolith.operators.filters import all_option, day_range
     r = all_option(r, "city", "All")
     r = all_option(r, "parameter_code", "purchase")
-    return day_range(r, "measured_at", "2024-01-03", "2024-01-10")
+    r = day_range(r, "measured_at", "2024-01-03", "2024-01-10")
+    return r.select("measured_at", "city", "location_name", "parameter_code",
+                    F.col("value").cast("double").alias("value"))
 
 
 @register("location_scope_capped", """
