@@ -1041,8 +1041,20 @@ def _rowcount_audit(spark, sf):
 # --- bronze: landing, parsing, scope, first writer, upserts -----------------
 
 
+def _landing_name(c, kind: str) -> str:
+    """Landing folder of the session's derived pages: keyed by the input
+    folder and the code that builds the pages (never by a process-local id)."""
+    import hashlib
+    import os
+
+    from aerolith.session import code_version
+    from aerolith.sources import driver_tables
+    h = hashlib.sha1(os.path.abspath(c.sf_dir).encode()).hexdigest()[:16]
+    return f"{kind}-{h}-{code_version(B, driver_tables)}"
+
+
 def _measurement_pages(c):
-    return B.land_once(c.spark, B.measurement_pages(c.raw("events"), c.parameter), f"m-{id(c)}")
+    return B.land_once(c.spark, B.measurement_pages(c.raw("events"), c.parameter), _landing_name(c, "m"))
 
 
 def _parsed_measurements(c):
@@ -1086,7 +1098,7 @@ def _json_props_parse(spark, sf):
 
 
 def _location_records(c):
-    pages = B.land_once(c.spark, B.location_pages(c.location, c.sensor, c.parameter), f"l-{id(c)}")
+    pages = B.land_once(c.spark, B.location_pages(c.location, c.sensor, c.parameter), _landing_name(c, "l"))
     return pages
 
 
@@ -1104,7 +1116,8 @@ WHERE lower(concat_ws(' ', city, name)) LIKE '%nation_1%'
 def _location_scope(spark, sf):
     """S3 + F2/F3 + S7: parsed location pages in the city scope (substring match)."""
     pages = _location_records(core(spark, sf))
-    locs = B.parse_locations(B.unnest(pages.filter(F.col("endpoint") == "/v3/locations"), B.LOCATION_JSON))
+    locs = B.distinct_locations(
+        B.parse_locations(B.unnest(pages.filter(F.col("endpoint") == "/v3/locations"), B.LOCATION_JSON)))
     return B.in_scope(locs, cities=["Nation_1", "NATION_22"]).select("location_id", "name", "city", "country")
 
 
@@ -1176,7 +1189,8 @@ def _upsert_location(spark, sf):
     first_seen_at kept, last_seen_at = now, is_active = true."""
     c = core(spark, sf)
     pages = _location_records(c)
-    locs = B.parse_locations(B.unnest(pages.filter(F.col("endpoint") == "/v3/locations"), B.LOCATION_JSON))
+    locs = B.distinct_locations(
+        B.parse_locations(B.unnest(pages.filter(F.col("endpoint") == "/v3/locations"), B.LOCATION_JSON)))
     now = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
     new = locs.select("location_id", "name", "city", "country", "latitude", "longitude",
                       now.alias("first_seen_at"), now.alias("last_seen_at"), F.lit(True).alias("is_active"))
@@ -1256,7 +1270,7 @@ def _default_rules(spark, sf):
 
 def _landing_path(c):
     _measurement_pages(c)
-    return B.landing_dir(c.spark, f"m-{id(c)}")
+    return B.landing_dir(c.spark, _landing_name(c, "m"))
 
 
 @register("stream_hourly", """
@@ -1391,7 +1405,7 @@ def _ml_train_predict(spark, sf):
     """M3-M8 + S16 + E9: train, pick, save, reload, score the latest inputs, build prediction rows."""
     c = core(spark, sf)
     model, metrics = _train(c)
-    path = scratch_path(spark, "models", f"m-{id(c)}")
+    path = scratch_path(spark, "models", uuid.uuid4().hex[:12])
     ML.save(model, metrics, path, FT.MODEL_VERSION, CREATED_AT)
     loaded, bundle = ML.load(spark, path)
     scored = ML.score(loaded, _inputs(c))
@@ -1499,7 +1513,8 @@ ORDER BY location_id LIMIT 50
 def _location_scope_capped(spark, sf):
     """S7 + S8: in-scope locations from the pages, capped to the first 50 in page order."""
     pages = _location_records(core(spark, sf))
-    locs = B.parse_locations(B.unnest(pages.filter(F.col("endpoint") == "/v3/locations"), B.LOCATION_JSON))
+    locs = B.distinct_locations(
+        B.parse_locations(B.unnest(pages.filter(F.col("endpoint") == "/v3/locations"), B.LOCATION_JSON)))
     return B.first_n(B.in_scope(locs, cities=["nation_2"]), ["location_id"], 50).select("location_id", "name",
                                                                                         "city")
 

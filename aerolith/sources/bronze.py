@@ -106,9 +106,10 @@ def measurement_pages(events: DataFrame, parameter: DataFrame, sensor_factor: in
 
 
 def location_pages(location: DataFrame, sensor: DataFrame, parameter: DataFrame) -> DataFrame:
-    """Locations as API pages (one location per page) with embedded sensors;
-    locations whose key is 0 mod 4 carry no embedded sensors, so their
-    sensors come from separate sensor pages (S4 fallback)."""
+    """Locations as API pages with embedded sensors (a location with many
+    sensors spans several pages, each repeating the location); locations
+    whose key is 0 mod 4 carry no embedded sensors, so their sensors come
+    from separate sensor pages (S4 fallback)."""
     p = parameter.select("parameter_id", "code", "display_name")
     s = sensor.join(p, "parameter_id").select(
         "location_id", "sensor_id",
@@ -117,8 +118,15 @@ def location_pages(location: DataFrame, sensor: DataFrame, parameter: DataFrame)
                           F.col("code"), F.col("display_name").alias("displayName"),
                           F.col("unit").alias("units"), F.lit(None).cast("string").alias("unit"),
                           F.lit(None).cast("string").alias("description")).alias("parameter")).alias("s"))
-    per_loc = s.groupBy("location_id").agg(F.sort_array(F.collect_list(F.struct("sensor_id", "s"))).alias("ss"))
-    loc = location.join(per_loc, "location_id", "left")
+    # A location's sensors are paged like readings: blocks of about PAGE_SIZE
+    # (by a hash of the sensor id, block count from the location's sensor
+    # count), so no collected list grows with a hot location.
+    cnt = s.groupBy("location_id").agg(F.count(F.lit(1)).alias("__n"))
+    s = s.join(cnt, "location_id").withColumn(
+        "__block", F.pmod(F.xxhash64("sensor_id"), F.ceil(F.col("__n") / PAGE_SIZE)).cast("int"))
+    per_loc = s.groupBy("location_id", "__block").agg(
+        F.sort_array(F.collect_list(F.struct("sensor_id", "s"))).alias("ss"))
+    loc = location.join(per_loc, "location_id", "left").withColumn("__page", F.coalesce("__block", F.lit(0)) + 1)
     embedded = F.when(F.col("location_id") % 4 != 0, F.transform("ss", lambda x: x["s"]))
     rec = F.struct(
         F.col("location_id").alias("id"),
@@ -134,12 +142,12 @@ def location_pages(location: DataFrame, sensor: DataFrame, parameter: DataFrame)
         F.lit(1).alias("run_id"), F.lit("/v3/locations").alias("endpoint"),
         F.concat(F.lit("/v3/locations/"), F.col("location_id").cast("string")).alias("url"),
         F.lit(None).cast("string").alias("params"), F.col("location_id").alias("source_id"),
-        F.lit(1).alias("page_no"), F.to_json(F.struct(F.array(rec).alias("results"))).alias("response_body"))
+        F.col("__page").alias("page_no"), F.to_json(F.struct(F.array(rec).alias("results"))).alias("response_body"))
     fallback = loc.filter(F.col("location_id") % 4 == 0).filter(F.col("ss").isNotNull()).select(
         F.lit(1).alias("run_id"), F.lit("/v3/locations/{id}/sensors").alias("endpoint"),
         F.concat(F.lit("/v3/locations/"), F.col("location_id").cast("string"), F.lit("/sensors")).alias("url"),
         F.lit(None).cast("string").alias("params"), F.col("location_id").alias("source_id"),
-        F.lit(1).alias("page_no"),
+        F.col("__page").alias("page_no"),
         F.to_json(F.struct(F.transform("ss", lambda x: x["s"]).alias("results"))).alias("response_body"))
     return loc_pages.unionByName(fallback)
 
@@ -215,6 +223,12 @@ def parse_locations(records: DataFrame) -> DataFrame:
         r["sensors"].alias("sensors"), "page_no", "position")
 
 
+def distinct_locations(locations: DataFrame) -> DataFrame:
+    """One row per location from parsed location records (a location whose
+    sensors span several pages appears once per page)."""
+    return locations.drop("sensors", "page_no", "position").dropDuplicates(["location_id"])
+
+
 def sensors_of(locations: DataFrame, sensor_pages: DataFrame | None = None) -> DataFrame:
     """Embedded sensors win; sensor pages are used only for locations
     with no embedded sensors (left anti on the location)."""

@@ -207,3 +207,20 @@ def test_split_by_rules_quarantines_with_reasons(spark):
     assert [r.id for r in good.collect()] == [3]
     assert sorted((r.id, tuple(r.broken_rules)) for r in bad.collect()) == \
         [(1, ("C1_unit_not_blank",)), (2, ("C4_value_range",))]
+
+
+def test_hot_location_sensors_are_paged(spark):
+    loc = spark.createDataFrame([(1, 1, "Big", None, "Budapest", "HU", 47.5, 19.0, "UTC")],
+                                "location_id long, openaq_location_id long, name string, locality string, "
+                                "city string, country string, latitude double, longitude double, timezone string")
+    sensors = spark.range(600).select((F.col("id") + 1000).alias("sensor_id"), F.lit(1).cast("long").alias("location_id"),
+                                      F.lit(7).alias("parameter_id"), F.lit("ug/m3").alias("unit"))
+    param = spark.createDataFrame([(7, "pm25", "PM2.5")], "parameter_id int, code string, display_name string")
+    pages = B.location_pages(loc, sensors, param)
+    recs = B.unnest(pages.filter(F.col("endpoint") == "/v3/locations"), B.LOCATION_JSON)
+    sizes = [r[0] for r in recs.select(F.size(F.col("rec")["sensors"])).collect()]
+    assert len(sizes) >= 3 and max(sizes) < 2 * B.PAGE_SIZE  # paged, no single 600-sensor record
+    locs = B.parse_locations(recs)
+    assert B.distinct_locations(locs).count() == 1
+    got = B.sensors_of(locs)
+    assert got.count() == 600 and got.select("sensor_id").distinct().count() == 600
