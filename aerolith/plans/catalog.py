@@ -671,8 +671,8 @@ def _gap_sessions(spark, sf):
 
 
 @register("date_rollup", FIRST_LOAD + """
-SELECT year(measured_at) AS year, quarter(measured_at) AS quarter, month(measured_at) AS month,
-       day(measured_at) AS day, count(*) AS readings, CAST(CAST(((2 * sum(CAST(round(measurement_value * 10000) AS HUGEINT)) * 10000 + NULLIF(count(measurement_value), 0)) // (2 * NULLIF(count(measurement_value), 0))) AS VARCHAR) || 'e-8' AS DOUBLE) AS mean_value
+SELECT CAST(year(measured_at) AS INTEGER) AS year, CAST(quarter(measured_at) AS INTEGER) AS quarter,
+       CAST(month(measured_at) AS INTEGER) AS month, CAST(day(measured_at) AS INTEGER) AS day, count(*) AS readings, CAST(CAST(((2 * sum(CAST(round(measurement_value * 10000) AS HUGEINT)) * 10000 + NULLIF(count(measurement_value), 0)) // (2 * NULLIF(count(measurement_value), 0))) AS VARCHAR) || 'e-8' AS DOUBLE) AS mean_value
 FROM fact_m GROUP BY ROLLUP (year(measured_at), quarter(measured_at), month(measured_at), day(measured_at))
 """)
 def _date_rollup(spark, sf):
@@ -1457,7 +1457,7 @@ def _seed_parameters(spark, sf):
 
 @register("partition_rewrite", """
 SELECT measured_month, count(*) AS readings, min(measurement_id) AS min_id, max(measurement_id) AS max_id,
-       sum(measurement_id) AS id_sum
+       CAST(sum(measurement_id) AS BIGINT) AS id_sum
 FROM m GROUP BY 1
 """)
 def _partition_rewrite(spark, sf):
