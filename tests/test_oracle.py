@@ -21,6 +21,10 @@ def test_every_query_has_an_oracle_or_is_declared_rows_only():
     assert set(ROWS_ONLY) == {"forecast_hourly", "forecast_daily", "ml_model_metrics", "ml_train_predict"}
 
 
+SPARK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "double": "DOUBLE",
+               "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
@@ -30,6 +34,12 @@ def test_matches_oracle(spark, con, name):
     assert ac == bc
     assert len(a) == len(b)
     assert a == b
+    # same column types on both sides
+    rel = con.sql(ORACLE[name])
+    duck_types = {c: str(t).upper() for c, t in zip(rel.columns, rel.types)}
+    spark_types = {f.name: SPARK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == duck_types
 
 
 def test_entry_smoke(spark):
