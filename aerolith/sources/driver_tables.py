@@ -180,29 +180,49 @@ class Core:
             run = store.read_marker(self.spark, done)
             if run is None:
                 run = os.path.join(root, f"run-{uuid.uuid4().hex[:12]}")
-                ev = self.raw("events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-                parameter = build_parameter(ev)
-                parameter.coalesce(1).write.mode("overwrite").parquet(os.path.join(run, "parameter"))
-                parameter = self.spark.read.parquet(os.path.join(run, "parameter"))
-                location = build_location(self.raw("customer"), self.raw("nation"), self.raw("region"))
-                location.write.mode("overwrite").parquet(os.path.join(run, "location"))
-                sensor = build_sensor(ev, parameter)
-                sensor.write.mode("overwrite").parquet(os.path.join(run, "sensor"))
-                sensor = self.spark.read.parquet(os.path.join(run, "sensor"))
-                location = self.spark.read.parquet(os.path.join(run, "location"))
-                # Month partitions; rows sorted by (sensor, time) inside each
-                # file so min/max statistics skip row groups for sensor/time filters.
-                (build_measurement(ev, parameter)
-                 .sortWithinPartitions("measured_month", "sensor_id", "measured_at")
-                 .write.mode("overwrite").partitionBy("measured_month")
-                 .parquet(os.path.join(run, "measurement")))
-                build_threshold_rule(sensor, location).write.mode("overwrite") \
-                    .parquet(os.path.join(run, "threshold_rule"))
+                self._build(run)
                 # publish last: the marker names the finished run folder
                 store.write_marker(self.spark, done, run)
         for t in self.TABLES:
             self._frames[t] = self.spark.read.parquet(os.path.join(run, t))
 
+    def _build(self, run: str) -> None:
+        """Write the core tables. Independent writes are submitted from a
+        small thread pool so Spark runs them as concurrent jobs: the parameter
+        vocabulary first, then locations, sensors and readings together, then
+        the rules (which need sensors and locations)."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        path = lambda t: os.path.join(run, t)
+        ev = self.raw("events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+        build_parameter(ev).coalesce(1).write.mode("overwrite").parquet(path("parameter"))
+        parameter = self.spark.read.parquet(path("parameter"))
+
+        def location():
+            build_location(self.raw("customer"), self.raw("nation"), self.raw("region")) \
+                .write.mode("overwrite").parquet(path("location"))
+
+        def sensor():
+            build_sensor(ev, parameter).write.mode("overwrite").parquet(path("sensor"))
+
+        def measurement():
+            # Month partitions; rows sorted by (sensor, time) inside each
+            # file so min/max statistics skip row groups for sensor/time filters.
+            (build_measurement(ev, parameter)
+             .sortWithinPartitions("measured_month", "sensor_id", "measured_at")
+             .write.mode("overwrite").partitionBy("measured_month").parquet(path("measurement")))
+
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            jobs = {name: pool.submit(fn) for name, fn in
+                    (("location", location), ("sensor", sensor), ("measurement", measurement))}
+            jobs["location"].result()
+            jobs["sensor"].result()
+            rules = pool.submit(lambda: build_threshold_rule(
+                self.spark.read.parquet(path("sensor")), self.spark.read.parquet(path("location")))
+                .write.mode("overwrite").parquet(path("threshold_rule")))
+            jobs["measurement"].result()
+            rules.result()
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in Core.TABLES:
             if name not in self._frames:
