@@ -18,7 +18,7 @@ import json
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,21 +33,34 @@ RF_MAX_MEMORY_MB = 32
 MODEL_NAMES = ("linear-regression", "random-forest")
 
 
-def pipeline(model_name: str, seed: int = 42) -> Pipeline:
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep", stringOrderType="alphabetAsc")
-           for c in CATEGORICAL]
-    ohe = OneHotEncoder(inputCols=[f"{c}__idx" for c in CATEGORICAL],
-                        outputCols=[f"{c}__ohe" for c in CATEGORICAL], dropLast=True, handleInvalid="keep")
+HASHED_KEY_FEATURES = 4096
+
+
+def pipeline(model_name: str, seed: int = 42, key_encoding: str = "onehot") -> Pipeline:
+    """``key_encoding``: 'onehot' (the reference's encoding; width grows with
+    the number of sensors) or 'hashed' (FeatureHasher, fixed width
+    ``HASHED_KEY_FEATURES`` however many sensors exist)."""
+    if key_encoding == "hashed":
+        keys = [FeatureHasher(inputCols=CATEGORICAL, categoricalCols=CATEGORICAL,
+                              numFeatures=HASHED_KEY_FEATURES, outputCol="__keys")]
+        key_cols = ["__keys"]
+    else:
+        idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep",
+                             stringOrderType="alphabetAsc") for c in CATEGORICAL]
+        ohe = OneHotEncoder(inputCols=[f"{c}__idx" for c in CATEGORICAL],
+                            outputCols=[f"{c}__ohe" for c in CATEGORICAL], dropLast=True, handleInvalid="keep")
+        keys = [*idx, ohe]
+        key_cols = [f"{c}__ohe" for c in CATEGORICAL]
     num = VectorAssembler(inputCols=NUMERIC, outputCol="__num")
     scale = StandardScaler(inputCol="__num", outputCol="__num_scaled", withMean=True, withStd=True)
-    feats = VectorAssembler(inputCols=[f"{c}__ohe" for c in CATEGORICAL] + ["__num_scaled"], outputCol="features")
+    feats = VectorAssembler(inputCols=key_cols + ["__num_scaled"], outputCol="features")
     if model_name == "linear-regression":
         est = LinearRegression(featuresCol="features", labelCol=LABEL, regParam=0.0, elasticNetParam=0.0)
     else:
         est = RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=200, minInstancesPerNode=2,
                                     featureSubsetStrategy="all", bootstrap=True, subsamplingRate=1.0,
                                     maxDepth=RF_MAX_DEPTH, maxMemoryInMB=RF_MAX_MEMORY_MB, seed=seed)
-    return Pipeline(stages=[*idx, ohe, num, scale, feats, est])
+    return Pipeline(stages=[*keys, num, scale, feats, est])
 
 
 def _cast(df: DataFrame) -> DataFrame:
@@ -55,7 +68,7 @@ def _cast(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c in NUMERIC else F.col(c) for c in df.columns])
 
 
-def evaluate(split_frame: DataFrame) -> tuple[PipelineModel, DataFrame]:
+def evaluate(split_frame: DataFrame, key_encoding: str = "onehot") -> tuple[PipelineModel, DataFrame]:
     """M4-M6 on a frame with ``split`` = train/test. Returns the chosen model
     and a metrics frame (one row per candidate, ``chosen`` flag)."""
     data = _cast(split_frame)
@@ -65,7 +78,7 @@ def evaluate(split_frame: DataFrame) -> tuple[PipelineModel, DataFrame]:
     rows, best, best_mae, models = [], None, None, {}
     n_train, n_test = train.count(), test.count()
     for name in MODEL_NAMES:
-        model = pipeline(name).fit(train)
+        model = pipeline(name, key_encoding=key_encoding).fit(train)
         pred = model.transform(test)
         ev = RegressionEvaluator(labelCol=LABEL, predictionCol="prediction")
         mae = ev.setMetricName("mae").evaluate(pred)
