@@ -22,6 +22,8 @@ ALERT_STATUSES = ["open", "reviewed", "closed"]
 OUTBOX_EVENT_TYPES = ["created", "status_changed"]
 PARTS_OF_DAY = ["night", "morning", "afternoon", "evening"]
 DEFAULT_UNIT = "ug/m3"
+UNKNOWN_UNIT = "unknown"          # unit when a payload names none
+LOCATION_NAME_PREFIX = "OpenAQ location"  # default name: '<prefix> <source id>'
 VALUE_OPEN_MIN = -1000      # C4: value > -1000
 VALUE_OPEN_MAX = 100000     # C4: value < 100000
 ERROR_TEXT_CAP = 4000
@@ -32,9 +34,10 @@ def col_(c) -> Column:
 
 
 def blank_to_null(c) -> Column:
-    """'' (after trim) becomes NULL; used to make coalesce chains skip empties."""
+    """'' becomes NULL, so coalesce chains skip empty values the way the
+    source's "a or b" fallbacks do (whitespace is a value, as there)."""
     c = col_(c)
-    return F.when(F.trim(c) == "", F.lit(None)).otherwise(c)
+    return F.when(c == "", F.lit(None)).otherwise(c)
 
 
 def normalize_unit(c) -> Column:

@@ -1083,7 +1083,7 @@ def _unit_normalize(spark, sf):
     """raw units in the pages and their normalised form."""
     pages = _measurement_pages(core(spark, sf))
     rec = B.unnest(pages, B.MEASUREMENT_JSON)
-    return rec.groupBy(F.col("rec")["unit"].alias("raw_unit")).agg(F.count(F.lit(1)).alias("records")) \
+    return rec.groupBy(F.col("rec")["parameter"]["units"].alias("raw_unit")).agg(F.count(F.lit(1)).alias("records")) \
         .select("raw_unit", S.normalize_unit("raw_unit").alias("unit"), "records")
 
 
@@ -1105,13 +1105,13 @@ def _location_records(c):
 @register("location_scope", """
 , parsed AS (
   SELECT location_id,
-         CASE WHEN location_id % 11 = 5 THEN 'Location ' || CAST(location_id AS VARCHAR) ELSE name END AS name,
+         CASE WHEN location_id % 11 = 5 THEN 'OpenAQ location ' || CAST(location_id AS VARCHAR) ELSE name END AS name,
          city, country,
          CASE WHEN location_id % 11 = 5 THEN '' ELSE name END AS raw_name
   FROM location)
 SELECT location_id, name, city, country FROM parsed
-WHERE lower(concat_ws(' ', city, name)) LIKE '%nation_1%'
-   OR lower(concat_ws(' ', city, name)) LIKE '%nation_22%'
+WHERE lower(concat_ws(' ', city, NULLIF(raw_name, ''))) LIKE '%nation_1%'
+   OR lower(concat_ws(' ', city, NULLIF(raw_name, ''))) LIKE '%nation_22%'
 """)
 def _location_scope(spark, sf):
     """S3 + F2/F3 + S7: parsed location pages in the city scope (substring match)."""
@@ -1130,7 +1130,7 @@ def _sensors_from_pages(spark, sf):
     pages = _location_records(core(spark, sf))
     locs = B.parse_locations(B.unnest(pages.filter(F.col("endpoint") == "/v3/locations"), B.LOCATION_JSON))
     fallback = pages.filter(F.col("endpoint") == "/v3/locations/{id}/sensors")
-    return B.sensors_of(locs, fallback)
+    return B.sensors_of(locs, fallback).select("sensor_id", "location_id", "parameter_code", "parameter_name", "unit")
 
 
 @register("dedupe_first_writer", """
@@ -1178,7 +1178,7 @@ def _bronze_run_counts(spark, sf):
 @register("upsert_location", """
 , cur AS (SELECT * FROM location WHERE location_id % 20 <> 2)
 SELECT l.location_id,
-       CASE WHEN l.location_id % 11 = 5 THEN 'Location ' || CAST(l.location_id AS VARCHAR) ELSE l.name END AS name,
+       CASE WHEN l.location_id % 11 = 5 THEN 'OpenAQ location ' || CAST(l.location_id AS VARCHAR) ELSE l.name END AS name,
        l.city, l.country, CAST(l.latitude AS DOUBLE) AS latitude, CAST(l.longitude AS DOUBLE) AS longitude,
        COALESCE(c.first_seen_at, TIMESTAMP '2024-02-01 00:00:00') AS first_seen_at,
        TIMESTAMP '2024-02-01 00:00:00' AS last_seen_at, true AS is_active
@@ -1504,10 +1504,11 @@ def _dashboard_view(spark, sf):
 
 @register("location_scope_capped", """
 SELECT location_id, name, city FROM (
-  SELECT location_id, CASE WHEN location_id % 11 = 5 THEN 'Location ' || CAST(location_id AS VARCHAR)
-                           ELSE name END AS name, city
+  SELECT location_id, CASE WHEN location_id % 11 = 5 THEN 'OpenAQ location ' || CAST(location_id AS VARCHAR)
+                           ELSE name END AS name, city,
+         CASE WHEN location_id % 11 = 5 THEN NULL ELSE name END AS raw_name
   FROM location)
-WHERE lower(concat_ws(' ', city, name)) LIKE '%nation_2%'
+WHERE lower(concat_ws(' ', city, raw_name)) LIKE '%nation_2%'
 ORDER BY location_id LIMIT 50
 """)
 def _location_scope_capped(spark, sf):

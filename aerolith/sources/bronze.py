@@ -64,8 +64,9 @@ def measurement_pages(events: DataFrame, parameter: DataFrame, sensor_factor: in
     """Readings as API pages: one page per (sensor, day, block of 250).
 
     Record variants exercise the parser: the time is given in one of four
-    fields (by event id mod 4), every third unit uses the micro sign, and
-    every 50th record (id mod 50 = 7) lacks its value (an invalid reading).
+    fields (by event id mod 4), every third parameter unit uses the micro
+    sign, every third reading has no unit of its own, and every 50th record
+    (id mod 50 = 7) lacks its value (an invalid reading).
     """
     p = parameter.select(F.col("code").alias("event_type"), "parameter_id", "display_name")
     e = events.join(p, "event_type").withColumn("sensor_id", F.col("user_id") * sensor_factor + F.col("parameter_id"))
@@ -73,10 +74,11 @@ def measurement_pages(events: DataFrame, parameter: DataFrame, sensor_factor: in
     k = F.col("event_id") % 4
     rec = F.struct(
         F.when(F.col("event_id") % 50 != 7, F.format_string("%.4f", F.col("value"))).alias("value"),
-        F.when(F.col("event_id") % 3 == 0, F.lit("µg/m³")).otherwise(F.lit(S.DEFAULT_UNIT)).alias("unit"),
+        F.when(F.col("event_id") % 3 != 2, F.lit(S.DEFAULT_UNIT)).alias("unit"),
         F.struct(F.col("parameter_id").cast("long").alias("id"), F.col("event_type").alias("name"),
                  F.col("event_type").alias("code"), F.col("display_name").alias("displayName"),
-                 F.lit(S.DEFAULT_UNIT).alias("units"), F.lit(None).cast("string").alias("unit"),
+                 F.when(F.col("event_id") % 3 == 0, F.lit("µg/m³")).otherwise(F.lit(S.DEFAULT_UNIT))
+                 .alias("units"), F.lit(None).cast("string").alias("unit"),
                  F.lit(None).cast("string").alias("description")).alias("parameter"),
         F.struct(F.when(k == 0, iso).alias("utc")).alias("datetime"),
         F.struct(F.struct(F.when(k == 1, iso).alias("utc")).alias("datetimeFrom")).alias("period"),
@@ -187,8 +189,8 @@ def parse_measurements(records: DataFrame) -> DataFrame:
     ts = S.lenient_timestamp(t_text).cast("timestamp_ntz")
     v_text = S.blank_to_null(r["value"])
     value = F.expr("try_cast(rec.value AS DECIMAL(12,4))")
-    unit = S.normalize_unit(F.coalesce(S.blank_to_null(r["unit"]), S.blank_to_null(r["parameter"]["units"]),
-                                       S.blank_to_null(r["parameter"]["unit"]), F.lit(S.DEFAULT_UNIT)))
+    unit = S.normalize_unit(F.coalesce(S.blank_to_null(r["parameter"]["units"]), S.blank_to_null(r["unit"]),
+                                       F.lit(S.UNKNOWN_UNIT)))
     err = (F.when(t_text.isNull() | v_text.isNull(), F.lit("measurement skipped: missing time or value"))
            .when(ts.isNull(), F.lit("rejected: unparsable time"))
            .when(value.isNull(), F.lit("rejected: unparsable value"))
@@ -205,7 +207,7 @@ def parse_parameter(p) -> dict:
     return dict(code=code,
                 display_name=F.coalesce(S.blank_to_null(p["displayName"]), F.upper(code)),
                 preferred_unit=S.normalize_unit(F.coalesce(S.blank_to_null(p["units"]),
-                                                           S.blank_to_null(p["unit"]), F.lit(S.DEFAULT_UNIT))),
+                                                           S.blank_to_null(p["unit"]), F.lit(S.UNKNOWN_UNIT))),
                 source_parameter_id=p["id"])
 
 
@@ -214,12 +216,14 @@ def parse_locations(records: DataFrame) -> DataFrame:
     r = F.col("rec")
     return records.select(
         r["id"].alias("location_id"),
-        S.default_name(r["name"], "Location", r["id"]).alias("name"),
+        S.default_name(r["name"], S.LOCATION_NAME_PREFIX, r["id"]).alias("name"),
         S.city_name(r["locality"], r["city"], r["name"]).alias("city"),
         S.country_name(r["country"]["code"], r["country"]["name"]).alias("country"),
         r["coordinates"]["latitude"].cast("decimal(9,6)").alias("latitude"),
         r["coordinates"]["longitude"].cast("decimal(9,6)").alias("longitude"),
-        F.coalesce(S.blank_to_null(r["timezone"]), F.lit("UTC")).alias("timezone"),
+        r["timezone"].alias("timezone"),
+        # raw place text, for the city scope (matched before any defaulting)
+        r["locality"].alias("locality"), r["city"].alias("raw_city"), r["name"].alias("raw_name"),
         r["sensors"].alias("sensors"), "page_no", "position")
 
 
@@ -229,6 +233,9 @@ def distinct_locations(locations: DataFrame) -> DataFrame:
     return locations.drop("sensors", "page_no", "position").dropDuplicates(["location_id"])
 
 
+LOCATION_COLS = ["location_id", "name", "city", "country", "latitude", "longitude", "timezone"]
+
+
 def sensors_of(locations: DataFrame, sensor_pages: DataFrame | None = None) -> DataFrame:
     """Embedded sensors win; sensor pages are used only for locations
     with no embedded sensors (left anti on the location)."""
@@ -242,18 +249,20 @@ def sensors_of(locations: DataFrame, sensor_pages: DataFrame | None = None) -> D
     p = parse_parameter(F.col("s")["parameter"])
     return emb.select("sensor_id", "location_id", p["code"].alias("parameter_code"),
                       p["display_name"].alias("parameter_name"),
-                      S.normalize_unit(F.coalesce(S.blank_to_null(F.col("s")["unit"]),
-                                                  S.blank_to_null(F.col("s")["parameter"]["units"]),
-                                                  F.lit(S.DEFAULT_UNIT))).alias("unit"))
+                      S.normalize_unit(F.coalesce(S.blank_to_null(F.col("s")["parameter"]["units"]),
+                                                  S.blank_to_null(F.col("s")["unit"]),
+                                                  F.lit(S.UNKNOWN_UNIT))).alias("unit"),
+                      # the sensor scope compares the raw parameter name only
+                      F.lower(F.coalesce(F.col("s")["parameter"]["name"], F.lit(""))).alias("scope_parameter"))
 
 
 def in_scope(df: DataFrame, cities: list[str] | None = None, parameters: list[str] | None = None,
-             text_cols=("locality", "city", "name"), parameter_col: str = "parameter_code") -> DataFrame:
+             text_cols=("locality", "raw_city", "raw_name"), parameter_col: str = "scope_parameter") -> DataFrame:
     """A row is in scope when any wanted city occurs (case-insensitive
     substring) in its joined place text, and its parameter is wanted."""
     out = df
     if cities:
-        hay = F.lower(F.concat_ws(" ", *[F.col(c) for c in text_cols if c in df.columns]))
+        hay = F.lower(F.concat_ws(" ", *[S.blank_to_null(F.col(c)) for c in text_cols if c in df.columns]))
         cond = None
         for c in cities:
             e = hay.contains(c.lower())

@@ -195,10 +195,24 @@ def test_scope_by_parameter_membership(spark):
     rows = [(1, "Budapest", "Station A", "PM25"), (2, "Budapest", "Station B", "no2"),
             (3, "Debrecen", "Budapest Road", "pm25"), (4, "Pécs", "X", "pm25")]
     df = spark.createDataFrame(rows, "id int, city string, name string, parameter_code string")
-    got = sorted(r.id for r in B.in_scope(df, cities=["budapest"], parameters=["pm25"]).collect())
+    got = sorted(r.id for r in B.in_scope(df, cities=["budapest"], parameters=["pm25"], text_cols=("city", "name"),
+                                          parameter_col="parameter_code").collect())
     assert got == [1, 3]  # case-insensitive, substring over the joined place text
 
 
+def test_city_scope_reads_raw_text_not_defaults(spark):
+    body = {"results": [{"id": 7, "name": "", "city": "Szeged", "country": {"name": "Hungary"}},
+                        {"id": 8, "locality": "Budapest XI", "name": "Station"}]}
+    pages = _pages(spark, [(1, "/v3/locations", "u", None, 1, 1, json.dumps(body))])
+    locs = B.parse_locations(B.unnest(pages, B.LOCATION_JSON))
+    names = {r.location_id: (r.name, r.city, r.country, r.timezone) for r in locs.collect()}
+    assert names[7] == ("OpenAQ location 7", "Szeged", "Hungary", None)
+    assert names[8] == ("Station", "Budapest XI", "Unknown", None)
+    # the defaulted name is not part of the scope text
+    assert [r.location_id for r in B.in_scope(locs, cities=["location"]).collect()] == []
+    assert [r.location_id for r in B.in_scope(locs, cities=["budapest"]).collect()] == [8]
+
+
 def test_split_by_rules_quarantines_with_reasons(spark):
     df = spark.createDataFrame([(1, " ", 12.0), (2, "ug/m3", -5000.0), (3, "ug/m3", 5.0)],
                                "id int, unit string, value double")
