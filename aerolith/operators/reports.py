@@ -28,13 +28,16 @@ def hourly_mean(hourly: DataFrame) -> DataFrame:
         F.sum("measurement_count").cast("bigint").alias("measurement_count"))
 
 
-def daily_actuals(readings: DataFrame, min_stations: int = 3) -> DataFrame:
-    """Daily mean of actual values per parameter and whether the daily
-    view applies (more than ``min_stations`` stations in view)."""
-    return readings.groupBy(F.to_date("measured_at").alias("day"), "parameter_code").agg(
-        S.exact_mean("value").alias("daily_actual"),
-        F.countDistinct("location_id").alias("stations"),
-    ).withColumn("use_daily_mean", F.col("stations") > min_stations)
+def daily_actuals(readings: DataFrame, min_stations: int = 3, view=("parameter_code",)) -> DataFrame:
+    """Daily mean of actual values per view (here: one parameter), and
+    whether the chart uses it: more than ``min_stations`` distinct stations
+    in the whole view. The station count is one small aggregate per view,
+    joined back by the view key."""
+    view = list(view)
+    daily = readings.groupBy(F.to_date("measured_at").alias("day"), *view).agg(
+        S.exact_mean("value").alias("daily_actual"))
+    stations = readings.groupBy(*view).agg(F.countDistinct("location_name").alias("stations"))
+    return daily.join(stations, view).withColumn("use_daily_mean", F.col("stations") > min_stations)
 
 
 HOURS = list(range(24))
@@ -98,18 +101,18 @@ def overview_kpis(readings: DataFrame, alerts_df: DataFrame, days: int = 7) -> D
     return readings.agg(
         F.max_by(v, F.struct("measured_at", "measurement_id")).alias("latest_value"),
         S.exact_mean(F.when(recent, F.col("value"))).alias("mean_last_days"),
-        F.countDistinct("location_id").alias("stations"),
+        F.countDistinct("location_name").alias("stations"),
     ).select("latest_value", "mean_last_days", "stations", open_alerts.alias("open_alerts"))
 
 
-def home_kpis(readings: DataFrame, alerts_df: DataFrame, hours: int = 24) -> DataFrame:
-    """Stations, readings in the last ``hours`` before the newest, open alerts."""
-    max_at = readings.agg(F.max("measured_at")).scalar()
+def home_kpis(readings: DataFrame, alerts_df: DataFrame, locations: DataFrame, recent_limit: int = 500) -> DataFrame:
+    """Monitored stations (active locations), recent readings (the size
+    of the newest-``recent_limit`` reading list) and open alerts (over the
+    whole alert table, not a limited list)."""
+    stations = locations.filter(F.col("is_active")).agg(F.count(F.lit(1))).scalar()
     open_alerts = alerts_df.agg(F.count_if(F.col("status") == "open")).scalar()
-    recent = F.col("measured_at") >= F.timestamp_add("HOUR", F.lit(-hours), max_at)
-    return readings.agg(F.countDistinct("location_id").alias("stations"),
-                        F.count_if(recent).alias("recent_readings")) \
-        .select("stations", "recent_readings", open_alerts.alias("open_alerts"))
+    return readings.agg(F.least(F.count(F.lit(1)), F.lit(recent_limit)).cast("bigint").alias("recent_readings")) \
+        .select(stations.alias("stations"), "recent_readings", open_alerts.alias("open_alerts"))
 
 
 def records_per_day(df: DataFrame, ts: str = "measured_at") -> DataFrame:
@@ -131,37 +134,47 @@ def options(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
 
 
-def gaps(readings: DataFrame, key: str = "sensor_id", ts: str = "measured_at",
-         min_hours: float = 6.0) -> DataFrame:
-    """Time since the previous reading of the same series, strictly above
-    ``min_hours``; hours rounded to 2 places.
+SERIES = ["city", "location_name", "parameter_code"]
+
+
+def _keys(key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def gaps(readings: DataFrame, key=SERIES, ts: str = "measured_at", min_hours: float = 6.0) -> DataFrame:
+    """Per (city, station, parameter) series, the time since the previous
+    reading, strictly above ``min_hours``: gap_start, gap_end, hours rounded
+    to 2 places.
 
     A series can be hot (a third of all rows), so the lag is not one window
-    over the whole series: it is taken within (series, day) chunks and the
-    first row of each chunk looks up the last time of the previous non-empty
-    chunk from a per-chunk summary (one row per series and day).
+    over the whole series: it is taken within row-sized chunks and the first
+    row of each chunk looks up the last time of the previous chunk from a
+    per-chunk summary (one row per series and chunk).
     """
-    prev = previous_time(readings, key, ts)
+    key = _keys(key)
+    prev = previous_time(readings.select(*key, ts), key, ts)
     h = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("previous_at").cast("timestamp"))) \
         / F.lit(3_600_000_000.0)
-    return prev.withColumn("gap_hours", F.round(h, 2)).filter(h > F.lit(min_hours))
+    return prev.filter(h > F.lit(min_hours)).select(
+        *key, F.col("previous_at").alias("gap_start"), F.col(ts).alias("gap_end"), F.round(h, 2).alias("gap_hours"))
 
 
-def previous_time(df: DataFrame, key: str, ts: str, chunk=None) -> DataFrame:
-    """Previous ``ts`` of the same ``key`` for every row, computed in bounded chunks."""
+def previous_time(df: DataFrame, key, ts: str, chunk=None) -> DataFrame:
+    """Previous ``ts`` of the same series for every row, computed in bounded chunks."""
     from aerolith.operators.windows import with_chunks
-    b = with_chunks(df, [key], ts, chunk)
-    w_in = Window.partitionBy(key, "__chunk").orderBy(ts)
+    key = _keys(key)
+    b = with_chunks(df, key, ts, chunk)
+    w_in = Window.partitionBy(*key, "__chunk").orderBy(ts)
     b = b.withColumn("__prev_in", F.lag(ts).over(w_in))
-    summ = b.groupBy(key, "__chunk").agg(F.max(ts).alias("__chunk_max"))
+    summ = b.groupBy(*key, "__chunk").agg(F.max(ts).alias("__chunk_max"))
     summ = summ.withColumn("__prev_chunk_max",
-                           F.lag("__chunk_max").over(Window.partitionBy(key).orderBy("__chunk")))
-    j = b.join(summ.select(key, "__chunk", "__prev_chunk_max"), [key, "__chunk"])
+                           F.lag("__chunk_max").over(Window.partitionBy(*key).orderBy("__chunk")))
+    j = b.join(summ.select(*key, "__chunk", "__prev_chunk_max"), [*key, "__chunk"])
     return j.withColumn("previous_at", F.coalesce("__prev_in", "__prev_chunk_max")) \
         .drop("__prev_in", "__prev_chunk_max")
 
 
-def gap_sessions(readings: DataFrame, key: str = "sensor_id", ts: str = "measured_at",
+def gap_sessions(readings: DataFrame, key=SERIES, ts: str = "measured_at",
                  gap_hours: float = 6.0, chunk=None) -> DataFrame:
     """Gap-bounded sessions per series (the dual of W8): a reading more
     than ``gap_hours`` after the previous one starts a new session.
@@ -170,22 +183,23 @@ def gap_sessions(readings: DataFrame, key: str = "sensor_id", ts: str = "measure
     times, taken inside bounded chunks and carried across chunks by a prefix
     maximum over the chunk summaries; the final grouping is by session, not
     by series, and aggregates partially before the shuffle."""
-    p = previous_time(readings.select(key, ts), key, ts, chunk)
+    key = _keys(key)
+    p = previous_time(readings.select(*key, ts), key, ts, chunk)
     gap = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("previous_at").cast("timestamp"))) \
         / F.lit(3_600_000_000.0)
     start = F.when(F.col("previous_at").isNull() | (gap > F.lit(gap_hours)), F.col(ts))
     b = p.withColumn("__start", start)
-    run_in = F.max("__start").over(Window.partitionBy(key, "__chunk").orderBy(ts)
+    run_in = F.max("__start").over(Window.partitionBy(*key, "__chunk").orderBy(ts)
                                    .rowsBetween(Window.unboundedPreceding, 0))
     b = b.withColumn("__run", run_in)
-    summ = b.groupBy(key, "__chunk").agg(F.max("__start").alias("__last_start"))
+    summ = b.groupBy(*key, "__chunk").agg(F.max("__start").alias("__last_start"))
     summ = summ.withColumn("__carry", F.max("__last_start").over(
-        Window.partitionBy(key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)))
-    j = b.join(summ.select(key, "__chunk", "__carry"), [key, "__chunk"])
+        Window.partitionBy(*key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)))
+    j = b.join(summ.select(*key, "__chunk", "__carry"), [*key, "__chunk"])
     s = j.withColumn("session_start", F.coalesce("__run", "__carry"))
-    return s.groupBy(key, "session_start").agg(F.count(F.lit(1)).alias("readings"),
-                                               F.min(ts).alias("first_at"), F.max(ts).alias("last_at")) \
-        .select(key, "first_at", "last_at", "readings")
+    return s.groupBy(*key, "session_start").agg(F.count(F.lit(1)).alias("readings"),
+                                                F.min(ts).alias("first_at"), F.max(ts).alias("last_at")) \
+        .select(*key, "first_at", "last_at", "readings")
 
 
 def gap_sessions_streaming(events: DataFrame, key: str, event_time: str, gap: str = "6 hours") -> DataFrame:

@@ -492,9 +492,11 @@ def _hourly_mean(spark, sf):
 
 
 @register("daily_actuals", """
-SELECT CAST(measured_at AS DATE) AS day, parameter_code, CAST(CAST(((2 * sum(CAST(round(value * 10000) AS HUGEINT)) * 10000 + NULLIF(count(value), 0)) // (2 * NULLIF(count(value), 0))) AS VARCHAR) || 'e-8' AS DOUBLE) AS daily_actual,
-       count(DISTINCT location_id) AS stations, count(DISTINCT location_id) > 3 AS use_daily_mean
-FROM readings GROUP BY ALL
+, st AS (SELECT parameter_code, count(DISTINCT location_name) AS stations FROM readings GROUP BY 1)
+, d AS (SELECT CAST(measured_at AS DATE) AS day, parameter_code, CAST(CAST(((2 * sum(CAST(round(value * 10000) AS HUGEINT)) * 10000 + NULLIF(count(value), 0)) // (2 * NULLIF(count(value), 0))) AS VARCHAR) || 'e-8' AS DOUBLE) AS daily_actual
+        FROM readings GROUP BY 1, 2)
+SELECT d.day, d.parameter_code, d.daily_actual, st.stations, st.stations > 3 AS use_daily_mean
+FROM d JOIN st ON st.parameter_code = d.parameter_code
 """)
 def _daily_actuals(spark, sf):
     """A8."""
@@ -504,7 +506,7 @@ def _daily_actuals(spark, sf):
 @register("overview_kpis", ALERTS + """
 SELECT arg_max(CAST(value AS DOUBLE), (measured_at, measurement_id)) AS latest_value,
        CAST(CAST(((2 * sum(CAST(round(CASE WHEN measured_at >= (SELECT max(measured_at) FROM readings) - INTERVAL 7 DAY THEN value END * 10000) AS HUGEINT)) * 10000 + NULLIF(count(CASE WHEN measured_at >= (SELECT max(measured_at) FROM readings) - INTERVAL 7 DAY THEN value END), 0)) // (2 * NULLIF(count(CASE WHEN measured_at >= (SELECT max(measured_at) FROM readings) - INTERVAL 7 DAY THEN value END), 0))) AS VARCHAR) || 'e-8' AS DOUBLE) AS mean_last_days,
-       count(DISTINCT location_id) AS stations,
+       count(DISTINCT location_name) AS stations,
        (SELECT count(*) FROM reviewed WHERE status = 'open') AS open_alerts
 FROM readings
 """)
@@ -515,16 +517,15 @@ def _overview_kpis(spark, sf):
 
 
 @register("home_kpis", ALERTS + """
-SELECT count(DISTINCT location_id) AS stations,
-       count(*) FILTER (WHERE measured_at >= (SELECT max(measured_at) FROM readings) - INTERVAL 24 HOUR)
-           AS recent_readings,
+SELECT (SELECT count(*) FROM location WHERE is_active) AS stations,
+       CAST(least(count(*), 500) AS BIGINT) AS recent_readings,
        (SELECT count(*) FROM reviewed WHERE status = 'open') AS open_alerts
 FROM readings
 """)
 def _home_kpis(spark, sf):
-    """A23."""
+    """Active stations, size of the newest-500 reading list, open alerts."""
     c = core(spark, sf)
-    return R.home_kpis(reads.readings(c), SC.reviewed_alerts(c))
+    return R.home_kpis(reads.readings(c), SC.reviewed_alerts(c), c.location)
 
 
 LATEST_SQL = """
@@ -641,33 +642,35 @@ def _alert_kpis(spark, sf):
 
 
 @register("gaps", """
-, g AS (SELECT measurement_id, sensor_id, measured_at,
-               lag(measured_at) OVER (PARTITION BY sensor_id ORDER BY measured_at) AS previous_at
-        FROM m)
-SELECT sensor_id, measurement_id, measured_at, previous_at,
+, g AS (SELECT city, location_name, parameter_code, measured_at,
+               lag(measured_at) OVER (PARTITION BY city, location_name, parameter_code ORDER BY measured_at)
+                   AS previous_at
+        FROM readings)
+SELECT city, location_name, parameter_code, previous_at AS gap_start, measured_at AS gap_end,
        round((epoch_us(measured_at) - epoch_us(previous_at)) / 3600000000.0, 2) AS gap_hours
 FROM g
 WHERE previous_at IS NOT NULL AND (epoch_us(measured_at) - epoch_us(previous_at)) / 3600000000.0 > 6
 """)
 def _gaps(spark, sf):
-    """Gaps above 6 h per sensor (chunked lag, safe for hot sensors)."""
-    g = R.gaps(core(spark, sf).measurement)
-    return g.select("sensor_id", "measurement_id", "measured_at", "previous_at", "gap_hours")
+    """Gaps above 6 h per (city, station, parameter) (chunked lag, safe for hot series)."""
+    return R.gaps(reads.readings(core(spark, sf)))
 
 
 @register("gap_sessions", """
-, g AS (SELECT sensor_id, measured_at,
+, g AS (SELECT city, location_name, parameter_code, measured_at,
                CASE WHEN lag(measured_at) OVER w IS NULL
                       OR measured_at - lag(measured_at) OVER w > INTERVAL 6 HOUR THEN 1 ELSE 0 END AS new_s
-        FROM m WINDOW w AS (PARTITION BY sensor_id ORDER BY measured_at))
-, s AS (SELECT *, sum(new_s) OVER (PARTITION BY sensor_id ORDER BY measured_at ROWS UNBOUNDED PRECEDING) AS sid
+        FROM readings WINDOW w AS (PARTITION BY city, location_name, parameter_code ORDER BY measured_at))
+, s AS (SELECT *, sum(new_s) OVER (PARTITION BY city, location_name, parameter_code ORDER BY measured_at
+                                   ROWS UNBOUNDED PRECEDING) AS sid
         FROM g)
-SELECT sensor_id, min(measured_at) AS first_at, max(measured_at) AS last_at, count(*) AS readings
-FROM s GROUP BY sensor_id, sid
+SELECT city, location_name, parameter_code, min(measured_at) AS first_at, max(measured_at) AS last_at,
+       count(*) AS readings
+FROM s GROUP BY city, location_name, parameter_code, sid
 """)
 def _gap_sessions(spark, sf):
-    """session_window with a 6 h gap per sensor."""
-    return R.gap_sessions(core(spark, sf).measurement)
+    """6 h gap-bounded sessions per (city, station, parameter)."""
+    return R.gap_sessions(reads.readings(core(spark, sf)))
 
 
 @register("date_rollup", FIRST_LOAD + """

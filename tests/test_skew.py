@@ -49,7 +49,7 @@ def test_features_on_hot_series_equal_plain_windows(skewed):
 
 
 def test_sessions_and_top_k_on_hot_series(skewed):
-    s = R.gap_sessions(skewed.withColumnRenamed("v", "value"))
+    s = R.gap_sessions(skewed, key="sensor_id")
     w = Window.partitionBy("sensor_id").orderBy("measured_at")
     gap = (F.unix_micros(F.col("measured_at").cast("timestamp"))
            - F.unix_micros(F.lag("measured_at").over(w).cast("timestamp"))) / 3.6e9

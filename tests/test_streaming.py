@@ -28,7 +28,7 @@ def test_stream_sessions_match_batch_sessions_once_closed(spark):
     got = {tuple(r) for r in spark.read.parquet(os.path.join(out, "t")).collect()}
     wm = m.agg(F.max("measured_at")).first()[0]
     import datetime as dt
-    batch = R.gap_sessions(m).filter(
+    batch = R.gap_sessions(m, key="sensor_id").filter(
         F.col("last_at") + F.expr("INTERVAL 6 HOURS") <= F.lit(wm - dt.timedelta(hours=12)))
     want = {tuple(r) for r in batch.select("sensor_id", "first_at", "last_at", "readings").collect()}
     assert want and want <= got  # every session closed by the watermark is emitted, identically

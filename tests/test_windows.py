@@ -59,5 +59,5 @@ def test_row_sized_chunks_match_plain_windows(spark, monkeypatch):
     want = compute(m, Window.partitionBy("sensor_id").orderBy("measured_at"))
     cols = ["sensor_id", "measured_at", "p5", "n1"]
     assert _rows(got, cols) == _rows(want, cols)
-    sess = R.gap_sessions(m.withColumnRenamed("v", "value"))
+    sess = R.gap_sessions(m, key="sensor_id")
     assert sess.agg(F.sum("readings")).first()[0] == m.count()
