@@ -33,6 +33,11 @@ def dim_date(spark: SparkSession, start: str = DATE_FROM, end: str = DATE_TO) ->
     )
 
 
+def date_key_range(start: str = DATE_FROM, end: str = DATE_TO) -> tuple[int, int]:
+    """First and last date key of dim_date (the fact date foreign key's range)."""
+    return int(start.replace("-", "")), int(end.replace("-", ""))
+
+
 def dim_time(spark: SparkSession) -> DataFrame:
     """1440 minutes of the day (hour x minute without a cross join)."""
     h = (F.col("id") / 60).cast("int")

@@ -88,11 +88,19 @@ def run_etl(spark: SparkSession, core, root: str, alerts_df: DataFrame, as_of) -
         inserted = new.count() - cur.count()
         return new, expired + inserted
 
-    # Append-only facts, new rows only.
+    # Append-only facts, new rows only. A fact whose date is not in
+    # dim_date breaks the date foreign key: the whole load fails and nothing
+    # is published (the written partition stays invisible).
+    lo, hi = dims.date_key_range()
+
     def append_fact(name: str, df: DataFrame) -> int:
         df.withColumn("load_run", F.lit(run_id)).write.mode("append").partitionBy("load_run") \
             .parquet(os.path.join(root, name))
-        return spark.read.parquet(os.path.join(root, name)).filter(F.col("load_run") == run_id).count()
+        written = spark.read.parquet(os.path.join(root, name)).filter(F.col("load_run") == run_id)
+        n, outside = written.agg(F.count(F.lit(1)), F.count_if(~F.col("date_key").between(lo, hi))).first()
+        if outside:
+            raise ValueError(f"{name}: {outside} rows have a date outside dim_date; load not published")
+        return n
 
     # The three dimensions are independent, and so are the two facts once the
     # dimensions are written: each group runs as concurrent Spark jobs.

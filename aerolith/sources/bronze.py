@@ -211,6 +211,33 @@ def parse_parameter(p) -> dict:
                 source_parameter_id=p["id"])
 
 
+def parameters_of(sensors_json: DataFrame, sensor_col: str = "s") -> DataFrame:
+    """Parameter rows from sensor records (one per code; records with no
+    name or code are errors and are dropped here, counted by the caller)."""
+    p = parse_parameter(F.col(sensor_col)["parameter"])
+    rows = sensors_json.select(p["code"].alias("code"), p["display_name"].alias("display_name"),
+                               p["preferred_unit"].alias("preferred_unit"),
+                               p["source_parameter_id"].cast("int").alias("openaq_parameter_id"),
+                               F.col(sensor_col)["parameter"]["description"].alias("description"))
+    return rows.filter(F.col("code").isNotNull()).dropDuplicates(["code"])
+
+
+def upsert_parameters(new: DataFrame, current: DataFrame) -> DataFrame:
+    """S10 for parameters: by code, source id / display name / unit updated,
+    description set on insert only; new codes get the next ids after the
+    current maximum, in code order (the ranking runs over new codes only)."""
+    from pyspark.sql.window import Window as W
+
+    from aerolith.operators.dims import upsert_by_key
+    fresh = new.join(current.select("code"), "code", "left_anti")
+    top = current.agg(F.coalesce(F.max("parameter_id"), F.lit(0))).scalar()
+    ids = fresh.select("code", (top + F.row_number().over(W.orderBy("code"))).cast("int").alias("parameter_id"))
+    new = new.join(ids, "code", "left")
+    cols = ["parameter_id", "openaq_parameter_id", "code", "display_name", "preferred_unit", "description"]
+    return upsert_by_key(new.select(*cols), current.select(*cols), ["code"],
+                         update=["openaq_parameter_id", "display_name", "preferred_unit"])
+
+
 def parse_locations(records: DataFrame) -> DataFrame:
     """S3 + F2/F3: location rows with defaults."""
     r = F.col("rec")

@@ -238,3 +238,22 @@ def test_hot_location_sensors_are_paged(spark):
     assert B.distinct_locations(locs).count() == 1
     got = B.sensors_of(locs)
     assert got.count() == 600 and got.select("sensor_id").distinct().count() == 600
+
+
+def test_parameter_upsert_keeps_description_and_adds_codes(spark):
+    cur = spark.createDataFrame([(1, 2, "pm25", "old", "ug/m3", "kept text")],
+                                "parameter_id int, openaq_parameter_id int, code string, display_name string, "
+                                "preferred_unit string, description string")
+    recs = spark.createDataFrame(
+        [({"id": 1, "parameter": {"id": 22, "name": "PM25", "units": "µg/m³", "displayName": "PM2.5",
+                                  "description": "new text"}},),
+         ({"id": 2, "parameter": {"id": 5, "code": "no2", "description": "Nitrogen dioxide"}},),
+         ({"id": 3, "parameter": {"units": "ppm"}},)],
+        "s struct<id:long, parameter:struct<id:long, name:string, code:string, displayName:string, units:string, "
+        "unit:string, description:string>>")
+    out = {r.code: r for r in B.upsert_parameters(B.parameters_of(recs), cur).collect()}
+    assert set(out) == {"pm25", "no2"}  # the record without name/code is dropped
+    assert (out["pm25"].parameter_id, out["pm25"].openaq_parameter_id, out["pm25"].display_name,
+            out["pm25"].preferred_unit, out["pm25"].description) == (1, 22, "PM2.5", "ug/m3", "kept text")
+    assert (out["no2"].parameter_id, out["no2"].display_name, out["no2"].description,
+            out["no2"].preferred_unit) == (2, "NO2", "Nitrogen dioxide", "unknown")

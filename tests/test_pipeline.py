@@ -80,3 +80,21 @@ def test_prediction_list_filters(spark):
     assert rows and all((r.city, r.location_name, r.parameter_code) ==
                         (some.city, some.location_name, some.parameter_code) for r in rows)
     assert all(r.actual_value is not None for r in rows)  # backtest targets are real readings
+
+
+def test_fact_outside_dim_date_fails_the_whole_load(spark):
+    import pytest as _pt
+    c = core(spark, SF_SMALL)
+    root = os.path.join(spark.conf.get("spark.checkpoint.dir"), "wh-test-fk")
+
+    class Future:
+        def __getattr__(self, name):
+            if name == "measurement":
+                m = c.measurement
+                return m.withColumn("measured_at", F.when(F.col("measurement_id") % 100 == 0,
+                                                          F.timestamp_add("YEAR", F.lit(5), "measured_at"))
+                                    .otherwise(F.col("measured_at")))
+            return getattr(c, name)
+    with _pt.raises(ValueError, match="outside dim_date"):
+        PL.run_etl(spark, Future(), root, A.alerts(c), SC.AS_OF_1)
+    assert PL.read_manifest(spark, root) is None  # nothing published
