@@ -23,7 +23,7 @@ from aerolith.operators import quality as QL
 from aerolith.operators import reports as R
 from aerolith.operators import runs as RN
 from aerolith.operators.filters import all_option, day_range
-from aerolith.plans import pipeline as PL
+from aerolith.plans import load as PL
 from aerolith.plans import scenarios as SC
 from aerolith.plans.oracle import ALERTS, FIRST_LOAD, LOC_HIST, SEN_HIST, q
 from aerolith.session import scratch_path

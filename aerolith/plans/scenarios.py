@@ -114,7 +114,7 @@ def _warehouse_root(core, key) -> str:
     import hashlib
     import os
 
-    from aerolith.plans import pipeline as PL
+    from aerolith.plans import load as PL
     from aerolith.session import scratch_path
     if key not in _PUBLISHED or _PUBLISHED[key][0] is not core:
         from aerolith.operators import alerts, facts, scd2 as scd2_mod
@@ -130,5 +130,5 @@ def _warehouse_root(core, key) -> str:
 
 
 def published(core, name: str) -> DataFrame:
-    from aerolith.plans import pipeline as PL
+    from aerolith.plans import load as PL
     return PL.table(core.spark, warehouse_root(core), name)

@@ -6,7 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from aerolith.operators import alerts as A
-from aerolith.plans import pipeline as PL
+from aerolith.plans import load as PL
 from aerolith.plans import scenarios as SC
 from aerolith.sources.driver_tables import core
 from tests.conftest import SF_SMALL
