@@ -117,11 +117,11 @@ def _warehouse_root(core, key) -> str:
     from aerolith.plans import load as PL
     from aerolith.session import scratch_path
     if key not in _PUBLISHED or _PUBLISHED[key][0] is not core:
-        from aerolith.operators import alerts, facts, scd2 as scd2_mod
+        from aerolith.operators import alerts, dims, facts, scd2 as scd2_mod
         from aerolith.session import code_version
         from aerolith.sources import driver_tables
         h = hashlib.sha1(os.path.abspath(core.sf_dir).encode()).hexdigest()[:16]
-        v = code_version(driver_tables, facts, scd2_mod, alerts, PL)
+        v = code_version(driver_tables, dims, facts, scd2_mod, alerts, PL)
         root = scratch_path(core.spark, "warehouse-published", f"{h}-{v}")
         if PL.read_manifest(core.spark, root) is None:
             PL.run_etl(core.spark, core, root, stored_alerts(core), AS_OF_1)
