@@ -15,17 +15,21 @@ def quality_filter(m: DataFrame, value: str = "value") -> DataFrame:
     return m.filter(v.isNotNull() & (v >= 0) & (v < S.VALUE_OPEN_MAX))
 
 
+READING_COLS = ["measurement_id", "sensor_id", "measured_at", "value", "unit", "ingestion_run_id"]
+
+
 def load_measurement_facts(core, dim_location: DataFrame, dim_sensor: DataFrame,
-                           existing: DataFrame | None = None) -> DataFrame:
+                           existing: DataFrame | None = None, readings: DataFrame | None = None) -> DataFrame:
     """New reading facts.
 
     Readings join their *current* sensor and location versions (J3) and the
     parameter; readings without a current version drop out now and are picked
     up by a later run (the anti join makes the load idempotent, J6). The risk
-    band (J4) is a CASE over the four fixed bands.
+    band (J4) is a CASE over the four fixed bands. ``readings`` narrows the
+    candidate readings (the incremental load passes only new and skipped ones).
     """
-    m = quality_filter(core.measurement.select("measurement_id", "sensor_id", "measured_at", "value",
-                                               "unit", "ingestion_run_id"))
+    src = core.measurement if readings is None else readings
+    m = quality_filter(src.select(*READING_COLS))
     if existing is not None:
         m = m.join(existing.select(F.col("source_measurement_id").alias("measurement_id")),
                    "measurement_id", "left_anti")
