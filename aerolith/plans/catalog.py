@@ -1533,3 +1533,19 @@ def _open_alerts_first10(spark, sf):
     a = _alerts_enriched(core(spark, sf)).filter(F.col("status") == "open")
     return a.select("pollution_alert_id", "generated_at", "alert_level", "city", "location_name",
                     "parameter_code").orderBy(F.desc("generated_at"), F.desc("pollution_alert_id")).limit(10)
+
+
+@register("sensors_in_scope_capped", """
+SELECT s.sensor_id, s.location_id, p.code AS parameter_code
+FROM sensor s JOIN parameter p ON p.parameter_id = s.parameter_id
+WHERE lower(p.code) IN ('click', 'view')
+ORDER BY s.location_id, s.sensor_id
+LIMIT 100
+""")
+def _sensors_in_scope_capped(spark, sf):
+    """S7 (sensor scope by parameter name) + S8 (first N sensors overall, page order)."""
+    pages = _location_records(core(spark, sf))
+    locs = B.parse_locations(B.unnest(pages.filter(F.col("endpoint") == "/v3/locations"), B.LOCATION_JSON))
+    fallback = pages.filter(F.col("endpoint") == "/v3/locations/{id}/sensors")
+    sensors = B.in_scope(B.sensors_of(locs, fallback), parameters=["click", "VIEW"])
+    return B.first_n(sensors, ["location_id", "sensor_id"], 100).select("sensor_id", "location_id", "parameter_code")
