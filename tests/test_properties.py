@@ -63,3 +63,23 @@ def test_normalize_unit_and_cap_text(spark, units, cap):
     for (n, c), u in zip(got, units):
         assert n == u.replace("µ", "u").replace("³", "3")
         assert c == (u if len(u) <= cap else u[:cap - 3] + "...")
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.datetimes(min_value=dt.datetime(1990, 1, 1), max_value=dt.datetime(2035, 12, 31)),
+                min_size=1, max_size=30),
+       st.sampled_from(["%Y-%m-%dT%H:%M:%S.%fZ", "%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%dT%H:%M:%S.%f+00:00",
+                        "%Y-%m-%d %H:%M:%S"]))
+def test_lenient_timestamp_round_trips(spark, times, fmt):
+    texts = [t.strftime(fmt) for t in times]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    got = [r[0] for r in df.select(S.lenient_timestamp("x").cast("timestamp_ntz")).collect()]
+    want = [t if "%f" in fmt else t.replace(microsecond=0) for t in times]
+    assert got == want
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet="abcxyz:-T ", min_size=1, max_size=12), min_size=1, max_size=20))
+def test_lenient_timestamp_rejects_junk_without_failing(spark, texts):
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    assert all(r[0] is None for r in df.select(S.lenient_timestamp("x")).collect())
