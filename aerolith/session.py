@@ -56,15 +56,19 @@ def get_spark(master: str | None = None, app: str = "aerolith",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we create one under the system temp folder.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a
+    local master gets a folder under the system temp folder; any other master
+    is an error, since its executors would not see such a folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="aerolith-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
