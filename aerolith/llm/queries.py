@@ -1,15 +1,18 @@
 """The registered queries of the subpackage, and SQL where it can express one."""
 
-from aerolith.llm import decontam, mixing, pii, pu, simhash
+from aerolith.llm import decontam, lm, mixing, pii, pu, simhash, superkmer
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op3_mixing": mixing.op3_mixing,
     "op4_decontaminate": decontam.op4_decontaminate,
+    "op5_substring_dedup": superkmer.op5_substring_dedup,
+    "op7_lm": lm.op7_lm,
     "op8_simhash": simhash.op8_simhash,
     "op10_quality": pu.op10_quality,
 }
 ORACLE = {
     "op3_mixing": mixing.MIX_SQL,
     "op4_decontaminate": decontam.ORACLE_SQL,
+    "op5_substring_dedup": superkmer.ORACLE_SQL,
 }
