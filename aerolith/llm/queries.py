@@ -1,14 +1,17 @@
 """The registered queries of the subpackage, and SQL where it can express one."""
 
-from aerolith.llm import decontam, lm, mixing, pii, pu, simhash, superkmer
+from aerolith.llm import decontam, gbt, gru, lm, mixing, pii, pu, simhash, superkmer, tokens
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
+    "op2_quality_rules": gbt.op2_quality_rules,
     "op3_mixing": mixing.op3_mixing,
     "op4_decontaminate": decontam.op4_decontaminate,
     "op5_substring_dedup": superkmer.op5_substring_dedup,
+    "op6_tokens": tokens.op6_tokens,
     "op7_lm": lm.op7_lm,
     "op8_simhash": simhash.op8_simhash,
+    "op9_language": gru.op9_language,
     "op10_quality": pu.op10_quality,
 }
 ORACLE = {
