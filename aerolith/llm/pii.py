@@ -44,7 +44,7 @@ from aerolith.llm.common import fresh, table
 BASE = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
+    "card": r"(?<![0-9])(?<![0-9][\x20-])(?=(?:[0-9][\x20-]?){11}[0-9])[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 KINDS = [*BASE, "account", "ssn", "secret"]
@@ -69,14 +69,24 @@ NEGATIVE = "order|invoice|version|isbn|issn|part|sku|serial|ref|page|section|fig
 VOTES = ["form", "checksum", "gazetteer", "context", "edge"]
 CONTEXT_CHARS = 32
 KEEP_AT = 0.5
+BLOCK = 128
 MATCH = "array<struct<at:int,stop:int,m:string,ctx:string,nxt:string>>"
 EM_ROUNDS = 50
 
 
-def _matches(gaps: Column, ms: Column) -> Column:
-    """Matches as (at, stop, m, ctx, nxt) from the text between them and the
-    matches themselves: positions are running sums of their lengths."""
+def _pieces(gaps: Column, ms: Column) -> Column:
+    """Blocks of up to ``BLOCK`` (match, text before it, text after it)."""
     rows = F.slice(F.arrays_zip(ms.alias("m"), gaps.alias("gap"), F.slice(gaps, 2, 1 << 30).alias("after")), 1, F.size(ms))
+    return F.struct(rows.alias("rows"), F.sequence(F.lit(0), F.floor((F.size(ms) - 1) / BLOCK).cast("int")).alias("at"))
+
+
+def _blocks(pieces: Column) -> Column:
+    return F.transform(pieces["at"], lambda k: F.slice(pieces["rows"], k * BLOCK + 1, BLOCK))
+
+
+def _matches(blocks: Column) -> Column:
+    """Matches as (at, stop, m, ctx, nxt) from the matches and the text between
+    them: positions are running sums of their lengths, per block and within."""
     none = F.expr(f"CAST(array() AS {MATCH})")
 
     def step(acc, r):
@@ -85,7 +95,15 @@ def _matches(gaps: Column, ms: Column) -> Column:
                        F.substring(r["gap"], -CONTEXT_CHARS, CONTEXT_CHARS).alias("ctx"),
                        F.substring(r["after"], 1, 1).alias("nxt"))
         return F.struct((at + F.length(r["m"])).alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-    return F.aggregate(rows, F.struct(F.lit(0).alias("at"), none.alias("out")), step)["out"]
+
+    def size(block):
+        return F.aggregate(block, F.lit(0), lambda n, r: n + F.length(r["gap"]) + F.length(r["m"]))
+
+    def offsets(acc, n):
+        return F.concat(acc, F.array(F.element_at(acc, -1) + n))
+    begin = F.aggregate(F.transform(blocks, size), F.array(F.lit(0)), offsets)
+    return F.flatten(F.zip_with(blocks, F.slice(begin, 1, F.size(blocks)), lambda block, at: F.aggregate(
+        block, F.struct(at.alias("at"), none.alias("out")), step)["out"]))
 
 
 def _digits(m: Column) -> Column:
@@ -162,15 +180,17 @@ def with_candidates(docs: DataFrame, out: str, text: str = "text") -> DataFrame:
     at = [whole.contains(x) for x in ("(at)", "[at]", "(AT)", "[AT]")]
     loose_tests = {"email": at[0] | at[1] | at[2] | at[3], "secret": whole.contains("=") | whole.contains(":")}
     none = F.expr("CAST(array() AS array<string>)")
-    ms, gaps, found, names = {}, {}, {}, []
+    ms, gaps, parts, blocks, found, names = {}, {}, {}, {}, {}, []
     for part, patterns, conditions in (("b", BASE, tests), ("l", LOOSE, loose_tests)):
         for kind, pattern in patterns.items():
-            m, g, f = (fresh(columns, f"__{part}{x}_{kind}") for x in "mgf")
+            m, g, p, k, f = (fresh(columns, f"__{part}{x}_{kind}") for x in "mgpkf")
             names.append((part == "b", kind, f))
             ms[m] = F.when(conditions.get(kind, has_digit), F.regexp_extract_all(whole, F.lit(pattern), F.lit(0))).otherwise(none)
             gaps[g] = F.when(F.size(m) > 0, F.split(whole, pattern, -1)).otherwise(none)
-            found[f] = F.when(F.size(m) > 0, _matches(F.col(g), F.col(m))).otherwise(F.expr(f"CAST(array() AS {MATCH})"))
-    raw = docs.withColumns(ms).withColumns(gaps).withColumns(found)
+            parts[p] = F.when(F.size(m) > 0, _pieces(F.col(g), F.col(m)))
+            blocks[k] = F.when(F.size(m) > 0, _blocks(F.col(p)))
+            found[f] = F.when(F.size(m) > 0, _matches(F.col(k))).otherwise(F.expr(f"CAST(array() AS {MATCH})"))
+    raw = docs.withColumns(ms).withColumns(gaps).withColumns(parts).withColumns(blocks).withColumns(found)
     base, loose = [], []
     for is_base, kind, f in names:
         good = F.filter(f, partial(_holds, kind)) if is_base else F.col(f)
