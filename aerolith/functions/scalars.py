@@ -16,7 +16,7 @@ RISK_CLASSES = [
 ]
 # Warning levels of threshold rules, in severity order.
 WARNING_LEVELS = ["low", "moderate", "high", "critical"]
-RUN_TYPES = ["manual", "incremental", "backfill", "scheduled"]
+RUN_TYPES = ["initial", "incremental", "manual"]
 RUN_STATUSES = ["running", "succeeded", "failed", "partial"]
 ALERT_STATUSES = ["open", "reviewed", "closed"]
 OUTBOX_EVENT_TYPES = ["created", "status_changed"]

@@ -121,14 +121,19 @@ def review_alerts(alerts_df: DataFrame, commands: DataFrame) -> DataFrame:
     notes = coalesce(new, old); reviewed_at = coalesce(old, command time) when
     the new status is reviewed or closed, else unchanged. Commands for unknown
     ids match nothing (not found). Invalid statuses are rejected upstream (P10).
+    Commands for one alert are folded as if applied one after another: the last
+    status, the last note given, the earliest time of a review or closure.
     """
-    c = commands.select("pollution_alert_id", F.col("status").alias("__new_status"),
-                        F.col("notes").alias("__new_notes"), F.col("command_at").alias("__at"))
+    order = F.struct("command_at", "status", "notes")
+    decided = F.col("status").isin("reviewed", "closed")
+    c = commands.groupBy("pollution_alert_id").agg(
+        F.max_by("status", order).alias("__new_status"),
+        F.max_by("notes", F.when(F.col("notes").isNotNull(), order)).alias("__new_notes"),
+        F.min(F.when(decided, F.col("command_at"))).alias("__at"))
     j = alerts_df.join(c, "pollution_alert_id", "left")
     has = F.col("__new_status").isNotNull()
     status = F.when(has, F.col("__new_status")).otherwise(F.col("status"))
-    reviewed = F.when(has & F.col("__new_status").isin("reviewed", "closed"),
-                      F.coalesce(F.col("reviewed_at"), F.col("__at"))).otherwise(F.col("reviewed_at"))
+    reviewed = F.coalesce(F.col("reviewed_at"), F.col("__at"))
     notes = F.when(has, F.coalesce(F.col("__new_notes"), F.col("notes"))).otherwise(F.col("notes"))
     cols = [c_ for c_ in alerts_df.columns if c_ not in ("status", "reviewed_at", "notes")]
     return j.select(*cols, status.alias("status"), reviewed.alias("reviewed_at"), notes.alias("notes"))

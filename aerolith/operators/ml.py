@@ -26,10 +26,7 @@ from pyspark.sql import functions as F
 CATEGORICAL = ["source_location_id", "source_sensor_id"]
 NUMERIC = ["current_value", "previous_value", "rolling_3h", "rolling_6h", "hour", "minute", "weekday", "month"]
 LABEL = "target_value"
-RF_MAX_DEPTH = 16
-# node statistics per training iteration; bounded so a small driver or
-# executor heap does not fail (more iterations instead of more memory)
-RF_MAX_MEMORY_MB = 32
+RF_MAX_DEPTH = 30  # the deepest trees Spark ML grows
 MODEL_NAMES = ("linear-regression", "random-forest")
 
 
@@ -59,7 +56,7 @@ def pipeline(model_name: str, seed: int = 42, key_encoding: str = "onehot") -> P
     else:
         est = RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=200, minInstancesPerNode=2,
                                     featureSubsetStrategy="all", bootstrap=True, subsamplingRate=1.0,
-                                    maxDepth=RF_MAX_DEPTH, maxMemoryInMB=RF_MAX_MEMORY_MB, seed=seed)
+                                    maxDepth=RF_MAX_DEPTH, seed=seed)
     return Pipeline(stages=[*keys, num, scale, feats, est])
 
 

@@ -105,13 +105,12 @@ def overview_kpis(readings: DataFrame, alerts_df: DataFrame, days: int = 7) -> D
     ).select("latest_value", "mean_last_days", "stations", open_alerts.alias("open_alerts"))
 
 
-def home_kpis(readings: DataFrame, alerts_df: DataFrame, locations: DataFrame, recent_limit: int = 500) -> DataFrame:
-    """Monitored stations (active locations), recent readings (the size
-    of the newest-``recent_limit`` reading list) and open alerts (over the
-    whole alert table, not a limited list)."""
+def home_kpis(readings: DataFrame, alerts_df: DataFrame, locations: DataFrame) -> DataFrame:
+    """Monitored stations (active locations), readings and open alerts,
+    each counted over its whole table."""
     stations = locations.filter(F.col("is_active")).agg(F.count(F.lit(1))).scalar()
     open_alerts = alerts_df.agg(F.count_if(F.col("status") == "open")).scalar()
-    return readings.agg(F.least(F.count(F.lit(1)), F.lit(recent_limit)).cast("bigint").alias("recent_readings")) \
+    return readings.agg(F.count(F.lit(1)).cast("bigint").alias("recent_readings")) \
         .select(stations.alias("stations"), "recent_readings", open_alerts.alias("open_alerts"))
 
 

@@ -348,11 +348,11 @@ def _outbox_events(spark, sf):
 
 @register("outbox_pending", OUTBOX_SQL + """
 SELECT pollution_alert_id, event_type, current_status, created_at
-FROM outbox ORDER BY created_at, pollution_alert_id, event_type LIMIT 100
+FROM outbox
 """)
 def _outbox_pending(spark, sf):
-    """The next 100 unprocessed outbox events, oldest first."""
-    return A.pending_outbox(SC.outbox(core(spark, sf)), limit=100).select(
+    """All unprocessed outbox events, oldest first."""
+    return A.pending_outbox(SC.outbox(core(spark, sf))).select(
         "pollution_alert_id", "event_type", "current_status", "created_at")
 
 
@@ -518,12 +518,12 @@ def _overview_kpis(spark, sf):
 
 @register("home_kpis", ALERTS + """
 SELECT (SELECT count(*) FROM location WHERE is_active) AS stations,
-       CAST(least(count(*), 500) AS BIGINT) AS recent_readings,
+       CAST(count(*) AS BIGINT) AS recent_readings,
        (SELECT count(*) FROM reviewed WHERE status = 'open') AS open_alerts
 FROM readings
 """)
 def _home_kpis(spark, sf):
-    """Active stations, size of the newest-500 reading list, open alerts."""
+    """Active stations, readings, open alerts."""
     c = core(spark, sf)
     return R.home_kpis(reads.readings(c), SC.reviewed_alerts(c), c.location)
 

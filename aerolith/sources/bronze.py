@@ -327,7 +327,7 @@ def run_counts(parsed: DataFrame, inserted: DataFrame) -> DataFrame:
     overcount is fixed) and failed, error text (F19) and status."""
     failed = parsed.filter(F.col("error").isNotNull()).groupBy("run_id").agg(
         F.count(F.lit(1)).alias("records_failed"),
-        F.array_join(F.slice(F.array_sort(F.collect_set("error")), 1, 20), " | ").alias("__err"))
+        F.array_join(F.array_sort(F.collect_set("error")), " | ").alias("__err"))
     ins = inserted.groupBy("run_id").agg(F.count(F.lit(1)).alias("records_inserted"))
     runs = parsed.select("run_id").distinct()
     j = runs.join(ins, "run_id", "left").join(failed, "run_id", "left").na.fill(

@@ -59,13 +59,12 @@ def build_parameter(events: DataFrame) -> DataFrame:
 
 
 def build_location(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    # nation and region are fixed-size reference tables (25 and 5 rows).
-    geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey) \
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey) \
         .select("n_nationkey", "n_name", "r_name")
     c = customer.select("c_custkey", "c_name", "c_nationkey")
     first_seen = F.timestamp_add("HOUR", (F.col("c_custkey") % 720).cast("int"),
                                  F.lit(LOCATION_FIRST_SEEN_BASE).cast("timestamp_ntz"))
-    return c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey).select(
+    return c.join(geo, c.c_nationkey == geo.n_nationkey).select(
         F.col("c_custkey").alias("location_id"),
         F.col("c_custkey").alias("openaq_location_id"),
         F.col("c_name").alias("name"),

@@ -1,5 +1,7 @@
 """Every registered query against its DuckDB oracle on the small inputs."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as E
@@ -18,7 +20,8 @@ def con():
 
 def test_every_query_has_an_oracle_or_is_declared_rows_only():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(ROWS_ONLY) == {"forecast_hourly", "forecast_daily", "ml_model_metrics", "ml_train_predict"}
+    own = {n for n in ROWS_ONLY if not re.match(r"op\d+_|pipeline$", n)}
+    assert own == {"forecast_hourly", "forecast_daily", "ml_model_metrics", "ml_train_predict"}
 
 
 SPARK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "double": "DOUBLE",
