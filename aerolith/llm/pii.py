@@ -262,7 +262,8 @@ def fit(rows: list[tuple[int, str, str, int]], epochs: int = 200, rate: float =
 def trained(labelled: DataFrame, spans: str) -> dict[str, float]:
     """The span classifier, from the pattern counts of all spans of all documents."""
     # the table of patterns is bounded by 7 kinds, 3^5 votes and 7 * 5 * 4 shapes, whatever the input
-    found = labelled.select(F.explode(spans).alias("s")).select("s.*")
+    # the outer form: for explode Spark infers a filter on the array's size, which computes all spans twice
+    found = labelled.select(F.explode_outer(spans).alias("s")).where("s is not null").select("s.*")
     found = found.groupBy("kind", "votes", "shape").count().collect()
     return fit(sorted((r.kind, r.votes, r.shape, r["count"]) for r in found))
 
