@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from aerolith.functions import scalars as S
-from aerolith.operators.dims import upsert_by_key
+from aerolith.operators.dims import last_per_key, upsert_by_key, with_new_ids
 
 
 def rule_bands(rules: DataFrame) -> DataFrame:
@@ -148,26 +148,31 @@ def threshold_upsert(rules: DataFrame, parameter: DataFrame, commands: DataFrame
     """Upsert rules by (parameter, city, warning_level).
 
     Commands carry a parameter *code*; unknown codes match no parameter and
-    change nothing. Updated/inserted rows get min_value, is_active, updated_at.
-    Commands with an invalid level or a negative minimum are rejected (P10).
+    change nothing. Updated/inserted rows get min_value, is_active, updated_at;
+    inserted ones the next rule ids. Commands with an invalid level or a
+    negative minimum are rejected (P10). Of several commands for one rule the
+    last by ``command_at`` (where given) counts.
     """
     if isinstance(at, str):
         at = dt.datetime.fromisoformat(at)
     cmd = commands.filter(F.col("warning_level").isin(*S.WARNING_LEVELS) & (F.col("min_value") >= 0))
     cmd = cmd.join(parameter.select(F.col("code").alias("parameter_code"), "parameter_id"), "parameter_code")
-    new = cmd.select("parameter_id", "city", "warning_level",
-                     F.col("min_value").cast("decimal(12,4)").alias("min_value"), "is_active",
-                     F.lit(at).cast("timestamp_ntz").alias("updated_at"))
+    key = ["parameter_id", "city", "warning_level"]
+    when = ["command_at"] if "command_at" in commands.columns else []
+    new = last_per_key(cmd.select(*key, F.col("min_value").cast("decimal(12,4)").alias("min_value"), "is_active",
+                                  *when), key, when)
+    new = with_new_ids(new.drop(*when), rules, key, "threshold_rule_id") \
+        .withColumn("updated_at", F.lit(at).cast("timestamp_ntz"))
     cur = rules.select("parameter_id", "city", "warning_level", "threshold_rule_id", "min_value",
                        "is_active", "updated_at")
-    return upsert_by_key(new, cur, ["parameter_id", "city", "warning_level"],
-                         update=["min_value", "is_active", "updated_at"])
+    return upsert_by_key(new, cur, key, update=["min_value", "is_active", "updated_at"])
 
 
 def default_rules(scope: DataFrame, existing: DataFrame, parameter_id_col: str = "parameter_id") -> DataFrame:
     """Default rules (the four levels) for every (city, parameter) in
     ``scope``; rows whose key already exists are left alone (do nothing on
-    conflict). Levels come from ``explode`` of a literal array."""
+    conflict); new ones get the next rule ids. Levels come from ``explode`` of
+    a literal array."""
     from aerolith.sources.driver_tables import LEVEL_BASE_MIN
     levels = F.array(*[F.struct(F.lit(code).alias("warning_level"), F.lit(base).alias("base"))
                        for code, _i, base in LEVEL_BASE_MIN])
@@ -175,8 +180,9 @@ def default_rules(scope: DataFrame, existing: DataFrame, parameter_id_col: str =
         "city", F.col(parameter_id_col).alias("parameter_id"),
         F.col("lv.warning_level").alias("warning_level"),
         F.col("lv.base").cast("decimal(12,4)").alias("min_value"), F.lit(True).alias("is_active"))
-    return cand.join(existing.select("parameter_id", "city", "warning_level"),
-                     ["parameter_id", "city", "warning_level"], "left_anti")
+    key = ["parameter_id", "city", "warning_level"]
+    new = cand.dropDuplicates(key).join(existing.select(*key), key, "left_anti")
+    return with_new_ids(new, existing, key, "threshold_rule_id")
 
 
 def review_not_found(alerts_df: DataFrame, commands: DataFrame) -> DataFrame:
@@ -191,7 +197,8 @@ def threshold_update_by_id(rules: DataFrame, parameter: DataFrame, commands: Dat
     Returns (new rules, rejected commands with a reason): unknown rule id ->
     'not found'; unknown parameter code, invalid level or negative minimum ->
     'invalid'. Valid commands replace every listed column and stamp
-    ``updated_at``."""
+    ``updated_at``; of several for one rule the last by ``command_at`` (where
+    given) counts."""
     if isinstance(at, str):
         at = dt.datetime.fromisoformat(at)
     p = parameter.select(F.col("code").alias("parameter_code"), F.col("parameter_id").alias("__pid"))
@@ -201,10 +208,12 @@ def threshold_update_by_id(rules: DataFrame, parameter: DataFrame, commands: Dat
               .when(F.col("__pid").isNull() | ~F.col("warning_level").isin(*S.WARNING_LEVELS)
                     | (F.col("min_value") < 0), F.lit("invalid")))
     c = c.withColumn("reason", reason)
+    when = ["command_at"] if "command_at" in commands.columns else []
     ok = c.filter(F.col("reason").isNull()).select(
         "threshold_rule_id", F.col("__pid").cast("int").alias("parameter_id"), "city", "warning_level",
         F.col("min_value").cast("decimal(12,4)").alias("min_value"), "is_active",
-        F.lit(at).cast("timestamp_ntz").alias("updated_at"))
+        F.lit(at).cast("timestamp_ntz").alias("updated_at"), *when)
+    ok = last_per_key(ok, ["threshold_rule_id"], when).drop(*when)
     cols = ["parameter_id", "city", "warning_level", "min_value", "is_active", "updated_at"]
     new = upsert_by_key(ok, rules.select("threshold_rule_id", *cols), ["threshold_rule_id"], update=cols)
     return new, c.filter(F.col("reason").isNotNull()).select(*commands.columns, "reason")

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from aerolith.functions import scalars as S
 
@@ -89,6 +90,25 @@ def upsert_by_key(new: DataFrame, current: DataFrame, keys: list[str], update: l
     return j.select(*out)
 
 
+def last_per_key(new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row per key: the last in ``order``, as if the rows were upserted one
+    after another (ties: the greatest remaining values)."""
+    rest = [c for c in new.columns if c not in keys]
+    at = F.struct(*order, *[c for c in rest if c not in order])
+    return new.groupBy(*keys).agg(F.max_by(F.struct(*rest), at).alias("__last")).select(*keys, "__last.*")
+
+
+def with_new_ids(new: DataFrame, current: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+    """Give rows whose key is not stored the ids after the current maximum, in
+    key order; other rows get no id (an upsert keeps theirs). The ranking runs
+    over the new keys of a small rule or vocabulary table."""
+    top = current.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
+    fresh = new.join(current.select(*keys), keys, "left_anti").select(*keys)
+    ids = fresh.select(*keys, (top + F.row_number().over(Window.orderBy(*keys)))
+                       .cast(current.schema[id_col].dataType).alias(id_col))
+    return new.join(ids, keys, "left")
+
+
 def dim_parameter(parameter: DataFrame) -> DataFrame:
     """Source parameter rows in dimension shape (SCD1: key = source id)."""
     return parameter.select(F.col("parameter_id").alias("parameter_key"),

@@ -19,18 +19,17 @@ READING_COLS = ["measurement_id", "sensor_id", "measured_at", "value", "unit", "
 
 
 def load_measurement_facts(core, dim_location: DataFrame, dim_sensor: DataFrame,
-                           existing: DataFrame | None = None, readings: DataFrame | None = None) -> DataFrame:
+                           existing: DataFrame | None = None, incremental: bool = False) -> DataFrame:
     """New reading facts.
 
     Readings join their *current* sensor and location versions (J3) and the
     parameter; readings without a current version drop out now and are picked
     up by a later run (the anti join makes the load idempotent, J6). The risk
-    band (J4) is a CASE over the four fixed bands. ``readings`` narrows the
-    candidate readings (the incremental load passes only new and skipped ones).
+    band (J4) is a CASE over the four fixed bands. ``incremental``: see
+    ``not_stored``.
     """
-    src = core.measurement if readings is None else readings
-    m = quality_filter(src.select(*READING_COLS))
-    if existing is not None:
+    m = quality_filter(core.measurement.select(*READING_COLS))
+    if existing is not None and not incremental:
         m = m.join(existing.select(F.col("source_measurement_id").alias("measurement_id")),
                    "measurement_id", "left_anti")
     s = core.sensor.select("sensor_id", "location_id", "parameter_id")
@@ -40,7 +39,7 @@ def load_measurement_facts(core, dim_location: DataFrame, dim_sensor: DataFrame,
                                            F.xxhash64("source_location_id", "valid_from").alias("location_key"))
     p = core.parameter.select("parameter_id", F.col("code").alias("parameter_code"))
     j = m.join(s, "sensor_id").join(ds, "sensor_id").join(dl, "location_id").join(p, "parameter_id")
-    return j.select(
+    rows = j.select(
         F.col("measurement_id").alias("source_measurement_id"),
         "location_key", "sensor_key",
         F.col("location_id").alias("source_location_id"),
@@ -53,6 +52,34 @@ def load_measurement_facts(core, dim_location: DataFrame, dim_sensor: DataFrame,
         F.col("value").cast("double").alias("measurement_value"),
         "unit", "ingestion_run_id",
     )
+    return not_stored(rows, existing) if existing is not None and incremental else rows
+
+
+def not_stored(rows: DataFrame, existing: DataFrame) -> DataFrame:
+    """Loadable reading facts that are not stored yet, without joining every id.
+
+    Stored facts of a (run, sensor) are always among its loadable ones while
+    the sensor is loadable (readings are never changed or removed), so equal
+    counts mean equal rows. Only groups whose counts differ are anti joined by
+    id. Exact after a full load, with late readings of old runs and with
+    sensors that become loadable later; it needs no stored watermark.
+    """
+    group = ["ingestion_run_id", "source_sensor_id"]
+
+    def counts(df, run, sensor, n):
+        return df.select(*[F.col(c).alias(a) for c, a in zip(group, (run, sensor))]) \
+            .groupBy(run, sensor).agg(F.count(F.lit(1)).alias(n))
+
+    def within(df, groups, how):
+        return df.join(groups, F.col(group[0]).eqNullSafe(F.col("__run")) &
+                       F.col(group[1]).eqNullSafe(F.col("__sensor")), how)
+    loadable = counts(rows, "__run", "__sensor", "__n")
+    stored = counts(existing, "__run_m", "__sensor_m", "__m")
+    changed = loadable.join(stored, F.col("__run").eqNullSafe(F.col("__run_m")) &
+                            F.col("__sensor").eqNullSafe(F.col("__sensor_m")), "left") \
+        .filter(F.col("__n") != F.coalesce("__m", F.lit(0))).select("__run", "__sensor")
+    seen = within(existing, changed, "left_semi").select("source_measurement_id")
+    return within(rows, changed, "left_semi").join(seen, "source_measurement_id", "left_anti")
 
 
 def load_alert_facts(core, alerts: DataFrame, dim_location: DataFrame,

@@ -2,10 +2,11 @@
 
 A plain ``Window.partitionBy(series)`` puts a whole series into one task; if
 one sensor holds a third of all readings, that task does a third of the job.
-Here a series is cut into chunks of about ``TARGET_ROWS`` rows each (the
-chunk width in time is chosen per series from its row count and time span,
-so a hot series gets narrow chunks and a sparse one a single chunk; a
-calendar bucket can be passed instead). Window functions run per
+Here a series is cut into chunks of about ``TARGET_ROWS`` rows each, by
+position: rows are counted per (series, hour) and an hour belongs to the chunk
+its first row's position falls in, so bursts are cut as finely as steady
+series (a calendar bucket can be passed instead). Rows meet their chunk by
+(series, hour), never by the series alone. Window functions run per
 (series, chunk); the rows they need from neighbouring chunks (the last
 ``before`` rows of earlier chunks, the first ``after`` rows of later ones) are
 copied in as *halo* rows and dropped afterwards. Chunks are numbered by a
@@ -27,19 +28,25 @@ _COPIES = "array<struct<t:int,h:boolean>>"
 
 
 def with_chunks(df: DataFrame, key: list[str], ts: str, chunk=None, target_rows: int | None = None) -> DataFrame:
-    """Add ``__chunk``. Given a column, use it; otherwise size chunks by rows:
-    per series width = span / ceil(rows / target_rows), from one aggregate
-    (one row per series) joined back on the key."""
+    """Add ``__chunk``. Given a column, use it; otherwise chunks of about
+    ``target_rows`` rows: an hour of a series goes to the chunk that holds the
+    number of rows before it, so a chunk exceeds the target by less than one
+    hour of the series."""
     if chunk is not None:
         return df.withColumn("__chunk", chunk)
     target_rows = target_rows or TARGET_ROWS
-    secs = F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(1e6)
-    st = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__rows"), F.min(secs).alias("__t0"),
-                              F.max(secs).alias("__t1"))
-    st = st.select(*key, "__t0", (F.greatest(F.lit(1e-6), F.col("__t1") - F.col("__t0") + F.lit(1e-6))
-                                  / F.ceil(F.col("__rows") / F.lit(target_rows))).alias("__w"))
-    return df.join(st, key).withColumn("__chunk", F.floor((secs - F.col("__t0")) / F.col("__w"))) \
-        .drop("__t0", "__w")
+    b = with_rows_before(df, key, ts)
+    return b.withColumn("__chunk", F.floor(F.col("__before") / F.lit(target_rows))).drop("__before", "__hour")
+
+
+def with_rows_before(df: DataFrame, key: list[str], ts: str) -> DataFrame:
+    """Add ``__hour`` and ``__before``, the rows of the series in earlier hours.
+    The running total is over one row per (series, hour)."""
+    b = df.withColumn("__hour", F.date_trunc("hour", F.col(ts)))
+    per_hour = b.groupBy(*key, "__hour").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*key).orderBy("__hour").rowsBetween(Window.unboundedPreceding, -1)
+    before = per_hour.select(*key, "__hour", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    return b.join(before, [*key, "__hour"])
 
 
 def _ranked(df: DataFrame, key: list[str], chunk, ts: str) -> DataFrame:
@@ -81,13 +88,9 @@ def sequence_window(df: DataFrame, key: list[str], order: list[str], before: int
     return out.filter(~F.col("__halo")).drop("__target", "__halo")
 
 
-def top_k_per_key(df: DataFrame, key: list[str], order_desc: list[str], k: int, chunk=None) -> DataFrame:
-    """The k last rows per series (by ``order_desc`` descending), in two
-    bounded steps: top k inside each (series, chunk), then top k over those
-    candidates (at most k per chunk). Adds ``rank_desc`` 1..k."""
-    b = with_chunks(df, key, order_desc[0], chunk)
-    desc = [F.desc(c) for c in order_desc]
-    b = b.withColumn("__r", F.row_number().over(Window.partitionBy(*key, "__chunk").orderBy(*desc)))
-    b = b.filter(F.col("__r") <= k).drop("__r", "__chunk")
-    b = b.withColumn("rank_desc", F.row_number().over(Window.partitionBy(*key).orderBy(*desc)))
-    return b.filter(F.col("rank_desc") <= k)
+def top_k_per_key(df: DataFrame, key: list[str], order_desc: list[str], k: int) -> DataFrame:
+    """The k last rows per series (by ``order_desc`` descending). Adds
+    ``rank_desc`` 1..k. Spark pushes the rank limit below the shuffle, so at
+    most k rows per series and task travel."""
+    w = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in order_desc])
+    return df.withColumn("rank_desc", F.row_number().over(w)).filter(F.col("rank_desc") <= k)

@@ -275,6 +275,23 @@ def _fact_measurement_incremental(spark, sf):
     return facts.load_measurement_facts(c, dl, ds, existing=first).select(*FACT_COLS)
 
 
+@register("fact_measurement_late", FIRST_LOAD + """
+SELECT * FROM fact_m
+""")
+def _fact_measurement_late(spark, sf):
+    """A load of early runs without every third reading, then an
+    incremental one that finds the late readings of old runs and all new runs;
+    together each reading once."""
+    c = core(spark, sf)
+    dl, ds = SC.dim_location_first_load(c), SC.dim_sensor_first_load(c)
+    first = facts.load_measurement_facts(c, dl, ds).filter(
+        (F.col("measured_at") < F.lit(SC.INCREMENTAL_CUT).cast("timestamp_ntz"))
+        & (F.col("source_measurement_id") % 3 != 0))
+    first = first.checkpoint()
+    late = facts.load_measurement_facts(c, dl, ds, existing=first, incremental=True)
+    return first.unionByName(late).select(*FACT_COLS)
+
+
 @register("fact_purge_negative", """
 SELECT c_custkey AS source_measurement_id, c_acctbal AS measurement_value,
        c_acctbal >= 0 AND c_acctbal < 100000 AS passes_quality
@@ -833,8 +850,7 @@ def _predictions_vs_actual(spark, sf):
 @register("error_metrics", BACKTEST_SQL + """
 SELECT count(*) AS matched, avg(abs(predicted_value - actual_value)) AS mae,
        sqrt(avg((predicted_value - actual_value) * (predicted_value - actual_value))) AS rmse,
-       1 - sum((predicted_value - actual_value) * (predicted_value - actual_value))
-           / (sum(actual_value * actual_value) - sum(actual_value) * sum(actual_value) / count(*)) AS r2
+       1 - avg((predicted_value - actual_value) * (predicted_value - actual_value)) / var_pop(actual_value) AS r2
 FROM pva WHERE actual_value IS NOT NULL AND predicted_value IS NOT NULL
 """)
 def _error_metrics(spark, sf):
@@ -1046,14 +1062,12 @@ def _rowcount_audit(spark, sf):
 
 def _landing_name(c, kind: str) -> str:
     """Landing folder of the session's derived pages: keyed by the input
-    folder and the code that builds the pages (never by a process-local id)."""
-    import hashlib
-    import os
+    files and the code that builds the pages (never by a process-local id)."""
+    import sys
 
     from aerolith.session import code_version
     from aerolith.sources import driver_tables
-    h = hashlib.sha1(os.path.abspath(c.sf_dir).encode()).hexdigest()[:16]
-    return f"{kind}-{h}-{code_version(B, driver_tables)}"
+    return f"{kind}-{c.inputs}-{code_version(B, driver_tables, sys.modules[__name__])}"
 
 
 def _measurement_pages(c):
@@ -1216,7 +1230,10 @@ def _upsert_location(spark, sf):
   SELECT DISTINCT s.parameter_id, l.country, 'high', CAST(30 AS DECIMAL(12,4)), true
   FROM sensor s JOIN location l ON l.location_id = s.location_id)
 SELECT COALESCE(c.parameter_id, t.parameter_id) AS parameter_id, COALESCE(c.city, t.city) AS city,
-       COALESCE(c.warning_level, t.warning_level) AS warning_level, t.threshold_rule_id,
+       COALESCE(c.warning_level, t.warning_level) AS warning_level,
+       COALESCE(t.threshold_rule_id, (SELECT max(threshold_rule_id) FROM threshold_rule)
+         + row_number() OVER (PARTITION BY t.threshold_rule_id IS NULL
+                              ORDER BY c.parameter_id, c.city, c.warning_level)) AS threshold_rule_id,
        CAST(COALESCE(c.min_value, t.min_value) AS DOUBLE) AS min_value,
        COALESCE(c.is_active, t.is_active) AS is_active,
        CASE WHEN c.parameter_id IS NOT NULL THEN TIMESTAMP '2024-02-01 00:00:00' ELSE t.updated_at END AS updated_at
@@ -1225,7 +1242,8 @@ FROM cmd c FULL OUTER JOIN threshold_rule t
 """)
 def _threshold_upsert(spark, sf):
     """Re-enable inactive critical rules (+5), add 'high' rules per country;
-    commands naming an unknown parameter or invalid level are ignored."""
+    commands naming an unknown parameter or invalid level are ignored, and so
+    is an earlier command for the same rule."""
     c = core(spark, sf)
     p = c.parameter.select("parameter_id", F.col("code").alias("parameter_code"))
     inactive = c.threshold_rule.filter((F.col("warning_level") == "critical") & ~F.col("is_active")).join(
@@ -1240,6 +1258,10 @@ def _threshold_upsert(spark, sf):
     bad_level = per_country.select("parameter_code", "city", F.lit("impossible").alias("warning_level"),
                                    "min_value", "is_active")
     cmds = inactive.unionByName(per_country).unionByName(unknown).unionByName(bad_level)
+    at = F.to_timestamp_ntz(F.lit("2024-01-31 12:00:00"))
+    earlier = cmds.withColumn("min_value", F.col("min_value") + 40).withColumn("is_active", F.lit(False)) \
+        .withColumn("command_at", F.timestamp_add("HOUR", F.lit(-1), at))
+    cmds = earlier.unionByName(cmds.withColumn("command_at", at))
     out = A.threshold_upsert(c.threshold_rule, c.parameter, cmds, "2024-02-01 00:00:00")
     return out.select("parameter_id", "city", "warning_level", "threshold_rule_id",
                       F.col("min_value").cast("double").alias("min_value"), "is_active", "updated_at")
@@ -1251,7 +1273,9 @@ def _threshold_upsert(spark, sf):
             UNION SELECT DISTINCT l.city, s.parameter_id
             FROM sensor s JOIN location l ON l.location_id = s.location_id)
 , lv AS (SELECT * FROM (VALUES ('low', 0), ('moderate', 10), ('high', 25), ('critical', 50)) v(warning_level, base))
-SELECT sc.city, sc.parameter_id, lv.warning_level, CAST(lv.base AS DOUBLE) AS min_value, true AS is_active
+SELECT (SELECT max(threshold_rule_id) FROM threshold_rule)
+         + row_number() OVER (ORDER BY sc.parameter_id, sc.city, lv.warning_level) AS threshold_rule_id,
+       sc.city, sc.parameter_id, lv.warning_level, CAST(lv.base AS DOUBLE) AS min_value, true AS is_active
 FROM scope sc, lv
 WHERE NOT EXISTS (SELECT 1 FROM threshold_rule t WHERE t.parameter_id = sc.parameter_id AND t.city = sc.city
                     AND t.warning_level = lv.warning_level)
@@ -1264,16 +1288,27 @@ def _default_rules(spark, sf):
     scope = sl.select(F.col("country").alias("city"), "parameter_id").unionByName(
         sl.select("city", "parameter_id")).distinct()
     out = A.default_rules(scope, c.threshold_rule)
-    return out.select("city", "parameter_id", "warning_level", F.col("min_value").cast("double").alias("min_value"),
-                      "is_active")
+    return out.select("threshold_rule_id", "city", "parameter_id", "warning_level",
+                      F.col("min_value").cast("double").alias("min_value"), "is_active")
 
 
 # --- streaming ---------------------------------------------------------------
 
 
-def _landing_path(c):
-    _measurement_pages(c)
-    return B.landing_dir(c.spark, _landing_name(c, "m"))
+def _overlap_replay(ev):
+    """The last 12 hours again, with corrected values."""
+    hw = ev.agg(F.max("ts")).scalar()
+    return ev.filter(F.col("ts") > F.timestamp_add("HOUR", F.lit(-12), hw)).select(
+        (F.col("event_id") + 10_000_000).alias("event_id"), "ts", "user_id", "event_type",
+        (F.col("value") + 1).alias("value"), "props")
+
+
+def _replayed_landing(c):
+    """Landed pages of all events and, as a later run, of the overlap replay."""
+    ev = c.raw("events")
+    again = B.measurement_pages(_overlap_replay(ev), c.parameter).withColumn("run_id", F.lit(99999999))
+    B.land_once(c.spark, B.measurement_pages(ev, c.parameter).unionByName(again), _landing_name(c, "r"))
+    return B.landing_dir(c.spark, _landing_name(c, "r"))
 
 
 @register("stream_hourly", """
@@ -1286,9 +1321,10 @@ GROUP BY 1, 2, 3, 4
 HAVING date_trunc('hour', measured_at) + INTERVAL 1 HOUR <= (SELECT wm FROM hw)
 """)
 def _stream_hourly(spark, sf):
-    """T8 + T2: streaming hourly windows, 12 h watermark, append mode (closed windows)."""
+    """T8 + T2: streaming hourly windows, 12 h watermark, append mode (closed
+    windows); replayed readings count once."""
     c = core(spark, sf)
-    return ST.hourly_stream(spark, c, _landing_path(c))
+    return ST.hourly_stream(spark, c, _replayed_landing(c))
 
 
 @register("stream_alerts", ALERTS + """
@@ -1297,9 +1333,10 @@ FROM alerts a JOIN readings r ON r.measurement_id = a.measurement_id
 WHERE a.measurement_id % 50 <> 7
 """)
 def _stream_alerts(spark, sf):
-    """T4: alert generation as a stream-static join over the landed pages."""
+    """T4: alert generation as a stream-static join over the inserted readings
+    (a replayed reading raises no second alert)."""
     c = core(spark, sf)
-    return ST.alert_stream(spark, c, _landing_path(c))
+    return ST.alert_stream(spark, c, _replayed_landing(c))
 
 
 @register("stream_dedupe", """
@@ -1316,11 +1353,7 @@ def _stream_dedupe(spark, sf):
     ev = c.raw("events")
     B.measurement_pages(ev, c.parameter).write.mode("append").partitionBy("run_id").json(d["landing"])
     ST.first_writer_stream(spark, d["landing"], d["table"], d["checkpoint"])
-    hw = ev.agg(F.max("ts")).scalar()
-    replay = ev.filter(F.col("ts") > F.timestamp_add("HOUR", F.lit(-12), hw)).select(
-        (F.col("event_id") + 10_000_000).alias("event_id"), "ts", "user_id", "event_type",
-        (F.col("value") + 1).alias("value"), "props")
-    B.measurement_pages(replay, c.parameter).withColumn("run_id", F.lit(99999999)) \
+    B.measurement_pages(_overlap_replay(ev), c.parameter).withColumn("run_id", F.lit(99999999)) \
         .write.mode("append").partitionBy("run_id").json(d["landing"])
     t = ST.first_writer_stream(spark, d["landing"], d["table"], d["checkpoint"])
     return t.select("sensor_id", "measured_at", F.col("value").cast("double").alias("value"))
@@ -1547,5 +1580,5 @@ def _sensors_in_scope_capped(spark, sf):
     pages = _location_records(core(spark, sf))
     locs = B.parse_locations(B.unnest(pages.filter(F.col("endpoint") == "/v3/locations"), B.LOCATION_JSON))
     fallback = pages.filter(F.col("endpoint") == "/v3/locations/{id}/sensors")
-    sensors = B.in_scope(B.sensors_of(locs, fallback), parameters=["click", "VIEW"])
+    sensors = B.sensors_of(locs, fallback, parameters=["click", "VIEW"])
     return B.first_n(sensors, ["location_id", "sensor_id"], 100).select("sensor_id", "location_id", "parameter_code")

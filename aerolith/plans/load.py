@@ -60,12 +60,10 @@ def run_etl(spark: SparkSession, core, root: str, alerts_df: DataFrame, as_of, i
     """One warehouse load from the core tables into ``root``; returns counts.
 
     ``incremental``: instead of anti-joining every reading against the whole
-    stored fact (the reference's NOT EXISTS), take as candidates only the
-    readings of runs after the last load's run watermark plus the readings
-    the last load skipped (no current dimension version yet), kept as a small
-    table named in the manifest. Exact because readings arrive only with new
-    runs and are never changed (first writer wins); the result equals the
-    full anti-join load. The first incremental load starts from all readings.
+    stored fact (the reference's NOT EXISTS), compare row counts per (run,
+    sensor) and anti-join only the groups that differ
+    (``facts.not_stored``). The result equals the full anti-join load, also
+    after a full load and with late readings of old runs.
     """
     if isinstance(as_of, str):
         as_of = dt.datetime.fromisoformat(as_of)
@@ -121,37 +119,16 @@ def run_etl(spark: SparkSession, core, root: str, alerts_df: DataFrame, as_of, i
                          scd2.empty_sensor_dim(spark, core.sensor))
         n_param, (dl, n_loc), (ds, n_sen) = fp.result(), fl.result(), fs.result()
         existing_a = table(spark, root, "fact_alert", manifest)
-        skipped_path, run_mark = None, None
-        if incremental:
-            state = (manifest or {}).get("incremental")
-            m_all = core.measurement.select(*facts.READING_COLS)
-            cand = m_all
-            if state:
-                cand = m_all.filter(F.col("ingestion_run_id") > F.lit(state["run_watermark"]))
-                if state.get("skipped"):
-                    cand = cand.unionByName(spark.read.parquet(state["skipped"]))
-            cand = facts.quality_filter(cand).checkpoint()  # read twice: the load and the skip list
-            new_m = facts.load_measurement_facts(core, dl, ds, readings=cand)
-            fm = pool.submit(append_fact, "fact_measurement", new_m)
-            run_mark = m_all.agg(F.max("ingestion_run_id")).first()[0]
-        else:
-            existing_m = table(spark, root, "fact_measurement", manifest)
-            fm = pool.submit(append_fact, "fact_measurement",
-                             facts.load_measurement_facts(core, dl, ds, existing=existing_m))
+        existing_m = table(spark, root, "fact_measurement", manifest)
+        fm = pool.submit(append_fact, "fact_measurement",
+                         facts.load_measurement_facts(core, dl, ds, existing=existing_m, incremental=incremental))
         fa = pool.submit(append_fact, "fact_alert", facts.load_alert_facts(core, alerts_df, dl, existing=existing_a))
         n_read, n_alert = fm.result(), fa.result()
-        if incremental:
-            loaded = spark.read.parquet(os.path.join(root, "fact_measurement")) \
-                .filter(F.col("load_run") == run_id).select(F.col("source_measurement_id").alias("measurement_id"))
-            skipped_path = os.path.join(stage, "skipped_readings")
-            cand.join(loaded, "measurement_id", "left_anti").write.mode("overwrite").parquet(skipped_path)
 
     # publish last
     runs = (manifest or {}).get("fact_runs", []) + [run_id]
     new_manifest = {"run_id": run_id, "as_of": as_of.isoformat(), "fact_runs": runs,
                     "dims": {n: os.path.join(stage, n) for n in DIMS}}
-    if incremental:
-        new_manifest["incremental"] = {"run_watermark": run_mark, "skipped": skipped_path}
     store.write_marker(spark, _manifest_path(root), json.dumps(new_manifest))
     return {"parameters": n_param, "locations": n_loc, "sensors": n_sen, "readings": n_read, "alerts": n_alert}
 

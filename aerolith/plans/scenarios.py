@@ -76,13 +76,9 @@ def stored_alerts(core) -> DataFrame:
     """The alert table as ingest stores it (T4 output, generated once into the
     shared folder); reads, reviews and audits scan it instead of re-running
     the trigger join in every plan."""
-    import hashlib
-    import os
-
     from aerolith.session import code_version, scratch_path
     from aerolith.sources import driver_tables, store
-    h = hashlib.sha1(os.path.abspath(core.sf_dir).encode()).hexdigest()[:16]
-    root = scratch_path(core.spark, "alerts-published", f"{h}-{code_version(driver_tables, A)}")
+    root = scratch_path(core.spark, "alerts-published", f"{core.inputs}-{code_version(driver_tables, A)}")
     return core.spark.read.parquet(store.publish_once(core.spark, root, lambda: A.alerts(core)))
 
 
@@ -111,18 +107,14 @@ def warehouse_root(core) -> str:
 
 
 def _warehouse_root(core, key) -> str:
-    import hashlib
-    import os
-
     from aerolith.plans import load as PL
     from aerolith.session import scratch_path
     if key not in _PUBLISHED or _PUBLISHED[key][0] is not core:
         from aerolith.operators import alerts, dims, facts, scd2 as scd2_mod
         from aerolith.session import code_version
         from aerolith.sources import driver_tables
-        h = hashlib.sha1(os.path.abspath(core.sf_dir).encode()).hexdigest()[:16]
         v = code_version(driver_tables, dims, facts, scd2_mod, alerts, PL)
-        root = scratch_path(core.spark, "warehouse-published", f"{h}-{v}")
+        root = scratch_path(core.spark, "warehouse-published", f"{core.inputs}-{v}")
         if PL.read_manifest(core.spark, root) is None:
             PL.run_etl(core.spark, core, root, stored_alerts(core), AS_OF_1)
         _PUBLISHED[key] = (core, root)

@@ -87,12 +87,15 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 
 def code_version(*modules) -> str:
-    """Short hash of the source of the given modules: stores published in the
-    shared folder are keyed by it, so a change to the code that builds them
-    never reuses an old store."""
+    """Short hash of the source of the given modules and of the shared helpers
+    they use: stores published in the shared folder are keyed by it, so a
+    change to the code that builds them never reuses an old store."""
     import hashlib
     import inspect
+
+    from aerolith.functions import scalars
+    from aerolith.operators import filters, windows
     h = hashlib.sha1()
-    for m in modules:
+    for m in (*modules, scalars, filters, windows):
         h.update(inspect.getsource(m).encode())
     return h.hexdigest()[:12]

@@ -84,15 +84,14 @@ def measurement_pages(events: DataFrame, parameter: DataFrame, sensor_factor: in
         F.struct(F.struct(F.when(k == 1, iso).alias("utc")).alias("datetimeFrom")).alias("period"),
         F.when(k == 2, iso).alias("date"),
         F.when(k == 3, iso).alias("datetimeUtc"))
-    # Records are numbered inside row-sized chunks of each (sensor, day), so
-    # a hot sensor-day is spread over several tasks; chunk order then block
-    # order keeps pages in time order within a run.
-    from aerolith.operators.windows import TARGET_ROWS, with_chunks
-    e = with_chunks(e.withColumn("__day", F.to_date("ts")), ["sensor_id", "__day"], "ts")
-    w = Window.partitionBy("sensor_id", "__day", "__chunk").orderBy("ts", "event_id")
-    e = e.withColumn("__pos", F.row_number().over(w) - 1)
-    blocks = TARGET_ROWS // PAGE_SIZE + 1
-    e = e.withColumn("__page", (F.col("__chunk") * blocks + (F.col("__pos") / PAGE_SIZE).cast("int")).cast("int"))
+    # A record's position within its (sensor, day) is the number of records in
+    # earlier hours plus its rank within the hour, so a hot sensor-day is spread
+    # over several tasks and pages are full and numbered 1, 2, 3 in time order.
+    from aerolith.operators.windows import with_rows_before
+    e = with_rows_before(e.withColumn("__day", F.to_date("ts")), ["sensor_id", "__day"], "ts")
+    w = Window.partitionBy("sensor_id", "__day", "__hour").orderBy("ts", "event_id")
+    e = e.withColumn("__pos", F.col("__before") + F.row_number().over(w) - 1)
+    e = e.withColumn("__page", F.floor(F.col("__pos") / PAGE_SIZE).cast("int"))
     pages = e.groupBy("sensor_id", "__day", "__page").agg(
         F.sort_array(F.collect_list(F.struct(F.col("__pos"), rec.alias("r")))).alias("__recs"))
     body = F.to_json(F.struct(F.transform("__recs", lambda x: x["r"]).alias("results")))
@@ -211,15 +210,23 @@ def parse_parameter(p) -> dict:
                 source_parameter_id=p["id"])
 
 
-def parameters_of(sensors_json: DataFrame, sensor_col: str = "s") -> DataFrame:
+def parameters_of(sensors_json: DataFrame, sensor_col: str = "s", order: list[str] = ()) -> DataFrame:
     """Parameter rows from sensor records (one per code; records with no
-    name or code are errors and are dropped here, counted by the caller)."""
+    name or code are errors and are dropped here, counted by the caller).
+    Records of one code are folded as if upserted one after another in
+    ``order`` (then sensor id): the last one's values, the first one's
+    description."""
     p = parse_parameter(F.col(sensor_col)["parameter"])
     rows = sensors_json.select(p["code"].alias("code"), p["display_name"].alias("display_name"),
                                p["preferred_unit"].alias("preferred_unit"),
                                p["source_parameter_id"].cast("int").alias("openaq_parameter_id"),
-                               F.col(sensor_col)["parameter"]["description"].alias("description"))
-    return rows.filter(F.col("code").isNotNull()).dropDuplicates(["code"])
+                               F.col(sensor_col)["parameter"]["description"].alias("description"),
+                               F.struct(*order, F.col(sensor_col)["id"].alias("__sensor")).alias("__at"))
+    values = ["display_name", "preferred_unit", "openaq_parameter_id"]
+    at = F.struct("__at", *values, "description")
+    return rows.filter(F.col("code").isNotNull()).groupBy("code").agg(
+        F.max_by(F.struct(*values), at).alias("__last"), F.min_by(F.struct("description"), at).alias("__first")) \
+        .select("code", "__last.*", "__first.description")
 
 
 def upsert_parameters(new: DataFrame, current: DataFrame) -> DataFrame:
@@ -256,21 +263,31 @@ def parse_locations(records: DataFrame) -> DataFrame:
 
 def distinct_locations(locations: DataFrame) -> DataFrame:
     """One row per location from parsed location records (a location whose
-    sensors span several pages appears once per page)."""
-    return locations.drop("sensors", "page_no", "position").dropDuplicates(["location_id"])
+    sensors span several pages appears once per page): the last one in page
+    order, as if upserted one after another."""
+    from aerolith.operators.dims import last_per_key
+    return last_per_key(locations.drop("sensors"), ["location_id"], ["page_no", "position"]) \
+        .drop("page_no", "position")
 
 
 LOCATION_COLS = ["location_id", "name", "city", "country", "latitude", "longitude", "timezone"]
 
 
-def sensors_of(locations: DataFrame, sensor_pages: DataFrame | None = None) -> DataFrame:
+def sensors_of(locations: DataFrame, sensor_pages: DataFrame | None = None,
+               parameters: list[str] | None = None) -> DataFrame:
     """Embedded sensors win; sensor pages are used only for locations
-    with no embedded sensors (left anti on the location)."""
+    with no embedded sensors in scope (left anti on the location).
+    ``parameters``: the wanted raw parameter names (S7); None wants all."""
+    # the sensor scope compares the raw parameter name only
+    name = F.lower(F.coalesce(F.col("s")["parameter"]["name"], F.lit("")))
     emb = locations.select("location_id", F.explode("sensors").alias("s"))
-    emb = emb.select("location_id", F.col("s")["id"].alias("sensor_id"), F.col("s").alias("s"))
+    emb = emb.select("location_id", F.col("s")["id"].alias("sensor_id"), F.col("s").alias("s"),
+                     name.alias("scope_parameter"))
+    emb = in_scope(emb, parameters=parameters)
     if sensor_pages is not None:
         fb = unnest(sensor_pages, SENSOR_JSON).select(F.col("source_id").alias("location_id"),
                                                       F.col("rec")["id"].alias("sensor_id"), F.col("rec").alias("s"))
+        fb = in_scope(fb.withColumn("scope_parameter", name), parameters=parameters)
         fb = fb.join(emb.select("location_id").distinct(), "location_id", "left_anti")
         emb = emb.unionByName(fb)
     p = parse_parameter(F.col("s")["parameter"])
@@ -278,9 +295,7 @@ def sensors_of(locations: DataFrame, sensor_pages: DataFrame | None = None) -> D
                       p["display_name"].alias("parameter_name"),
                       S.normalize_unit(F.coalesce(S.blank_to_null(F.col("s")["parameter"]["units"]),
                                                   S.blank_to_null(F.col("s")["unit"]),
-                                                  F.lit(S.UNKNOWN_UNIT))).alias("unit"),
-                      # the sensor scope compares the raw parameter name only
-                      F.lower(F.coalesce(F.col("s")["parameter"]["name"], F.lit(""))).alias("scope_parameter"))
+                                                  F.lit(S.UNKNOWN_UNIT))).alias("unit"), "scope_parameter")
 
 
 def in_scope(df: DataFrame, cities: list[str] | None = None, parameters: list[str] | None = None,

@@ -142,9 +142,12 @@ class Core:
 
     TABLES = ("parameter", "location", "sensor", "measurement", "threshold_rule")
 
+    INPUTS = ("events", "customer", "nation", "region")
+
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.inputs = input_key(spark, sf_dir)
         self._frames: dict[str, DataFrame] = {}
         if materialize:
             self._materialize()
@@ -154,12 +157,11 @@ class Core:
         return read(self.spark, self.sf_dir, name)
 
     def _store_dir(self) -> str:
-        # keyed by the input folder and the code that builds the store
+        # keyed by the input files and the code that builds the store
         import sys
 
         from aerolith.session import code_version
-        h = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:16]
-        return scratch_path(self.spark, "core", f"{h}-{code_version(sys.modules[__name__])}")
+        return scratch_path(self.spark, "core", f"{self.inputs}-{code_version(sys.modules[__name__])}")
 
     def _lazy(self) -> dict[str, DataFrame]:
         ev = self.raw("events").select("event_id", "ts", "user_id", "event_type", "value", "props")
@@ -234,12 +236,19 @@ class Core:
         return self.raw("events")
 
 
+def input_key(spark: SparkSession, sf_dir: str) -> str:
+    """Names a folder and the files its core inputs consist of now."""
+    from aerolith.sources import store
+    files = store.input_version(spark, [os.path.join(sf_dir, f"{t}.parquet") for t in Core.INPUTS])
+    return hashlib.sha1(f"{os.path.abspath(sf_dir)} {files}".encode()).hexdigest()[:16]
+
+
 _CORES: dict[tuple, Core] = {}
 
 
 def core(spark: SparkSession, sf_dir: str) -> Core:
-    """One Core per (session, folder)."""
-    key = (id(spark), os.path.abspath(sf_dir), spark.conf.get("spark.checkpoint.dir", ""))
+    """One Core per session and state of the input files."""
+    key = (id(spark), input_key(spark, sf_dir), spark.conf.get("spark.checkpoint.dir", ""))
     c = _CORES.get(key)
     if c is None or c.spark is not spark:  # ids can be reused by a later session
         c = Core(spark, sf_dir)

@@ -7,6 +7,7 @@ import threading
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Held while a shared store is checked and, if missing, built and published,
 # so concurrent callers in one driver never build the same store twice.
@@ -21,6 +22,14 @@ def exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
         return False
 
 
+def input_version(spark: SparkSession, paths: list[str]) -> str:
+    """Fingerprint of the files under ``paths`` (path, size, time of change):
+    replaced or added files give another one. Lists files, reads no contents."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    n, mix = files.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()
+    return f"{n}-{(mix or 0) & (2**64 - 1):016x}"
+
+
 def write_marker(spark: SparkSession, path: str, text: str) -> None:
     """Publish a marker (written last, so readers never see half a run)."""
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)

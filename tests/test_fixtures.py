@@ -257,3 +257,45 @@ def test_parameter_upsert_keeps_description_and_adds_codes(spark):
             out["pm25"].preferred_unit, out["pm25"].description) == (1, 22, "PM2.5", "ug/m3", "kept text")
     assert (out["no2"].parameter_id, out["no2"].display_name, out["no2"].description,
             out["no2"].preferred_unit) == (2, "NO2", "Nitrogen dioxide", "unknown")
+
+
+def test_repeated_threshold_commands_give_one_rule_with_an_id(spark):
+    rules = _rules(spark).withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
+    param = spark.createDataFrame([(7, "pm25")], "parameter_id int, code string")
+    t = dt.datetime(2026, 1, 1)
+    cmds = spark.createDataFrame([("pm25", "Eger", "high", 40.0, True, t + dt.timedelta(hours=1)),
+                                  ("pm25", "Eger", "high", 90.0, True, t),
+                                  ("pm25", "Budapest", "high", 31.0, False, t),
+                                  ("pm25", "Budapest", "high", 30.0, True, t + dt.timedelta(hours=1))],
+                                 "parameter_code string, city string, warning_level string, min_value double, "
+                                 "is_active boolean, command_at timestamp_ntz")
+    got = A.threshold_upsert(rules, param, cmds, "2026-01-02 00:00:00").collect()
+    ids = [r.threshold_rule_id for r in got]
+    assert len(got) == 5 and None not in ids and len(set(ids)) == 5
+    assert [(float(r.min_value), r.is_active) for r in got if r.city == "Eger"] == [(40.0, True)]
+    assert [(float(r.min_value), r.is_active) for r in got
+            if r.city == "Budapest" and r.warning_level == "high"] == [(30.0, True)]
+
+
+def test_sensor_pages_serve_locations_whose_embedded_sensors_are_out_of_scope(spark):
+    sensor = lambda i, n: {"id": i, "unit": "ug/m3", "parameter": {"id": 1, "name": n}}
+    body = {"results": [{"id": 7, "name": "A", "city": "Szeged", "sensors": [sensor(1, "no2")]},
+                        {"id": 8, "name": "B", "city": "Szeged", "sensors": [sensor(2, "pm25")]}]}
+    pages = _pages(spark, [(1, "/v3/locations", "u", None, 1, 1, json.dumps(body))])
+    locs = B.parse_locations(B.unnest(pages, B.LOCATION_JSON))
+    more = _pages(spark, [(1, "/v3/locations/{id}/sensors", "u", None, 7, 1, json.dumps({"results": [sensor(3, "PM25")]})),
+                          (1, "/v3/locations/{id}/sensors", "u", None, 8, 1, json.dumps({"results": [sensor(4, "pm25")]}))])
+    got = B.sensors_of(locs, more, parameters=["pm25"])
+    assert sorted(r.sensor_id for r in got.collect()) == [2, 3]
+
+
+def test_pages_are_full_and_numbered_in_time_order(spark):
+    ev = spark.range(700).select((F.col("id") * 50).alias("event_id"), F.lit(1).cast("long").alias("user_id"),
+                                 F.lit("pm25").alias("event_type"), F.lit(1.0).alias("value"), F.lit(None).cast("string")
+                                 .alias("props"), F.timestamp_add("SECOND", F.col("id") * 60, F.to_timestamp_ntz(
+                                     F.lit("2024-01-01 00:00:00"))).alias("ts"))
+    param = spark.createDataFrame([(7, "pm25", "PM2.5")], "parameter_id int, code string, display_name string")
+    rows = B.parse_measurements(B.unnest(B.measurement_pages(ev, param), B.MEASUREMENT_JSON)).orderBy("measured_at").collect()
+    assert [(r.page_no, r.position) for r in rows] == sorted((r.page_no, r.position) for r in rows)
+    sizes = {p: sum(r.page_no == p for r in rows) for p in (1, 2, 3)}
+    assert sizes == {1: 250, 2: 250, 3: 200}

@@ -62,3 +62,26 @@ def test_sessions_and_top_k_on_hot_series(skewed):
     top = W.top_k_per_key(skewed, ["sensor_id"], ["measured_at"], 6).filter(F.col("sensor_id") == HOT)
     want = skewed.filter(F.col("sensor_id") == HOT).orderBy(F.desc("measured_at")).limit(6)
     assert [r.measured_at for r in top.orderBy("rank_desc").collect()] == [r.measured_at for r in want.collect()]
+
+
+def test_bursty_series_is_chunked_by_rows_and_spread_over_tasks(spark, monkeypatch):
+    """One reading years early, the rest in a few weeks; broadcasts off, so the
+    plan is the one large inputs get."""
+    monkeypatch.setattr(W, "TARGET_ROWS", 500)
+    t0 = F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00"))
+    df = spark.range(20_000).select(
+        F.lit(1).alias("sensor_id"),
+        F.when(F.col("id") == 0, F.timestamp_add("YEAR", F.lit(-4), t0))
+        .otherwise(F.timestamp_add("SECOND", F.col("id") * 97, t0)).alias("measured_at"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = W.with_chunks(df, ["sensor_id"], "measured_at").groupBy("__chunk").count()
+        assert sizes.agg(F.max("count")).first()[0] <= 500 + 38
+        prev = R.previous_time(df, "sensor_id", "measured_at")
+        tasks = prev.groupBy(F.spark_partition_id()).count()
+        assert prev.count() == 20_000 and tasks.agg(F.max("count")).first()[0] < 20_000 * 0.6
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
