@@ -27,6 +27,10 @@ CATEGORICAL = ["source_location_id", "source_sensor_id"]
 NUMERIC = ["current_value", "previous_value", "rolling_3h", "rolling_6h", "hour", "minute", "weekday", "month"]
 LABEL = "target_value"
 RF_MAX_DEPTH = 30  # the deepest trees Spark ML grows
+# Node statistics a task may hold, from the session; results do not depend on
+# it, a small one means more passes. Spark's own 256 MB for each of eight tasks
+# does not fit a 1 GB heap.
+RF_MEMORY_CONF, RF_MEMORY_MB = "spark.aerolith.forest.maxMemoryInMB", "32"
 MODEL_NAMES = ("linear-regression", "random-forest")
 
 
@@ -56,7 +60,8 @@ def pipeline(model_name: str, seed: int = 42, key_encoding: str = "onehot") -> P
     else:
         est = RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=200, minInstancesPerNode=2,
                                     featureSubsetStrategy="all", bootstrap=True, subsamplingRate=1.0,
-                                    maxDepth=RF_MAX_DEPTH, seed=seed)
+                                    maxDepth=RF_MAX_DEPTH, seed=seed, maxMemoryInMB=int(
+                                        SparkSession.active().conf.get(RF_MEMORY_CONF, RF_MEMORY_MB)))
     return Pipeline(stages=[*keys, num, scale, feats, est])
 
 
