@@ -32,35 +32,51 @@ ROW_RULES: dict[str, dict[str, str]] = {
         "C6_seen_order": "last_seen_at < first_seen_at",
         "C11_name_not_null": "name IS NULL",
         "C11_city_not_null": "city IS NULL",
+        "C11_country_not_null": "country IS NULL",
+        "C11_first_seen_not_null": "first_seen_at IS NULL",
+        "C11_last_seen_not_null": "last_seen_at IS NULL",
     },
     "parameter": {
         "C1_code_not_blank": "trim(code) = ''",
         "C1_display_name_not_blank": "trim(display_name) = ''",
         "C1_unit_not_blank": "trim(preferred_unit) = ''",
         "C11_code_not_null": "code IS NULL",
+        "C11_display_name_not_null": "display_name IS NULL",
+        "C11_unit_not_null": "preferred_unit IS NULL",
     },
     "sensor": {
         "C1_unit_not_blank": "trim(unit) = ''",
         "C6_seen_order": "last_seen_at < first_seen_at",
         "C11_location_not_null": "location_id IS NULL",
         "C11_parameter_not_null": "parameter_id IS NULL",
+        "C11_unit_not_null": "unit IS NULL",
     },
     "measurement_raw": {
         "C1_unit_not_blank": "trim(unit) = ''",
         "C4_value_range": f"value <= {S.VALUE_OPEN_MIN} OR value >= {S.VALUE_OPEN_MAX}",
         "C11_value_not_null": "value IS NULL",
         "C11_measured_at_not_null": "measured_at IS NULL",
+        "C11_sensor_not_null": "sensor_id IS NULL",
+        "C11_unit_not_null": "unit IS NULL",
     },
     "threshold_rule": {
         "C1_city_not_blank": "trim(city) = ''",
         "C2_warning_level": f"warning_level NOT IN {_in(S.WARNING_LEVELS)}",
         "C5_min_value_non_negative": "min_value < 0",
         "C11_min_value_not_null": "min_value IS NULL",
+        "C11_parameter_not_null": "parameter_id IS NULL",
+        "C11_city_not_null": "city IS NULL",
+        "C11_warning_level_not_null": "warning_level IS NULL",
     },
     "pollution_alert": {
         "C2_alert_level": f"alert_level NOT IN {_in(S.WARNING_LEVELS)}",
         "C2_alert_status": f"status NOT IN {_in(S.ALERT_STATUSES)}",
         "C6_review_order": "reviewed_at < generated_at",
+        "C11_measurement_not_null": "measurement_id IS NULL",
+        "C11_rule_not_null": "threshold_rule_id IS NULL",
+        "C11_alert_level_not_null": "alert_level IS NULL",
+        "C11_status_not_null": "status IS NULL",
+        "C11_generated_at_not_null": "generated_at IS NULL",
     },
     "ingestion_run_log": {
         "C2_run_type": f"run_type NOT IN {_in(S.RUN_TYPES)}",
@@ -68,11 +84,39 @@ ROW_RULES: dict[str, dict[str, str]] = {
         "C5_inserted_non_negative": "records_inserted < 0",
         "C5_failed_non_negative": "records_failed < 0",
         "C6_run_order": "finished_at < started_at",
+        "C11_run_type_not_null": "run_type IS NULL",
+        "C11_status_not_null": "status IS NULL",
+        "C11_started_at_not_null": "started_at IS NULL",
     },
     "pollution_alert_outbox": {
         "C2_event_type": f"event_type NOT IN {_in(S.OUTBOX_EVENT_TYPES)}",
         "C8_status_really_changed": "event_type = 'status_changed' AND "
                                     "NOT (previous_status IS DISTINCT FROM current_status)",
+        "C2_previous_status": f"previous_status NOT IN {_in(S.ALERT_STATUSES)}",
+        "C2_current_status": f"current_status NOT IN {_in(S.ALERT_STATUSES)}",
+        "C11_event_type_not_null": "event_type IS NULL",
+        "C11_current_status_not_null": "current_status IS NULL",
+        "C11_payload_not_null": "payload IS NULL",
+    },
+    **{t: {
+        "C6_valid_order": "valid_to <= valid_from",
+        "C11_valid_from_not_null": "valid_from IS NULL",
+        "C11_row_hash_not_null": "row_hash IS NULL",
+    } for t in ("dim_location", "dim_sensor")},
+    "dim_risk_class": {
+        "C5_min_value_non_negative": "min_value < 0",
+        "C7_band_order": "max_value <= min_value",
+    },
+    "dim_date": {
+        "C7_quarter_range": "quarter < 1 OR quarter > 4",
+        "C7_month_range": "month < 1 OR month > 12",
+        "C7_day_range": "day < 1 OR day > 31",
+        "C7_weekday_range": "weekday < 1 OR weekday > 7",
+    },
+    "dim_time": {
+        "C7_hour_range": "hour < 0 OR hour > 23",
+        "C7_minute_range": "minute < 0 OR minute > 59",
+        "C2_part_of_day": f"part_of_day NOT IN {_in(S.PARTS_OF_DAY)}",
     },
 }
 

@@ -23,6 +23,7 @@ from aerolith.operators import quality as QL
 from aerolith.operators import reports as R
 from aerolith.operators import runs as RN
 from aerolith.operators.filters import all_option, day_range
+from aerolith.plans import checks
 from aerolith.plans import load as PL
 from aerolith.plans import scenarios as SC
 from aerolith.plans.oracle import ALERTS, FIRST_LOAD, LOC_HIST, SEN_HIST, q
@@ -866,27 +867,29 @@ def _quality_tables(c):
     a = SC.reviewed_alerts(c)
     return {"location": c.location, "parameter": c.parameter, "sensor": c.sensor,
             "measurement_raw": c.measurement, "threshold_rule": c.threshold_rule,
-            "pollution_alert": a, "ingestion_run_log": _runs(c), "pollution_alert_outbox": SC.outbox(c)}
+            "pollution_alert": a, "ingestion_run_log": _runs(c), "pollution_alert_outbox": SC.outbox(c),
+            "dim_location": SC.dim_location_history(c), "dim_sensor": SC.dim_sensor_history(c),
+            "dim_risk_class": dims.dim_risk_class(c.spark), "dim_date": dims.dim_date(c.spark),
+            "dim_time": dims.dim_time(c.spark)}
 
 
-def _dq_rules_sql():
-    parts = []
-    src = {"location": "location", "parameter": "parameter", "sensor": "sensor", "measurement_raw": "m",
-           "threshold_rule": "threshold_rule", "pollution_alert": "reviewed", "ingestion_run_log": "runs",
-           "pollution_alert_outbox": "outbox"}
-    for t, rs in QL.ROW_RULES.items():
-        for name, pred in rs.items():
-            parts.append(f"SELECT '{name}' AS rule, '{t}' AS table_name, "
-                         f"count(*) FILTER (WHERE {pred}) AS bad_count FROM {src[t]}")
-    return OUTBOX_SQL + RUNS_SQL + "\n" + "\nUNION ALL ".join(parts)
+DQ_TABLES_SQL = OUTBOX_SQL + RUNS_SQL + LOC_HIST + SEN_HIST
 
 
-@register("dq_rules", _dq_rules_sql())
+@register("dq_rules", DQ_TABLES_SQL + checks.counts_sql(broken=False))
 def _dq_rules(spark, sf):
     """Violation counts per rule and table (one pass per table)."""
     return QL.row_rule_counts(_quality_tables(core(spark, sf)))
 
 
+@register("dq_rules_broken", DQ_TABLES_SQL + checks.counts_sql(broken=True))
+def _dq_rules_broken(spark, sf):
+    """C1-C8, C11 on rows derived from the same tables that break every rule."""
+    tables = _quality_tables(core(spark, sf))
+    return QL.row_rule_counts({t: df.select(*[F.expr(e).alias(c) if (e := checks.replaced(t).get(c)) else c
+                                              for c in df.columns]) for t, df in tables.items()})
+
+
 @register("dq_duplicates", LOC_HIST + SEN_HIST + ALERTS + FIRST_LOAD + """
 SELECT 'C9_parameter_code' AS rule, 'parameter' AS table_name,
        (SELECT count(*) FROM (SELECT code FROM parameter GROUP BY 1 HAVING count(*) > 1)) AS bad_count
