@@ -27,16 +27,31 @@ CATEGORICAL = ["source_location_id", "source_sensor_id"]
 NUMERIC = ["current_value", "previous_value", "rolling_3h", "rolling_6h", "hour", "minute", "weekday", "month"]
 LABEL = "target_value"
 RF_MAX_DEPTH = 30  # the deepest trees Spark ML grows
-# Node statistics a task may hold, from the session; results do not depend on
-# it, a small one means more passes. Spark's own 256 MB for each of eight tasks
-# does not fit a 1 GB heap.
-RF_MEMORY_CONF, RF_MEMORY_MB = "spark.aerolith.forest.maxMemoryInMB", "32"
+# Node statistics a task may hold (MB); results do not depend on it, a small
+# one means more passes. Unset: a quarter of the heap over its tasks, at most
+# Spark's default of 256 MB.
+RF_MEMORY_CONF = "spark.aerolith.forest.maxMemoryInMB"
 MODEL_NAMES = ("linear-regression", "random-forest")
 
 
 HASHED_KEY_FEATURES = 4096
 
 
+def forest_memory_mb(spark: SparkSession) -> int:
+    said = spark.conf.get(RF_MEMORY_CONF, None)
+    if said:
+        return int(said)
+    sc = spark.sparkContext
+    if sc.master.startswith("local"):
+        heap = sc._jvm.java.lang.Runtime.getRuntime().maxMemory() >> 20
+        tasks = sc.defaultParallelism
+    else:
+        conf = sc.getConf()
+        heap = sc._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsMb(conf.get("spark.executor.memory", "1g"))
+        tasks = int(conf.get("spark.executor.cores", "1"))
+    return max(16, min(256, heap // 4 // tasks))
+
+
 def pipeline(model_name: str, seed: int = 42, key_encoding: str = "onehot") -> Pipeline:
     """``key_encoding``: 'onehot' (the reference's encoding; width grows with
     the number of sensors) or 'hashed' (FeatureHasher, fixed width
@@ -60,8 +75,8 @@ def pipeline(model_name: str, seed: int = 42, key_encoding: str = "onehot") -> P
     else:
         est = RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=200, minInstancesPerNode=2,
                                     featureSubsetStrategy="all", bootstrap=True, subsamplingRate=1.0,
-                                    maxDepth=RF_MAX_DEPTH, seed=seed, maxMemoryInMB=int(
-                                        SparkSession.active().conf.get(RF_MEMORY_CONF, RF_MEMORY_MB)))
+                                    maxDepth=RF_MAX_DEPTH, seed=seed,
+                                    maxMemoryInMB=forest_memory_mb(SparkSession.active()))
     return Pipeline(stages=[*keys, num, scale, feats, est])
 
 

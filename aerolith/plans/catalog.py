@@ -1224,6 +1224,53 @@ def _upsert_location(spark, sf):
                      "is_active")
 
 
+@register("upsert_sensor", """
+, cur AS (SELECT * FROM sensor WHERE sensor_id % 20 <> 2)
+SELECT s.sensor_id, s.location_id, s.parameter_id, s.unit,
+       COALESCE(c.first_seen_at, TIMESTAMP '2024-02-01 00:00:00') AS first_seen_at,
+       TIMESTAMP '2024-02-01 00:00:00' AS last_seen_at, true AS is_active
+FROM sensor s LEFT JOIN cur c ON c.sensor_id = s.sensor_id
+""")
+def _upsert_sensor(spark, sf):
+    """Sensor upsert from parsed pages over a stale snapshot (sensors
+    missing, units and locations changed)."""
+    c = core(spark, sf)
+    pages = _location_records(c)
+    locs = B.parse_locations(B.unnest(pages.filter(F.col("endpoint") == "/v3/locations"), B.LOCATION_JSON))
+    found = B.sensors_of(locs, pages.filter(F.col("endpoint") == "/v3/locations/{id}/sensors"))
+    new = found.join(c.parameter.select(F.col("code").alias("parameter_code"), "parameter_id"), "parameter_code") \
+        .select("sensor_id", "location_id", "parameter_id", "unit")
+    stale = c.sensor.filter(F.col("sensor_id") % 20 != 2) \
+        .withColumn("unit", F.when(F.col("sensor_id") % 3 == 0, "ppm").otherwise(F.col("unit"))) \
+        .withColumn("location_id", F.when(F.col("sensor_id") % 7 == 0, F.lit(-1)).otherwise(F.col("location_id")))
+    return B.upsert_sensors(new, stale, F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+
+
+@register("upsert_parameter", """
+, cur AS (SELECT parameter_id, code FROM parameter WHERE parameter_id % 2 = 1)
+, fresh AS (SELECT code, row_number() OVER (ORDER BY code) + (SELECT coalesce(max(parameter_id), 0) FROM cur) AS new_id
+            FROM parameter WHERE code NOT IN (SELECT code FROM cur))
+SELECT CAST(COALESCE(c.parameter_id, f.new_id) AS INTEGER) AS parameter_id, p.code, p.display_name, p.preferred_unit,
+       p.parameter_id AS openaq_parameter_id,
+       CASE WHEN c.code IS NOT NULL THEN 'kept' END AS description
+FROM parameter p LEFT JOIN cur c ON c.code = p.code LEFT JOIN fresh f ON f.code = p.code
+WHERE EXISTS (SELECT 1 FROM sensor s WHERE s.parameter_id = p.parameter_id)
+   OR c.code IS NOT NULL
+""")
+def _upsert_parameter(spark, sf):
+    """Parameter upsert from the sensor records over a stale snapshot:
+    description set on insert only, new codes get the next ids."""
+    c = core(spark, sf)
+    pages = _location_records(c)
+    locs = B.parse_locations(B.unnest(pages.filter(F.col("endpoint") == "/v3/locations"), B.LOCATION_JSON))
+    recs = B.sensor_records(locs, pages.filter(F.col("endpoint") == "/v3/locations/{id}/sensors"))
+    stale = c.parameter.filter(F.col("parameter_id") % 2 == 1).select(
+        "parameter_id", F.lit(-1).alias("openaq_parameter_id"), "code", F.lower("code").alias("display_name"),
+        F.lit("ppm").alias("preferred_unit"), F.lit("kept").alias("description"))
+    return B.upsert_parameters(B.parameters_of(recs), stale) \
+        .select("parameter_id", "code", "display_name", "preferred_unit", "openaq_parameter_id", "description")
+
+
 @register("threshold_upsert", """
 , cmd AS (
   SELECT t.parameter_id, t.city, t.warning_level, CAST(t.min_value + 5 AS DECIMAL(12,4)) AS min_value,

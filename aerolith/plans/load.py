@@ -137,11 +137,10 @@ def rewrite_partitioned(spark: SparkSession, src: str, dst: str, ts: str = "meas
                         month_col: str = "measured_month") -> DataFrame:
     """Rewrite an unpartitioned table as month partitions, ids kept.
 
-    No ``repartition(month)``: that would send a whole month to one task.
-    Rows are sorted within the scan's own partitions so each task writes few
-    files, and the month column is derived from the time."""
+    No ``repartition(month)``: that would send a whole month to one task. The
+    rebalance by month gives few files a month, AQE splits a large one."""
     df = spark.read.parquet(src)
     if month_col not in df.columns:
         df = df.withColumn(month_col, F.trunc(F.col(ts).cast("date"), "MM"))
-    df.sortWithinPartitions(month_col, ts).write.mode("overwrite").partitionBy(month_col).parquet(dst)
+    df.hint("rebalance", F.col(month_col)).sortWithinPartitions(month_col, ts).write.mode("overwrite").partitionBy(month_col).parquet(dst)
     return spark.read.parquet(dst)

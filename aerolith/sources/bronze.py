@@ -245,6 +245,22 @@ def upsert_parameters(new: DataFrame, current: DataFrame) -> DataFrame:
                          update=["openaq_parameter_id", "display_name", "preferred_unit"])
 
 
+def upsert_sensors(new: DataFrame, current: DataFrame, now) -> DataFrame:
+    """S10 for sensors: by sensor id, location, parameter and unit updated,
+    first_seen_at kept, last_seen_at = ``now``, is_active = true. ``new`` has
+    one row per sensor."""
+    from aerolith.operators.dims import upsert_by_key
+    new = new.withColumns({"first_seen_at": now, "last_seen_at": now, "is_active": F.lit(True)})
+    return upsert_by_key(new, current.select(new.columns), ["sensor_id"],
+                         update=["location_id", "parameter_id", "unit", "last_seen_at", "is_active"])
+
+
+def sensor_records(locations: DataFrame, sensor_pages: DataFrame) -> DataFrame:
+    """Every sensor record (``s``) of the location pages and of the sensor pages."""
+    return locations.select(F.explode("sensors").alias("s")).unionAll(
+        unnest(sensor_pages, SENSOR_JSON).select(F.col("rec").alias("s")))
+
+
 def parse_locations(records: DataFrame) -> DataFrame:
     """S3 + F2/F3: location rows with defaults."""
     r = F.col("rec")

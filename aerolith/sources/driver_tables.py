@@ -209,7 +209,9 @@ class Core:
         def measurement():
             # Month partitions; rows sorted by (sensor, time) inside each
             # file so min/max statistics skip row groups for sensor/time filters.
-            (build_measurement(ev, parameter)
+            # Rebalanced by month: few files a month, and AQE splits a large
+            # month over several tasks.
+            (build_measurement(ev, parameter).hint("rebalance", F.col("measured_month"))
              .sortWithinPartitions("measured_month", "sensor_id", "measured_at")
              .write.mode("overwrite").partitionBy("measured_month").parquet(path("measurement")))
 

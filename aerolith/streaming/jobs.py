@@ -130,7 +130,7 @@ def first_writer_stream(spark: SparkSession, landing: str, table: str, checkpoin
                 (F.col("measured_month") >= F.trunc(F.lit(lo).cast("date"), "MM"))
                 & (F.col("measured_month") <= F.trunc(F.lit(hi).cast("date"), "MM"))
                 & F.col("measured_at").between(F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")))
-        B.insert_if_absent(good, stored).write.mode("append").partitionBy("measured_month").parquet(table)
+        B.insert_if_absent(good, stored).hint("rebalance", F.col("measured_month")).write.mode("append").partitionBy("measured_month").parquet(table)
 
     q = (parsed_stream(spark, landing).writeStream.foreachBatch(upsert)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
