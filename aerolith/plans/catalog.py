@@ -977,7 +977,7 @@ def _dq_orphans(spark, sf):
     return QL.union_all([QL.count_rows(n, QL.orphans(ch, pa, ck, pk), t) for n, t, ch, pa, ck, pk in checks])
 
 
-@register("dw_verify", LOC_HIST + FIRST_LOAD + """
+@register("dw_verify", LOC_HIST + SEN_HIST + FIRST_LOAD + """
 , f1 AS (SELECT f.*, d.valid_from AS loc_valid_from FROM fact_m f
          JOIN dim_loc1 d ON d.source_location_id = f.source_location_id AND d.is_current)
 SELECT 'V1_dim_date_rows' AS check_name,
@@ -1006,6 +1006,22 @@ UNION ALL SELECT 'V3_expired_versions', (SELECT count(*) FROM dim_loc2 WHERE NOT
 UNION ALL SELECT 'V3_facts_on_expired_version',
        (SELECT count(*) FROM f1 JOIN dim_loc2 d ON d.source_location_id = f1.source_location_id
                               AND d.valid_from = f1.loc_valid_from WHERE NOT d.is_current)
+UNION ALL SELECT 'V2_facts_missing_time',
+       (SELECT count(*) FROM f1 WHERE time_key // 100 NOT BETWEEN 0 AND 23 OR time_key % 100 > 59)
+UNION ALL SELECT 'V2_facts_missing_location',
+       (SELECT count(*) FROM fact_m f WHERE f.source_location_id IN (SELECT source_location_id FROM f1)
+          AND NOT EXISTS (SELECT 1 FROM dim_loc1 d WHERE d.source_location_id = f.source_location_id AND d.is_current))
+UNION ALL SELECT 'V2_facts_missing_sensor',
+       (SELECT count(*) FROM f1
+         WHERE NOT EXISTS (SELECT 1 FROM sensor s WHERE s.sensor_id = f1.source_sensor_id AND s.is_active))
+UNION ALL SELECT 'V2_facts_missing_parameter',
+       (SELECT count(*) FROM f1 WHERE NOT EXISTS (SELECT 1 FROM parameter p WHERE p.code = f1.parameter_code))
+UNION ALL SELECT 'V3_sensors_without_one_current',
+       (SELECT count(*) FROM (SELECT source_sensor_id FROM dim_sen2 GROUP BY 1
+                              HAVING count(*) FILTER (WHERE is_current) <> 1))
+UNION ALL SELECT 'V3_sensor_expired_not_closed',
+       (SELECT count(*) FROM dim_sen2 WHERE NOT is_current AND valid_to IS NULL)
+UNION ALL SELECT 'V3_sensor_expired_versions', (SELECT count(*) FROM dim_sen2 WHERE NOT is_current)
 """)
 def _dw_verify(spark, sf):
     """V1-V3: dimension sizes, fact integrity, SCD2 history invariants."""
@@ -1013,9 +1029,10 @@ def _dw_verify(spark, sf):
     d0 = scd2.empty_location_dim(spark, c.location)
     d1 = scd2.sync_locations(SC.location_snapshot_1(c.location), d0, SC.AS_OF_1)
     d2 = scd2.sync_locations(SC.location_snapshot_2(c.location), d1, SC.AS_OF_2)
-    f1 = facts.load_measurement_facts(c, d1, SC.dim_sensor_first_load(c))
+    s1, s2 = SC.dim_sensor_first_load(c), SC.dim_sensor_history(c)
+    f1 = facts.load_measurement_facts(c, d1, s1)
     # every check below reads these: compute them once, cut lineage in the shared folder
-    d1, d2, f1 = d1.checkpoint(), d2.checkpoint(), f1.checkpoint()
+    d1, d2, s2, f1 = d1.checkpoint(), d2.checkpoint(), s2.checkpoint(), f1.checkpoint()
     dd = dims.dim_date(spark).select("date_key")
     n = lambda name, df: df.agg(F.count(F.lit(1)).cast("bigint").alias("value")).select(
         F.lit(name).alias("check_name"), "value")
@@ -1040,6 +1057,16 @@ def _dw_verify(spark, sf):
         n("V3_facts_on_expired_version",
           f1v.join(versions.withColumnRenamed("valid_from", "loc_valid_from"),
                    ["source_location_id", "loc_valid_from"]).filter(~F.col("is_current"))),
+        n("V2_facts_missing_time", QL.orphans(f1, dims.dim_time(spark), ["time_key"], ["time_key"])),
+        n("V2_facts_missing_location", QL.orphans(
+            f1, d1.select(F.xxhash64("source_location_id", "valid_from").alias("k")), ["location_key"], ["k"])),
+        n("V2_facts_missing_sensor", QL.orphans(
+            f1, s1.select(F.xxhash64("source_sensor_id", "valid_from").alias("k")), ["sensor_key"], ["k"])),
+        n("V2_facts_missing_parameter", QL.orphans(f1, c.parameter, ["parameter_code"], ["code"])),
+        n("V3_sensors_without_one_current",
+          s2.groupBy("source_sensor_id").agg(F.count_if("is_current").alias("k")).filter("k <> 1")),
+        n("V3_sensor_expired_not_closed", s2.filter(~F.col("is_current") & F.col("valid_to").isNull())),
+        n("V3_sensor_expired_versions", s2.filter(~F.col("is_current"))),
     ])
 
 
