@@ -1,29 +1,26 @@
-"""Language-model scores from a weighted backoff automaton.
+"""Language-model scores from all n-grams of the training texts.
 
 Texts are lower-cased (A-Z); tokens are words ``[^\\x20\\x09-\\x0D]+`` and one
 end per text. Training documents are those whose crc32(doc_id as text) mod 7
 is not 2. All words' counts c, their total N and number V come from all
 training texts; p1(w) = (c + 1) / (N + V + 1) leaves one share for unseen words.
 
-Model. An n-gram (n <= ``ORDER``) is kept if its count is at least
-``SHARE`` * N, so no order keeps more than 1 / SHARE n-grams however large the
-corpus is, and the kept ones are found level by level: all parts of a kept
-n-gram are kept. With discount D, kept n-grams have
+Model. All n-grams (n <= ``ORDER``) of the training texts are kept, with their
+whole counts, at every size: ``SHARE`` = 0 (a caller may ask for those with a
+count of at least share * N only). With discount D, n-grams have
 
-    p(w | h) = (c(hw) - D) / c(h) + l(h) * p(w | h'),  h' = h without its first word
+    p(w | h) = max(c(hw) - D, 0) / c(h) + l(h) * p(w | h'),  h' = h without its first word
 
-and others l(h) * p(w | h'), where l(h) is what the kept successors leave, so
+and p(w | h') where h was never seen; l(h) is what the successors leave, so
 that probabilities of all words and the unseen one sum to 1 after any h.
 
-Automaton. Contexts are states, kept successors arcs with log10 p(w | h), and
-each state has a failure arc to h' with log10 l(h). One pass over a text from
-left to right carries the state and adds the weights.
-
-Only words at or above the threshold are in the automaton that is broadcast.
-A rarer word leads to the root with the weights of the failure arcs; its own
-log10 p1 depends on its count, so each block of documents sends every rare word
-once, with the documents and frequencies, to be joined with the table of counts;
-the answers return per block and are added. No text is shuffled.
+Tables. Blocks of documents of bounded size number their distinct n-grams and
+write them (block, number, n-gram, times in training texts), and the documents
+as one number per token. Summed over blocks these are the counts; summed by
+the n-gram without its last word, what l(h) needs. Both are Spark tables and
+grow with the corpus: nothing of them is collected or broadcast. Counts and
+sums are joined to the blocks' n-grams, a number each, and return per block,
+where the probabilities are added. No text is shuffled.
 
 Defined cases: null text is empty, its only token the end; a null doc_id counts
 as an empty id text (trained on); repeated rows count and score each; without
@@ -35,11 +32,11 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,11 +44,10 @@ from aerolith.llm.common import fold, staged, table, texts
 
 FOLDS, HELD = 7, 2
 ORDER = 3
-SHARE = 5e-6
+SHARE = 0.0
 DISCOUNT = 0.5
 END = b"\n"  # no word holds a line feed
-BLOCK_BYTES = 16 << 20
-HELD_WORDS = 400_000
+BLOCK_BYTES = 4 << 20
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -74,228 +70,133 @@ def _flushes(batches, most: int = BLOCK_BYTES):
         yield held
 
 
-def word_counts(train: DataFrame) -> DataFrame:
-    """(word, c) over all training texts, summed in each task first."""
-    def run(batches):
-        counts: Counter = Counter()
-
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
-                                              names=["word", "c"])
-        for batch in batches:
-            for text in texts(batch):
-                counts.update(tokens(text))
-                if len(counts) >= HELD_WORDS:
-                    yield out()
-                    counts.clear()
-        if counts:
-            yield out()
-    return train.select("text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
-
-
-class Levels:
-    """The kept n-grams of the orders so far. An n-gram is the index of its
-    first n - 1 words times the number of words, plus its last word."""
-
-    def __init__(self, words: list[bytes], counts: list[int]):
-        self.words, self.counts = words, [np.array(counts, dtype=np.int64)]
-        self.keys: list[np.ndarray] = []  # sorted, for orders 2 and up
-
-    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        order = np.argsort(keys)
-        self.keys.append(keys[order])
-        self.counts.append(counts[order])
-
-    def places(self, ids: np.ndarray) -> list[np.ndarray]:
-        """Per order the index of the kept n-gram that ends at each token, or -1."""
-        out = [ids]
-        for keys in self.keys:
-            before = np.r_[-1, out[-1][:-1]]
-            key = np.where((before >= 0) & (ids >= 0), before * len(self.words) + ids, -1)
-            at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
-            out.append(np.where(keys[at] == key, at, -1) if len(keys) else np.full(len(ids), -1))
-        return out
-
-
-def _ids(held, index: dict[bytes, int]) -> np.ndarray:
-    return np.fromiter((index.get(w, -1) for t, _, _ in held for w in t), np.int64)
-
-
-def ngram_counts(train: DataFrame, levels: Levels) -> DataFrame:
-    """(key, c) of the n-grams of the next order whose parts are all kept."""
-    shared = train.sparkSession.sparkContext.broadcast(levels)
-
-    def run(batches):
-        known = shared.value
-        index = {w: i for i, w in enumerate(known.words)}
-        end = index.get(END, -2)
-        for held in _flushes(batches):
-            ids = _ids(held, index)
-            place = known.places(ids)[-1]
-            before = np.r_[-1, place[:-1]]
-            before[np.r_[False, ids[:-1] == end]] = -1  # nothing follows an end
-            there = (before >= 0) & (place >= 0)
-            keys, n = np.unique(before[there] * len(known.words) + ids[there], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["key", "c"])
-    return train.select("text").mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
-
-
-class Automaton:
-    """States: 0 the root, then the kept n-grams below ``ORDER``."""
-
-    def __init__(self, levels: Levels, total: int, distinct: int, discount: float = DISCOUNT):
-        width = self.width = max(len(levels.words), 1)
-        self.index = {w: i for i, w in enumerate(levels.words)}
-        unit = total + distinct + 1
-        self.unigram = np.log10((levels.counts[0] + 1) / unit)
-        top = len(levels.keys) + 1  # highest order there is
-        first = np.cumsum([1] + [len(c) for c in levels.counts])  # first state of each order
-        n_states = int(first[top - 1]) if top > 1 else 1
-        left = np.ones(n_states)
-        self.fail = np.zeros(n_states, dtype=np.int64)
-        prob = [(levels.counts[0] + 1) / unit]
-        suffix = [np.zeros(len(levels.words), dtype=np.int64)]
-        arcs: dict[int, tuple[float, int]] = {}
-
-        def state(order: int, place: np.ndarray) -> np.ndarray:
-            return first[order - 1] + place
-        for order in range(1, top + 1):  # arcs for n-grams of this order
-            c, places = levels.counts[order - 1], np.arange(len(levels.counts[order - 1]))
-            if order == 1:
-                source, word = np.zeros(len(c), dtype=np.int64), places
-            else:
-                keys = levels.keys[order - 2]
-                head, word = keys // width, keys % width
-                c_head = levels.counts[order - 2]
-                kept, n = np.bincount(head, c, len(c_head)), np.bincount(head, minlength=len(c_head))
-                rest = (c_head - kept + discount * n) / c_head
-                left[state(order - 1, np.arange(len(c_head)))] = rest
-                # the same word after the context without its first word
-                if order == 2:
-                    suffix.append(word)
-                else:
-                    shorter = suffix[order - 2][head] * width + word
-                    suffix.append(np.searchsorted(levels.keys[order - 3], shorter))
-                prob.append((c - discount) / c_head[head] + rest[head] * prob[order - 2][suffix[order - 1]])
-                source = state(order - 1, head)
-            target = state(order, places) if order < top else (state(order - 1, suffix[order - 1]) if order > 1 else 0 * places)
-            if order < top:
-                self.fail[state(order, places)] = state(order - 1, suffix[order - 1]) if order > 1 else 0
-            weight = np.log10(prob[order - 1])
-            arcs.update(zip((source * width + word).tolist(), zip(weight.tolist(), target.tolist())))
-        self.arcs = arcs
-        self.fail_weight = np.log10(np.maximum(left, 1e-300))
-        home = np.zeros(n_states)  # weight of the failure arcs down to the root
-        for s in range(1, n_states):  # a state fails to one of a lower order, which has a lower number
-            home[s] = self.fail_weight[s] + home[self.fail[s]]
-        self.home, self.fail_weight, self.fail = home.tolist(), self.fail_weight.tolist(), self.fail.tolist()
-
-    def walk(self, ids: list[int]) -> float:
-        """log10 probability, without the unigram weights of rare words (-1)."""
-        arcs, fail, fail_weight, home, width = self.arcs, self.fail, self.fail_weight, self.home, self.width
-        score, state = 0.0, 0
-        for w in ids:
-            if w < 0:
-                score += home[state]
-                state = 0
-                continue
-            arc = arcs.get(state * width + w)
-            while arc is None:
-                score += fail_weight[state]
-                state = fail[state]
-                arc = arcs.get(state * width + w)
-            score += arc[0]
-            state = arc[1]
-        return score
-
-
-PARTS = ("block long, at int, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
-         "word binary, rows binary, times binary")
-
-
-def walked(docs: DataFrame, levels: Levels, total: int, distinct: int) -> DataFrame:
-    """Per document what the automaton gives, and per block and rare word the
-    documents that hold it; ``PARTS`` is the schema of both."""
-    shared = docs.sparkSession.sparkContext.broadcast((levels, total, distinct))
+class Grams:
+    """The distinct n-grams of a block's documents. They are numbered order by
+    order; ``head`` and ``tail`` are the numbers of an n-gram without its last
+    and without its first word (-1 for words), ``code`` is the number of the
+    longest n-gram that ends at each token, ``seen`` the times in training texts."""
+
+    def __init__(self, docs: list[list[bytes]], train: np.ndarray, order: int = ORDER):
+        coded = pa.array([w for d in docs for w in d], pa.binary()).dictionary_encode()
+        words, ids = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        sizes = np.array([len(d) for d in docs])
+        place = np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)  # in its document
+        counted = np.repeat(train, sizes)
+        none = np.full(len(words), -1)
+        self.names, self.order, self.head, self.tail = [words], [np.ones(len(words), np.int8)], [none], [none]
+        self.seen = [np.bincount(ids, counted, len(words))]
+        self.code, here, first = ids.copy(), ids, 0  # here: the number within the order before
+        for n in range(2, order + 1):
+            at = np.flatnonzero(place >= n - 1)
+            keys, back = np.unique(here[at - 1] * len(words) + ids[at], return_inverse=True)
+            head, last = keys // len(words), keys % len(words)
+            tail = np.zeros(len(keys), dtype=np.int64)
+            tail[back] = here[at]
+            self.names.append(pc.binary_join_element_wise(self.names[-1].take(pa.array(head)), words.take(pa.array(last)), b" "))
+            self.order.append(np.full(len(keys), n, np.int8))
+            self.head.append(first + head)
+            self.tail.append(first + tail)
+            self.seen.append(np.bincount(back, counted[at], len(keys)))
+            first += len(self.names[-2])
+            here = np.full(len(ids), -1)
+            here[at] = back
+            self.code[at] = first + back
+
+
+PARTS = ("block long, at int, gram string, n byte, seen long, doc_ids binary, no_ids binary, held binary, sizes binary, "
+         "code binary, head binary, tail binary, n_words int")
+
+
+def blocks(docs: DataFrame, order: int = ORDER) -> DataFrame:
+    """Per block one row of its documents and a row of each distinct n-gram;
+    ``PARTS`` is the schema of both."""
     names = [c.split()[0] for c in PARTS.split(", ")]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-             pa.binary(), pa.binary(), pa.binary()]
+    kinds = [pa.int64(), pa.int32(), pa.string(), pa.int8(), pa.int64(), *[pa.binary()] * 7, pa.int32()]
 
-    def rows(n: int, **values) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(values[c], k) if c in values else pa.nulls(n, k)
-                                           for c, k in zip(names, kinds)], names=names)
+    def rows(size: int, **values) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([values[c] if c in values else pa.nulls(size, k) for c, k in zip(names, kinds)],
+                                          names=names)
 
     def run(batches):
-        model = Automaton(*shared.value)
-        index, unigram = model.index, model.unigram
         for held in _flushes(batches):
             block = uuid.uuid4().int >> 65
-            rare: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-            known, base, score = [], [], []
-            for k, (words, _, _) in enumerate(held):
-                ids = [index.get(w, -1) for w in words]
-                a = np.array(ids)
-                common = a[a >= 0]
-                known.append(len(common))
-                base.append(float(unigram[common].sum()))
-                score.append(model.walk(ids))
-                if len(common) < len(ids):
-                    for w, n in Counter(w for w, i in zip(words, ids) if i < 0).items():
-                        rare[w].append((k, n))
-            n = len(held)
-            yield rows(n, block=[block] * n, at=list(range(n)), doc_id=[b.column("doc_id")[i].as_py() for _, i, b in held],
-                       held_out=[b.column("held_out")[i].as_py() for _, i, b in held],
-                       n_tokens=[len(t) for t, _, _ in held], n_known=known, base_score=base, score=score)
-            if rare:
-                pairs = [np.array(v, dtype=np.int32) for v in rare.values()]
-                yield rows(len(rare), block=[block] * len(rare), word=list(rare), rows=[p[:, 0].tobytes() for p in pairs],
-                           times=[p[:, 1].tobytes() for p in pairs])
+            out = np.array([b.column("held_out")[i].as_py() for _, i, b in held], dtype=bool)
+            ids = [b.column("doc_id")[i].as_py() for _, i, b in held]
+            grams = Grams([t for t, _, _ in held], ~out, order)
+            number = np.concatenate([np.full(0, 0), *grams.head]), np.concatenate([np.full(0, 0), *grams.tail])
+            values = {"doc_ids": np.array([i or 0 for i in ids], np.int64), "no_ids": np.array([i is None for i in ids]),
+                      "held": out, "sizes": np.array([len(t) for t, _, _ in held], np.int64),
+                      "code": grams.code.astype(np.int32), "head": number[0].astype(np.int32), "tail": number[1].astype(np.int32)}
+            yield rows(1, block=pa.array([block], pa.int64()), n_words=pa.array([len(grams.names[0])], pa.int32()),
+                       **{k: pa.array([v.tobytes()], pa.binary()) for k, v in values.items()})
+            first = 0
+            for name, n, seen in zip(grams.names, grams.order, grams.seen):
+                if len(name):
+                    yield rows(len(name), block=pa.array(np.full(len(name), block)), gram=name.cast(pa.string()), n=pa.array(n),
+                               at=pa.array(np.arange(first, first + len(name), dtype=np.int32)),
+                               seen=pa.array(seen.astype(np.int64)))
+                first += len(name)
     return docs.select("text", "doc_id", "held_out").mapInArrow(run, PARTS)
 
 
-def _finish(unit: float):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        docs = rows[rows["at"].notna()].sort_values("at")
-        rare = rows[rows["at"].isna()]
-        known, add = np.zeros(len(docs)), np.zeros(len(docs))
-        if len(rare):
-            at = np.frombuffer(b"".join(rare["rows"]), np.int32)
-            times = np.frombuffer(b"".join(rare["times"]), np.int32)
-            c = np.repeat(rare["c"].to_numpy(np.float64), rare["rows"].str.len().to_numpy() // 4)
-            add = np.bincount(at, times * np.log10((c + 1) / unit), len(docs))
-            known = np.bincount(at, times * (c > 0), len(docs))
-        return pd.DataFrame({"doc_id": docs["doc_id"].astype("Int64"), "held_out": docs["held_out"].astype(bool),
-                             "n_tokens": docs["n_tokens"].astype("int64"),
-                             "n_known": (docs["n_known"] + known).astype("int64"),
-                             "base_score": docs["base_score"] + add, "score": docs["score"] + add})
+def gram_counts(parts: DataFrame) -> DataFrame:
+    """(gram, n, c) of all n-grams of the training texts."""
+    return parts.where("seen > 0").groupBy("gram", "n").agg(F.sum("seen").alias("c"))
+
+
+def contexts(counts: DataFrame, least: int) -> DataFrame:
+    """(gram, after, kinds): the sum of the counts and the number of each n-gram's successors."""
+    head = F.expr("substring(gram, 1, length(gram) - length(substring_index(gram, ' ', -1)) - 1)")
+    return (counts.where((F.col("n") > 1) & (F.col("c") >= least)).groupBy(head.alias("gram"))
+            .agg(F.sum("c").alias("after"), F.count("*").alias("kinds")))
+
+
+def _finish(unit: float, least: int):
+    def run(told: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        row = told.iloc[0]
+        head, tail, code = (np.frombuffer(row[k], np.int32) for k in ("head", "tail", "code"))
+        sizes, doc = np.frombuffer(row["sizes"], np.int64), np.frombuffer(row["doc_ids"], np.int64)
+        c, after, kinds = (np.zeros(len(head)) for _ in range(3))
+        at = found["at"].to_numpy(np.int64)
+        for to, name in ((c, "c"), (after, "after"), (kinds, "kinds")):
+            to[at] = found[name].to_numpy()
+        p, word = (c + 1) / unit, np.arange(len(head))
+        first = int(row["n_words"])
+        while first < len(head):  # order by order: the heads and tails are of the order before
+            stop = int(np.searchsorted(head[first:], first)) + first  # heads ascend
+            here = slice(first, stop)
+            h, t = head[here], tail[here]
+            lower, ch = p[t], c[h]
+            used = (ch >= least) & (ch > 0)
+            ch = np.where(used, ch, 1.0)
+            own = np.where(c[here] >= least, np.maximum(c[here] - DISCOUNT, 0), 0)
+            p[here] = np.where(used, own / ch + (ch - after[h] + DISCOUNT * kinds[h]) / ch * lower, lower)
+            word[here] = word[t]
+            first = stop
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        last = word[code]
+        ids = pd.array(doc, dtype="Int64")
+        ids[np.frombuffer(row["no_ids"], bool)] = pd.NA
+        return pd.DataFrame({"doc_id": ids, "held_out": np.frombuffer(row["held"], bool), "n_tokens": sizes,
+                             "n_known": np.bincount(owner, c[last] > 0, len(sizes)).astype("int64"),
+                             "base_score": np.bincount(owner, np.log10((c[last] + 1) / unit), len(sizes)),
+                             "score": np.bincount(owner, np.log10(p[code]), len(sizes))})
     return run
 
 
-def trained(train: DataFrame, counts: DataFrame, share: float = SHARE, order: int = ORDER) -> tuple[Levels, int, int]:
-    """The kept n-grams, N and V."""
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    least = max(1, math.ceil(share * total))
-    common = counts.where(F.col("c") >= least).orderBy("word").collect()  # at most 1 / share rows
-    levels = Levels([bytes(r.word) for r in common], [r.c for r in common])
-    for _ in range(order - 1):
-        found = ngram_counts(train, levels).where(F.col("c") >= least).collect()  # at most 1 / share rows
-        levels.add(np.array([r.key for r in found], dtype=np.int64), np.array([r.c for r in found], dtype=np.int64))
-    return levels, total, distinct
-
-
 def scored(docs: DataFrame, share: float = SHARE, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     rows = docs.select("doc_id", "text", (fold(F.col("doc_id"), FOLDS) == HELD).alias("held_out"))
-    train = rows.where("not held_out")
-    counts = staged(word_counts(train))
-    levels, total, distinct = trained(train, counts, share, order)
-    parts = staged(walked(rows, levels, total, distinct))
-    columns = ["block", "at", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rows", "times"]
-    asked = (parts.where("word is not null").join(counts, "word", "left")
-             .select(*columns, F.coalesce("c", F.lit(0)).alias("c")))
-    told = parts.where("word is null").select(*columns, F.lit(0).cast("long").alias("c"))
-    return (asked.unionAll(told).groupBy("block")
-            .applyInPandas(_finish(float(total + distinct + 1)),
+    parts = staged(blocks(rows, order))
+    counts = staged(gram_counts(parts))
+    total, distinct = counts.where("n = 1").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    least = max(1, math.ceil(share * total))
+    asked = (parts.where("gram is not null").select("block", "at", "gram")
+             .join(counts.select("gram", "c").join(contexts(counts, least), "gram", "left"), "gram")
+             .select("block", "at", "c", F.coalesce("after", F.lit(0)).alias("after"), F.coalesce("kinds", F.lit(0)).alias("kinds")))
+    told = parts.where("gram is null").drop("at", "gram", "n", "seen").withColumnRenamed("block", "whole")
+    return (told.groupBy("whole").cogroup(asked.groupBy("block"))
+            .applyInPandas(_finish(float(total + distinct + 1), least),
                            "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
             .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
                     "base_score", "score"))

@@ -282,6 +282,18 @@ def test_lm_scores(docs, empty, share):
     assert len(got) == len(want) and lm.scored(empty).count() == 0
 
 
+def test_lm_keeps_rare_ngrams_of_a_large_corpus(spark):
+    train = [i for i in range(40) if zlib.crc32(str(i).encode()) % 7 != 2][:6]
+    rows = [(i, "a b " * 100_000) for i in train[:5]] + [(train[5], "once seen words stand here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in lm.scored(docs).collect()}[train[5]]
+    # each later token was seen once, in that context only: 0.5 after one word, 0.5 + 0.5 * 0.5 after two
+    assert got.train_tokens == 1_000_011 and got.n_known == got.n_tokens == 6
+    unit = got.train_tokens + 8 + 1
+    want = math.log10(2 / unit) + math.log10(0.5) + 4 * math.log10(0.75)
+    assert abs(got.score - want) < 1e-3 and got.base_score < 5 * math.log10(6 / unit)
+
+
 # op8
 def _fingerprint(t):
     w = re.sub("[A-Z]", lambda m: m.group().lower(), t or "")
