@@ -78,6 +78,16 @@ def fingerprints(docs: DataFrame, id_cols: list[str], text: str = "text", name:
     return mapped(docs.select(*id_cols, text), run, schema)
 
 
+def with_fingerprint(docs: DataFrame, name: str) -> DataFrame:
+    """``docs``, all columns as they are, and the fingerprint of every row."""
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        fp = pa.array([fingerprint(t) for t in texts(batch)], pa.int64())
+        return pa.RecordBatch.from_arrays([*batch.columns, fp], names=[*batch.schema.names, name])
+    return mapped(docs, run, StructType([*docs.schema, StructField(name, LongType())]))
+
+
 class Golay:
     """Tables of the (23, 12) code, made from the generator polynomial."""
 
@@ -221,19 +231,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest doc_id.
     Rows without an id are named by a hash of their text and kept only where
-    the component has no row with an id; of rows that agree in the id, the
-    first in the order of their text, lang, source and n_chars stays."""
+    the component has no row with an id; of rows of the component that agree in
+    the id, the first in the order of their text, lang, source and n_chars stays.
+    An id on texts of several components can stay once in each."""
     names = [fresh(docs.columns, n) for n in ("__none", "__id")]
     none, key = names
+    fp, label, whole = (fresh(docs.columns, n) for n in ("__fp", "__label", "__row"))
     keyed = docs.withColumn(none, F.col("doc_id").isNull()) \
         .withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
     rows = staged(labelled(staged(fingerprints(keyed, names))))
-    best = rows.groupBy("label").agg(F.min(F.struct(*names)).alias("best")).select("best.*")
-    kept = keyed.join(best, names, "left_semi")
+    best = rows.groupBy("label").agg(F.min(F.struct(*names)).alias("best")).select("label", "best.*")
+    several = rows.groupBy(*names).agg((F.min("fp") != F.max("fp")).alias("several"))
+    best = staged(best.join(several, names))
     order = F.struct(*[c for c in ("text", "lang", "source", "n_chars") if c in docs.columns])
-    whole = fresh(docs.columns, "__row")
-    return (kept.groupBy(*names).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), order).alias(whole))
-            .select(f"{whole}.*"))
+    first = F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), order).alias(whole)
+    one = best.where("not several").select(*names)  # the id tells the component
+    kept = keyed.join(one, names, "left_semi").groupBy(*names).agg(first).select(f"{whole}.*")
+    more = best.where("several").select("label", *names)
+    if more.isEmpty():
+        return kept
+    of = rows.join(more, ["label", *names]).distinct().withColumnsRenamed({"fp": fp, "label": label})
+    found = with_fingerprint(keyed.join(more.select(*names).distinct(), names, "left_semi"), fp)
+    return kept.unionAll(found.join(of, [*names, fp]).groupBy(*names, label).agg(first).select(f"{whole}.*"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -323,6 +323,14 @@ def test_simhash(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.deduplicated(empty).count() == 0
 
 
+def test_dedup_keeps_one_row_of_each_group_under_a_repeated_id(spark):
+    x, y = "a first text that stands under id five", "some quite other words under the same id"
+    df = spark.createDataFrame([(5, x), (5, y)], "doc_id long, text string")
+    assert _got(simhash.deduplicated(df)) == [(5, x), (5, y)]
+    df = spark.createDataFrame([(5, x), (5, y), (3, x.upper()), (5, y.upper()), (7, y)], "doc_id long, text string")
+    assert _got(simhash.deduplicated(df)) == [(3, x.upper()), (5, y.upper())]
+
+
 def test_golay_keys_meet_within_two_bits():
     golay, rng = simhash.Golay(), np.random.default_rng(5)
     v = rng.integers(0, 1 << 23, 400)
