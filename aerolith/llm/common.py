@@ -72,13 +72,22 @@ def flagged(docs: DataFrame, keep: Callable[[pa.RecordBatch], list], text: str =
     return docs.mapInArrow(run, docs.schema)
 
 
+def threshold(n: int, most: int) -> int:
+    """The signed 64-bit number that about 1.1 * ``most`` + 100 of ``n`` hashes do
+    not exceed (in whole numbers: no share is too small), all if ``n`` <= ``most``."""
+    wanted = 1 << 64 if n <= most else (11 * most + 1000 << 64) // (10 * n) + 1
+    return min(wanted, 1 << 64) - 1 - (1 << 63)
+
+
 def bounded_sample(ids: DataFrame, id_col: str, most: int, seed: int = 17) -> DataFrame:
-    """At most ``most`` rows of ``ids`` (one per id), chosen by a hash of the id:
-    the same rows at every run, and all rows where there are no more than that.
-    Only ids below a hash threshold reach the final ordering."""
+    """At most ``most`` rows of ``ids`` (one per id), those of the smallest hashes
+    of the id: the same rows at every run, and all rows where there are no more
+    than that. Only ids below a hash threshold reach the final ordering. The
+    sample of a table with rows is never empty: that is an error."""
     n = ids.count()
     h = F.xxhash64(F.lit(seed), F.col(id_col))
-    share = 1.0 if n <= most else min(1.0, 1.1 * most / n + 100 / n)
-    cut = int(share * 1_000_000)
-    return (ids.where(F.pmod(h, F.lit(1_000_000)) < cut)
-            .withColumn("__h", h).orderBy("__h", id_col).limit(most).drop("__h"))
+    sample = staged(ids.where(h <= F.lit(threshold(n, most)).cast("long"))
+                    .withColumn("__h", h).orderBy("__h", id_col).limit(most).drop("__h"))
+    if n and sample.isEmpty():
+        raise RuntimeError(f"no row of {n} in a sample of up to {most}")
+    return sample
