@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from aerolith.session import scratch_path
@@ -79,15 +80,31 @@ def threshold(n: int, most: int) -> int:
     return min(wanted, 1 << 64) - 1 - (1 << 63)
 
 
-def bounded_sample(ids: DataFrame, id_col: str, most: int, seed: int = 17) -> DataFrame:
+def bounded_sample(ids: DataFrame, id_col: str, most: int, seed: int = 17, by: str | None = None) -> DataFrame:
     """At most ``most`` rows of ``ids`` (one per id), those of the smallest hashes
     of the id: the same rows at every run, and all rows where there are no more
     than that. Only ids below a hash threshold reach the final ordering. The
-    sample of a table with rows is never empty: that is an error."""
-    n = ids.count()
+    sample of a table with rows is never empty: that is an error. With ``by``
+    (a column of few values) the bound holds for the rows of each value."""
     h = F.xxhash64(F.lit(seed), F.col(id_col))
+    if by is not None:
+        return _sample_by(ids, id_col, most, h, by)
+    n = ids.count()
     sample = staged(ids.where(h <= F.lit(threshold(n, most)).cast("long"))
                     .withColumn("__h", h).orderBy("__h", id_col).limit(most).drop("__h"))
     if n and sample.isEmpty():
         raise RuntimeError(f"no row of {n} in a sample of up to {most}")
     return sample
+
+
+def _sample_by(ids: DataFrame, id_col: str, most: int, h: Column, by: str) -> DataFrame:
+    ids = staged(ids)
+    cuts = [(r[0], threshold(r[1], most)) for r in ids.groupBy(by).count().collect()]  # a row per value
+    cut = F.broadcast(ids.sparkSession.createDataFrame(cuts, f"{by} string, __cut long"))
+    order = W.partitionBy(by).orderBy("__h", id_col)
+    sample = staged(ids.withColumn("__h", h).join(cut, by).where("__h <= __cut")
+                    .withColumn("__at", F.row_number().over(order)).where(F.col("__at") <= most)
+                    .select(*ids.columns))
+    if lost := {v for v, _ in cuts} - {r[0] for r in sample.select(by).distinct().collect()}:
+        raise RuntimeError(f"no rows of {sorted(lost)} in a sample of up to {most}")
+    return sample

@@ -2,7 +2,7 @@
 
 import pytest
 
-from aerolith.llm import common
+from aerolith.llm import common, gru
 
 
 def test_sample_of_billions_is_not_empty(spark, monkeypatch):
@@ -27,3 +27,12 @@ def test_sample_is_bounded_and_whole_where_small(spark):
     assert len(few) == 700 and len(whole) == 10_000
     for n in (2_501, 10**7, 3 * 10**9, 10**13):
         assert 2_850 <= (common.threshold(n, 2_500) + (1 << 63) + 1) * n / 2**64 <= 2_852 or n < 2_850
+
+
+def test_rare_language_is_learned(spark):
+    rows = [(i, "common words of the one language", "aa") for i in range(40_000)]
+    rows += [(i, "zyx ðþ øø ææ", "zz") for i in range(40_000, 40_004)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert gru.trained(docs).langs == ["aa", "zz"]
+    sample = common.bounded_sample(docs, "doc_id", 50, by="lang").groupBy("lang").count().collect()
+    assert {r.lang: r["count"] for r in sample} == {"aa": 50, "zz": 4}
