@@ -49,11 +49,11 @@ BASE = {
 }
 KINDS = [*BASE, "account", "ssn", "secret"]
 LOOSE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]{1,63}\x20?[\[(](?:dot|DOT)[\])]\x20?[A-Za-z]{2,24}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]{1,63}\x20?[\[(](?:dot|DOT)[\])]\x20?[A-Za-z]{2,24}",
     "phone": r"(?<![0-9A-Za-z+().-])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z-])",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "secret": r"(?i)(?<![a-z0-9])(?:token|secret|password|passwd|api[_-]?key)\x20{0,2}[=:]\x20{0,2}[\"']?[a-z0-9_+/-]{16,128}",
+    "secret": r"(?i)(?<![a-z0-9])(?:token|secret|password|passwd|api[_-]?key)\x20{0,2}[=:]\x20{0,2}[\"']?[a-z0-9_+/-]{16,}+",
 }
 TOP_DOMAINS = "com org net edu gov int info biz io de fr es uk it nl eu us ca au ch at be pl se no dk fi pt br jp cn in ru"
 POSITIVE = {

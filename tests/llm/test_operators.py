@@ -105,6 +105,20 @@ def test_pii_redaction(docs, empty):
     assert pii.redacted(empty).count() == 0 and pii.find(empty).count() == 0
 
 
+def test_pii_long_secrets_and_mail_names_are_whole(spark):
+    secret, name = "9f3A" * 75, "long.name" * 12
+    docs = spark.createDataFrame([(i, f"token = {secret} mail {name} (at) host (dot) com end") for i in range(30)],
+                                 "doc_id long, text string")
+    spans = {(k, a, b) for r in pii.find(docs).collect() for k, a, b in (s.split(":") for s in r.spans.split(","))}
+    text = docs.first().text
+    assert ("secret", "0", str(text.index(secret) + len(secret))) in spans
+    assert ("email", str(text.index(name)), str(text.index(" end"))) in spans
+    assert not any("9f3A" in r.text or "name" in r.text for r in pii.redacted(docs).collect())
+    long = spark.createDataFrame([(1, "a" * 200_000), (2, "token=" + "b" * 200_000 + "!"), (3, "token=short " * 20_000)],
+                                 "doc_id long, text string")
+    assert {r.doc_id for r in pii.find(long).where("spans <> ''").collect()} <= {2}
+
+
 def test_em_tells_reliable_labelers():
     counts = {(0, "+++0+"): 60.0, (0, "0---+"): 40.0, (0, "++00+"): 10.0, (0, "0-00+"): 10.0}
     post = pii.expectation_maximisation(counts)
