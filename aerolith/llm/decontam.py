@@ -13,9 +13,12 @@ the shift is zero, the block is some pattern's end, the patterns in that
 block's bucket are the candidates, and a direct comparison of the words
 confirms.
 
-The benchmark is the stated set of queries: it is read in blocks of at most
-``BLOCK_BYTES`` of text, and every block is searched in all documents, one
-block's tables in a task at a time. No document row is shuffled.
+The benchmark is the stated set of queries: it is read in blocks of about
+``BLOCK_BYTES`` of text, and every block is searched in all documents. One
+block is searched in one pass, and no document row is shuffled. With more, each
+block has a pass of its own, which adds its hits to a table; its broadcast goes
+before the next block is sent, and the hits are merged by row. So neither the
+driver nor a task holds more than two blocks however large the benchmark is.
 
 Defined cases: a null text has no words; benchmark rows without an item_id
 or without words are no items; rows that repeat an item_id are one item;
@@ -25,14 +28,19 @@ an empty benchmark hits nothing; a null doc_id stays null.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from aerolith.llm.common import table, texts
+from aerolith.llm.common import fresh, staged, table, texts
+from aerolith.session import scratch_path
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
@@ -114,26 +122,67 @@ def contaminated(n_hit: int, n_words: int) -> bool:
     return n_hit > 0 and 20 * n_hit >= n_words
 
 
+def _found(tables: WuManber, batch: pa.RecordBatch) -> list[tuple[int, list, set]]:
+    """(number of words, hit ranges, items) of every row."""
+    return [(len(words), *tables.search(words)) for words in map(words_of, texts(batch))]
+
+
+def _hits(rows: DataFrame, name: str, items: Iterator[list[tuple[str, bytes]]]) -> DataFrame:
+    """Per row with hits its number (column ``name``), hit ranges (starts and
+    stops in turn) and items: a pass over the rows for each block, whose
+    broadcast goes before the next is made, added to one table."""
+    spark = rows.sparkSession
+    path = os.path.join(scratch_path(spark, "llm"), uuid.uuid4().hex)
+    schema = f"`{name}` long, ranges array<int>, items array<string>"
+
+    def search(part):
+        def run(batches):
+            tables = WuManber(part.value)
+            for batch in batches:
+                there = [(k, r, i) for k, (_, r, i) in enumerate(_found(tables, batch)) if r]
+                if there:
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(name).take(pa.array([k for k, _, _ in there])),
+                         pa.array([[x for ab in r for x in ab] for _, r, _ in there], pa.list_(pa.int32())),
+                         pa.array([sorted(i) for _, _, i in there], pa.list_(pa.string()))],
+                        names=[name, "ranges", "items"])
+        return run
+    for block in items:
+        part = spark.sparkContext.broadcast(block)
+        rows.select(name, "text").mapInArrow(search(part), schema).write.mode("append").parquet(path)
+        part.destroy()
+    return (spark.read.schema(schema).parquet(path).groupBy(name)
+            .agg(F.flatten(F.collect_list("ranges")).alias("ranges"), F.flatten(F.collect_list("items")).alias("items")))
+
+
 def _annotated(docs: DataFrame, benchmark: DataFrame, finish, schema) -> DataFrame:
     """``finish(batch, [(n_words, n_hit, items)])`` over batches of ``docs``."""
-    spark = docs.sparkSession
-    parts = [spark.sparkContext.broadcast(block) for block in blocks(benchmark)]
-
-    def run(batches):
-        only = WuManber(parts[0].value) if len(parts) == 1 else None
+    spark, every = docs.sparkSession, blocks(benchmark)
+    first = list(islice(every, 2))
+    if len(first) < 2:
+        part = spark.sparkContext.broadcast(first[0] if first else [])
+
+        def run(batches):
+            tables = WuManber(part.value)
+            for batch in batches:
+                if batch.num_rows:
+                    yield finish(batch, [(n, _covered(r), i) for n, r, i in _found(tables, batch)])
+        return docs.mapInArrow(run, schema)
+
+    number, ranges, items = (fresh(docs.columns, n) for n in ("__row", "__ranges", "__items"))
+    rows = staged(docs.withColumn(number, F.monotonically_increasing_id()))
+    hits = _hits(rows, number, chain((first.pop(0) for _ in range(2)), every))
+    columns = docs.columns
+
+    def merged(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            lists = [words_of(t) for t in texts(batch)]
-            ranges, items = [[] for _ in lists], [set() for _ in lists]
-            for part in parts:  # one block's tables at a time
-                tables = only or WuManber(part.value)
-                for k, words in enumerate(lists):
-                    r, i = tables.search(words)
-                    ranges[k] += r
-                    items[k] |= i
-            yield finish(batch, [(len(w), _covered(r), i) for w, r, i in zip(lists, ranges, items)])
-    return docs.mapInArrow(run, schema)
+            if batch.num_rows:
+                n = [len(words_of(t)) for t in texts(batch)]
+                found = zip(n, batch.column(ranges).to_pylist(), batch.column(items).to_pylist())
+                yield finish(batch.select(columns), [(w, _covered(list(zip(r[::2], r[1::2]))) if r else 0, set(i or ()))
+                                                     for w, r, i in found])
+    return (rows.join(hits.withColumnsRenamed({"ranges": ranges, "items": items}), number, "left").drop(number)
+            .mapInArrow(merged, schema))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
