@@ -8,9 +8,10 @@ A source's repetition rate is target / size. Each document is emitted
 floor(rate) times, and once more if a hash of its id, as a number in [0, 1),
 is below the rate's fraction: the same choice at every run.
 
-The water level of the capped sources comes from one ordered pass: sorted by
-size / weight the capped sources come first, so running sums over the table
-of sources (a row each) tell which are capped. Sizes are summed per source in
+The water level of the capped sources comes from sums over the table of
+sources (a row each), repeated: sources above their cap at the present level
+are capped, which lifts the level, until no more are. Sources are numbered in
+range partitions; no task holds that table. Sizes are summed per source in
 each task before anything is shuffled; the join back is planned by Spark from
 the size of that table, and a source with a third of all rows is a skewed
 join that Spark splits.
@@ -23,10 +24,9 @@ alike; a source without words has target 0; an empty table gives no rows.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import WORD, fresh, table
+from aerolith.llm.common import WORD, fresh, staged, table
 
 MOST = 3
 WEIGHTS = 3
@@ -36,26 +36,45 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def weighed(sums: DataFrame) -> DataFrame:
+    """``sums`` (source, source_size) with the weight ``w`` of each source: numbers
+    within range partitions, shifted by the counts of the partitions before."""
+    part = F.shiftright(F.col("__n"), 33)
+    placed = staged(sums.repartitionByRange(F.col("source").asc_nulls_last())
+                    .sortWithinPartitions(F.col("source").asc_nulls_last())
+                    .withColumn("__n", F.monotonically_increasing_id()))
+    before, offsets = 0, []
+    for r in sorted(placed.groupBy(part.alias("part")).count().collect()):  # a row per partition
+        offsets.append((r["part"], before))
+        before += r["count"]
+    offset = sums.sparkSession.createDataFrame(offsets, "__part long, __before long")
+    number = F.col("__before") + F.col("__n").bitwiseAND(F.lit((1 << 33) - 1))
+    return (placed.withColumn("__part", part).join(F.broadcast(offset), "__part")
+            .select("source", "source_size", (number % WEIGHTS + 1).cast("double").alias("w")))
+
+
+def water_level(sources: DataFrame) -> float | None:
+    """What the sources that are not capped get for each unit of weight."""
+    most = F.lit(float(MOST)) * F.col("source_size")
+    level, n_capped = None, 0
+    while True:  # the capped only grow
+        capped = F.lit(False) if level is None else F.lit(level) * F.col("w") > most
+        total, all_w, size, w, n = sources.agg(
+            F.sum("source_size"), F.sum("w"), F.coalesce(F.sum(F.when(capped, F.col("source_size"))), F.lit(0)),
+            F.coalesce(F.sum(F.when(capped, F.col("w"))), F.lit(0.0)), F.count(F.when(capped, 1))).first()
+        if total is None or all_w == w:
+            return None
+        if level is not None and n == n_capped:
+            return level
+        level, n_capped = (float(total) - MOST * float(size)) / (all_w - w), n
+
+
 def targets(sized: DataFrame) -> DataFrame:
     """source, source_size, target of each source of ``sized`` (source, size)."""
-    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    every = W.orderBy(F.col("source").asc_nulls_last())
-    weighed = sums.withColumn("w", ((F.row_number().over(every) - 1) % WEIGHTS + 1).cast("double"))
-    # by size over weight: where the level passes MOST * size / w the source is capped
-    up = W.orderBy((F.col("source_size") / F.col("w")), F.col("source").asc_nulls_last())
-    before, whole = up.rowsBetween(W.unboundedPreceding, -1), up.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    run = (weighed
-           .withColumn("total", F.sum("source_size").over(whole).cast("double"))
-           .withColumn("all_w", F.sum("w").over(whole))
-           .withColumn("capped_size", F.coalesce(F.sum("source_size").over(before), F.lit(0)).cast("double"))
-           .withColumn("capped_w", F.coalesce(F.sum("w").over(before), F.lit(0.0)))
-           # the level if all sources before this one are capped and no others
-           .withColumn("level", (F.col("total") - MOST * F.col("capped_size")) / (F.col("all_w") - F.col("capped_w")))
-           .withColumn("open", F.col("level") * F.col("w") <= MOST * F.col("source_size")))
-    level = F.first(F.when(F.col("open"), F.col("level")), ignorenulls=True).over(whole)
-    share = F.when(level.isNull(), F.lit(MOST) * F.col("source_size")).otherwise(
-        F.least(level * F.col("w"), (MOST * F.col("source_size")).cast("double")))
-    return run.select("source", "source_size", share.cast("double").alias("target"))
+    sources = staged(weighed(sized.groupBy("source").agg(F.sum("size").alias("source_size"))))
+    level, most = water_level(sources), (MOST * F.col("source_size")).cast("double")
+    return sources.select("source", "source_size",
+                          (most if level is None else F.least(F.lit(level) * F.col("w"), most)).alias("target"))
 
 
 def draw(doc_id: Column, text: Column) -> Column:
