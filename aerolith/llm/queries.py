@@ -1,6 +1,6 @@
 """The registered queries of the subpackage, and SQL where it can express one."""
 
-from aerolith.llm import decontam, gbt, gru, lm, mixing, pii, pu, simhash, superkmer, tokens
+from aerolith.llm import collapse, decontam, gbt, gru, lm, masks, mixing, pii, pivots, pu, simhash, superkmer, tokens
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -13,9 +13,15 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_language": gru.op9_language,
     "op10_quality": pu.op10_quality,
+    "op11_pivot_search": pivots.op11_pivot_search,
+    "op12_mask_search": masks.op12_mask_search,
+    "op13_prefix_trie": collapse.op13_prefix_trie,
 }
 ORACLE = {
     "op3_mixing": mixing.MIX_SQL,
     "op4_decontaminate": decontam.ORACLE_SQL,
     "op5_substring_dedup": superkmer.ORACLE_SQL,
+    "op11_pivot_search": pivots.ORACLE_SQL,
+    "op12_mask_search": masks.ORACLE_SQL,
+    "op13_prefix_trie": collapse.ORACLE_SQL,
 }
