@@ -76,12 +76,9 @@ def lenient_timestamp(c) -> Column:
     )
 
 
-def reading_time(datetime_utc, period_from_utc, date_text, datetime_utc_alt) -> Column:
+def reading_time_text(datetime_utc, period_from_utc, date_text, datetime_utc_alt) -> Column:
     """time precedence datetime.utc, period.datetimeFrom.utc, date, datetimeUtc."""
-    return lenient_timestamp(F.coalesce(blank_to_null(datetime_utc),
-                                        blank_to_null(period_from_utc),
-                                        blank_to_null(date_text),
-                                        blank_to_null(datetime_utc_alt)))
+    return F.coalesce(*[blank_to_null(c) for c in (datetime_utc, period_from_utc, date_text, datetime_utc_alt)])
 
 
 def row_hash(*cols) -> Column:

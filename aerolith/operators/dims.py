@@ -109,17 +109,26 @@ def with_new_ids(new: DataFrame, current: DataFrame, keys: list[str], id_col: st
     return new.join(ids, keys, "left")
 
 
+PARAMETER_COLS = ["source_parameter_id", "display_name", "preferred_unit", "is_active"]
+
+
 def dim_parameter(parameter: DataFrame) -> DataFrame:
-    """Source parameter rows in dimension shape (SCD1: key = source id)."""
-    return parameter.select(F.col("parameter_id").alias("parameter_key"),
-                            F.col("parameter_id").alias("source_parameter_id"),
-                            "code", "display_name", "preferred_unit")
+    """Source parameter rows in dimension shape, without the dimension's key.
+    A source that does not say so has active parameters only."""
+    active = F.col("is_active") if "is_active" in parameter.columns else F.lit(True)
+    return parameter.select("code", F.col("parameter_id").alias("source_parameter_id"), "display_name", "preferred_unit",
+                            active.alias("is_active"))
+
+
+def empty_parameter_dim(parameter: DataFrame) -> DataFrame:
+    return dim_parameter(parameter).select("code", F.lit(0).alias("parameter_key"), *PARAMETER_COLS).limit(0)
 
 
 def dim_parameter_upsert(parameter: DataFrame, current_dim: DataFrame) -> DataFrame:
-    """SCD1 upsert by code; the key of an existing code is kept."""
-    return upsert_by_key(dim_parameter(parameter), current_dim, ["code"],
-                         update=["source_parameter_id", "display_name", "preferred_unit"])
+    """SCD1 upsert by code: the key of a stored code is kept, new codes get
+    the keys after the greatest one, in code order."""
+    new = with_new_ids(dim_parameter(parameter), current_dim, ["code"], "parameter_key")
+    return upsert_by_key(new, current_dim, ["code"], update=PARAMETER_COLS)
 
 
 def backfill_from_parent(child: DataFrame, parent: DataFrame, child_key: list[str], parent_key: list[str],

@@ -18,8 +18,15 @@ def quality_filter(m: DataFrame, value: str = "value") -> DataFrame:
 READING_COLS = ["measurement_id", "sensor_id", "measured_at", "value", "unit", "ingestion_run_id"]
 
 
-def load_measurement_facts(core, dim_location: DataFrame, dim_sensor: DataFrame,
-                           existing: DataFrame | None = None, incremental: bool = False) -> DataFrame:
+def _parameters(core, dim_parameter: DataFrame | None) -> DataFrame:
+    """parameter_id, code and the dimension's key (in a first load the source id)."""
+    if dim_parameter is None:
+        return core.parameter.select("parameter_id", F.col("code").alias("parameter_code"), F.col("parameter_id").alias("parameter_key"))
+    return dim_parameter.select(F.col("source_parameter_id").alias("parameter_id"), F.col("code").alias("parameter_code"), "parameter_key")
+
+
+def load_measurement_facts(core, dim_location: DataFrame, dim_sensor: DataFrame, existing: DataFrame | None = None,
+                           incremental: bool = False, dim_parameter: DataFrame | None = None) -> DataFrame:
     """New reading facts.
 
     Readings join their *current* sensor and location versions (J3) and the
@@ -33,15 +40,15 @@ def load_measurement_facts(core, dim_location: DataFrame, dim_sensor: DataFrame,
         m = m.join(existing.select(F.col("source_measurement_id").alias("measurement_id")),
                    "measurement_id", "left_anti")
     s = core.sensor.select("sensor_id", "location_id", "parameter_id")
-    ds = scd2.current(dim_sensor).select(F.col("source_sensor_id").alias("sensor_id"),
-                                         F.xxhash64("source_sensor_id", "valid_from").alias("sensor_key"))
-    dl = scd2.current(dim_location).select(F.col("source_location_id").alias("location_id"),
-                                           F.xxhash64("source_location_id", "valid_from").alias("location_key"))
-    p = core.parameter.select("parameter_id", F.col("code").alias("parameter_code"))
+    ds = scd2.with_surrogate(scd2.current(dim_sensor), "source_sensor_id", "sensor_key") \
+        .select(F.col("source_sensor_id").alias("sensor_id"), "sensor_key")
+    dl = scd2.with_surrogate(scd2.current(dim_location), "source_location_id", "location_key") \
+        .select(F.col("source_location_id").alias("location_id"), "location_key")
+    p = _parameters(core, dim_parameter)
     j = m.join(s, "sensor_id").join(ds, "sensor_id").join(dl, "location_id").join(p, "parameter_id")
     rows = j.select(
         F.col("measurement_id").alias("source_measurement_id"),
-        "location_key", "sensor_key",
+        "location_key", "sensor_key", "parameter_key",
         F.col("location_id").alias("source_location_id"),
         F.col("sensor_id").alias("source_sensor_id"),
         "parameter_code",
@@ -82,8 +89,8 @@ def not_stored(rows: DataFrame, existing: DataFrame) -> DataFrame:
     return within(rows, changed, "left_semi").join(seen, "source_measurement_id", "left_anti")
 
 
-def load_alert_facts(core, alerts: DataFrame, dim_location: DataFrame,
-                     existing: DataFrame | None = None) -> DataFrame:
+def load_alert_facts(core, alerts: DataFrame, dim_location: DataFrame, existing: DataFrame | None = None,
+                     dim_parameter: DataFrame | None = None) -> DataFrame:
     """New alert facts. Alert -> reading by (id, time) (J10), -> sensor ->
     current location version, -> parameter; risk key by alert level code (J5).
     Insert-only: later status changes do not reach the fact."""
@@ -94,14 +101,14 @@ def load_alert_facts(core, alerts: DataFrame, dim_location: DataFrame,
     m = core.measurement.select("measurement_id", F.col("measured_at").alias("measurement_measured_at"),
                                 "sensor_id", "value")
     s = core.sensor.select("sensor_id", "location_id", "parameter_id")
-    dl = scd2.current(dim_location).select(F.col("source_location_id").alias("location_id"),
-                                           F.xxhash64("source_location_id", "valid_from").alias("location_key"))
-    p = core.parameter.select("parameter_id", F.col("code").alias("parameter_code"))
+    dl = scd2.with_surrogate(scd2.current(dim_location), "source_location_id", "location_key") \
+        .select(F.col("source_location_id").alias("location_id"), "location_key")
+    p = _parameters(core, dim_parameter)
     j = a.join(m, ["measurement_id", "measurement_measured_at"]).join(s, "sensor_id") \
         .join(dl, "location_id").join(p, "parameter_id")
     return j.select(
         F.col("pollution_alert_id").alias("source_alert_id"),
-        "location_key",
+        "location_key", "parameter_key",
         F.col("location_id").alias("source_location_id"),
         "parameter_code",
         S.risk_key_for_code("alert_level").alias("risk_class_key"),

@@ -143,6 +143,93 @@ def split_by_rules(df: DataFrame, rules: dict[str, str]) -> tuple[DataFrame, Dat
             tagged.filter(F.size("broken_rules") > 0))
 
 
+# Rule, table, key columns, condition (a partial unique index)
+UNIQUE_KEYS: list[tuple[str, str, list[str], str | None]] = [
+    ("C9_parameter_code", "parameter", ["code"], None),
+    ("C9_parameter_source_id", "parameter", ["openaq_parameter_id"], None),
+    ("C9_location_source_id", "location", ["openaq_location_id"], None),
+    ("C9_sensor_source_id", "sensor", ["openaq_sensor_id"], None),
+    ("C9_reading_id_time", "measurement_raw", ["measurement_id", "measured_at"], None),
+    ("C9_reading_sensor_time", "measurement_raw", ["sensor_id", "measured_at"], None),
+    ("C9_rule_key", "threshold_rule", ["parameter_id", "city", "warning_level"], None),
+    ("C9_alert_reading_rule", "pollution_alert", ["measurement_id", "threshold_rule_id"], None),
+    ("C9_date_full_date", "dim_date", ["full_date"], None),
+    ("C9_dim_parameter_code", "dim_parameter", ["code"], None),
+    ("C9_risk_code", "dim_risk_class", ["code"], None),
+    ("C9_risk_sort_order", "dim_risk_class", ["sort_order"], None),
+    ("C9_one_current_location", "dim_location", ["source_location_id"], "is_current"),
+    ("C9_location_version", "dim_location", ["source_location_id", "valid_from"], None),
+    ("C9_one_current_sensor", "dim_sensor", ["source_sensor_id"], "is_current"),
+    ("C9_sensor_version", "dim_sensor", ["source_sensor_id", "valid_from"], None),
+    ("C9_fact_grain", "fact_measurement", ["source_measurement_id"], None),
+    ("C9_alert_fact_grain", "fact_alert", ["source_alert_id"], None),
+    ("C9_prediction_key", "fact_prediction", ["source_location_id", "source_sensor_id", "parameter_code", "target_measured_at",
+                                              "model_name", "model_version"], None),
+]
+# Rule, table, columns, parent, its columns
+FOREIGN_KEYS: list[tuple[str, str, list[str], str, list[str]]] = [
+    ("C10_sensor_location", "sensor", ["location_id"], "location", ["location_id"]),
+    ("C10_sensor_parameter", "sensor", ["parameter_id"], "parameter", ["parameter_id"]),
+    ("C10_reading_sensor", "measurement_raw", ["sensor_id"], "sensor", ["sensor_id"]),
+    ("C10_reading_run", "measurement_raw", ["ingestion_run_id"], "ingestion_run_log", ["ingestion_run_id"]),
+    ("C10_rule_parameter", "threshold_rule", ["parameter_id"], "parameter", ["parameter_id"]),
+    ("C10_alert_reading", "pollution_alert", ["measurement_id", "measurement_measured_at"], "measurement_raw", ["measurement_id", "measured_at"]),
+    ("C10_alert_rule", "pollution_alert", ["threshold_rule_id"], "threshold_rule", ["threshold_rule_id"]),
+    ("C10_outbox_alert", "pollution_alert_outbox", ["pollution_alert_id"], "pollution_alert", ["pollution_alert_id"]),
+    *[(f"C10_{short}_{name}", fact, [col], parent, [key])
+      for short, fact, date, time, sensor in (("fact", "fact_measurement", "date_key", "time_key", True),
+                                              ("alert_fact", "fact_alert", "date_key", "time_key", False),
+                                              ("prediction", "fact_prediction", "target_date_key", "target_time_key", True))
+      for name, col, parent, key in (("location", "location_key", "dim_location", "location_key"),
+                                     *([("sensor", "sensor_key", "dim_sensor", "sensor_key")] if sensor else []),
+                                     ("parameter", "parameter_key", "dim_parameter", "parameter_key"),
+                                     ("date", date, "dim_date", "date_key"), ("time", time, "dim_time", "time_key"),
+                                     ("risk_class", "risk_class_key", "dim_risk_class", "risk_class_key"))],
+]
+
+
+def _key_text(columns: list[str]) -> F.Column:
+    """A key as text, NULL where any column is (such a key breaks nothing).
+    The columns' lengths come first, so different keys differ as texts."""
+    parts = [F.col(c).cast("string") for c in columns]
+    return parts[0] if len(parts) == 1 else F.concat(*[F.concat(F.length(p).cast("string"), F.lit(":")) for p in parts], *parts)
+
+
+def key_rule_counts(tables: dict[str, DataFrame], unique=UNIQUE_KEYS, foreign=FOREIGN_KEYS) -> DataFrame:
+    """Violations of every key and reference, in one shuffle.
+
+    Each table is read once and gives, for every constraint it takes part in, a
+    row (constraint, key, rows that hold it, whether a parent has it). These
+    are combined before the shuffle, so a reference that millions of rows share
+    travels once a task. A unique key counts once if several rows hold it; a
+    reference without a parent counts with its rows."""
+    entries: dict[str, list] = {t: [] for t in tables}
+    rules = []
+    for rule, t, columns, where in unique:
+        if t in tables:
+            key = _key_text(columns)
+            entries[t].append((len(rules), key if where is None else F.when(F.expr(where), key), False))
+            rules.append((len(rules), rule, t, True))
+    for rule, t, columns, parent, parent_columns in foreign:
+        if t in tables and parent in tables:
+            entries[t].append((len(rules), _key_text(columns), False))
+            entries[parent].append((len(rules), _key_text(parent_columns), True))
+            rules.append((len(rules), rule, t, False))
+    parts = []
+    for t, held in entries.items():
+        if held:
+            each = F.array(*[F.struct(F.lit(i).alias("id"), key.alias("key"), F.lit(0 if parent else 1).alias("child"),
+                                      F.lit(1 if parent else 0).alias("parent")) for i, key, parent in held])
+            parts.append(tables[t].select(F.inline(each)).filter("key is not null"))
+    keys = union_all(parts).groupBy("id", "key").agg(F.sum("child").alias("rows"), F.max("parent").alias("parent"))
+    spark = keys.sparkSession
+    names = spark.createDataFrame(rules, "id int, rule string, table_name string, is_unique boolean")
+    counts = keys.groupBy("id").agg(F.count_if(F.col("rows") > 1).alias("repeated"),
+                                    F.sum(F.when(F.col("parent") == 0, F.col("rows")).otherwise(0)).alias("orphans"))
+    bad = F.when(F.col("is_unique"), F.col("repeated")).otherwise(F.col("orphans"))
+    return names.join(counts, "id", "left").select("rule", "table_name", F.coalesce(bad, F.lit(0)).cast("bigint").alias("bad_count"))
+
+
 def duplicate_keys(df: DataFrame, keys: list[str], where: str | None = None) -> DataFrame:
     """Keys that occur more than once (GROUP BY .. HAVING count > 1).
     ``where`` makes it a partial unique index (e.g. ``is_current``)."""

@@ -201,8 +201,8 @@ def gap_sessions(readings: DataFrame, key=SERIES, ts: str = "measured_at",
         .select(*key, "first_at", "last_at", "readings")
 
 
-def gap_sessions_streaming(events: DataFrame, key: str, event_time: str, gap: str = "6 hours") -> DataFrame:
+def gap_sessions_streaming(events: DataFrame, key, event_time: str, gap: str = "6 hours") -> DataFrame:
     """T9 on a stream: built-in session windows (needs a watermark upstream)."""
-    return events.groupBy(key, F.session_window(event_time, gap).alias("session")).agg(
+    return events.groupBy(*_keys(key), F.session_window(event_time, gap).alias("session")).agg(
         F.count(F.lit(1)).alias("readings"), F.min(event_time).alias("first_at"),
         F.max(event_time).alias("last_at"))

@@ -6,9 +6,14 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from aerolith.functions import scalars as S
 from aerolith.operators.filters import top_n
 
+#: no error message is shorter, so few of a run's messages can fit its text
+LEAST_MESSAGE = 12
+
 RUN_COLS = ["ingestion_run_id", "run_type", "status", "started_at", "finished_at",
             "records_inserted", "records_failed", "error_message"]
 
@@ -20,6 +25,30 @@ def run_status(records_failed, run_error) -> F.Column:
             .otherwise(F.lit("succeeded")))
 
 
+def error_texts(errors: DataFrame, key: list[str], order: str, message: str,
+                cap: int = S.ERROR_TEXT_CAP, least: int = LEAST_MESSAGE) -> DataFrame:
+    """per ``key`` the messages in the given order, joined by ' | ' and
+    capped, as ``error_message``.
+
+    Only messages that begin within the cap can be seen, and at ``least``
+    characters each no more than cap / (least + 3) of them do: a ranking keeps
+    that many rows a key (each task its own first ones before the shuffle), a
+    running length cuts them to those within the cap, and these are joined. So
+    a run with any number of errors collects a bounded text.
+    """
+    w = Window.partitionBy(*key).orderBy(order)
+    most = cap // (least + 3) + 2
+    text = F.substring(F.col(message), 1, cap + 1)
+    first = (errors.select(*key, order, text.alias("__text")).withColumn("__rank", F.row_number().over(w))
+             .filter(F.col("__rank") <= most))
+    before = F.sum(F.length("__text") + 3).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    # one message past the cap is kept, so that a longer text is seen to be longer
+    first = first.withColumn("__before", F.coalesce(before, F.lit(0))).filter(F.col("__before") <= cap + 3)
+    listed = F.array_sort(F.collect_list(F.struct("__rank", "__text")))
+    return first.groupBy(*key).agg(listed.alias("__list")).select(
+        *key, S.cap_text(F.array_join(F.transform("__list", lambda x: x["__text"]), " | "), cap).alias("error_message"))
+
+
 def run_events_from_readings(measurement: DataFrame) -> DataFrame:
     """One ingestion run per reading day, as an append-only event log: an
     'open' row when the run starts and a 'close' row with the outcome.

@@ -92,6 +92,14 @@ def scd2_sync(source: DataFrame, dim: DataFrame, key: str, dim_key: str, tracked
     return closed.unionByName(inserted)
 
 
+def changed_keys(source: DataFrame, dim: DataFrame, key: str, dim_key: str, tracked: list[str]) -> DataFrame:
+    """Business keys (as ``dim_key``) that a sync would write versions for:
+    active sources without a current version of the same hash."""
+    src = source.filter("is_active").select(F.col(key).alias(dim_key), S.row_hash(*tracked).alias("__hash"))
+    cur = current(dim).select(F.col(dim_key), F.col("row_hash").alias("__hash"))
+    return src.join(cur, [dim_key, "__hash"], "left_anti").select(dim_key)
+
+
 def with_surrogate(dim: DataFrame, dim_key: str, surrogate: str) -> DataFrame:
     """Deterministic surrogate key: xxhash64(business key, valid_from)."""
     return dim.withColumn(surrogate, F.xxhash64(F.col(dim_key), F.col("valid_from")))

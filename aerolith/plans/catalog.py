@@ -125,7 +125,7 @@ def published_fact(c):
     return SC.published(c, "fact_measurement")
 
 
-FACT_COLS = ["source_measurement_id", "source_location_id", "source_sensor_id", "parameter_code", "date_key",
+FACT_COLS = ["source_measurement_id", "source_location_id", "source_sensor_id", "parameter_code", "parameter_key", "date_key",
              "time_key", "risk_class_key", "measured_at", "measurement_value", "unit", "ingestion_run_id"]
 
 
@@ -194,20 +194,78 @@ def _risk_share(spark, sf):
 
 
 @register("dim_parameter_upsert", """
-, cur AS (SELECT parameter_id AS parameter_key, parameter_id AS source_parameter_id, code,
-                 lower(code) AS display_name, 'ppm' AS preferred_unit
-          FROM parameter WHERE parameter_id <= 3)
-SELECT COALESCE(c.parameter_key, p.parameter_id) AS parameter_key, p.code,
-       p.parameter_id AS source_parameter_id, p.display_name, p.preferred_unit
-FROM parameter p LEFT JOIN cur c ON c.code = p.code
+, src AS (SELECT *, parameter_id % 4 <> 1 AS is_active FROM parameter)
+, cur AS (SELECT parameter_id * 10 AS parameter_key, code FROM parameter WHERE parameter_id % 2 = 0
+          UNION ALL SELECT 7, 'retired')
+, fresh AS (SELECT code, (SELECT max(parameter_key) FROM cur) + row_number() OVER (ORDER BY code) AS k
+            FROM src WHERE code NOT IN (SELECT code FROM cur))
+SELECT CAST(COALESCE(c.parameter_key, f.k) AS INTEGER) AS parameter_key, p.code,
+       p.parameter_id AS source_parameter_id, p.display_name, p.preferred_unit, p.is_active
+FROM src p LEFT JOIN cur c ON c.code = p.code LEFT JOIN fresh f ON f.code = p.code
+UNION ALL SELECT 7, 'retired', 99, 'RETIRED', 'ppm', true
 """)
 def _dim_parameter_upsert(spark, sf):
-    """SCD1 upsert of the parameter dimension over a stale snapshot."""
+    """SCD1 upsert of the parameter dimension over a stale snapshot with
+    keys of its own and a code that the source no longer has."""
     c = core(spark, sf)
-    stale = dims.dim_parameter(c.parameter.filter("parameter_id <= 3")) \
-        .withColumn("display_name", F.lower("code")).withColumn("preferred_unit", F.lit("ppm"))
-    return dims.dim_parameter_upsert(c.parameter, stale) \
-        .select("parameter_key", "code", "source_parameter_id", "display_name", "preferred_unit")
+    source = c.parameter.withColumn("is_active", F.col("parameter_id") % 4 != 1)
+    stale = dims.dim_parameter(c.parameter).filter("source_parameter_id % 2 = 0").select(
+        "code", (F.col("source_parameter_id") * 10).alias("parameter_key"), "source_parameter_id",
+        F.lower("code").alias("display_name"), F.lit("ppm").alias("preferred_unit"), F.lit(True).alias("is_active"))
+    gone = spark.range(1).select(F.lit("retired").alias("code"), F.lit(7).alias("parameter_key"), F.lit(99).alias("source_parameter_id"),
+                                 F.lit("RETIRED").alias("display_name"), F.lit("ppm").alias("preferred_unit"), F.lit(True).alias("is_active"))
+    return dims.dim_parameter_upsert(source, stale.unionByName(gone)) \
+        .select("parameter_key", "code", "source_parameter_id", "display_name", "preferred_unit", "is_active")
+
+
+@register("dim_publish", FIRST_LOAD + """
+, changed AS (SELECT location_id FROM cur_loc WHERE location_id % 97 = 3)
+, old AS (SELECT l.*, COALESCE(first_seen_at, TIMESTAMP '2024-01-01 00:00:00') AS valid_from,
+                 location_id IN (SELECT location_id FROM changed) AS ch FROM cur_loc l)
+, versions AS (
+  SELECT location_id, name, valid_from, CASE WHEN ch THEN TIMESTAMP '2024-01-15 00:00:00' END AS valid_to, NOT ch AS is_current FROM old
+  UNION ALL SELECT location_id, name || ' (renamed)', TIMESTAMP '2024-01-15 00:00:00', NULL, true FROM old WHERE ch)
+SELECT location_id AS source_location_id, name, valid_from, valid_to, is_current,
+       location_id % 64 IN (SELECT location_id % 64 FROM changed) AS rewritten
+FROM versions
+""")
+def _dim_publish(spark, sf):
+    """A second load after few locations changed writes only their buckets."""
+    c = core(spark, sf)
+    root = scratch_path(spark, "warehouse", uuid.uuid4().hex[:12])
+    PL.run_etl(spark, c, root, SC.stored_alerts(c), SC.AS_OF_1)
+    first = PL.read_manifest(spark, root)["dims"]["dim_location"]
+    PL.run_etl(spark, SC.Renamed(c), root, SC.stored_alerts(c), SC.AS_OF_2)
+    second = PL.read_manifest(spark, root)["dims"]["dim_location"]
+    rewritten = [int(b) for b, path in second.items() if first.get(b) != path]
+    return PL.table(spark, root, "dim_location").select("source_location_id", "name", "valid_from", "valid_to", "is_current",
+                                                        PL.bucket_of("source_location_id").isin(rewritten).alias("rewritten"))
+
+
+@register("fact_surrogates", FIRST_LOAD + """
+SELECT f.source_measurement_id, f.source_location_id, f.source_sensor_id, f.parameter_code,
+       COALESCE(l.first_seen_at, TIMESTAMP '2024-01-01 00:00:00') AS location_valid_from, l.city,
+       COALESCE(s.first_seen_at, TIMESTAMP '2024-01-01 00:00:00') AS sensor_valid_from, s.unit AS sensor_unit,
+       p.display_name AS parameter_name, CAST(f.measured_at AS DATE) AS full_date,
+       CAST(hour(f.measured_at) AS INTEGER) AS hour, CAST(minute(f.measured_at) AS INTEGER) AS minute,
+       CASE f.risk_class_key WHEN 1 THEN 'low' WHEN 2 THEN 'moderate' WHEN 3 THEN 'high' WHEN 4 THEN 'critical' END AS risk_code
+FROM fact_m f JOIN cur_loc l ON l.location_id = f.source_location_id JOIN cur_sen s ON s.sensor_id = f.source_sensor_id
+JOIN parameter p ON p.code = f.parameter_code
+""")
+def _fact_surrogates(spark, sf):
+    """Every reading fact through each of its six keys."""
+    c = core(spark, sf)
+    loc = scd2.with_surrogate(SC.published(c, "dim_location"), "source_location_id", "location_key") \
+        .select("location_key", F.col("valid_from").alias("location_valid_from"), "city")
+    sen = scd2.with_surrogate(SC.published(c, "dim_sensor"), "source_sensor_id", "sensor_key") \
+        .select("sensor_key", F.col("valid_from").alias("sensor_valid_from"), F.col("unit").alias("sensor_unit"))
+    par = SC.published(c, "dim_parameter").select("parameter_key", F.col("display_name").alias("parameter_name"))
+    f = published_fact(c).join(loc, "location_key").join(sen, "sensor_key").join(par, "parameter_key")
+    f = f.join(dims.dim_date(spark).select("date_key", "full_date"), "date_key") \
+        .join(dims.dim_time(spark).select("time_key", "hour", "minute"), "time_key") \
+        .join(dims.dim_risk_class(spark).select("risk_class_key", F.col("code").alias("risk_code")), "risk_class_key", "left")
+    return f.select("source_measurement_id", "source_location_id", "source_sensor_id", "parameter_code", "location_valid_from", "city",
+                    "sensor_valid_from", "sensor_unit", "parameter_name", "full_date", "hour", "minute", "risk_code")
 
 
 LOC_COLS = ["source_location_id", "openaq_location_id", "name", "city", "country", "latitude", "longitude",
@@ -374,8 +432,9 @@ def _outbox_pending(spark, sf):
         "pollution_alert_id", "event_type", "current_status", "created_at")
 
 
-@register("fact_alert", ALERTS + """
-SELECT a.pollution_alert_id AS source_alert_id, l.location_id AS source_location_id, p.code AS parameter_code,
+FACT_ALERT_SQL = ALERTS + """
+, fact_a AS (
+SELECT a.pollution_alert_id AS source_alert_id, l.location_id AS source_location_id, p.code AS parameter_code, p.parameter_id AS parameter_key,
        CAST(CASE a.alert_level WHEN 'low' THEN 1 WHEN 'moderate' THEN 2 WHEN 'high' THEN 3
                                WHEN 'critical' THEN 4 END AS INTEGER) AS risk_class_key,
        CAST(strftime(a.generated_at, '%Y%m%d') AS INTEGER) AS date_key,
@@ -385,8 +444,11 @@ FROM alerts a
 JOIN m ON m.measurement_id = a.measurement_id AND m.measured_at = a.measurement_measured_at
 JOIN sensor s ON s.sensor_id = m.sensor_id
 JOIN location l ON l.location_id = s.location_id AND l.is_active
-JOIN parameter p ON p.parameter_id = s.parameter_id
-""")
+JOIN parameter p ON p.parameter_id = s.parameter_id)
+"""
+
+
+@register("fact_alert", FACT_ALERT_SQL + "SELECT * FROM fact_a")
 def _fact_alert(spark, sf):
     """Alert facts on the current location version."""
     c = core(spark, sf)
@@ -811,6 +873,29 @@ def _fact_prediction(spark, sf):
     return FT.load_prediction_facts(rows).drop("feature_payload")
 
 
+CREATED_AT_2 = "2024-02-01 06:00:00"
+
+
+@register("fact_prediction_second_run", INPUTS_SQL + f"""
+SELECT source_location_id, CASE WHEN source_sensor_id % 5 <> 0 THEN source_sensor_id END AS source_sensor_id, parameter_code, target_measured_at,
+       CAST(CAST(CAST({SCORE_SQL} AS VARCHAR) AS DECIMAL(12,4)) AS DOUBLE) + CASE WHEN source_sensor_id % 3 = 0 THEN 1 ELSE 0 END AS predicted_value,
+       CASE WHEN source_sensor_id % 3 = 0 THEN TIMESTAMP '{CREATED_AT_2}' ELSE TIMESTAMP '{CREATED_AT}' END AS prediction_created_at
+FROM inputs
+""")
+def _fact_prediction_second_run(spark, sf):
+    """A run that stored two sensors of three, then one over all with
+    other values: only keys that are not stored go in, also those without a
+    sensor (every fifth)."""
+    i = _inputs(core(spark, sf))
+    def some(rows):
+        return rows.withColumn("source_sensor_id", F.when(F.col("source_sensor_id") % 5 != 0, F.col("source_sensor_id")))
+    first = some(FT.prediction_rows(i.filter("source_sensor_id % 3 <> 0"), FT.fixed_linear_score(i), "fixed_linear", CREATED_AT)).checkpoint()
+    again = some(FT.prediction_rows(i, FT.fixed_linear_score(i), "fixed_linear", CREATED_AT_2)) \
+        .withColumn("predicted_value", F.col("predicted_value") + 1)
+    return first.unionByName(FT.load_prediction_facts(again, first)).select(
+        "source_location_id", "source_sensor_id", "parameter_code", "target_measured_at", "predicted_value", "prediction_created_at")
+
+
 def _backtest(c):
     f = _features(c)
     return FT.prediction_rows(f, FT.fixed_linear_score(f), "fixed_linear", CREATED_AT)
@@ -848,6 +933,29 @@ def _predictions_vs_actual(spark, sf):
                                     limit=200)
 
 
+@register("predictions_any_sensor", BACKTEST_SQL + """
+, preds2 AS (SELECT * REPLACE (CASE WHEN source_sensor_id % 2 = 0 THEN source_sensor_id END AS source_sensor_id) FROM preds)
+, fact2 AS (SELECT source_location_id, source_sensor_id, parameter_code, measured_at, measurement_value FROM fact_m
+            UNION ALL SELECT source_location_id, source_sensor_id + 500, parameter_code, measured_at, measurement_value + 1
+            FROM fact_m WHERE source_location_id % 3 = 0)
+SELECT p.source_location_id, p.source_sensor_id, p.parameter_code, p.target_measured_at, p.predicted_value,
+       f.measurement_value AS actual_value, abs(p.predicted_value - f.measurement_value) AS absolute_error
+FROM preds2 p LEFT JOIN fact2 f
+  ON f.source_location_id = p.source_location_id AND f.parameter_code = p.parameter_code AND f.measured_at = p.target_measured_at
+ AND (p.source_sensor_id IS NULL OR f.source_sensor_id = p.source_sensor_id)
+""")
+def _predictions_any_sensor(spark, sf):
+    """A prediction without a sensor meets the actuals of every sensor of
+    its place, parameter and time (every third place has a second one)."""
+    c = core(spark, sf)
+    preds = _backtest(c).withColumn("source_sensor_id", F.when(F.col("source_sensor_id") % 2 == 0, F.col("source_sensor_id")))
+    f = published_fact(c)
+    second = f.filter("source_location_id % 3 = 0").withColumns({
+        "source_sensor_id": F.col("source_sensor_id") + 500, "measurement_value": F.col("measurement_value") + 1})
+    return FT.predictions_vs_actual(preds, f.unionByName(second), limit=None).select(
+        "source_location_id", "source_sensor_id", "parameter_code", "target_measured_at", "predicted_value", "actual_value", "absolute_error")
+
+
 @register("error_metrics", BACKTEST_SQL + """
 SELECT count(*) AS matched, avg(abs(predicted_value - actual_value)) AS mae,
        sqrt(avg((predicted_value - actual_value) * (predicted_value - actual_value))) AS rmse,
@@ -890,91 +998,73 @@ def _dq_rules_broken(spark, sf):
                                               for c in df.columns]) for t, df in tables.items()})
 
 
-@register("dq_duplicates", LOC_HIST + SEN_HIST + ALERTS + FIRST_LOAD + """
-SELECT 'C9_parameter_code' AS rule, 'parameter' AS table_name,
-       (SELECT count(*) FROM (SELECT code FROM parameter GROUP BY 1 HAVING count(*) > 1)) AS bad_count
-UNION ALL SELECT 'C9_location_source_id', 'location',
-       (SELECT count(*) FROM (SELECT openaq_location_id FROM location GROUP BY 1 HAVING count(*) > 1))
-UNION ALL SELECT 'C9_sensor_source_id', 'sensor',
-       (SELECT count(*) FROM (SELECT openaq_sensor_id FROM sensor GROUP BY 1 HAVING count(*) > 1))
-UNION ALL SELECT 'C9_reading_sensor_time', 'measurement_raw',
-       (SELECT count(*) FROM (SELECT sensor_id, measured_at FROM m GROUP BY 1, 2 HAVING count(*) > 1))
-UNION ALL SELECT 'C9_rule_key', 'threshold_rule',
-       (SELECT count(*) FROM (SELECT parameter_id, city, warning_level FROM threshold_rule
-                              GROUP BY 1, 2, 3 HAVING count(*) > 1))
-UNION ALL SELECT 'C9_alert_reading_rule', 'pollution_alert',
-       (SELECT count(*) FROM (SELECT measurement_id, threshold_rule_id FROM alerts GROUP BY 1, 2
-                              HAVING count(*) > 1))
-UNION ALL SELECT 'C9_one_current_location', 'dim_location',
-       (SELECT count(*) FROM (SELECT source_location_id FROM dim_loc2 WHERE is_current GROUP BY 1
-                              HAVING count(*) > 1))
-UNION ALL SELECT 'C9_location_version', 'dim_location',
-       (SELECT count(*) FROM (SELECT source_location_id, valid_from FROM dim_loc2 GROUP BY 1, 2
-                              HAVING count(*) > 1))
-UNION ALL SELECT 'C9_one_current_sensor', 'dim_sensor',
-       (SELECT count(*) FROM (SELECT source_sensor_id FROM dim_sen2 WHERE is_current GROUP BY 1
-                              HAVING count(*) > 1))
-UNION ALL SELECT 'C9_fact_grain', 'fact_air_quality_measurement',
-       (SELECT count(*) FROM (SELECT source_measurement_id FROM fact_m GROUP BY 1 HAVING count(*) > 1))
-""")
+def _key_tables(c):
+    """Every table with a key or a reference, dimensions with their versions."""
+    t = _quality_tables(c)
+    dims_ = {"dim_location": ("source_location_id", "location_key"), "dim_sensor": ("source_sensor_id", "sensor_key")}
+    for name, (source, key) in dims_.items():
+        t[name] = scd2.with_surrogate(t[name], source, key)
+    i = _inputs(c)
+    keys = {k: scd2.with_surrogate(scd2.current(SC.published(c, d)), s, k).select(s, k) for d, (s, k) in dims_.items()}
+    predictions = FT.prediction_rows(i, FT.fixed_linear_score(i), "fixed_linear", CREATED_AT).withColumnsRenamed(
+        {"date_key": "target_date_key", "time_key": "target_time_key"}) \
+        .join(keys["location_key"], "source_location_id").join(keys["sensor_key"], "source_sensor_id") \
+        .join(SC.published(c, "dim_parameter").select(F.col("code").alias("parameter_code"), "parameter_key"), "parameter_code")
+    return {**t, "dim_parameter": SC.published(c, "dim_parameter"), "fact_measurement": published_fact(c),
+            "fact_alert": SC.published(c, "fact_alert"), "fact_prediction": predictions}
+
+
+DQ_KEYS_SQL = OUTBOX_SQL + RUNS_SQL + LOC_HIST + SEN_HIST + INPUTS_SQL + FACT_ALERT_SQL.removeprefix(ALERTS) \
+    + checks.KEY_TABLES_SQL.replace("{score_risk}", RISK_OF(SCORE_SQL))
+
+
+@register("dq_keys", DQ_KEYS_SQL + checks.key_counts_sql(broken=False))
+def _dq_keys(spark, sf):
+    """Every unique key and reference, in one pass over the tables."""
+    return QL.key_rule_counts(_key_tables(core(spark, sf)))
+
+
+@register("dq_keys_broken", DQ_KEYS_SQL + checks.key_counts_sql(broken=True))
+def _dq_keys_broken(spark, sf):
+    """C9, C10, A21 on tables with repeated rows and references that lead nowhere."""
+    tables = _key_tables(core(spark, sf))
+    out = {}
+    for t, df in tables.items():
+        key, repeated, replaced = checks.KEY_BREAKS.get(t, (None, None, {}))
+        df = df.select(*[F.expr(e).alias(col) if (e := replaced.get(col)) else col for col in df.columns])
+        out[t] = df if key is None else df.unionByName(df.filter(F.expr(repeated)))
+    return QL.key_rule_counts(out)
+
+
+@register("dq_duplicates", DQ_KEYS_SQL + checks.key_counts_sql(broken=False, kinds=("C9",)))
 def _dq_duplicates(spark, sf):
     """Duplicate keys per unique constraint (incl. partial unique on is_current)."""
-    c = core(spark, sf)
-    # shared by several checks: computed once, lineage cut in the shared folder
-    dl, ds = SC.dim_location_history(c).checkpoint(), SC.dim_sensor_history(c).checkpoint()
-    checks = [
-        ("C9_parameter_code", "parameter", c.parameter, ["code"], None),
-        ("C9_location_source_id", "location", c.location, ["openaq_location_id"], None),
-        ("C9_sensor_source_id", "sensor", c.sensor, ["openaq_sensor_id"], None),
-        ("C9_reading_sensor_time", "measurement_raw", c.measurement, ["sensor_id", "measured_at"], None),
-        ("C9_rule_key", "threshold_rule", c.threshold_rule, ["parameter_id", "city", "warning_level"], None),
-        ("C9_alert_reading_rule", "pollution_alert", SC.stored_alerts(c), ["measurement_id", "threshold_rule_id"], None),
-        ("C9_one_current_location", "dim_location", dl, ["source_location_id"], "is_current"),
-        ("C9_location_version", "dim_location", dl, ["source_location_id", "valid_from"], None),
-        ("C9_one_current_sensor", "dim_sensor", ds, ["source_sensor_id"], "is_current"),
-        ("C9_fact_grain", "fact_air_quality_measurement", published_fact(c), ["source_measurement_id"], None),
-    ]
-    return QL.union_all([QL.count_rows(n, QL.duplicate_keys(df, keys, where), t)
-                         for n, t, df, keys, where in checks])
+    return QL.key_rule_counts(_key_tables(core(spark, sf)), foreign=[])
 
 
 @register("dq_orphans", ALERTS + """
-SELECT 'C10_sensor_location' AS rule, 'sensor' AS table_name,
-       (SELECT count(*) FROM sensor s WHERE s.location_id IS NOT NULL
-          AND NOT EXISTS (SELECT 1 FROM location l WHERE l.location_id = s.location_id)) AS bad_count
-UNION ALL SELECT 'C10_sensor_parameter', 'sensor',
-       (SELECT count(*) FROM sensor s WHERE NOT EXISTS (SELECT 1 FROM parameter p WHERE p.parameter_id = s.parameter_id))
-UNION ALL SELECT 'C10_reading_sensor', 'measurement_raw',
-       (SELECT count(*) FROM m WHERE NOT EXISTS (SELECT 1 FROM sensor s WHERE s.sensor_id = m.sensor_id))
-UNION ALL SELECT 'C10_rule_parameter', 'threshold_rule',
-       (SELECT count(*) FROM threshold_rule t
-         WHERE NOT EXISTS (SELECT 1 FROM parameter p WHERE p.parameter_id = t.parameter_id))
-UNION ALL SELECT 'C10_alert_reading', 'pollution_alert',
-       (SELECT count(*) FROM alerts a WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.measurement_id = a.measurement_id
-                                                          AND m.measured_at = a.measurement_measured_at))
-UNION ALL SELECT 'C10_alert_rule', 'pollution_alert',
-       (SELECT count(*) FROM alerts a
-         WHERE NOT EXISTS (SELECT 1 FROM threshold_rule t WHERE t.threshold_rule_id = a.threshold_rule_id))
-UNION ALL SELECT 'C10_customer_without_nation', 'customer',
+SELECT 'C10_customer_without_nation' AS rule, 'customer' AS table_name,
        (SELECT count(*) FROM customer c WHERE c.c_nationkey IS NOT NULL
-          AND NOT EXISTS (SELECT 1 FROM nation n WHERE n.n_nationkey = c.c_nationkey))
+          AND NOT EXISTS (SELECT 1 FROM nation n WHERE n.n_nationkey = c.c_nationkey)) AS bad_count
+UNION ALL SELECT 'C10_order_without_customer', 'orders',
+       (SELECT count(*) FROM orders o WHERE o.o_custkey IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey))
+UNION ALL SELECT 'C10_item_without_order', 'lineitem',
+       (SELECT count(*) FROM lineitem l WHERE l.l_orderkey IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey))
+UNION ALL SELECT 'C10_event_without_customer', 'events',
+       (SELECT count(*) FROM events e WHERE e.user_id IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = e.user_id))
 """)
 def _dq_orphans(spark, sf):
-    """References without a parent (left anti counts)."""
+    """C10 on other tables: the same pass with references given by the caller."""
     c = core(spark, sf)
-    a = SC.stored_alerts(c)
-    checks = [
-        ("C10_sensor_location", "sensor", c.sensor, c.location, ["location_id"], ["location_id"]),
-        ("C10_sensor_parameter", "sensor", c.sensor, c.parameter, ["parameter_id"], ["parameter_id"]),
-        ("C10_reading_sensor", "measurement_raw", c.measurement, c.sensor, ["sensor_id"], ["sensor_id"]),
-        ("C10_rule_parameter", "threshold_rule", c.threshold_rule, c.parameter, ["parameter_id"], ["parameter_id"]),
-        ("C10_alert_reading", "pollution_alert", a, c.measurement,
-         ["measurement_id", "measurement_measured_at"], ["measurement_id", "measured_at"]),
-        ("C10_alert_rule", "pollution_alert", a, c.threshold_rule, ["threshold_rule_id"], ["threshold_rule_id"]),
-        ("C10_customer_without_nation", "customer", c.raw("customer"), c.raw("nation"),
-         ["c_nationkey"], ["n_nationkey"]),
-    ]
-    return QL.union_all([QL.count_rows(n, QL.orphans(ch, pa, ck, pk), t) for n, t, ch, pa, ck, pk in checks])
+    tables = {t: c.raw(t) for t in ("customer", "nation", "orders", "lineitem", "events")}
+    return QL.key_rule_counts(tables, unique=[], foreign=[
+        ("C10_customer_without_nation", "customer", ["c_nationkey"], "nation", ["n_nationkey"]),
+        ("C10_order_without_customer", "orders", ["o_custkey"], "customer", ["c_custkey"]),
+        ("C10_item_without_order", "lineitem", ["l_orderkey"], "orders", ["o_orderkey"]),
+        ("C10_event_without_customer", "events", ["user_id"], "customer", ["c_custkey"])])
 
 
 @register("dw_verify", LOC_HIST + SEN_HIST + FIRST_LOAD + """
@@ -1204,13 +1294,26 @@ def _dedupe_first_writer(spark, sf):
 
 
 @register("bronze_run_counts", """
-SELECT CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS run_id,
-       count(*) FILTER (WHERE event_id % 50 <> 7) AS records_inserted,
+, e AS (SELECT e.*, p.parameter_id, p.display_name, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS run_id,
+               strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS t, user_id * 1000 + parameter_id AS sensor_id
+        FROM events e JOIN parameter p ON p.code = e.event_type)
+, bad AS (
+  SELECT run_id, sensor_id, ts, event_id,
+         'sensor ' || sensor_id || ' measurement skipped at ' || t || ' for parameter ' || event_type
+         || ' with value None: Measurement payload missing datetime/value: {' || CASE WHEN event_id % 3 <> 2 THEN '"unit":"ug/m3",' ELSE '' END
+         || '"parameter":{"id":' || parameter_id || ',"name":"' || event_type || '","code":"' || event_type || '","displayName":"'
+         || display_name || '","units":"' || CASE WHEN event_id % 3 = 0 THEN 'µg/m³' ELSE 'ug/m3' END || '"},"datetime":{'
+         || CASE WHEN event_id % 4 = 0 THEN '"utc":"' || t || '"' ELSE '' END || '},"period":{"datetimeFrom":{'
+         || CASE WHEN event_id % 4 = 1 THEN '"utc":"' || t || '"' ELSE '' END || '}}'
+         || CASE WHEN event_id % 4 = 2 THEN ',"date":"' || t || '"' WHEN event_id % 4 = 3 THEN ',"datetimeUtc":"' || t || '"' ELSE '' END
+         || '}' AS message
+  FROM e WHERE event_id % 50 = 7)
+, txt AS (SELECT run_id, string_agg(message, ' | ' ORDER BY sensor_id, ts, event_id) AS s FROM bad GROUP BY run_id)
+SELECT e.run_id, count(*) FILTER (WHERE event_id % 50 <> 7) AS records_inserted,
        count(*) FILTER (WHERE event_id % 50 = 7) AS records_failed,
        CASE WHEN count(*) FILTER (WHERE event_id % 50 = 7) > 0 THEN 'partial' ELSE 'succeeded' END AS status,
-       CASE WHEN count(*) FILTER (WHERE event_id % 50 = 7) > 0
-            THEN 'measurement skipped: missing time or value' END AS error_message
-FROM events GROUP BY 1
+       any_value(CASE WHEN length(s) > 4000 THEN substr(s, 1, 3997) || '...' ELSE s END) AS error_message
+FROM e LEFT JOIN txt USING (run_id) GROUP BY e.run_id
 """)
 def _bronze_run_counts(spark, sf):
     """Per run, rows kept and failed, status, capped error text."""
@@ -1388,6 +1491,18 @@ def _replayed_landing(c):
     return B.landing_dir(c.spark, _landing_name(c, "r"))
 
 
+_FEEDS: dict[tuple, ST.Feed] = {}
+
+
+def _replayed_feed(c) -> ST.Feed:
+    """The insert stream over these pages, run once for all its consumers."""
+    landing = _replayed_landing(c)
+    feed = _FEEDS.get((id(c.spark), landing))
+    if feed is None or feed.spark is not c.spark:
+        feed = _FEEDS[id(c.spark), landing] = ST.Feed(c.spark, "replayed", landing).land()
+    return feed
+
+
 @register("stream_hourly", """
 , hw AS (SELECT max(measured_at) - INTERVAL 12 HOUR AS wm FROM readings)
 SELECT date_trunc('hour', measured_at) AS measured_hour, city, parameter_code, unit,
@@ -1401,7 +1516,7 @@ def _stream_hourly(spark, sf):
     """T8 + T2: streaming hourly windows, 12 h watermark, append mode (closed
     windows); replayed readings count once."""
     c = core(spark, sf)
-    return ST.hourly_stream(spark, c, _replayed_landing(c))
+    return ST.hourly_stream(_replayed_feed(c), c)
 
 
 @register("stream_alerts", ALERTS + """
@@ -1413,7 +1528,7 @@ def _stream_alerts(spark, sf):
     """T4: alert generation as a stream-static join over the inserted readings
     (a replayed reading raises no second alert)."""
     c = core(spark, sf)
-    return ST.alert_stream(spark, c, _replayed_landing(c))
+    return ST.alert_stream(_replayed_feed(c), c)
 
 
 @register("stream_dedupe", """
@@ -1444,32 +1559,33 @@ def _hourly_means(c):
         "city", "parameter_code", "measured_hour", F.col("average_value").alias("hourly_mean"))
 
 
-@register("grid_interpolate", HOURLY_FULL + """
-, hm AS (SELECT measured_hour, city, parameter_code, CAST(CAST(((2 * sum(CAST(avg_units8 AS HUGEINT)) * 10000 + NULLIF(count(avg_units8), 0)) // (2 * NULLIF(count(avg_units8), 0))) AS VARCHAR) || 'e-12' AS DOUBLE) AS hourly_mean
+def _filled(keys: str, at: str, step: str) -> str:
+    """CTE ``filled``: the grid of the series ``hm`` (keys, at, v) with pos and n."""
+    on = " AND ".join(f"grid.{k} = hm.{k}" for k in keys.split(", "))
+    cols = ", ".join(f"grid.{k}" for k in keys.split(", "))
+    over = lambda fn, c, frame: (f"{fn}({c} IGNORE NULLS) OVER (PARTITION BY {keys} ORDER BY {at} ROWS BETWEEN {frame})")
+    back, ahead = "UNBOUNDED PRECEDING AND CURRENT ROW", "CURRENT ROW AND UNBOUNDED FOLLOWING"
+    known = "CASE WHEN v IS NOT NULL THEN secs END"
+    return f"""
+, b AS (SELECT {keys}, min({at}) AS lo, max({at}) AS hi, count(*) AS points FROM hm GROUP BY {keys})
+, grid AS (SELECT {keys}, points, lo, hi, UNNEST(generate_series(lo::TIMESTAMP, hi::TIMESTAMP, INTERVAL 1 {step})) AS {at} FROM b)
+, g AS (SELECT {cols}, points, lo, hi, grid.{at}, hm.v, epoch(grid.{at}) AS secs
+        FROM grid LEFT JOIN hm ON {on} AND hm.{at} = grid.{at})
+, w AS (SELECT *, {over('last_value', 'v', back)} AS pv, {over('last_value', known, back)} AS pt,
+               {over('first_value', 'v', ahead)} AS nv, {over('first_value', known, ahead)} AS nt FROM g)
+, filled AS (SELECT *, CASE WHEN v IS NOT NULL THEN v WHEN nt = pt THEN pv ELSE pv + (nv - pv) * (secs - pt) / (nt - pt) END AS y,
+                    row_number() OVER (PARTITION BY {keys} ORDER BY {at}) - 1 AS pos, count(*) OVER (PARTITION BY {keys}) AS n FROM w)
+"""
+
+
+HOURLY_GRID = HOURLY_FULL + """
+, hm AS (SELECT measured_hour, city, parameter_code, CAST(CAST(((2 * sum(CAST(avg_units8 AS HUGEINT)) * 10000 + NULLIF(count(avg_units8), 0)) // (2 * NULLIF(count(avg_units8), 0))) AS VARCHAR) || 'e-12' AS DOUBLE) AS v
          FROM hourly GROUP BY ALL)
-, b AS (SELECT city, parameter_code, min(measured_hour) AS lo, max(measured_hour) AS hi FROM hm GROUP BY ALL)
-, grid AS (SELECT city, parameter_code, UNNEST(generate_series(lo, hi, INTERVAL 1 HOUR)) AS measured_hour FROM b)
-, g AS (SELECT grid.city, grid.parameter_code, grid.measured_hour, hm.hourly_mean AS v,
-               epoch(grid.measured_hour) AS secs
-        FROM grid LEFT JOIN hm ON hm.city = grid.city AND hm.parameter_code = grid.parameter_code
-                              AND hm.measured_hour = grid.measured_hour)
-, w AS (SELECT *,
-          last_value(v IGNORE NULLS) OVER (PARTITION BY city, parameter_code ORDER BY measured_hour
-                                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pv,
-          last_value(CASE WHEN v IS NOT NULL THEN secs END IGNORE NULLS)
-              OVER (PARTITION BY city, parameter_code ORDER BY measured_hour
-                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pt,
-          first_value(v IGNORE NULLS) OVER (PARTITION BY city, parameter_code ORDER BY measured_hour
-                                            ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nv,
-          first_value(CASE WHEN v IS NOT NULL THEN secs END IGNORE NULLS)
-              OVER (PARTITION BY city, parameter_code ORDER BY measured_hour
-                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nt
-        FROM g)
-SELECT city, parameter_code, measured_hour,
-       CASE WHEN v IS NOT NULL THEN v WHEN nt = pt THEN pv ELSE pv + (nv - pv) * (secs - pt) / (nt - pt) END
-           AS hourly_mean,
-       v IS NOT NULL AS is_observed
-FROM w
+""" + _filled("city, parameter_code", "measured_hour", "HOUR")
+
+
+@register("grid_interpolate", HOURLY_GRID + """
+SELECT city, parameter_code, measured_hour, y AS hourly_mean, v IS NOT NULL AS is_observed FROM filled
 """)
 def _grid_interpolate(spark, sf):
     """Hourly grid per (city, parameter) with linear interpolation."""
@@ -1477,17 +1593,55 @@ def _grid_interpolate(spark, sf):
     return FC.regular_grid(h, ["city", "parameter_code"], "measured_hour", "hourly_mean", "1 hour")
 
 
-@register("forecast_hourly")
+def _fitted(keys: str, points: str, period: float, phase: str, least: int, at: str, lo: str) -> str:
+    """CTE ``fitted``: the least-squares curve at ``points`` (keys, at, pos, lo, n, y: null
+    where it is predicted only). Each column is made orthogonal to those before
+    over the known points, one after another, and the value regressed on them."""
+    over = lambda e: f"sum(CASE WHEN y IS NOT NULL THEN {e} END) OVER (PARTITION BY {keys})"
+    w = f"(2 * pi() / {period})"
+    a = f"({w} * ({phase.format(at)} - {phase.format(lo)} - (n - 1) / 2.0::DOUBLE))"
+    sql = f"""
+, x0 AS (SELECT *, pos - (n - 1) / 2.0::DOUBLE AS q1, 2 * sin({a} / 2) * sin({a} / 2) AS f2,
+                sin({a}) - CASE WHEN n * {w} < 2 * pi() THEN {w} * (pos - (n - 1) / 2.0::DOUBLE) ELSE 0 END AS f3
+         FROM ({points}) WHERE points >= {least})
+, x1 AS (SELECT *, f2 - {over('f2')} / n - q1 * {over('f2 * q1')} / {over('q1 * q1')} AS q2,
+                f3 - {over('f3')} / n - q1 * {over('f3 * q1')} / {over('q1 * q1')} AS g3 FROM x0)
+, x2 AS (SELECT *, g3 - q2 * {over('g3 * q2')} / {over('q2 * q2')} AS q3 FROM x1)
+, fitted AS (SELECT *, {over('y')} / n + q1 * {over('y * q1')} / {over('q1 * q1')}
+                       + q2 * {over('y * q2')} / {over('q2 * q2')} + q3 * {over('y * q3')} / {over('q3 * q3')} AS curve FROM x2)
+"""
+    return sql
+
+
+@register("forecast_hourly", HOURLY_GRID + _fitted("city, parameter_code", """
+    SELECT city, parameter_code, measured_hour, pos, lo, n, y, points FROM filled
+    UNION ALL SELECT city, parameter_code, hi + to_hours(k), n - 1 + k, lo, n, NULL, points
+    FROM (SELECT DISTINCT city, parameter_code, lo, hi, n, points FROM filled), range(1, 73) r(k)""",
+    24.0, "hour({})", 6, "measured_hour", "lo") + """
+SELECT city, parameter_code, measured_hour, round(greatest(curve, 0), 6) AS forecast_value FROM fitted WHERE y IS NULL
+""")
 def _forecast_hourly(spark, sf):
-    """M9: 72 h forecast per (city, parameter) from [1, t, sin/cos 24 h] least squares."""
-    return FC.hourly_forecast(_hourly_means(core(spark, sf)), ["city", "parameter_code"])
+    """M9 + F18: 72 h forecast per (city, parameter) from [1, t, sin/cos 24 h]
+    least squares, to six places."""
+    f = FC.hourly_forecast(_hourly_means(core(spark, sf)), ["city", "parameter_code"])
+    return f.withColumn("forecast_value", F.round("forecast_value", 6))
 
 
-@register("forecast_daily")
+@register("forecast_daily", HOURLY_FULL + """
+, hm AS (SELECT CAST(measured_hour AS DATE) AS day, parameter_code, CAST(CAST(((2 * sum(CAST(avg_units8 AS HUGEINT)) * 10000 + NULLIF(count(avg_units8), 0)) // (2 * NULLIF(count(avg_units8), 0))) AS VARCHAR) || 'e-12' AS DOUBLE) AS v
+         FROM hourly GROUP BY ALL)
+""" + _filled("parameter_code", "day", "DAY") + _fitted("parameter_code", """
+    SELECT parameter_code, day, pos, lo, n, y, points FROM filled
+    UNION ALL SELECT parameter_code, hi + to_days(CAST(k AS INTEGER)), n - 1 + k, lo, n, NULL, points
+    FROM (SELECT DISTINCT parameter_code, lo, hi, n, points FROM filled), range(1, 15) r(k)""",
+    365.25, "dayofyear({})", 4, "day", "lo") + """
+SELECT parameter_code, CAST(day AS DATE) AS day, round(greatest(curve, 0), 6) AS predicted_daily_mean FROM fitted
+""")
 def _forecast_daily(spark, sf):
-    """Daily curve per parameter over history + 14 days, yearly seasonality."""
+    """M10 + F18: daily curve per parameter over history + 14 days, yearly
+    seasonality, to six places."""
     d = R.daily_mean(reads.hourly_series(core(spark, sf), limit=None, decimal_mean=True))
-    return FC.daily_forecast(d, ["parameter_code"])
+    return FC.daily_forecast(d, ["parameter_code"]).withColumn("predicted_daily_mean", F.round("predicted_daily_mean", 6))
 
 
 # --- Spark ML train / select / save / load / score ----------------------------
@@ -1659,3 +1813,7 @@ def _sensors_in_scope_capped(spark, sf):
     fallback = pages.filter(F.col("endpoint") == "/v3/locations/{id}/sensors")
     sensors = B.sensors_of(locs, fallback, parameters=["click", "VIEW"])
     return B.first_n(sensors, ["location_id", "sensor_id"], 100).select("sensor_id", "location_id", "parameter_code")
+
+
+# queries of their own modules, registered with these
+from aerolith.plans import ingest_queries, stream_queries  # noqa: E402,F401

@@ -153,3 +153,130 @@ def counts_sql(broken: bool) -> str:
         parts += [f"SELECT '{name}' AS rule, '{t}' AS table_name, count(*) FILTER (WHERE NOT ({check})) AS bad_count FROM {src}"
                   for name, check in rules.items()]
     return DIMS_SQL + ctes + "\nUNION ALL ".join(parts)
+
+
+# --- keys and references (C9, C10) --------------------------------------------
+
+# the tables with a key or a reference that the oracle does not have under their name
+KEY_TABLES_SQL = DIMS_SQL.replace("SELECT risk_class_key, CAST(min_value", "SELECT risk_class_key, code, risk_class_key AS sort_order, CAST(min_value") \
+    .replace("(VALUES (1, 0, 10), (2, 10, 25), (3, 25, 50), (4, 50, NULL)) t(risk_class_key, min_value, max_value)",
+             "(VALUES (1, 'low', 0, 10), (2, 'moderate', 10, 25), (3, 'high', 25, 50), (4, 'critical', 50, NULL)) t(risk_class_key, code, min_value, max_value)") \
+    .replace("AS date_key, quarter(d)", "AS date_key, CAST(d AS DATE) AS full_date, quarter(d)") + """
+, measurement_raw AS (SELECT * FROM m)
+, pollution_alert AS (SELECT * FROM reviewed)
+, ingestion_run_log AS (SELECT * FROM runs)
+, pollution_alert_outbox AS (SELECT * FROM outbox)
+, dim_parameter AS (SELECT parameter_id AS parameter_key, code FROM parameter)
+, dim_location AS (SELECT *, CAST(hash(source_location_id, valid_from) AS HUGEINT) AS location_key FROM dim_loc2)
+, dim_sensor AS (SELECT *, CAST(hash(source_sensor_id, valid_from) AS HUGEINT) AS sensor_key FROM dim_sen2)
+, loc_key AS (SELECT location_id AS source_location_id, CAST(hash(location_id, COALESCE(first_seen_at, TIMESTAMP '2024-01-01')) AS HUGEINT) AS location_key FROM cur_loc)
+, sen_key AS (SELECT sensor_id AS source_sensor_id, CAST(hash(sensor_id, COALESCE(first_seen_at, TIMESTAMP '2024-01-01')) AS HUGEINT) AS sensor_key FROM cur_sen)
+, fact_measurement AS (SELECT * FROM fact_m JOIN loc_key USING (source_location_id) JOIN sen_key USING (source_sensor_id))
+, fact_alert AS (SELECT * FROM fact_a JOIN loc_key USING (source_location_id))
+, fact_prediction AS (
+  SELECT i.*, p.parameter_id AS parameter_key, 'fixed_linear' AS model_name, '0.1.0' AS model_version, {score_risk} AS risk_class_key,
+         CAST(strftime(target_measured_at, '%Y%m%d') AS INTEGER) AS target_date_key, location_key, sensor_key,
+         CAST(hour(target_measured_at) * 100 + minute(target_measured_at) AS INTEGER) AS target_time_key
+  FROM inputs i JOIN loc_key USING (source_location_id) JOIN sen_key USING (source_sensor_id) JOIN parameter p ON p.code = i.parameter_code)
+"""
+
+
+def _lost(columns: dict[str, int], key: str, value: str = "-1 - {}") -> dict[str, str]:
+    """column -> SQL of its value where a row's ``key`` mod 23 is the given remainder: one no parent has."""
+    return {c: f"CASE WHEN {key} % 23 = {r} THEN {value.format(c)} ELSE {c} END" for c, r in columns.items()}
+
+
+_FACT = {"location_key": 1, "parameter_key": 2, "date_key": 3, "time_key": 4, "risk_class_key": 5, "sensor_key": 6}
+
+
+def _fact_breaks(key: str, **names: str) -> dict[str, str]:
+    return _lost({names.get(c, c): r for c, r in _FACT.items() if names.get(c, c)}, key)
+
+
+#: table -> key, condition of the rows that occur twice, column -> SQL of its replaced value
+KEY_BREAKS: dict[str, tuple[str, str, dict[str, str]]] = {
+    "parameter": ("parameter_id", "parameter_id = 2", {}),
+    "location": ("location_id", "location_id % 29 = 5", {}),
+    "sensor": ("sensor_id", "sensor_id % 29 = 5", _lost({"location_id": 1, "parameter_id": 2}, "sensor_id")),
+    "measurement_raw": ("measurement_id", "measurement_id % 29 = 5", _lost({"sensor_id": 1, "ingestion_run_id": 2}, "measurement_id")),
+    "threshold_rule": ("threshold_rule_id", "threshold_rule_id % 29 = 5", _lost({"parameter_id": 1}, "threshold_rule_id")),
+    "pollution_alert": ("pollution_alert_id", "pollution_alert_id % 29 = 5",
+                        _lost({"measurement_id": 1, "threshold_rule_id": 2}, "pollution_alert_id")),
+    "pollution_alert_outbox": ("pollution_alert_id", "pollution_alert_id % 29 = 5",
+                               {"pollution_alert_id": "CASE WHEN measurement_id % 23 = 3 THEN -1 - pollution_alert_id ELSE pollution_alert_id END"}),
+    "dim_date": ("date_key", "date_key % 29 = 5", {}),
+    "dim_parameter": ("parameter_key", "parameter_key = 3", {}),
+    "dim_risk_class": ("risk_class_key", "risk_class_key = 4", {}),
+    "dim_location": ("source_location_id", "source_location_id % 29 = 5", {}),
+    "dim_sensor": ("source_sensor_id", "source_sensor_id % 29 = 5", {}),
+    "fact_measurement": ("source_measurement_id", "source_measurement_id % 29 = 5", _fact_breaks("source_measurement_id")),
+    "fact_alert": ("source_alert_id", "source_alert_id % 29 = 5", _fact_breaks("source_alert_id", sensor_key="")),
+    "fact_prediction": ("source_sensor_id", "source_sensor_id % 29 = 5",
+                        _fact_breaks("source_sensor_id", date_key="target_date_key", time_key="target_time_key")),
+}
+
+#: the keys and references as the schemas declare them: rule: (table, columns[, condition]) or (table, columns, parent, columns)
+KEYS: dict[str, tuple] = {
+    "C9_parameter_code": ("parameter", "code"), "C9_parameter_source_id": ("parameter", "openaq_parameter_id"),
+    "C9_location_source_id": ("location", "openaq_location_id"), "C9_sensor_source_id": ("sensor", "openaq_sensor_id"),
+    "C9_reading_id_time": ("measurement_raw", "measurement_id, measured_at"),
+    "C9_reading_sensor_time": ("measurement_raw", "sensor_id, measured_at"),
+    "C9_rule_key": ("threshold_rule", "parameter_id, city, warning_level"),
+    "C9_alert_reading_rule": ("pollution_alert", "measurement_id, threshold_rule_id"),
+    "C9_date_full_date": ("dim_date", "full_date"), "C9_dim_parameter_code": ("dim_parameter", "code"),
+    "C9_risk_code": ("dim_risk_class", "code"), "C9_risk_sort_order": ("dim_risk_class", "sort_order"),
+    "C9_one_current_location": ("dim_location", "source_location_id", "is_current"),
+    "C9_location_version": ("dim_location", "source_location_id, valid_from"),
+    "C9_one_current_sensor": ("dim_sensor", "source_sensor_id", "is_current"),
+    "C9_sensor_version": ("dim_sensor", "source_sensor_id, valid_from"),
+    "C9_fact_grain": ("fact_measurement", "source_measurement_id"), "C9_alert_fact_grain": ("fact_alert", "source_alert_id"),
+    "C9_prediction_key": ("fact_prediction", "source_location_id, source_sensor_id, parameter_code, target_measured_at, model_name, model_version"),
+    "C10_sensor_location": ("sensor", "location_id", "location", "location_id"),
+    "C10_sensor_parameter": ("sensor", "parameter_id", "parameter", "parameter_id"),
+    "C10_reading_sensor": ("measurement_raw", "sensor_id", "sensor", "sensor_id"),
+    "C10_reading_run": ("measurement_raw", "ingestion_run_id", "ingestion_run_log", "ingestion_run_id"),
+    "C10_rule_parameter": ("threshold_rule", "parameter_id", "parameter", "parameter_id"),
+    "C10_alert_reading": ("pollution_alert", "measurement_id, measurement_measured_at", "measurement_raw", "measurement_id, measured_at"),
+    "C10_alert_rule": ("pollution_alert", "threshold_rule_id", "threshold_rule", "threshold_rule_id"),
+    "C10_outbox_alert": ("pollution_alert_outbox", "pollution_alert_id", "pollution_alert", "pollution_alert_id"),
+    "C10_fact_location": ("fact_measurement", "location_key", "dim_location", "location_key"),
+    "C10_fact_sensor": ("fact_measurement", "sensor_key", "dim_sensor", "sensor_key"),
+    "C10_fact_parameter": ("fact_measurement", "parameter_key", "dim_parameter", "parameter_key"),
+    "C10_fact_date": ("fact_measurement", "date_key", "dim_date", "date_key"),
+    "C10_fact_time": ("fact_measurement", "time_key", "dim_time", "time_key"),
+    "C10_fact_risk_class": ("fact_measurement", "risk_class_key", "dim_risk_class", "risk_class_key"),
+    "C10_alert_fact_location": ("fact_alert", "location_key", "dim_location", "location_key"),
+    "C10_alert_fact_parameter": ("fact_alert", "parameter_key", "dim_parameter", "parameter_key"),
+    "C10_alert_fact_date": ("fact_alert", "date_key", "dim_date", "date_key"),
+    "C10_alert_fact_time": ("fact_alert", "time_key", "dim_time", "time_key"),
+    "C10_alert_fact_risk_class": ("fact_alert", "risk_class_key", "dim_risk_class", "risk_class_key"),
+    "C10_prediction_location": ("fact_prediction", "location_key", "dim_location", "location_key"),
+    "C10_prediction_sensor": ("fact_prediction", "sensor_key", "dim_sensor", "sensor_key"),
+    "C10_prediction_parameter": ("fact_prediction", "parameter_key", "dim_parameter", "parameter_key"),
+    "C10_prediction_date": ("fact_prediction", "target_date_key", "dim_date", "date_key"),
+    "C10_prediction_time": ("fact_prediction", "target_time_key", "dim_time", "time_key"),
+    "C10_prediction_risk_class": ("fact_prediction", "risk_class_key", "dim_risk_class", "risk_class_key"),
+}
+
+
+def key_counts_sql(broken: bool, kinds: tuple[str, ...] = ("C9", "C10")) -> str:
+    """rule, table_name, bad_count of every key and reference, on the tables or their broken rows."""
+    ctes, name = "", {t: t for k in KEYS.values() for t in (k[0], k[2] if len(k) == 4 else k[0])}
+    if broken:
+        for t, (_, twice, columns) in KEY_BREAKS.items():
+            replace = f"* REPLACE ({', '.join(f'{e} AS {c}' for c, e in columns.items())})" if columns else "*"
+            ctes += f", y_{t} AS (SELECT {replace} FROM {t}), x_{t} AS (SELECT * FROM y_{t} UNION ALL SELECT * FROM y_{t} WHERE {twice})\n"
+            name[t] = f"x_{t}"
+    parts = []
+    for rule, (t, columns, *rest) in KEYS.items():
+        if rule.split("_")[0] not in kinds:
+            continue
+        given = " AND ".join(f"c.{c} IS NOT NULL" for c in columns.split(", "))
+        if rule.startswith("C9"):
+            where = f"{given} AND {rest[0]}" if rest else given
+            count = f"(SELECT count(*) FROM (SELECT 1 FROM {name[t]} c WHERE {where} GROUP BY {columns} HAVING count(*) > 1))"
+        else:
+            same = " AND ".join(f"p.{b} = c.{a}" for a, b in zip(columns.split(", "), rest[1].split(", ")))
+            count = f"(SELECT count(*) FROM {name[t]} c WHERE {given} AND NOT EXISTS (SELECT 1 FROM {name[rest[0]]} p WHERE {same}))"
+        parts.append(f"SELECT '{rule}' AS rule, '{t}' AS table_name, {count} AS bad_count")
+    return ctes + "\nUNION ALL ".join(parts)

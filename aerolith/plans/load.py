@@ -8,7 +8,9 @@ like the reference's ETL result.
 There is no multi-table transaction on Parquet, so a run stages everything
 under its own folder and publishes a manifest last:
 
-* dimensions are rewritten as whole snapshots (they are small next to facts);
+* the parameter dimension is rewritten as a whole; the SCD2 dimensions are kept
+  in ``DIM_BUCKETS`` buckets of their business key, a run rewrites the buckets
+  in which a version starts or ends, and the manifest names each bucket's folder;
 * facts are append-only: each run writes only its new rows into
   ``fact_*/load_run=<id>``; readers take the partitions the manifest lists,
   so a half-written run is invisible and a re-run is idempotent (anti joins).
@@ -33,6 +35,7 @@ from aerolith.sources import store
 
 DIMS = ("dim_parameter", "dim_location", "dim_sensor")
 FACTS = ("fact_measurement", "fact_alert")
+DIM_BUCKETS = 64
 
 
 def _manifest_path(root: str) -> str:
@@ -50,12 +53,44 @@ def table(spark: SparkSession, root: str, name: str, manifest: dict | None = Non
     if manifest is None:
         return None
     if name in DIMS:
-        return spark.read.parquet(manifest["dims"][name])
+        kept = manifest["dims"][name]
+        return _read_buckets(spark, kept) if isinstance(kept, dict) else spark.read.parquet(kept)
     runs = manifest["fact_runs"]
     df = spark.read.parquet(os.path.join(root, name))
     return df.filter(F.col("load_run").isin(runs)).drop("load_run")
 
 
+def bucket_of(key: str) -> F.Column:
+    return F.pmod(F.col(key), F.lit(DIM_BUCKETS)).cast("int")
+
+
+def _read_buckets(spark: SparkSession, buckets: dict[str, str], only: set[int] | None = None) -> DataFrame | None:
+    """The rows of a bucketed dimension, or of some buckets of it."""
+    paths = [p for b, p in buckets.items() if only is None or int(b) in only]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def publish_scd2(spark: SparkSession, path: str, sync, source: DataFrame, key: str, dim_key: str, tracked: list[str],
+                 empty: DataFrame, buckets: dict[str, str], as_of) -> tuple[dict[str, str], int]:
+    """Sync a bucketed SCD2 dimension (E5, E6): the folders of its buckets after
+    the run, and the number of versions that ended or began.
+
+    Keys with a change are found by one anti join; their buckets (at most
+    ``DIM_BUCKETS`` numbers) are synced and written, all others stay as they are."""
+    cur = _read_buckets(spark, buckets)
+    keys = scd2.changed_keys(source, empty if cur is None else cur, key, dim_key, tracked)
+    changed = {r[0] for r in keys.select(bucket_of(dim_key)).distinct().collect()}
+    if not changed:
+        return buckets, 0
+    before = _read_buckets(spark, buckets, changed)
+    before = empty if before is None else before
+    after = sync(source.filter(bucket_of(key).isin(changed)), before, as_of).withColumn("bucket", bucket_of(dim_key))
+    after.hint("rebalance", F.col("bucket")).write.partitionBy("bucket").parquet(path)
+    written = spark.read.parquet(path)
+    expired = written.filter(~F.col("is_current") & (F.col("valid_to") == F.lit(as_of).cast("timestamp_ntz"))).count()
+    return {**buckets, **{str(b): os.path.join(path, f"bucket={b}") for b in changed}}, expired + written.count() - before.count()
+
+
 def run_etl(spark: SparkSession, core, root: str, alerts_df: DataFrame, as_of, incremental: bool = False) -> dict:
     """One warehouse load from the core tables into ``root``; returns counts.
 
@@ -81,19 +116,18 @@ def run_etl(spark: SparkSession, core, root: str, alerts_df: DataFrame, as_of, i
         cur_p = table(spark, root, "dim_parameter", manifest)
         src_p = dims.dim_parameter(core.parameter)
         if cur_p is None:
-            cur_p = spark.createDataFrame([], src_p.schema)
-        write_dim("dim_parameter", dims.dim_parameter_upsert(core.parameter, cur_p))
-        return src_p.join(cur_p, [c for c in src_p.columns if c != "parameter_key"], "left_anti").count()
+            cur_p = dims.empty_parameter_dim(core.parameter)
+        new = write_dim("dim_parameter", dims.dim_parameter_upsert(core.parameter, cur_p))
+        return new, src_p.join(cur_p, src_p.columns, "left_anti").count()
 
     # SCD2 dimensions. Count = expired + inserted versions.
-    def scd2_step(name, sync, source, empty):
-        cur = table(spark, root, name, manifest)
-        cur = empty if cur is None else cur
-        new = write_dim(name, sync(source, cur, as_of))
-        expired = new.filter(~F.col("is_current") & (F.col("valid_to") == F.lit(as_of).cast("timestamp_ntz"))) \
-            .count()
-        inserted = new.count() - cur.count()
-        return new, expired + inserted
+    buckets: dict[str, dict[str, str]] = {}
+
+    def scd2_step(name, sync, source, key, dim_key, tracked, empty):
+        kept = (manifest or {}).get("dims", {}).get(name, {})
+        buckets[name], n = publish_scd2(spark, os.path.join(stage, name), sync, source, key, dim_key, tracked, empty, kept, as_of)
+        new = _read_buckets(spark, buckets[name])
+        return (empty if new is None else new), n
 
     # Append-only facts, new rows only. A fact whose date is not in
     # dim_date breaks the date foreign key: the whole load fails and nothing
@@ -113,22 +147,23 @@ def run_etl(spark: SparkSession, core, root: str, alerts_df: DataFrame, as_of, i
     # dimensions are written: each group runs as concurrent Spark jobs.
     with ThreadPoolExecutor(max_workers=3) as pool:
         fp = pool.submit(parameters)
-        fl = pool.submit(scd2_step, "dim_location", scd2.sync_locations, core.location,
-                         scd2.empty_location_dim(spark, core.location))
-        fs = pool.submit(scd2_step, "dim_sensor", scd2.sync_sensors, core.sensor,
-                         scd2.empty_sensor_dim(spark, core.sensor))
-        n_param, (dl, n_loc), (ds, n_sen) = fp.result(), fl.result(), fs.result()
+        fl = pool.submit(scd2_step, "dim_location", scd2.sync_locations, core.location, "location_id", "source_location_id",
+                         scd2.LOCATION_TRACKED, scd2.empty_location_dim(spark, core.location))
+        fs = pool.submit(scd2_step, "dim_sensor", scd2.sync_sensors, core.sensor, "sensor_id", "source_sensor_id",
+                         scd2.SENSOR_TRACKED, scd2.empty_sensor_dim(spark, core.sensor))
+        (dp, n_param), (dl, n_loc), (ds, n_sen) = fp.result(), fl.result(), fs.result()
         existing_a = table(spark, root, "fact_alert", manifest)
         existing_m = table(spark, root, "fact_measurement", manifest)
         fm = pool.submit(append_fact, "fact_measurement",
-                         facts.load_measurement_facts(core, dl, ds, existing=existing_m, incremental=incremental))
-        fa = pool.submit(append_fact, "fact_alert", facts.load_alert_facts(core, alerts_df, dl, existing=existing_a))
+                         facts.load_measurement_facts(core, dl, ds, existing=existing_m, incremental=incremental,
+                                                      dim_parameter=dp))
+        fa = pool.submit(append_fact, "fact_alert", facts.load_alert_facts(core, alerts_df, dl, existing=existing_a, dim_parameter=dp))
         n_read, n_alert = fm.result(), fa.result()
 
     # publish last
     runs = (manifest or {}).get("fact_runs", []) + [run_id]
     new_manifest = {"run_id": run_id, "as_of": as_of.isoformat(), "fact_runs": runs,
-                    "dims": {n: os.path.join(stage, n) for n in DIMS}}
+                    "dims": {"dim_parameter": os.path.join(stage, "dim_parameter"), **buckets}}
     store.write_marker(spark, _manifest_path(root), json.dumps(new_manifest))
     return {"parameters": n_param, "locations": n_loc, "sensors": n_sen, "readings": n_read, "alerts": n_alert}
 

@@ -186,7 +186,7 @@ FIRST_LOAD = """
 , cur_sen AS (SELECT * FROM sensor WHERE is_active)
 , fact_m AS (
   SELECT m.measurement_id AS source_measurement_id, l.location_id AS source_location_id,
-         s.sensor_id AS source_sensor_id, p.code AS parameter_code,
+         s.sensor_id AS source_sensor_id, p.code AS parameter_code, p.parameter_id AS parameter_key,
          CAST(strftime(m.measured_at, '%Y%m%d') AS INTEGER) AS date_key,
          CAST(hour(m.measured_at) * 100 + minute(m.measured_at) AS INTEGER) AS time_key,
          CAST(CASE WHEN m.value >= 0 AND m.value < 10 THEN 1 WHEN m.value >= 10 AND m.value < 25 THEN 2

@@ -60,30 +60,44 @@ PAGE_SCHEMA = T.StructType([
 
 # --- landing (S1) -------------------------------------------------------------
 
-def measurement_pages(events: DataFrame, parameter: DataFrame, sensor_factor: int = 1000) -> DataFrame:
-    """Readings as API pages: one page per (sensor, day, block of 250).
-
-    Record variants exercise the parser: the time is given in one of four
-    fields (by event id mod 4), every third parameter unit uses the micro
-    sign, every third reading has no unit of its own, and every 50th record
-    (id mod 50 = 7) lacks its value (an invalid reading).
-    """
-    p = parameter.select(F.col("code").alias("event_type"), "parameter_id", "display_name")
-    e = events.join(p, "event_type").withColumn("sensor_id", F.col("user_id") * sensor_factor + F.col("parameter_id"))
-    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+def reading_record(value, time, decoy=None):
+    """A reading as the source sends it. The time stands in one of four fields
+    (by event id mod 4), every third parameter unit uses the micro sign, every
+    third reading has no unit of its own. ``decoy``: a time that the fields of
+    lower precedence carry instead of nothing."""
+    none = F.lit(None).cast("string")
+    decoy = none if decoy is None else decoy
     k = F.col("event_id") % 4
-    rec = F.struct(
-        F.when(F.col("event_id") % 50 != 7, F.format_string("%.4f", F.col("value"))).alias("value"),
+    at = lambda i: F.when(k == i, time).when(k < i, decoy)
+    return F.struct(
+        value.alias("value"),
         F.when(F.col("event_id") % 3 != 2, F.lit(S.DEFAULT_UNIT)).alias("unit"),
         F.struct(F.col("parameter_id").cast("long").alias("id"), F.col("event_type").alias("name"),
                  F.col("event_type").alias("code"), F.col("display_name").alias("displayName"),
                  F.when(F.col("event_id") % 3 == 0, F.lit("µg/m³")).otherwise(F.lit(S.DEFAULT_UNIT))
-                 .alias("units"), F.lit(None).cast("string").alias("unit"),
-                 F.lit(None).cast("string").alias("description")).alias("parameter"),
-        F.struct(F.when(k == 0, iso).alias("utc")).alias("datetime"),
-        F.struct(F.struct(F.when(k == 1, iso).alias("utc")).alias("datetimeFrom")).alias("period"),
-        F.when(k == 2, iso).alias("date"),
-        F.when(k == 3, iso).alias("datetimeUtc"))
+                 .alias("units"), none.alias("unit"), none.alias("description")).alias("parameter"),
+        F.struct(at(0).alias("utc")).alias("datetime"),
+        F.struct(F.struct(at(1).alias("utc")).alias("datetimeFrom")).alias("period"),
+        at(2).alias("date"),
+        at(3).alias("datetimeUtc"))
+
+
+ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+
+
+def measurement_pages(events: DataFrame, parameter: DataFrame, sensor_factor: int = 1000, record=None) -> DataFrame:
+    """Readings as API pages: one page per (sensor, day, block of 250).
+
+    Record variants exercise the parser: see ``reading_record``; every 50th
+    record (id mod 50 = 7) lacks its value (an invalid reading). ``record``
+    replaces that form of a reading.
+    """
+    p = parameter.select(F.col("code").alias("event_type"), "parameter_id", "display_name")
+    e = events.join(p, "event_type").withColumn("sensor_id", F.col("user_id") * sensor_factor + F.col("parameter_id"))
+    if record is None:
+        record = reading_record(F.when(F.col("event_id") % 50 != 7, F.format_string("%.4f", F.col("value"))),
+                                F.date_format("ts", ISO))
+    rec = record
     # A record's position within its (sensor, day) is the number of records in
     # earlier hours plus its rank within the hour, so a hot sensor-day is spread
     # over several tasks and pages are full and numbered 1, 2, 3 in time order.
@@ -180,24 +194,35 @@ def parse_measurements(records: DataFrame) -> DataFrame:
     Adds ``error`` (NULL for a good row): 'measurement skipped: missing time
     or value'. A present but unparsable time or number, or a value outside
     (-1000, 100000), is a database error in the reference (it undoes the
-    sensor batch); here it is tagged 'rejected: ...' and counted as failed.
+    sensor batch): 'rejected: ...'. ``message`` is the reading's error text:
+    the whole text of a skipped reading (F19), the cause of a rejected one.
     """
     r = F.col("rec")
-    t_text = F.coalesce(S.blank_to_null(r["datetime"]["utc"]), S.blank_to_null(r["period"]["datetimeFrom"]["utc"]),
-                        S.blank_to_null(r["date"]), S.blank_to_null(r["datetimeUtc"]))
+    t_text = S.reading_time_text(r["datetime"]["utc"], r["period"]["datetimeFrom"]["utc"], r["date"], r["datetimeUtc"])
     ts = S.lenient_timestamp(t_text).cast("timestamp_ntz")
     v_text = S.blank_to_null(r["value"])
     value = F.expr("try_cast(rec.value AS DECIMAL(12,4))")
     unit = S.normalize_unit(F.coalesce(S.blank_to_null(r["parameter"]["units"]), S.blank_to_null(r["unit"]),
                                        F.lit(S.UNKNOWN_UNIT)))
-    err = (F.when(t_text.isNull() | v_text.isNull(), F.lit("measurement skipped: missing time or value"))
+    missing = t_text.isNull() | v_text.isNull()
+    out_of_range = (value <= S.VALUE_OPEN_MIN) | (value >= S.VALUE_OPEN_MAX)
+    err = (F.when(missing, F.lit("measurement skipped: missing time or value"))
            .when(ts.isNull(), F.lit("rejected: unparsable time"))
            .when(value.isNull(), F.lit("rejected: unparsable value"))
-           .when((value <= S.VALUE_OPEN_MIN) | (value >= S.VALUE_OPEN_MAX), F.lit("rejected: value out of range")))
+           .when(out_of_range, F.lit("rejected: value out of range")))
+    skipped = F.concat(
+        F.lit("sensor "), F.col("source_id").cast("string"), F.lit(" measurement skipped at "),
+        F.coalesce(t_text, F.lit("unknown")), F.lit(" for parameter "),
+        F.coalesce(S.blank_to_null(r["parameter"]["name"]), F.lit("unknown")), F.lit(" with value "),
+        F.coalesce(r["value"], F.lit("None")), F.lit(": Measurement payload missing datetime/value: "), F.to_json(r))
+    message = (F.when(missing, skipped)
+               .when(ts.isNull(), F.concat(F.lit("unparsable time "), t_text))
+               .when(value.isNull(), F.concat(F.lit("unparsable value "), v_text))
+               .when(out_of_range, F.concat(F.lit("value out of range "), v_text)))
     return records.select("run_id", "source_id", "page_no", "position",
                           F.col("source_id").alias("sensor_id"), ts.alias("measured_at"),
                           value.alias("value"), unit.alias("unit"),
-                          F.to_json(r).alias("raw_payload"), err.alias("error"))
+                          F.to_json(r).alias("raw_payload"), err.alias("error"), message.alias("message"))
 
 
 def parse_parameter(p) -> dict:
@@ -261,10 +286,11 @@ def sensor_records(locations: DataFrame, sensor_pages: DataFrame) -> DataFrame:
         unnest(sensor_pages, SENSOR_JSON).select(F.col("rec").alias("s")))
 
 
-def parse_locations(records: DataFrame) -> DataFrame:
-    """S3 + F2/F3: location rows with defaults."""
+def parse_locations(records: DataFrame, also: list[str] = ()) -> DataFrame:
+    """S3 + F2/F3: location rows with defaults (and the columns ``also``)."""
     r = F.col("rec")
     return records.select(
+        *also,
         r["id"].alias("location_id"),
         S.default_name(r["name"], S.LOCATION_NAME_PREFIX, r["id"]).alias("name"),
         S.city_name(r["locality"], r["city"], r["name"]).alias("city"),
@@ -354,20 +380,20 @@ def insert_if_absent(new: DataFrame, table: DataFrame | None, key=("sensor_id",
 
 
 def run_counts(parsed: DataFrame, inserted: DataFrame) -> DataFrame:
-    """Per run, rows inserted (rows actually kept: the reference's
-    overcount is fixed) and failed, error text (F19) and status."""
-    failed = parsed.filter(F.col("error").isNotNull()).groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("records_failed"),
-        F.array_join(F.array_sort(F.collect_set("error")), " | ").alias("__err"))
+    """Per run, rows inserted (rows actually kept: the reference's overcount
+    is fixed) and failed, error text (F19) and status of readings without
+    their locations (a whole run with its units of work: ``sources.ingest``)."""
+    bad = parsed.filter(F.col("error").isNotNull()).withColumn("__at", F.struct("source_id", "page_no", "position"))
+    failed = bad.groupBy("run_id").agg(F.count(F.lit(1)).alias("records_failed"))
     ins = inserted.groupBy("run_id").agg(F.count(F.lit(1)).alias("records_inserted"))
     runs = parsed.select("run_id").distinct()
-    j = runs.join(ins, "run_id", "left").join(failed, "run_id", "left").na.fill(
-        0, ["records_inserted", "records_failed"])
-    from aerolith.operators.runs import run_status
+    from aerolith.operators.runs import error_texts, run_status
+    j = (runs.join(ins, "run_id", "left").join(failed, "run_id", "left")
+         .join(error_texts(bad, ["run_id"], "__at", "message"), "run_id", "left")
+         .na.fill(0, ["records_inserted", "records_failed"]))
     return j.select("run_id", F.col("records_inserted").cast("bigint").alias("records_inserted"),
                     F.col("records_failed").cast("bigint").alias("records_failed"),
-                    run_status(F.col("records_failed"), F.lit(False)).alias("status"),
-                    S.cap_text(F.col("__err")).alias("error_message"))
+                    run_status(F.col("records_failed"), F.lit(False)).alias("status"), "error_message")
 
 
 def landing_dir(spark, name: str) -> str:
