@@ -60,7 +60,7 @@ def vectors(embeddings: DataFrame) -> DataFrame:
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     vec = F.transform("embedding", lambda x: F.floor(x.cast("double") * SCALE).cast("double"))
     return (embeddings.where(F.col("embedding").isNotNull() & ~bad)
-            .select(F.monotonically_increasing_id().alias("row"), "vec_id", vec.alias("vec")))
+            .select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), vec.alias("vec")))
 
 
 def matrix(column) -> np.ndarray:
@@ -133,30 +133,27 @@ class Search:
     """The best candidates of a block's queries, through any number of runs of candidates."""
 
     def __init__(self, queries: Side, rows: np.ndarray, start: np.ndarray, top: int):
-        self.q, self.rows, self.start, self.top = queries, rows, start.astype(float), top
+        self.q, self.rows, self.top = queries, rows, top
+        #: what a score must reach to count
+        self.least = start.astype(float)
         # best first: score, id, row
         self.best = [(np.zeros(0, np.int64),) * 3 for _ in rows]
         self.scored = 0
 
-    def least(self, i: int) -> float:
-        """What a score must reach to count."""
-        score = self.best[i][0]
-        return max(self.start[i], float(score[-1])) if len(score) == self.top else self.start[i]
-
     def run(self, c: Side, ids: np.ndarray, rows: np.ndarray) -> None:
         low, high, square = c.low.min(0)[None], c.high.max(0)[None], c.square.max()
         every = np.arange(len(self.rows))
         for at in range(0, len(every), GROUP):
             group = every[at: at + GROUP]
             reach = upper(self.q.square[group], square, apart(self.q, group, low, high)[:, 0])
-            group = group[reach >= [self.least(i) for i in group]]
+            group = group[reach >= self.least[group]]
             if len(group):
                 bounds = upper(self.q.square[group, None], c.square, apart(self.q, group, c.low, c.high))
                 for i, bound in zip(group, bounds):
                     self._evaluate(i, bound, c.vec, ids, rows)
 
     def _evaluate(self, i: int, bound: np.ndarray, vec: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
-        there = np.flatnonzero((bound >= self.least(i)) & (rows != self.rows[i]))
+        there = np.flatnonzero((bound >= self.least[i]) & (rows != self.rows[i]))
         order = there[np.lexsort((ids[there], -bound[there]))]
         at, step = 0, FIRST
         while at < len(order):
@@ -171,10 +168,12 @@ class Search:
 
     def _keep(self, i: int, score: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
         self.scored += len(score)
-        new = score >= self.start[i]
+        new = score >= self.least[i]
         score, ids, rows = (np.concatenate([a, b[new]]) for a, b in zip(self.best[i], (score, ids, rows)))
         first = np.lexsort((rows, ids, -score))[: self.top]
         self.best[i] = score[first], ids[first], rows[first]
+        if len(first) == self.top:
+            self.least[i] = max(self.least[i], float(score[first[-1]]))
 
 
 def _with_distances(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -217,10 +216,10 @@ def nearest(embeddings: DataFrame, top: int = TOP, every: int = EVERY, query_byt
     pivots = chosen(sample, most_pivots)
     pivot_lengths = lengths(pivots)
     placed = staged(_with_distances(rows, pivots))
-    block = max(1, query_bytes // (8 * (width + 3 * len(pivots)) + 64))
+    n_blocks = -(-n_queries // max(1, query_bytes // (8 * (width + 3 * len(pivots)) + 64)))
     path = os.path.join(scratch_path(spark, "llm"), uuid.uuid4().hex)
-    (placed.where(F.col("vec_id") % every == 0).repartitionByRange(max(1, -(-n_queries // block)), "row")
-     .withColumn("block", F.spark_partition_id()).write.partitionBy("block").parquet(f"{path}/queries"))
+    block = F.pmod(F.xxhash64("row"), F.lit(max(1, n_blocks))).cast("int")
+    (placed.where(F.col("vec_id") % every == 0).withColumn("block", block).write.partitionBy("block").parquet(f"{path}/queries"))
     queries = spark.read.schema("row long, vec_id long, vec array<double>, dist array<float>, block int").parquet(f"{path}/queries")
     schema = "query_row long, query_id long, vec_id long, row long, score long"
 
@@ -241,8 +240,10 @@ def nearest(embeddings: DataFrame, top: int = TOP, every: int = EVERY, query_byt
                          pa.array(ids, mask=ids == LAST), pa.array(row), pa.array(score)],
                         names=["query_row", "query_id", "vec_id", "row", "score"])
         return run
-    for (number,) in sorted(queries.select("block").distinct().collect()):  # a row per block
+    for number in range(n_blocks):
         told = queries.where(F.col("block") == number).toArrow()
+        if not told.num_rows:
+            continue
         vec, row = matrix(told.column("vec")), told.column("row").to_numpy()
         part = spark.sparkContext.broadcast({
             "vec": vec, "dist": matrix(told.column("dist")), "row": row, "id": told.column("vec_id").to_numpy(),
