@@ -56,9 +56,9 @@ def placed(conversations: DataFrame) -> DataFrame:
     """conv_id, pos (from 1), turn's digest and words, in the order of each conversation."""
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
     rows = (conversations.where("conv_id is not null")
-            .select("conv_id", "turn", F.md5(F.concat(F.length(role).cast("string"), F.lit(":"), role, text).cast("binary")).alias("digest"),
+            .select(F.col("conv_id").cast("long").alias("conv_id"), "turn", F.md5(F.concat(F.length(role).cast("string"), F.lit(":"), role, text).cast("binary")).alias("digest"),
                     F.regexp_count(text, F.lit(WORD)).cast("long").alias("words"), F.monotonically_increasing_id().alias("tie")))
-    order = ["conv_id", F.col("turn").asc_nulls_first(), "digest", "tie"]
+    order = ["conv_id", F.col("turn").asc_nulls_first(), "digest", "tie"]  # no column decides alone: copies of a row spread
 
     def numbered(batches):
         last, n = None, 0  # the conversation at the end of the batch before, and its turns so far

@@ -90,7 +90,7 @@ def postings(docs: DataFrame, vocabulary) -> DataFrame:
                 [batch.column("doc_id").take(pa.array(there, pa.int64())), pa.array(n, pa.int64()),
                  pa.array(terms, pa.list_(pa.int32())), pa.array(tfs, pa.list_(pa.int32()))],
                 names=["doc_id", "n", "terms", "tfs"])
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, terms array<int>, tfs array<int>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, terms array<int>, tfs array<int>")
 
 
 def weight(n_docs: int, df: int) -> int:
