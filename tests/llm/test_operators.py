@@ -260,15 +260,14 @@ def test_token_counts(docs, empty):
 
 
 # op7
-@pytest.mark.parametrize("share", [lm.SHARE, 0.02])
-def test_lm_scores(docs, empty, share):
+@pytest.mark.parametrize("sizes", [{}, {"block_bytes": 3000, "part_bytes": 900, "lane": 7, "listed": 3, "bucket_bytes": 20_000}])
+def test_lm_scores(docs, empty, sizes):
     rows = [(i, t) for i, t, *_ in _rows()]
     tok = [((t or "").encode().lower().split() + [b"\n"]) for _, t in rows]
     held = [zlib.crc32(str(i if i is not None else "").encode()) % 7 == 2 for i, _ in rows]
     grams = [Counter(g for t, h in zip(tok, held) if not h for g in zip(*(t[k:] for k in range(n)))) for n in (1, 2, 3)]
     total, distinct = sum(grams[0].values()), len(grams[0])
-    least = max(1, math.ceil(share * total))
-    kept = [{g: c for g, c in x.items() if c >= least} for x in grams]
+    kept = grams
 
     after_of = [{} for _ in kept]
     for x, successors in zip(kept, after_of):
@@ -290,7 +289,7 @@ def test_lm_scores(docs, empty, share):
         base = sum(math.log10(p((w,))) for w in t)
         want.append((str(i), h, len(t), sum((w,) in grams[0] for w in t), total, round(base, 5), round(score, 5)))
     got = [(str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5), round(r.score, 5))
-           for r in lm.scored(docs, share=share).collect()]
+           for r in lm.scored(docs, **sizes).collect()]
     for a, b in zip(sorted(got), sorted(want)):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], abs=2e-4)
     assert len(got) == len(want) and lm.scored(empty).count() == 0
