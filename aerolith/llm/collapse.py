@@ -130,7 +130,7 @@ def named(turns: DataFrame) -> DataFrame:
 KEY = ["pos", "a", "b"]
 
 
-def end_digests(ends: DataFrame) -> DataFrame:
+def end_digests(ends: DataFrame, piece: int = PIECE) -> DataFrame:
     """pos, a, b, ends_sha256 of the sequences of ``ends`` (conv_id, pos, a, b)."""
     def parts(batch: pa.RecordBatch) -> np.ndarray:
         keys = np.array([batch.column(c).to_numpy() for c in KEY])
@@ -140,9 +140,9 @@ def end_digests(ends: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 cuts = parts(batch)
-                at = [i for a, b in zip(cuts, cuts[1:]) for i in range(a, b, PIECE)]
+                at = [i for a, b in zip(cuts, cuts[1:]) for i in range(a, b, piece)]
                 conv = [str(c) for c in batch.column("conv_id").to_pylist()]
-                text = [",".join(conv[a:b]) for a, b in ((i, min(i + PIECE, stop)) for s, stop in zip(cuts, cuts[1:]) for i in range(s, stop, PIECE))]
+                text = [",".join(conv[a:b]) for a, b in ((i, min(i + piece, stop)) for s, stop in zip(cuts, cuts[1:]) for i in range(s, stop, piece))]
                 yield pa.RecordBatch.from_arrays([*[batch.column(c).take(pa.array(at)) for c in [*KEY, "conv_id"]], pa.array(text)],
                                                  names=[*KEY, "first", "ids"])
 
@@ -182,13 +182,13 @@ def with_parents(nodes: DataFrame, kids: DataFrame) -> DataFrame:
     return few.unionByName(nodes.join(hot, at))
 
 
-def trie(conversations: DataFrame) -> DataFrame:
+def trie(conversations: DataFrame, piece: int = PIECE) -> DataFrame:
     """Per node conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
     turns = staged(named(rebuilt(staged(placed(conversations)))))
     last = F.max(F.struct(*KEY))
     ends = staged(turns.groupBy("conv_id").agg(last.alias("last")).select("conv_id", "last.*"))
     sequences = ends.groupBy(*KEY).agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("weight"))
-    sequences = staged(sequences.join(end_digests(ends), KEY))
+    sequences = staged(sequences.join(end_digests(ends, piece), KEY))
     prefixes = staged(turns.join(sequences.select("conv_id", "weight"), "conv_id"))
     nodes = staged(prefixes.groupBy(*KEY).agg(F.min("conv_id").alias("conv_id"), F.sum("weight").alias("n_convs"), F.max("words").alias("words"),
                                               F.max("pa").alias("pa"), F.max("pb").alias("pb")))

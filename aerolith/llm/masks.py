@@ -179,12 +179,12 @@ class Ranking:
         self.score, self.ids = score[first], ids[first]
 
 
-def _searched(found: DataFrame, items, top: int, n_docs: int, n_terms: int, n_vocabulary: int) -> DataFrame:
+def _searched(found: DataFrame, items, top: int, n_docs: int, n_terms: int, n_vocabulary: int, block_docs: int) -> DataFrame:
     def run(batches):
         ranks = [Ranking(t, w, top) for t, w in items.value]
         for batch in batches:
-            for at in range(0, batch.num_rows, DOCS):
-                part = batch.slice(at, DOCS)
+            for at in range(0, batch.num_rows, block_docs):
+                part = batch.slice(at, block_docs)
                 sizes = part.column("terms").value_lengths().to_numpy(zero_copy_only=False)
                 block = Block(part.column("doc_id").fill_null(LAST).to_numpy(zero_copy_only=False),
                               length_norm(part.column("n").to_numpy(), n_docs, n_terms),
@@ -200,7 +200,7 @@ def _searched(found: DataFrame, items, top: int, n_docs: int, n_terms: int, n_vo
     return found.select("doc_id", "n", "terms", "tfs").mapInArrow(run, "item int, doc_id long, score long")
 
 
-def ranked(docs: DataFrame, items: DataFrame, top: int = TOP, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def ranked(docs: DataFrame, items: DataFrame, top: int = TOP, block_bytes: int = BLOCK_BYTES, block_docs: int = DOCS) -> DataFrame:
     """item_id, rank, doc_id, score: each item's ``top`` best documents."""
     spark = docs.sparkSession
     path = os.path.join(scratch_path(spark, "llm"), uuid.uuid4().hex)
@@ -224,7 +224,7 @@ def ranked(docs: DataFrame, items: DataFrame, top: int = TOP, block_bytes: int =
             queries.append((terms[used], (w[terms] * counts)[used]))
         sent = spark.sparkContext.broadcast(queries)
         ids = spark.createDataFrame([(i, k) for i, (k, _) in enumerate(block)], "item int, item_id long")
-        (_searched(found, sent, top, n_docs, n_terms, len(vocabulary)).join(F.broadcast(ids), "item")
+        (_searched(found, sent, top, n_docs, n_terms, len(vocabulary), block_docs).join(F.broadcast(ids), "item")
          .select(F.lit(number).alias("block"), "item", "item_id", "doc_id", "score").write.mode("append").parquet(path))
         sent.destroy()
         n_blocks += 1

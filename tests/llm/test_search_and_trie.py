@@ -119,9 +119,8 @@ def _lexical_expected(docs, items, top=10):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("options", [{}, {"top": 1}, {"block_bytes": 20}])
-def test_mask_search_equals_brute_force(spark, monkeypatch, options):
-    monkeypatch.setattr(masks, "DOCS", 4)
+@pytest.mark.parametrize("options", [{}, {"top": 1, "block_docs": 4}, {"block_bytes": 20, "block_docs": 3}])
+def test_mask_search_equals_brute_force(spark, options):
     docs, items = _lexical_rows()
     got = _got(masks.ranked(spark.createDataFrame(docs, DOCS).repartition(2), spark.createDataFrame(items, ITEMS), **options))
     assert got == _lexical_expected(docs, items, options.get("top", 10))
@@ -198,10 +197,9 @@ def _trie_expected(rows):
 @pytest.mark.parametrize("chunk,piece,many", [(4096, 8192, 10_000), (7, 5, 2)])
 def test_trie_equals_brute_force(spark, monkeypatch, chunk, piece, many):
     monkeypatch.setattr(collapse, "CHUNK", chunk)
-    monkeypatch.setattr(collapse, "PIECE", piece)
     monkeypatch.setattr(collapse, "MANY_CHILDREN", many)
     rows = _conversation_rows()
-    got = collapse.trie(spark.createDataFrame(rows, CONVERSATIONS).repartition(6))
+    got = collapse.trie(spark.createDataFrame(rows, CONVERSATIONS).repartition(6), piece)
     assert got.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
     assert _got(got) == _trie_expected(rows)
 
