@@ -1,10 +1,10 @@
 """Token counts with overlap resynchronisation.
 
-Texts of at most ``CHUNK`` characters are encoded as they are. A longer text
-is encoded in chunks that overlap, with offsets, and two neighbours are
-spliced at a boundary in their overlap that is proven stable: the character
-there is a space after a character that is not white space and before one
-that is not white space, and both encodings have a token boundary at it.
+A text of more than ``CHUNK`` characters is encoded in chunks that overlap,
+with offsets, and two neighbours are spliced at a boundary in their overlap
+that is proven stable: the character there is a space after a character that is
+not white space and before one that is not white space, and both encodings have
+a token boundary at it.
 The pre-tokenizer ends every piece before such a space whatever stands to the
 left or right (only the piece after it takes the space along, and no special
 string holds white space), and pieces are encoded on their own; so left of
@@ -12,6 +12,11 @@ it the first chunk and right of it the second equal the whole text's encoding.
 Where an overlap has no such boundary, it is widened to twice its length, at
 most up to the whole rest of the text.
 
+A shorter text is cut at all its stable boundaries, and the tokens of its
+pieces, each encoded on its own, add up. The pieces recur, so a worker keeps
+the counts of those it has met, up to ``KNOWN`` of them, and has the library
+encode only new ones.
+
 The count is that of the library without begin, end or added special tokens,
 truncation or padding; special strings in texts are handled as its default.
 
@@ -22,6 +27,7 @@ stays null; repeated rows repeat; an empty table gives no rows.
 from __future__ import annotations
 
 import os
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +37,12 @@ from aerolith.llm.common import table
 CHUNK = 32_768
 OVERLAP = 512
 LIMIT = 1024
-BATCH = 64
+#: texts whose pieces are looked up together
+BATCH = 128
+#: counts of pieces a worker keeps
+KNOWN = 1_500_000
+#: a space beside white space: not every space of the text is a stable boundary
+UNSTABLE = re.compile(r" \s|\s ")
 
 
 def load(path: str):
@@ -84,13 +95,43 @@ def spliced(tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) ->
     return total + len(left.ids) - first
 
 
-def counts(texts: list[str], tokenizer, chunk: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
+def pieces(text: str) -> list[str]:
+    """``text`` cut at its stable boundaries; all pieces but the first lack the
+    space that they begin with."""
+    parts = text.split(" ")
+    if not UNSTABLE.search(text):
+        if parts[0] and parts[-1]:
+            return parts
+    out = parts[:1]
+    for before, part in zip(parts, parts[1:]):
+        if before and part and not before[-1].isspace() and not part[0].isspace():
+            out.append(part)
+        else:
+            out[-1] += " " + part
+    return out
+
+
+_known: dict[str, dict[str, int]] = {}  # by tokenizer file: counts of pieces after a space, this worker's
+
+
+def counts(texts: list[str], tokenizer, chunk: int = CHUNK, overlap: int = OVERLAP, known: dict[str, int] | None = None) -> list[int]:
+    """Number of tokens of each text; ``known`` holds counts of pieces from one call to the next."""
+    known = {} if known is None else known
     out = [0] * len(texts)
     short = [i for i, t in enumerate(texts) if len(t) <= chunk]
+
+    def encoded(new: list[str]) -> list[int]:
+        return [len(e) for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)]
     for k in range(0, len(short), BATCH):
-        part = short[k: k + BATCH]
-        for i, e in zip(part, tokenizer.encode_batch_fast([texts[i] for i in part], add_special_tokens=False)):
-            out[i] = len(e)
+        cut = [pieces(texts[i]) for i in short[k: k + BATCH]]
+        firsts = encoded([c.pop(0) for c in cut])
+        new = list(set().union(*cut).difference(known))
+        if len(known) + len(new) > KNOWN:
+            known.clear()
+            new = list(set().union(*cut))
+        known.update(zip(new, encoded([" " + p for p in new])))
+        for i, c, first in zip(short[k: k + BATCH], cut, firsts):
+            out[i] = first + sum(map(known.__getitem__, c))
     for i, t in enumerate(texts):
         if len(t) > chunk:
             out[i] = spliced(tokenizer, t, chunk, overlap)
@@ -104,7 +145,7 @@ def counted(docs: DataFrame, path: str, chunk: int = CHUNK, overlap: int = OVERL
         tokenizer = load(path)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            n = counts(texts, tokenizer, chunk, overlap)
+            n = counts(texts, tokenizer, chunk, overlap, _known.setdefault(path, {}))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(n, pa.int64()),
                  pa.array([k > LIMIT for k in n], pa.bool_())], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
