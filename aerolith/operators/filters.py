@@ -39,9 +39,13 @@ def time_bounds(df: DataFrame, column: str, date_from=None, date_to=None,
     return df
 
 
-def day_range(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
+def day_range(df: DataFrame, column: str, start=None, end=None, month_column: str | None = None) -> DataFrame:
     """Dashboard day range, half open ``[start, end + 1 day)``; rows with
-    an unparsable (NULL) time drop out."""
+    an unparsable (NULL) time drop out. ``month_column``: see ``time_bounds``."""
+    if month_column:
+        for day, op in ((start, "__ge__"), (end, "__le__")):
+            if day is not None:
+                df = df.filter(getattr(F.col(month_column), op)(F.trunc(F.lit(day).cast("date"), "MM")))
     df = df.filter(F.col(column).isNotNull())
     if start is not None:
         df = df.filter(F.col(column) >= F.lit(start).cast("date").cast("timestamp_ntz"))
@@ -65,3 +69,14 @@ def top_n(df: DataFrame, order: list, limit: int | None, lo: int = 1, hi: int |
     if limit < lo or (hi is not None and limit > hi):
         raise ValueError(f"limit must be within [{lo}, {hi}]")
     return df.orderBy(*order).limit(limit)
+
+
+def edge_months(df: DataFrame, *ends, month: str = "measured_month") -> DataFrame:
+    """Rows of the first (``F.min``) and last (``F.max``) month that there is,
+    which hold the least and greatest time. The months come from the partition
+    values, so no other partition's columns are read."""
+    keep = None
+    for end in ends:
+        one = F.col(month) == df.agg(end(month)).scalar()
+        keep = one if keep is None else keep | one
+    return df.filter(keep)

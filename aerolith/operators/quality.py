@@ -83,11 +83,19 @@ ROW_RULES: dict[str, dict[str, str]] = {
         "C2_run_status": f"status NOT IN {_in(S.RUN_STATUSES)}",
         "C5_inserted_non_negative": "records_inserted < 0",
         "C5_failed_non_negative": "records_failed < 0",
+        "C5_requested_non_negative": "records_requested < 0",
         "C6_run_order": "finished_at < started_at",
         "C11_run_type_not_null": "run_type IS NULL",
         "C11_status_not_null": "status IS NULL",
         "C11_started_at_not_null": "started_at IS NULL",
     },
+    "raw_api_response": {
+        "C1_endpoint_not_blank": "trim(endpoint) = ''",
+        "C1_url_not_blank": "trim(url) = ''",
+        "C11_endpoint_not_null": "endpoint IS NULL",
+        "C11_url_not_null": "url IS NULL",
+        "C11_response_body_not_null": "response_body IS NULL",
+    },
     "pollution_alert_outbox": {
         "C2_event_type": f"event_type NOT IN {_in(S.OUTBOX_EVENT_TYPES)}",
         "C8_status_really_changed": "event_type = 'status_changed' AND "

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from aerolith.functions import scalars as S
+from aerolith.operators.filters import edge_months
 
 
 def daily_mean(hourly: DataFrame) -> DataFrame:
@@ -120,8 +121,10 @@ def records_per_day(df: DataFrame, ts: str = "measured_at") -> DataFrame:
 
 
 def date_bounds(frames: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Overall min/max date across several frames (one union, one aggregate)."""
-    parts = [df.select(F.to_date(F.col(col)).alias("d")) for df, col in frames.values()]
+    """Overall min/max date across several frames (one union, one aggregate);
+    of a table in month partitions only the first and the last month are read."""
+    parts = [(edge_months(df, F.min, F.max) if "measured_month" in df.columns else df).select(F.to_date(F.col(col)).alias("d"))
+             for df, col in frames.values()]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)

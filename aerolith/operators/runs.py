@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from aerolith.functions import scalars as S
-from aerolith.operators.filters import top_n
+from aerolith.operators.filters import edge_months, top_n
 
 #: no error message is shorter, so few of a run's messages can fit its text
 LEAST_MESSAGE = 12
@@ -117,6 +117,8 @@ def lower_bound(measurement: DataFrame, runs: DataFrame, now, overlap_hours: int
     if isinstance(now, str):
         now = dt.datetime.fromisoformat(now)
     now_c = F.lit(now).cast("timestamp_ntz")
+    if "measured_month" in measurement.columns:
+        measurement = edge_months(measurement, F.max)
     # both one-row maxima in one aggregate over a union (no join needed)
     hw = measurement.select(F.col("measured_at").alias("high_water_mark"),
                             F.lit(None).cast("timestamp_ntz").alias("last_success_at"))

@@ -544,6 +544,25 @@ def _watermark_bound(spark, sf):
     return RN.lower_bound(c.measurement, _runs(c), now="2024-02-01 00:00:00")
 
 
+@register("watermark_bound_branches", RUNS_SQL + """
+, hw AS (SELECT max(measured_at) AS high_water_mark FROM m)
+, ls AS (SELECT max(COALESCE(finished_at, started_at)) AS last_success_at FROM runs WHERE status = 'succeeded')
+SELECT 'readings' AS branch, high_water_mark - INTERVAL 12 HOUR AS lower_bound FROM hw
+UNION ALL SELECT 'last success', last_success_at FROM ls
+UNION ALL SELECT 'neither', TIMESTAMP '2024-01-31 00:00:00'
+UNION ALL SELECT 'initial', TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 180 DAY
+""")
+def _watermark_bound_branches(spark, sf):
+    """What the bound is with readings, with successful runs only, with
+    failed ones only, and for an initial load."""
+    c = core(spark, sf)
+    runs, none = _runs(c), c.measurement.filter("measurement_id < 0")
+    cases = {"readings": (c.measurement, runs, True), "last success": (none, runs, True),
+             "neither": (none, runs.filter("status <> 'succeeded'"), True), "initial": (c.measurement, runs, False)}
+    return QL.union_all([RN.lower_bound(m, r, now="2024-02-01 00:00:00", incremental=i).select(F.lit(k).alias("branch"), "lower_bound")
+                         for k, (m, r, i) in cases.items()])
+
+
 HOURLY_FULL = """
 , hourly AS (SELECT date_trunc('hour', measured_at) AS measured_hour, city, parameter_code, unit,
                     ((2 * sum(CAST(round(value * 10000) AS HUGEINT)) * 10000 + NULLIF(count(value), 0)) // (2 * NULLIF(count(value), 0))) AS avg_units8, count(*) AS measurement_count
@@ -624,6 +643,17 @@ def _latest_by_station(spark, sf):
     return R.latest_by_station(reads.readings(core(spark, sf)))
 
 
+@register("worst_reading", """
+SELECT city, location_name, parameter_code, CAST(value AS DOUBLE) AS value, unit, measured_at FROM readings
+ORDER BY value DESC, measured_at DESC, measurement_id DESC LIMIT 1
+""")
+def _worst_reading(spark, sf):
+    """The highest of all readings."""
+    r = reads.readings(core(spark, sf))
+    return r.orderBy(F.desc("value"), F.desc("measured_at"), F.desc("measurement_id")).limit(1).select(
+        "city", "location_name", "parameter_code", F.col("value").cast("double").alias("value"), "unit", "measured_at")
+
+
 @register("worst_station", LATEST_SQL + """
 SELECT * FROM latest ORDER BY value DESC, city, location_name, parameter_code LIMIT 1
 """)
@@ -732,8 +762,9 @@ FROM g
 WHERE previous_at IS NOT NULL AND (epoch_us(measured_at) - epoch_us(previous_at)) / 3600000000.0 > 6
 """)
 def _gaps(spark, sf):
-    """Gaps above 6 h per (city, station, parameter) (chunked lag, safe for hot series)."""
-    return R.gaps(reads.readings(core(spark, sf)))
+    """W8 + L8: gaps above 6 h per (city, station, parameter) (chunked lag, safe
+    for hot series), the longest first."""
+    return R.gaps(reads.readings(core(spark, sf))).orderBy(F.desc("gap_hours"), *R.SERIES, "gap_start")
 
 
 @register("gap_sessions", """
@@ -808,6 +839,14 @@ def _features_q(spark, sf):
     return _features(core(spark, sf)).select(*FEATURE_OUT)
 
 
+@register("features_one_parameter", FEATS_SQL.replace("FROM fact_m f)", "FROM fact_m f WHERE parameter_code = 'view')")
+          + "SELECT " + ", ".join(FEATURE_OUT) + " FROM feat")
+def _features_one_parameter(spark, sf):
+    """The training rows of a model for one parameter."""
+    c = core(spark, sf)
+    return FT.features(FT.star_rows(published_fact(c), spark, parameter="view")).select(*FEATURE_OUT)
+
+
 @register("train_test_split", FEATS_SQL + """
 , n AS (SELECT count(*) AS n FROM feat)
 , k AS (SELECT CASE WHEN greatest(1, CAST(floor(n * 0.8) AS BIGINT)) >= n THEN n - 1
@@ -873,6 +912,21 @@ def _fact_prediction(spark, sf):
     return FT.load_prediction_facts(rows).drop("feature_payload")
 
 
+@register("prediction_payload", INPUTS_SQL + """
+SELECT i.source_sensor_id, i.current_value, i.previous_value, i.rolling_3h, i.rolling_6h,
+       CAST(hour(last_measured_at) AS INTEGER) AS hour, CAST(minute(last_measured_at) AS INTEGER) AS minute,
+       CAST(isodow(last_measured_at) AS INTEGER) AS weekday, CAST(month(last_measured_at) AS INTEGER) AS month
+FROM inputs i
+""")
+def _prediction_payload(spark, sf):
+    """The features stored with each prediction, read back from their JSON."""
+    i = _inputs(core(spark, sf))
+    rows = FT.prediction_rows(i, FT.fixed_linear_score(i), "fixed_linear", CREATED_AT)
+    doubles = ["current_value", "previous_value", "rolling_3h", "rolling_6h"]
+    schema = ", ".join([f"{c} double" for c in doubles] + [f"{c} int" for c in ("hour", "minute", "weekday", "month")])
+    return rows.select("source_sensor_id", F.from_json("feature_payload", schema).alias("p")).select("source_sensor_id", "p.*")
+
+
 CREATED_AT_2 = "2024-02-01 06:00:00"
 
 
@@ -975,13 +1029,19 @@ def _quality_tables(c):
     a = SC.reviewed_alerts(c)
     return {"location": c.location, "parameter": c.parameter, "sensor": c.sensor,
             "measurement_raw": c.measurement, "threshold_rule": c.threshold_rule,
-            "pollution_alert": a, "ingestion_run_log": _runs(c), "pollution_alert_outbox": SC.outbox(c),
+            "pollution_alert": a, "ingestion_run_log": _runs(c).withColumn("records_requested", F.lit(0)),  # never written: its default
+            "raw_api_response": _location_records(c), "pollution_alert_outbox": SC.outbox(c),
             "dim_location": SC.dim_location_history(c), "dim_sensor": SC.dim_sensor_history(c),
             "dim_risk_class": dims.dim_risk_class(c.spark), "dim_date": dims.dim_date(c.spark),
             "dim_time": dims.dim_time(c.spark)}
 
 
-DQ_TABLES_SQL = OUTBOX_SQL + RUNS_SQL + LOC_HIST + SEN_HIST
+DQ_TABLES_SQL = OUTBOX_SQL + RUNS_SQL + LOC_HIST + SEN_HIST + """
+, raw_pages AS (
+  SELECT location_id AS source_id, '/v3/locations' AS endpoint, '/v3/locations/' || location_id AS url, '{}' AS response_body FROM location
+  UNION ALL SELECT location_id, '/v3/locations/{id}/sensors', '/v3/locations/' || location_id || '/sensors', '{}'
+  FROM location WHERE location_id % 4 = 0 AND location_id IN (SELECT location_id FROM sensor))
+"""
 
 
 @register("dq_rules", DQ_TABLES_SQL + checks.counts_sql(broken=False))
@@ -1067,6 +1127,27 @@ def _dq_orphans(spark, sf):
         ("C10_event_without_customer", "events", ["user_id"], "customer", ["c_custkey"])])
 
 
+@register("dw_shape", INPUTS_SQL + FACT_ALERT_SQL + checks.DIMS_SQL + """
+SELECT 'dim_date' AS table_name, (SELECT count(*) FROM dim_date) AS row_count
+UNION ALL SELECT 'dim_time', (SELECT count(*) FROM dim_time)
+UNION ALL SELECT 'dim_risk_class', (SELECT count(*) FROM dim_risk_class)
+UNION ALL SELECT 'dim_parameter', (SELECT count(*) FROM parameter)
+UNION ALL SELECT 'dim_location', (SELECT count(*) FROM cur_loc)
+UNION ALL SELECT 'dim_sensor', (SELECT count(*) FROM cur_sen)
+UNION ALL SELECT 'fact_measurement', (SELECT count(*) FROM fact_m)
+UNION ALL SELECT 'fact_alert', (SELECT count(*) FROM fact_a)
+UNION ALL SELECT 'fact_prediction', (SELECT count(*) FROM inputs)
+""")
+def _dw_shape(spark, sf):
+    """V1: the nine tables of the star schema and their rows after a first load."""
+    c = core(spark, sf)
+    i = _inputs(c)
+    tables = {"dim_date": dims.dim_date(spark), "dim_time": dims.dim_time(spark), "dim_risk_class": dims.dim_risk_class(spark),
+              **{t: SC.published(c, t) for t in ("dim_parameter", "dim_location", "dim_sensor", "fact_measurement", "fact_alert")},
+              "fact_prediction": FT.prediction_rows(i, FT.fixed_linear_score(i), "fixed_linear", CREATED_AT)}
+    return QL.rowcount_audit(tables)
+
+
 @register("dw_verify", LOC_HIST + SEN_HIST + FIRST_LOAD + """
 , f1 AS (SELECT f.*, d.valid_from AS loc_valid_from FROM fact_m f
          JOIN dim_loc1 d ON d.source_location_id = f.source_location_id AND d.is_current)
@@ -1739,6 +1820,42 @@ def _partition_rewrite(spark, sf):
                                            F.sum("measurement_id").alias("id_sum"))
 
 
+MONTHS_SQL = """
+, spread AS (SELECT measurement_id, value, measured_at + to_months(CAST(sensor_id % 7 AS INTEGER)) AS moved_at FROM m)
+, by_month AS (SELECT *, CAST(date_trunc('month', moved_at) AS DATE) AS measured_month FROM spread)
+"""
+
+
+def _by_month(c):
+    """S13 + S14: readings spread over seven months, written without partitions, rewritten by month."""
+    base = scratch_path(c.spark, "rewrite", uuid.uuid4().hex[:12])
+    later = F.expr("measured_at + make_ym_interval(0, CAST(sensor_id % 7 AS INT))")
+    c.measurement.select("measurement_id", "value", later.alias("measured_at")).write.mode("overwrite").parquet(base + "/flat")
+    return PL.rewrite_partitioned(c.spark, base + "/flat", base + "/by_month")
+
+
+@register("partition_rewrite_months", MONTHS_SQL + """
+SELECT measured_month, count(*) AS readings, min(measurement_id) AS min_id, max(measurement_id) AS max_id FROM by_month GROUP BY 1
+""")
+def _partition_rewrite_months(spark, sf):
+    """S13 + S14: several month partitions, ids kept."""
+    return _by_month(core(spark, sf)).groupBy("measured_month").agg(
+        F.count(F.lit(1)).alias("readings"), F.min("measurement_id").alias("min_id"), F.max("measurement_id").alias("max_id"))
+
+
+@register("weekend_readings_by_quarter", MONTHS_SQL + """
+SELECT CAST(quarter(moved_at) AS INTEGER) AS quarter, CAST(isodow(moved_at) AS INTEGER) AS weekday, count(*) AS readings,
+       max(CAST(value AS DOUBLE)) AS max_value
+FROM by_month WHERE quarter(moved_at) = 2 AND isodow(moved_at) IN (6, 7) GROUP BY ALL
+""")
+def _weekend_readings_by_quarter(spark, sf):
+    """V4 + E1: a filter on the date dimension prunes the months that are read."""
+    c = core(spark, sf)
+    days = dims.dim_date(spark).filter("quarter = 2 AND is_weekend").select("full_date", "quarter", "weekday")
+    return FT.by_date(_by_month(c), days).groupBy("quarter", "weekday").agg(
+        F.count(F.lit(1)).alias("readings"), F.max(F.col("value").cast("double")).alias("max_value"))
+
+
 @register("alert_time_backfill", ALERTS + """
 SELECT pollution_alert_id, measurement_measured_at FROM alerts
 """)
@@ -1764,7 +1881,7 @@ def _dashboard_view(spark, sf):
     r = reads.readings(core(spark, sf))
     r = all_option(r, "city", "All")
     r = all_option(r, "parameter_code", "purchase")
-    r = day_range(r, "measured_at", "2024-01-03", "2024-01-10")
+    r = day_range(r, "measured_at", "2024-01-03", "2024-01-10", month_column="measured_month")
     return r.select("measured_at", "city", "location_name", "parameter_code",
                     F.col("value").cast("double").alias("value"))
 

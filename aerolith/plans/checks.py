@@ -49,9 +49,14 @@ CHECKS: dict[str, dict[str, str]] = {
         "C2_run_type": "run_type IN ('initial', 'incremental', 'manual')",
         "C2_run_status": "status IN ('running', 'succeeded', 'failed', 'partial')",
         "C5_inserted_non_negative": "records_inserted >= 0", "C5_failed_non_negative": "records_failed >= 0",
+        "C5_requested_non_negative": "records_requested >= 0",
         "C6_run_order": "finished_at >= started_at",
         "C11_run_type_not_null": "run_type IS NOT NULL", "C11_status_not_null": "status IS NOT NULL",
         "C11_started_at_not_null": "started_at IS NOT NULL"},
+    "raw_api_response": {
+        "C1_endpoint_not_blank": "trim(endpoint) <> ''", "C1_url_not_blank": "trim(url) <> ''",
+        "C11_endpoint_not_null": "endpoint IS NOT NULL", "C11_url_not_null": "url IS NOT NULL",
+        "C11_response_body_not_null": "response_body IS NOT NULL"},
     "pollution_alert_outbox": {
         "C2_event_type": "event_type IN ('created', 'status_changed')",
         "C2_previous_status": "previous_status IN ('open', 'reviewed', 'closed')",
@@ -100,8 +105,10 @@ BREAKS: dict[str, tuple[str, int, dict[str, dict[int, str]]]] = {
         "threshold_rule_id": {7: "NULL"}, "measurement_id": {8: "NULL"}}),
     "ingestion_run_log": ("ingestion_run_id", 7, {
         "run_type": {1: "'scheduled'", 2: "NULL"}, "status": {3: "'done'", 4: "NULL"},
-        "records_inserted": {5: "-1"}, "records_failed": {6: "-1"},
+        "records_inserted": {5: "-1"}, "records_failed": {6: "-1"}, "records_requested": {2: "-1"},
         "started_at": {0: "NULL"}, "finished_at": {1: "started_at - INTERVAL 1 HOUR"}}),
+    "raw_api_response": ("source_id", 7, {
+        "endpoint": {1: "' '", 2: "NULL"}, "url": {3: "''", 4: "NULL"}, "response_body": {5: "NULL"}}),
     "pollution_alert_outbox": ("measurement_id", 5, {
         "event_type": {1: "'removed'", 2: "NULL"}, "previous_status": {3: "'lost'", 4: "current_status"},
         "current_status": {2: "'lost'", 1: "NULL"}, "payload": {3: "NULL"}}),
@@ -131,7 +138,8 @@ DIMS_SQL = """
   FROM range(24) a(h), range(60) b(mi))
 """
 # where DuckDB finds each table
-SOURCES = {"measurement_raw": "m", "pollution_alert": "reviewed", "ingestion_run_log": "runs",
+SOURCES = {"measurement_raw": "m", "pollution_alert": "reviewed", "ingestion_run_log": "(SELECT *, 0 AS records_requested FROM runs)",
+           "raw_api_response": "raw_pages",
            "pollution_alert_outbox": "outbox", "dim_location": "dim_loc2", "dim_sensor": "dim_sen2"}
 
 

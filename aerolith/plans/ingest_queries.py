@@ -79,26 +79,28 @@ def faulty_pages(c) -> DataFrame:
 
 
 _RUNS: dict[tuple, ingest.Run] = {}
+CAPS = {"max_locations": 60, "max_sensors": 80}
 
 
-def faulty_runs(spark, sf) -> ingest.Run:
-    """The runs over the landed pages, once a session and input."""
+def faulty_runs(spark, sf, **caps) -> ingest.Run:
+    """The runs over the landed pages, once a session, input and caps."""
     from aerolith.plans.catalog import _landing_name
     from aerolith.session import code_version
     import sys
     c = core(spark, sf)
-    key = (id(spark), c.inputs, spark.conf.get("spark.checkpoint.dir", ""))
+    key = (id(spark), c.inputs, spark.conf.get("spark.checkpoint.dir", ""), *caps)
     run = _RUNS.get(key)
     if run is None or run.log.sparkSession is not spark:
         name = f"{_landing_name(c, 'faulty')}-{code_version(sys.modules[__name__])}"
         pages = B.land_once(spark, faulty_pages(c), name)
-        run = _RUNS[key] = ingest.ingest(pages, parameters=SCOPE)
+        run = _RUNS[key] = ingest.ingest(pages, parameters=SCOPE, **caps)
     return run
 
 
 # The oracle walks the same hierarchy from the events: what each reading, batch,
 # location and run does, and what that leaves of the others.
-WALK = """
+def walk(max_locations: int = 1 << 30, max_sensors: int = 1 << 30) -> str:
+    return """
 , p AS (SELECT code, parameter_id, display_name FROM parameter)
 , ev AS (
   SELECT e.event_id AS n, e.ts, e.value AS raw, e.user_id AS loc, p.parameter_id AS pid, p.code, p.display_name AS disp,
@@ -113,9 +115,20 @@ WALK = """
               ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') END AS t,
          CASE WHEN n % 5 = 0 AND n % 31 <> 9 THEN '2020-02-02T02:02:02.000000Z' END AS decoy
   FROM ev)
-, ended AS (SELECT DISTINCT run FROM ev WHERE lpage = 8 AND run % 100 % 7 = 5)
+, broken AS (SELECT DISTINCT run FROM ev WHERE lpage = 8 AND run % 100 % 7 = 5)
+, readable AS (
+  SELECT rd.*, dense_rank() OVER (PARTITION BY rd.run ORDER BY lpage, loc) AS nth
+  FROM rd LEFT JOIN broken ON broken.run = rd.run WHERE broken.run IS NULL OR lpage < 8)
+, sensors AS (  -- of good locations, in the order of arrival
+  SELECT run, lpage, loc, sen, row_number() OVER (PARTITION BY run ORDER BY lpage, loc, sen) AS k
+  FROM (SELECT DISTINCT run, lpage, loc, sen FROM readable
+        WHERE nth <= {max_locations} AND code <> 'error' AND loc % 37 <> 4 AND loc % 28 <> 8))
+, cut AS (SELECT run, lpage, loc FROM sensors WHERE k = {max_sensors})
+, ended AS (
+  SELECT run FROM broken WHERE run NOT IN (SELECT run FROM cut) AND run NOT IN (SELECT run FROM readable WHERE nth = {max_locations}))
 , visited AS (  -- readings of locations the run came to
-  SELECT rd.* FROM rd LEFT JOIN ended ON ended.run = rd.run WHERE ended.run IS NULL OR lpage < 8)
+  SELECT r.* FROM readable r LEFT JOIN cut ON cut.run = r.run
+  WHERE nth <= {max_locations} AND (cut.run IS NULL OR (r.lpage, r.loc) <= (cut.lpage, cut.loc)))
 , badloc AS (
   SELECT DISTINCT run, loc, lpage,
          CASE WHEN loc % 37 = 4 THEN 'latitude out of range 95.0'
@@ -126,7 +139,8 @@ WALK = """
          v IS NULL OR t IS NULL AS skipped,
          CASE WHEN v IS NULL OR t IS NULL THEN NULL WHEN t = 'not a time' THEN 'unparsable time not a time'
               WHEN v = 'n/a' THEN 'unparsable value n/a' WHEN v = '100000.0000' THEN 'value out of range 100000.0000' END AS cause
-  FROM visited v WHERE code <> 'error' AND NOT EXISTS (SELECT 1 FROM badloc b WHERE b.run = v.run AND b.loc = v.loc))
+  FROM visited v WHERE code <> 'error' AND NOT EXISTS (SELECT 1 FROM badloc b WHERE b.run = v.run AND b.loc = v.loc)
+    AND EXISTS (SELECT 1 FROM sensors s WHERE s.run = v.run AND s.sen = v.sen AND s.k <= {max_sensors}))
 , badbatch AS (  -- the first fault in page order: page 1 itself, or a reading
   SELECT run, loc, lpage, sen,
          CASE WHEN bool_or(lost) THEN 'unreadable response from /v3/sensors/' || sen || '/measurements'
@@ -161,10 +175,10 @@ WALK = """
   SELECT run, 'location', lpage, loc, -1, NULL, NULL, 'location ' || loc || ' rolled back: ' || cause FROM badloc
   UNION ALL
   SELECT run, 'run', 8, -1, -1, NULL, NULL, 'run failed: unreadable response from /v3/locations?page=8' FROM ended)
-"""
+""".replace("{max_locations}", str(max_locations)).replace("{max_sensors}", str(max_sensors))
 
 
-@register("ingest_run_log", WALK + """
+LOG_SQL = """
 , txt AS (SELECT run, string_agg(message, ' | ' ORDER BY a, b, c, d, e) AS s FROM err GROUP BY run)
 , k AS (SELECT run, count(*) AS n_failed, count(*) FILTER (kind = 'reading') AS n_reading, count(*) FILTER (kind = 'batch') AS n_batch,
                count(*) FILTER (kind = 'location') AS n_loc, bool_or(kind = 'run') AS broke FROM err GROUP BY run)
@@ -174,13 +188,16 @@ SELECT r.run AS run_id, CASE WHEN broke THEN 'failed' WHEN n_failed > 0 THEN 'pa
        coalesce(n_batch, 0) AS batches_undone, coalesce(n_loc, 0) AS locations_undone,
        CASE WHEN length(s) > 4000 THEN substr(s, 1, 3997) || '...' ELSE s END AS error_message
 FROM (SELECT DISTINCT run FROM ev) r LEFT JOIN k ON k.run = r.run LEFT JOIN i ON i.run = r.run LEFT JOIN txt ON txt.run = r.run
-""")
+"""
+
+
+@register("ingest_run_log", walk() + LOG_SQL)
 def _ingest_run_log(spark, sf):
     """T7 + F19 + S18: runs with bad batches, bad locations and an early end."""
     return faulty_runs(spark, sf).log
 
 
-@register("ingest_run_readings", WALK + """
+@register("ingest_run_readings", walk() + """
 SELECT sen AS sensor_id, ts AS measured_at, CAST(CAST(v AS DECIMAL(12,4)) AS DOUBLE) AS value, 'ug/m3' AS unit, run AS run_id FROM ins
 """)
 def _ingest_run_readings(spark, sf):
@@ -188,7 +205,13 @@ def _ingest_run_readings(spark, sf):
     return faulty_runs(spark, sf).readings.select("sensor_id", "measured_at", F.col("value").cast("double").alias("value"), "unit", "run_id")
 
 
-@register("ingest_run_errors", WALK + "SELECT run AS run_id, kind, message FROM err")
+@register("ingest_run_errors", walk() + "SELECT run AS run_id, kind, message FROM err")
 def _ingest_run_errors(spark, sf):
     """T7 + F19: every error of the runs, whole."""
     return faulty_runs(spark, sf).errors.select("run_id", "kind", "message")
+
+
+@register("ingest_run_capped", walk(**CAPS) + LOG_SQL)
+def _ingest_run_capped(spark, sf):
+    """S8 + T7: the same runs with caps on locations and sensors, in the order of arrival."""
+    return faulty_runs(spark, sf, **CAPS).log

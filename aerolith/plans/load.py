@@ -13,7 +13,12 @@ under its own folder and publishes a manifest last:
   in which a version starts or ends, and the manifest names each bucket's folder;
 * facts are append-only: each run writes only its new rows into
   ``fact_*/load_run=<id>``; readers take the partitions the manifest lists,
-  so a half-written run is invisible and a re-run is idempotent (anti joins).
+  so a half-written run is invisible and a re-run is idempotent (anti joins);
+* facts are bucketed and sorted by their source id, as many buckets as the
+  session shuffles to when the warehouse is made (the manifest keeps the
+  number), so the anti join reads the stored ids where they lie: only the new
+  readings are shuffled. The tables' folders are all there is to them; a session
+  registers them under a name made from the folder when it first reads them.
 
 Every written table is read back before the next step, which cuts lineage
 (a lost executor recomputes from the staged files, not from the sources).
@@ -22,6 +27,7 @@ Every written table is read back before the next step, which cuts lineage
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 from concurrent.futures import ThreadPoolExecutor
 import os
@@ -55,9 +61,32 @@ def table(spark: SparkSession, root: str, name: str, manifest: dict | None = Non
     if name in DIMS:
         kept = manifest["dims"][name]
         return _read_buckets(spark, kept) if isinstance(kept, dict) else spark.read.parquet(kept)
-    runs = manifest["fact_runs"]
-    df = spark.read.parquet(os.path.join(root, name))
-    return df.filter(F.col("load_run").isin(runs)).drop("load_run")
+    return spark.table(_registered(spark, root, name, manifest)).filter(F.col("load_run").isin(manifest["fact_runs"])).drop("load_run")
+
+
+FACT_KEY = {"fact_measurement": "source_measurement_id", "fact_alert": "source_alert_id"}
+
+
+def _registered(spark: SparkSession, root: str, name: str, manifest: dict) -> str:
+    """The session's name of a bucketed fact table."""
+    table_name = f"{name}_{hashlib.sha1(root.encode()).hexdigest()[:16]}"
+    if not spark.catalog.tableExists(table_name):
+        spark.sql(f"CREATE TABLE {table_name} ({manifest['fact_columns'][name]}, load_run STRING) USING parquet PARTITIONED BY (load_run) "
+                  f"CLUSTERED BY ({FACT_KEY[name]}) SORTED BY ({FACT_KEY[name]}) INTO {manifest['fact_buckets']} BUCKETS "
+                  f"LOCATION '{os.path.join(root, name)}'")
+    spark.catalog.recoverPartitions(table_name)  # runs of this and of other sessions
+    return table_name
+
+
+def _append(spark: SparkSession, root: str, name: str, rows: DataFrame, run_id: str, n_buckets: int) -> DataFrame:
+    """Write one run's rows as buckets and return them as written."""
+    key, path = FACT_KEY[name], os.path.join(root, name)
+    staged_name = f"stage_{name}_{run_id}"
+    (rows.repartition(n_buckets, key).sortWithinPartitions(key)
+     .write.format("parquet").option("path", os.path.join(path, f"load_run={run_id}")).bucketBy(n_buckets, key).sortBy(key)
+     .saveAsTable(staged_name))
+    spark.sql(f"DROP TABLE {staged_name}")  # external: the folder stays
+    return spark.read.schema(rows.schema).parquet(os.path.join(path, f"load_run={run_id}"))
 
 
 def bucket_of(key: str) -> F.Column:
@@ -105,6 +134,7 @@ def run_etl(spark: SparkSession, core, root: str, alerts_df: DataFrame, as_of, i
     manifest = read_manifest(spark, root)
     run_id = uuid.uuid4().hex[:12]
     stage = os.path.join(root, "runs", run_id)
+    n_buckets = (manifest or {}).get("fact_buckets") or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def write_dim(name: str, df: DataFrame) -> DataFrame:
         path = os.path.join(stage, name)
@@ -134,10 +164,11 @@ def run_etl(spark: SparkSession, core, root: str, alerts_df: DataFrame, as_of, i
     # is published (the written partition stays invisible).
     lo, hi = dims.date_key_range()
 
+    columns: dict[str, str] = {}
+
     def append_fact(name: str, df: DataFrame) -> int:
-        df.withColumn("load_run", F.lit(run_id)).write.mode("append").partitionBy("load_run") \
-            .parquet(os.path.join(root, name))
-        written = spark.read.parquet(os.path.join(root, name)).filter(F.col("load_run") == run_id)
+        written = _append(spark, root, name, df, run_id, n_buckets)
+        columns[name] = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
         n, outside = written.agg(F.count(F.lit(1)), F.count_if(~F.col("date_key").between(lo, hi))).first()
         if outside:
             raise ValueError(f"{name}: {outside} rows have a date outside dim_date; load not published")
@@ -162,7 +193,7 @@ def run_etl(spark: SparkSession, core, root: str, alerts_df: DataFrame, as_of, i
 
     # publish last
     runs = (manifest or {}).get("fact_runs", []) + [run_id]
-    new_manifest = {"run_id": run_id, "as_of": as_of.isoformat(), "fact_runs": runs,
+    new_manifest = {"run_id": run_id, "as_of": as_of.isoformat(), "fact_runs": runs, "fact_buckets": n_buckets, "fact_columns": columns,
                     "dims": {"dim_parameter": os.path.join(stage, "dim_parameter"), **buckets}}
     store.write_marker(spark, _manifest_path(root), json.dumps(new_manifest))
     return {"parameters": n_param, "locations": n_loc, "sensors": n_sen, "readings": n_read, "alerts": n_alert}

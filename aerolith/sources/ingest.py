@@ -19,6 +19,9 @@ key. The order of arrival is a column, ``at``: location page and position,
 sensor page and position, reading page and position; so faults before and
 after another are told by comparison and no unit is read by one task.
 
+A run can be capped: it visits the first ``max_locations`` locations in scope,
+and none after the location at which it has read ``max_sensors`` sensors.
+
 Raw pages are landed first and kept, also those of a batch that is undone, and
 a run's inserted rows are the rows kept, not those an undone batch had written.
 """
@@ -29,6 +32,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from aerolith.functions import scalars as S
 from aerolith.operators.runs import error_texts, run_status
@@ -122,6 +126,33 @@ def tagged_readings(batches: DataFrame, pages: DataFrame) -> DataFrame:
     return batches.select(*BATCH, "location_id", "sensor_id").join(rows, ["run_id", "sensor_id"])
 
 
+def _first(df: DataFrame, order: list[str], n: int | None) -> DataFrame:
+    """The first ``n`` rows of each run in the order of arrival."""
+    if n is None:
+        return df
+    w = Window.partitionBy("run_id").orderBy(*order)
+    return df.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= n).drop("__n")
+
+
+def _until_full(df: DataFrame, batches: DataFrame, n: int | None) -> DataFrame:
+    """Rows of units that their run comes to before it has read ``n`` sensors."""
+    if n is None:
+        return df
+    last = batches.groupBy("run_id").agg(F.count(F.lit(1)).alias("__n"), F.max(F.struct("loc_page", "loc_pos")).alias("__last"))
+    full = last.filter(F.col("__n") >= n).select("run_id", "__last")
+    return df.join(full, "run_id", "left").filter(F.col("__last").isNull() | (F.struct("loc_page", "loc_pos") <= F.col("__last"))).drop("__last")
+
+
+def _reached(stopped: DataFrame, units: DataFrame, batches: DataFrame, max_locations: int | None, max_sensors: int | None) -> DataFrame:
+    """The stops of runs that no cap ends before."""
+    def full(df, n):
+        return df.groupBy("run_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= n).select("run_id")
+    for df, n in ((units, max_locations), (batches, max_sensors)):
+        if n is not None:
+            stopped = stopped.join(full(df, n), "run_id", "left_anti")
+    return stopped
+
+
 def _first_faults(rows: DataFrame) -> DataFrame:
     """Per batch its first fault: page, position, cause."""
     first = F.min(F.struct("page_no", "position", "message"))
@@ -131,14 +162,17 @@ def _first_faults(rows: DataFrame) -> DataFrame:
 
 
 def ingest(pages: DataFrame, stored: DataFrame | None = None, cities: list[str] | None = None,
-           parameters: list[str] | None = None) -> Run:
+           parameters: list[str] | None = None, max_locations: int | None = None, max_sensors: int | None = None) -> Run:
     """Run the landed ``pages`` (any number of runs) against the ``stored``
     readings (sensor_id, measured_at): the first writer of a reading wins."""
     stopped = stops(pages).checkpoint()
-    units = location_units(pages, stopped, cities).checkpoint()
-    refused = units.filter("cause is not null")
+    units = _first(location_units(pages, stopped, cities), UNIT[1:], max_locations).checkpoint()
     batches, unread = sensor_batches(units.filter("cause is null"), pages, parameters)
-    batches = batches.checkpoint()
+    batches = _first(batches, BATCH[1:], max_sensors).checkpoint()
+    units, unread = (_until_full(df, batches, max_sensors) for df in (units, unread))
+    refused = units.filter("cause is not null")
+    if max_locations is not None or max_sensors is not None:  # a capped run may end before the page that would fail it
+        stopped = _reached(stopped, units, batches, max_locations, max_sensors).checkpoint()
     location_faults = refused.select(*UNIT, "location_id", "cause").unionByName(unread).checkpoint()
     rows = tagged_readings(batches.filter("cause is null"), pages).checkpoint()
     found = _first_faults(rows)

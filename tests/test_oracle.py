@@ -21,7 +21,7 @@ def con():
 def test_every_query_has_an_oracle_or_is_declared_rows_only():
     assert set(ORACLE) <= set(QUERIES)
     own = {n for n in ROWS_ONLY if not re.match(r"op\d+_|pipeline$", n)}
-    assert own == {"forecast_hourly", "forecast_daily", "ml_model_metrics", "ml_train_predict"}
+    assert own == {"ml_model_metrics", "ml_train_predict"}
 
 
 SPARK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "double": "DOUBLE",

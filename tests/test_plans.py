@@ -37,3 +37,24 @@ def test_scans_read_only_needed_columns(spark):
 def test_alert_bands_join_is_hash_join(spark):
     plan = _plan(QUERIES["alert_generation"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan and "band_lo" in plan
+
+
+def test_a_filter_on_the_date_dimension_prunes_months(spark):
+    plan = _plan(QUERIES["weekend_readings_by_quarter"](spark, SF_SMALL))
+    scan = next(ln for ln in plan.splitlines() if "by_month" in ln and "PartitionFilters" in ln)
+    assert "dynamicpruningexpression(measured_month" in scan
+
+
+def test_newest_time_reads_the_last_month_only(spark):
+    plan = _plan(QUERIES["watermark_bound"](spark, SF_SMALL))
+    assert any("PartitionFilters: [isnotnull(measured_month" in ln and "Subquery" in ln for ln in plan.splitlines())
+
+
+def test_keys_and_references_are_one_shuffle(spark):
+    from aerolith.operators import quality as QL
+    from aerolith.sources.driver_tables import core
+    c = core(spark, SF_SMALL)
+    tables = {"location": c.location, "parameter": c.parameter, "sensor": c.sensor, "measurement_raw": c.measurement}
+    plan = _plan(QL.key_rule_counts(tables))
+    # one for (constraint, key), one for the counts a constraint; the rules' names are joined to these
+    assert plan.count("Exchange hashpartitioning") <= 3 and plan.count("hashpartitioning(id#") >= 1
