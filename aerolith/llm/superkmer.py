@@ -16,11 +16,12 @@ windows that occur twice or more are counted exactly. The bucket returns the
 look their runs up and lose the words covered.
 
 Hot minimisers (a passage that very many documents share brings many
-different surroundings to one bucket) are found by counting the distinct
-windows per minimiser cell over all documents first. The windows of a cell
-above ``HOT_WINDOWS`` are spread over as many sub-buckets as needed by the
-window's own hash: equal windows still meet, and no bucket grows without
-bound.
+different surroundings to one bucket) are found by counting windows per
+minimiser over all documents first; a task reports those with ``REPORTED``
+windows or more in one flush. The windows of a minimiser above ``HOT_WINDOWS``
+are spread over as many sub-buckets as needed by the window's own hash: equal
+windows still meet, and no bucket grows without bound. All others stay packed,
+however large the corpus is. Runs are matched by a 128-bit hash of their words.
 
 Defined cases: null text has no words; a null doc_id stays null; repeated rows
 repeat each other's windows, so their long passages go; an empty table gives
@@ -44,9 +45,9 @@ from aerolith.llm.common import staged, table, texts
 
 WINDOW = 35
 MINIMISER = 4
-CELLS = 1 << 14
 BUCKET_BYTES = 2 << 20
 HOT_WINDOWS = 1_000_000
+REPORTED = 64
 FLUSH_BYTES = 8 << 20
 ODD = np.uint64(0x9E3779B97F4A7C15)  # fixed values: odd constants of a multiplicative hash
 MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -89,7 +90,7 @@ class Runs:
         owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
         none = np.zeros(0, dtype=np.int64)
         self.start, self.windows, self.doc, self.bucket = none, none, none, none
-        self.window_hash = self.cell = np.zeros(0, np.uint64)
+        self.key = np.zeros(0, np.uint64)
         if n < WINDOW:
             return
         hashes = {w: xxhash.xxh64_intdigest(w) for w in set(self.words)}
@@ -98,19 +99,20 @@ class Runs:
         at = np.flatnonzero(owner[: n - WINDOW + 1] == owner[WINDOW - 1:])
         if not len(at):
             return
-        key, cell = low[at], (low[at] % np.uint64(CELLS)).astype(np.int64)
-        first = np.r_[True, (at[1:] != at[:-1] + 1) | (key[1:] != key[:-1])]
-        bucket = cell % buckets if buckets < CELLS else (key % np.uint64(buckets)).astype(np.int64)
+        key = low[at]
         if hot is None:
-            self.window_hash, self.cell = rolling(h, WINDOW)[at], cell
-        elif hot:
-            parts = np.zeros(CELLS, dtype=np.int64)
-            parts[list(hot)] = list(hot.values())
-            spread = parts[cell] > 0
+            self.key = key
+            return
+        first = np.r_[True, (at[1:] != at[:-1] + 1) | (key[1:] != key[:-1])]
+        bucket = (key % np.uint64(buckets)).astype(np.int64)
+        if hot:
+            keys, parts = (np.array(x) for x in zip(*sorted(hot.items())))
+            number = np.minimum(np.searchsorted(keys.astype(np.uint64), key), len(keys) - 1)
+            spread = keys.astype(np.uint64)[number] == key
             if spread.any():
-                own = rolling(h, WINDOW)[at][spread]
+                own, number = rolling(h, WINDOW)[at][spread], number[spread]
                 # sub-buckets have negative numbers
-                bucket[spread] = -1 - (cell[spread] * (1 << 40) + (own % parts[cell][spread].astype(np.uint64)).astype(np.int64))
+                bucket[spread] = -1 - (number * (1 << 40) + (own % parts[number].astype(np.uint64)).astype(np.int64))
                 first |= spread | np.r_[False, spread[:-1]]
         begin = np.flatnonzero(first)
         self.start, self.windows = at[begin], np.diff(np.r_[begin, len(at)])
@@ -138,19 +140,17 @@ def _flushes(batches, columns: tuple[str, ...] = ()):
         yield lists, others
 
 
-def hot_cells(docs: DataFrame, most: int) -> dict[int, int]:
-    """Cells with more than ``most`` windows (distinct within a task's flush) and
-    the number of parts they are spread over. At most total / most cells."""
+def hot_minimisers(docs: DataFrame, most: int, least: int = REPORTED) -> dict[int, int]:
+    """Minimisers with more than ``most`` windows, and the number of parts they
+    are spread over. At most total / most of them."""
     def count(batches):
         for lists, _ in _flushes(batches):
-            r = Runs(lists)
-            _, one = np.unique(r.window_hash, return_index=True)
-            n = np.bincount(r.cell[one].astype(np.int64), minlength=CELLS)
-            there = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(n[there])], names=["cell", "n"])
-    found = (docs.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+            key, n = np.unique(Runs(lists).key, return_counts=True)
+            often = n >= least
+            yield pa.RecordBatch.from_arrays([pa.array(key[often].view(np.int64)), pa.array(n[often])], names=["key", "n"])
+    found = (docs.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
              .where(F.col("n") > most).collect())
-    return {r.cell: -(-r.n // (most // 2)) for r in found}
+    return {r.key % (1 << 64): -(-r.n // max(most // 2, 1)) for r in found}
 
 
 def _packed(docs: DataFrame, hot: dict[int, int], buckets: int) -> DataFrame:
@@ -267,13 +267,13 @@ def covered(n_words: int, runs: list) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def removals(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, hot_windows: int = HOT_WINDOWS) -> DataFrame:
+def removals(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, hot_windows: int = HOT_WINDOWS, reported: int = REPORTED) -> DataFrame:
     """Rows of ``docs`` (doc_id, text) with ``runs``, the repeated runs of the
     row, null where it has none."""
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // bucket_bytes))
-    hot = hot_cells(docs, hot_windows)
+    hot = hot_minimisers(docs, hot_windows, reported)
     flags = (_packed(docs, hot, buckets).groupBy("bucket")
              .applyInPandas(_bucket, "hi long, lo long, flags binary"))
     found = (_lookups(keyed, hot, buckets).join(staged(flags), ["hi", "lo"])
