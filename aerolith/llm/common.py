@@ -108,3 +108,17 @@ def _sample_by(ids: DataFrame, id_col: str, most: int, h: Column, by: str) -> Da
     if lost := {v for v, _ in cuts} - {r[0] for r in sample.select(by).distinct().collect()}:
         raise RuntimeError(f"no rows of {sorted(lost)} in a sample of up to {most}")
     return sample
+
+
+#: a key on more rows than this, and than a ten-thousandth of all, is frequent
+FREQUENT = 1_000
+
+
+def spread_join(rows: DataFrame, told: DataFrame, key: str, n: str) -> DataFrame:
+    """``rows`` (staged) with the row of ``told`` of their ``key``, which is in
+    ``told`` once; its column ``n`` is the number of rows of the key. Frequent
+    keys, at most 10,000 of them, are broadcast, so no task gets all rows of one."""
+    total = told.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
+    often = F.col(n) > max(FREQUENT, total // 10_000)
+    hot, rest = F.broadcast(told.where(often).drop(n)), told.where(~often).drop(n)
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(rest, key))

@@ -14,7 +14,8 @@ arrays (feature, threshold, left, right, value); scoring steps all rows
 through all trees at once, a level at a time, without a shuffle.
 
 Defined cases: null text has no words and fails the base rule; a null doc_id
-stays null; a document labelled twice counts with its smallest quality; without
+stays null; a document labelled twice counts with its smallest quality, an id on
+several texts with the first of them in order; without
 labels of both kinds the model keeps every document; an empty table gives no rows.
 """
 
@@ -140,7 +141,7 @@ def trained(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Forest:
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("quality"),
              pa.array([statistics(t)[1] for t in texts(batch)], pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
-    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     found = sorted(mapped(picked, run, "doc_id long, y int, x array<double>").collect(), key=lambda r: r.doc_id)
     return fit(np.array([r.x for r in found]).reshape(len(found), len(SIGNS)), np.array([r.y for r in found], dtype=float))
 

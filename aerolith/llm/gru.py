@@ -1,9 +1,10 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
 A text's UTF-8 bytes are cut into sequences of ``STEPS`` (the last one
-shorter). One network reads each from the left, one from the right; at every
-position both states give log-odds of the languages, and a softmax labels the
-position. A document's probabilities are the mean over all its positions: the
+shorter). One network reads each from the left, one from the right, both from
+``WARM`` bytes further out, so that no position near a cut is without context;
+at every position both states give log-odds of the languages, and a softmax
+labels the position. A document's probabilities are the mean over all its positions: the
 whole text counts, no prefix. Sequences of many documents run side by side as
 one numpy batch.
 
@@ -11,7 +12,8 @@ Training is backpropagation through time in numpy on the driver, with Adam,
 on ``PIECES`` sequences of each of at most ``SAMPLE`` documents a language
 (chosen by a hash of the id) that have text and language and whose
 crc32(doc_id as text) mod 5 is not 0. All language names of such documents are
-learned, however rare; an id with several counts for the first of them.
+learned, however rare, up to the ``LANGS`` most frequent ones; an id with
+several counts for the first of them.
 
 Defined cases: a text that is null or without letters is ``und`` with score
 0; a null doc_id has an empty id text (held out, crc32 0 mod 5 = 0); without
@@ -21,11 +23,11 @@ gives no rows.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,9 +35,11 @@ from aerolith.llm.common import bounded_sample, fold, mapped, table
 
 FOLDS = 5
 SAMPLE, PIECES, TRAIN_STEPS, TRAIN_BATCH, UPDATES = 625, 4, 64, 512, 90
-STEPS, WIDE = 128, 4_096
+STEPS, WARM, WIDE = 128, 16, 4_096
+#: languages learned: the most frequent ones, ties by name
+LANGS = 1_000
 HIDDEN = 8
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 UND = "und"
 
 
@@ -107,16 +111,16 @@ class Network:
         pieces = -(-sizes // STEPS)
         owner = np.repeat(np.arange(len(texts)), pieces)
         number = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        begin = (np.cumsum(sizes) - sizes)[owner] + number * STEPS
-        length = np.minimum(sizes[owner] - number * STEPS, STEPS)
-        span = np.arange(STEPS)[:, None]
+        start = number * STEPS - WARM  # in the text
+        span = np.arange(STEPS + 2 * WARM)[:, None]
+        own = (span >= WARM) & (span < WARM + STEPS)
         for i in range(0, len(owner), WIDE):
             part = slice(i, i + WIDE)
-            there = span < length[part]
-            x = data[np.where(there, begin[part] + span, 0)]
-            live = there.astype(np.float32)
-            p = self.position_probabilities(x, live)
-            np.add.at(total, owner[part], np.einsum("tlb,tb->bl", p, live))
+            at, size = start[part] + span, sizes[owner[part]]
+            there = (at >= 0) & (at < size)
+            x = data[np.where(there, (np.cumsum(sizes) - sizes)[owner[part]] + at, 0)]
+            p = self.position_probabilities(x, there.astype(np.float32))
+            np.add.at(total, owner[part], np.einsum("tlb,tb->bl", p, (there & own).astype(np.float32)))
         return total / np.maximum(sizes, 1)[:, None]
 
 
@@ -201,6 +205,8 @@ def pieces(text: bytes, n: int = PIECES) -> list[bytes]:
 def trained(docs: DataFrame, most: int = SAMPLE) -> Network:
     usable = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.col("lang") != UND)
                         & F.col("text").rlike(r"\p{L}") & (fold(F.col("doc_id"), FOLDS) != 0))
+    frequent = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).select("lang")
+    usable = usable.join(F.broadcast(frequent), "lang")
     of_lang = usable.groupBy("doc_id").agg(F.min("lang").alias("lang"))
     ids = bounded_sample(of_lang, "doc_id", most, by="lang").select("doc_id")  # at most SAMPLE ids a language
     rows = (usable.select("doc_id", "lang", "text").join(F.broadcast(ids), "doc_id")

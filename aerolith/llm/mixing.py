@@ -91,8 +91,9 @@ def copies(target: Column, source_size: Column, u: Column) -> Column:
 def _joined(rows: DataFrame, source: str, share: DataFrame, names: list[str]) -> DataFrame:
     """``rows`` with their source's size and target under ``names``."""
     s, t = names
-    share = share.select(F.col("source").alias("__s"), F.col("source_size").alias(s), F.col("target").alias(t))
-    return rows.join(share, rows[source].eqNullSafe(share["__s"])).drop("__s")
+    of = fresh([*rows.columns, s, t], "__of")
+    share = share.select(F.col("source").alias(of), F.col("source_size").alias(s), F.col("target").alias(t))
+    return rows.join(share, rows[source].eqNullSafe(share[of])).drop(of)
 
 
 def mix(docs: DataFrame) -> DataFrame:

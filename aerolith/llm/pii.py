@@ -336,7 +336,7 @@ def redacted(docs: DataFrame) -> DataFrame:
     tail = F.substring(text, F.element_at(m, -1)["stop"] + 1, F.length(text))
     found = found.withColumn("text", F.when(F.size(m) > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(text))
     if "n_chars" in columns:
-        found = found.withColumn("n_chars", F.when(F.size(m) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        found = found.withColumn("n_chars", F.when(F.size(m) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return found.select(*[F.col(f"`{c}`") for c in columns])
 
 

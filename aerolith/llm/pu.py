@@ -21,7 +21,8 @@ whole text once, without a shuffle.
 Defined cases: null text is empty and gets the score of the statistics of an
 empty text; a null doc_id has an empty id text (held out, crc32 0 mod 5 = 0);
 without positives or without unlabelled rows the score is the constant 0.5;
-repeated label rows of one document count as one (positive if all say 1);
+repeated label rows of one document count as one (positive if all say 1); an
+id on several texts is learned from with the first of them in order;
 rows with null quality are no labels.
 """
 
@@ -126,7 +127,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> tup
         return pa.RecordBatch.from_arrays(
             [batch.column("part"), batch.column("doc_id"), pa.array(rows, pa.list_(pa.float64()))],
             names=["part", "doc_id", "x"])
-    picked = docs.select("doc_id", "text").join(F.broadcast(both), "doc_id").dropDuplicates(["doc_id"])
+    picked = docs.select("doc_id", "text").join(F.broadcast(both), "doc_id").groupBy("part", "doc_id").agg(F.min("text").alias("text"))
     found = mapped(picked, run, "part int, doc_id long, x array<double>").collect()
     found.sort(key=lambda r: (r.part, r.doc_id))
     part = [np.array([r.x for r in found if r.part == k]) for k in (0, 1)]

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.llm import components
-from aerolith.llm.common import fresh, mapped, staged, table, texts
+from aerolith.llm.common import fresh, mapped, spread_join, staged, table, texts
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -206,25 +206,34 @@ def links(distinct: DataFrame) -> DataFrame:
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return (distinct.select("fp").mapInArrow(spread, "key int, fp long")
+    # dealt out evenly first: each row becomes about 80
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (distinct.select("fp").repartition(parts).mapInArrow(spread, "key int, fp long")
             .repartition("key").sortWithinPartitions("key")
             .mapInArrow(meet, "a long, b long"))
 
 
-def labelled(fps: DataFrame, of: list[str] | None = None) -> DataFrame:
-    """``fps`` (with column ``fp``) and the ``label`` of each row's component:
-    its smallest linked fingerprint."""
-    named = components.labels(links(fps.select("fp").distinct()))
-    return (fps.join(named.withColumnRenamed("node", "fp"), "fp", "left")
-            .withColumn("label", F.coalesce("label", "fp")))
+def labels(fps: DataFrame, *found) -> DataFrame:
+    """Per distinct fingerprint of ``fps`` its number of rows, the aggregates
+    ``found`` over them, and the ``label`` of its component: the smallest
+    fingerprint linked."""
+    each = staged(fps.groupBy("fp").agg(F.count("*").alias("n"), *found))
+    named = components.labels(links(each.select("fp"))).withColumnRenamed("node", "fp")
+    return staged(each.join(named, "fp", "left").withColumn("label", F.coalesce("label", "fp")))
+
+
+def labelled(fps: DataFrame) -> DataFrame:
+    """``fps`` (staged, with column ``fp``) and the ``label`` of each row's component."""
+    return spread_join(fps, labels(fps), "fp", "n")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every row of ``docs``."""
-    rows = labelled(staged(fingerprints(docs, ["doc_id"])))
-    rows = staged(rows)
-    smallest = rows.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return (rows.join(smallest, "label")
+    rows = staged(fingerprints(docs, ["doc_id"]))
+    each = labels(rows, F.min("doc_id").alias("least"))  # components are named from the distinct fingerprints
+    named = staged(each.groupBy("label").agg(F.min("least").alias("component_id"), F.count("*").alias("k")))
+    each = staged(spread_join(each.select("fp", "label", "n"), named, "label", "k").drop("label"))
+    return (spread_join(rows, each, "fp", "n")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 

@@ -216,7 +216,7 @@ def test_decontamination(docs, empty, spark, monkeypatch, block):
 
 
 # op5
-@pytest.mark.parametrize("sizes", [{}, {"bucket_bytes": 2000, "hot_windows": 20}])
+@pytest.mark.parametrize("sizes", [{}, {"bucket_bytes": 2000, "hot_windows": 20, "reported": 2}])
 def test_substring_dedup(docs, empty, sizes):
     seen = Counter()
     for _, t, *_ in _rows():
