@@ -23,13 +23,13 @@ weights add up, until an arc (the root has one for every word) takes the word.
 Distribution. Documents are read in blocks of bounded size, written with a
 number for each token. A block asks for the counts of its n-grams as tries,
 one for each bucket of first words: sorted, delta-coded, compressed, words
-named by 64-bit hashes. Each token starts one n-gram of three (texts end in an
+named by 64-bit hashes or, the ``NUMBERED`` most frequent, by their number. Each token starts one n-gram of three (texts end in an
 end and two blanks), so counts of two and of one are sums within the trie. A
 bucket adds up the tries of all blocks and answers with arrays in the order
 asked. Frequent first words are split over further buckets by their second
 word, and their sums are added by the block. From its answers a block builds
 its part of the automaton, and its documents walk in it side by side. What is
-gathered grows with the corpus; no table of it is collected or broadcast.
+gathered grows with the corpus; only the list of most frequent words is collected.
 
 A text of more than ``PART_BYTES`` is cut into parts that know two tokens
 before and after; a walk enters a part with the state that these two lead to.
@@ -42,6 +42,8 @@ gives no rows.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterator
 from functools import partial
 
@@ -54,17 +56,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.llm.common import fold, staged, table, texts
+from aerolith.session import scratch_path
 
 FOLDS, HELD = 7, 2
 DISCOUNT = 0.5
 END, BLANK = b"\n", b"\n\n"  # no word holds a line feed
-BLOCK_BYTES = 16 << 20
-BUCKET_BYTES = 32 << 20
+BLOCK_BYTES = 12 << 20
+BUCKET_BYTES = 20 << 20
 PART_BYTES = 4 << 20
 #: tokens that a lane of the walk reads
 LANE = 1024
 #: a block reports its words of this count or more; those of all blocks with more than half a bucket's share are split
-LISTED = 32
+LISTED = 8
+#: the most frequent words, which a trie names by their number; all others by their hash
+NUMBERED = 1 << 16
 
 
 def parts(text: bytes, most: int) -> Iterator[tuple[list[bytes], list[bytes], list[bytes]]]:
@@ -157,9 +162,9 @@ class Block:
         h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
         order = np.argsort(h)
         self.h, self.v = h[order], len(words)
-        rank = np.empty(self.v, np.int64)
-        rank[order] = np.arange(self.v)
-        self.seq = rank[unpack(row["seq"]).astype(np.int64)]
+        rank = np.empty(self.v, np.int32)
+        rank[order] = np.arange(self.v, dtype=np.int32)
+        self.seq = rank[unpack(row["seq"])]
         # each part: tokens before, scored tokens, two after; an n-gram starts at all but the two after
         self.first = np.cumsum(self.before + self.scored + 2) - (self.before + self.scored + 2)
         starts = np.ones(len(self.seq), bool)
@@ -168,26 +173,33 @@ class Block:
         counted = np.repeat(~self.held, self.before + self.scored + 2)
         for k in (0, 1):  # those before are counted where they are scored
             counted[self.first[self.before > k] + k] = False
-        at = np.flatnonzero(starts)
-        self._trie(self.seq[at], self.seq[at + 1], self.seq[at + 2], counted[at])
+        self._trie(np.flatnonzero(starts), counted)
 
-    def _trie(self, a: np.ndarray, b: np.ndarray, c: np.ndarray, counted: np.ndarray) -> None:
+    def _trie(self, at: np.ndarray, counted: np.ndarray) -> None:
+        ab = self.seq[at].astype(np.int64) * self.v + self.seq[at + 1]
         if 2 * self.v ** 3 < 1 << 63:
-            key = np.sort(((a * self.v + b) * self.v + c) * 2 + counted)
-            key, counted = key >> 1, key & 1
-            ab, c = np.divmod(key, self.v)
+            ab *= self.v
+            ab += self.seq[at + 2]
+            ab *= 2
+            ab += counted[at]
+            ab.sort()
+            seen = (ab & 1).astype(np.int32)
+            ab >>= 1
+            c = (ab % self.v).astype(np.int32)
+            ab //= self.v
         else:
-            order = np.lexsort((c, b, a))
-            ab, c, counted = (a * self.v + b)[order], c[order], counted[order].astype(np.int64)
+            c = self.seq[at + 2]
+            order = np.lexsort((c, ab))
+            ab, c, seen = ab[order], c[order], counted[at][order].astype(np.int32)
         new2 = np.append(True, ab[1:] != ab[:-1])
         at = np.flatnonzero(new2 | np.append(True, c[1:] != c[:-1]))
-        self.seen = np.add.reduceat(counted, at)
+        self.seen = np.add.reduceat(seen, at)
         self.word3, ab, new2 = c[at], ab[at], new2[at]
-        self.pair = np.cumsum(new2) - 1  # of each n-gram of three, its first two
+        self.pair = np.cumsum(new2, dtype=np.int32) - 1  # of each n-gram of three, its first two
         self.pairs = ab[new2]  # v * first word + second word, ascending
-        first, self.word2 = np.divmod(self.pairs, self.v)
+        first, self.word2 = (x.astype(np.int32) for x in np.divmod(self.pairs, self.v))
         new1 = np.append(True, first[1:] != first[:-1])
-        self.one = np.cumsum(new1) - 1  # of each pair, its first word
+        self.one = np.cumsum(new1, dtype=np.int32) - 1  # of each pair, its first word
         self.ones = first[new1]
         self.begin = np.append(np.flatnonzero(new2), len(at))  # of each pair, its n-grams
 
@@ -218,60 +230,81 @@ class Block:
             grams = np.repeat(self.begin[pairs] - (np.cumsum(size) - size), size) + np.arange(size.sum())
             yield b, np.unique(np.append(self.one[pairs], extra.get(b, [])).astype(np.int64)), pairs, grams
 
-    def question(self, ones: np.ndarray, pairs: np.ndarray, grams: np.ndarray) -> dict[str, bytes]:
-        """A bucket's trie: its words' hashes, and words as numbers among these."""
+    def question(self, frequent: np.ndarray, ones: np.ndarray, pairs: np.ndarray, grams: np.ndarray) -> dict[str, bytes]:
+        """A bucket's trie: its words (those among the ``frequent`` hashes by their
+        place there), and words as numbers among these, in the order of hashes."""
         used = np.zeros(self.v, bool)
         used[self.ones[ones]] = used[self.word2[pairs]] = used[self.word3[grams]] = True
         words = np.flatnonzero(used)
         number = np.cumsum(used) - 1
         h = self.h[words]
-        return {"words": pack(np.diff(h, prepend=np.uint64(0))), "ones": pack(np.diff(number[self.ones[ones]], prepend=0)),
+        place = np.searchsorted(frequent, h)
+        known = np.append(frequent, np.uint64(0))[place] == h
+        return {"known": pack(np.diff(place[known], prepend=0)), "words": pack(np.diff(h[~known], prepend=np.uint64(0))), "ones": pack(np.diff(number[self.ones[ones]], prepend=0)),
                 "n_pairs": pack(np.diff(np.searchsorted(self.one[pairs], np.append(ones, len(self.ones))))),
                 "seconds": pack(number[self.word2[pairs]]), "n_grams": pack(self.begin[pairs + 1] - self.begin[pairs]),
                 "thirds": pack(number[self.word3[grams]]), "seen": pack(self.seen[grams])}
 
 
-QUESTION = ["words", "ones", "n_pairs", "seconds", "n_grams", "thirds", "seen"]
+QUESTION = ["known", "words", "ones", "n_pairs", "seconds", "n_grams", "thirds", "seen"]
 ANSWER = ["c1", "k1", "c2", "k2", "c3"]
 
 
-def questions(held: DataFrame, n_buckets: int, hot: dict[int, int]) -> DataFrame:
+def questions(held: DataFrame, n_buckets: int, hot: dict[int, int], frequent) -> DataFrame:
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 block = Block(row)
                 for b, *trie in block.buckets(n_buckets, hot):
-                    q = block.question(*trie)
+                    q = block.question(frequent.value, *trie)
                     yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([row["block"]], pa.int64()),
                                                       *[pa.array([q[c]], pa.binary()) for c in QUESTION]], names=["bucket", "block", *QUESTION])
     return held.drop("listed").mapInArrow(run, "bucket long, block long, " + ", ".join(f"{c} binary" for c in QUESTION))
 
 
-def _answers(n_buckets: int, rows: pd.DataFrame) -> pd.DataFrame:
+def numbered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, ascending, and the number of each value among them."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    new = np.append(np.ones(min(len(key), 1), bool), key[1:] != key[:-1])
+    number = np.empty(len(key), np.int32)
+    number[order] = np.cumsum(new, dtype=np.int32) - 1
+    return key[new], number
+
+
+def _answers(n_buckets: int, frequent: np.ndarray, rows: pd.DataFrame) -> pd.DataFrame:
     """The counts of all n-grams of a bucket's tries, for each trie in its order;
     and once the bucket's training tokens and words."""
     asked = [{c: unpack(r[c]) for c in QUESTION} for r in rows[QUESTION].to_dict("records")]
-    words = [np.cumsum(q["words"].astype(np.uint64), dtype=np.uint64) for q in asked]
+    words = [np.sort(np.append(frequent[np.cumsum(q["known"], dtype=np.int64)], np.cumsum(q["words"].astype(np.uint64), dtype=np.uint64)))
+             for q in asked]
     every = np.unique(np.concatenate(words))
     v = len(every)
-    ones, pairs, thirds, seen, sizes = [], [], [], [], []
+    ones, pairs, grams, seen = [], [], [], []
     for q, w in zip(asked, words):
         number = np.searchsorted(every, w)
-        one = number[np.cumsum(q["ones"].astype(np.int64))]
-        ones.append(one)
-        pairs.append(np.repeat(one, q["n_pairs"].astype(np.int64)) * v + number[q["seconds"].astype(np.int64)])
-        thirds.append(number[q["thirds"].astype(np.int64)])
-        seen.append(q["seen"].astype(np.int64))
-        sizes.append(q["n_grams"].astype(np.int64))
-    pair, of_pair = np.unique(np.concatenate(pairs), return_inverse=True)
-    gram, of_gram = np.unique(np.repeat(of_pair, np.concatenate(sizes)) * v + np.concatenate(thirds), return_inverse=True)
+        ones.append(number[np.cumsum(q["ones"].astype(np.int64))])
+        pairs.append(np.repeat(ones[-1], q["n_pairs"]) * v + number[q["seconds"]])
+        grams.append(number[q["thirds"]].astype(np.int32))
+        seen.append(q["seen"].astype(np.int32))
+    sizes = [np.cumsum([len(x) for x in part])[:-1] for part in (ones, pairs, grams)]
+    one, of_one = numbered(np.concatenate(ones))
+    pair, of_pair = numbered(np.concatenate(pairs))
+    del pairs, words
+    key = np.repeat(of_pair, np.concatenate([q["n_grams"] for q in asked])).astype(np.int64)
+    del asked
+    key *= v
+    key += np.concatenate(grams)
+    del grams
+    gram, of_gram = numbered(key)
+    del key
     c3 = np.bincount(of_gram, np.concatenate(seen), len(gram)).astype(np.int64)
+    del seen
     up = gram // v
     c2, k2 = (np.bincount(up, x, len(pair)).astype(np.int64) for x in (c3, c3 > 0))
-    one, of_one = np.unique(np.concatenate(ones), return_inverse=True)
     up = np.searchsorted(one, pair // v)
     c1, k1 = (np.bincount(up, x, len(one)).astype(np.int64) for x in (c2, c2 > 0))
-    cut = [np.split(x, np.cumsum([len(y) for y in part])[:-1]) for x, part in ((of_one, ones), (of_pair, pairs), (of_gram, thirds))]
+    cut = [np.split(x, at) for x, at in zip((of_one, of_pair, of_gram), sizes)]
     out = [{"block": b, **{n: pack(x[i]) for n, x, i in zip(ANSWER, (c1, k1, c2, k2, c3), (i1, i1, i2, i2, i3))}, "n_tokens": 0, "n_words": 0}
            for b, i1, i2, i3 in zip(rows["block"], *cut)]
     bucket, n_words = int(rows["bucket"].iloc[0]), int((c1 > 0).sum())
@@ -295,14 +328,15 @@ class Automaton:
         self.p1 = (self.c1 + 1) / unit
         self.state_of = np.full(block.v, self.root)  # the state of a word alone
         self.state_of[block.ones] = np.where(c1 > 0, self.n + np.arange(len(c1)), self.root)
-        self.word = block.ones
+        self.word = block.ones.astype(np.int64)
         with np.errstate(divide="ignore", invalid="ignore"):
             left = DISCOUNT * k1 / c1, DISCOUNT * k2 / c2  # l(h)
             p2 = np.maximum(c2 - DISCOUNT, 0) / c1[block.one] + left[0][block.one] * self.p1[block.word2]
             seen = np.flatnonzero(c3 > 0)
-            h, w = block.pair[seen], block.word3[seen]
-            to = self._pair(block.word2[h] * self.v + w)
+            h, w = block.pair[seen].astype(np.int64), block.word3[seen]
+            to = self._pair(block.word2[h].astype(np.int64) * self.v + w)
             p3 = (c3[seen] - DISCOUNT) / c2[h] + left[1][h] * np.where(to >= 0, p2[to], 0)
+            del seen
             self.log2, self.log3, self.log1 = np.log10(p2), np.log10(p3), np.log10(self.p1)
             self.fail = np.append(np.log10(left[1]), np.log10(left[0]))
         self.fail_to = np.append(self.state_of[block.word2], np.full(len(block.ones), self.root))
@@ -368,10 +402,10 @@ SCORES = "row long, doc_id long, held_out boolean, n_tokens long, n_known long,
 def _finish(n_buckets: int, hot: dict[int, int], unit: float, lane: int, held: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     block = Block(held.iloc[0])
     c1, k1 = np.zeros(len(block.ones)), np.zeros(len(block.ones))
-    c2, k2, c3 = np.zeros(len(block.pairs)), np.zeros(len(block.pairs)), np.zeros(len(block.word3))
+    c2, k2, c3 = (np.zeros(n, np.int64) for n in (len(block.pairs), len(block.pairs), len(block.word3)))
     told = {r["bucket"]: r for r in answers.to_dict("records")}
     for b, ones, pairs, grams in block.buckets(n_buckets, hot):
-        a = {c: unpack(told[b][c]).astype(np.int64) for c in ANSWER}
+        a = {c: unpack(told[b][c]) for c in ANSWER}
         c1[ones] += a["c1"]
         k1[ones] += a["k1"]
         c2[pairs], k2[pairs], c3[grams] = a["c2"], a["k2"], a["c3"]
@@ -385,21 +419,32 @@ def _finish(n_buckets: int, hot: dict[int, int], unit: float, lane: int, held: p
                          "base_score": np.bincount(owner, automaton.log1[token], n), "score": score})
 
 
+def _staged_by_block(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder in buckets of its ``block``, so that it
+    is read where it lies when the answers are brought to it."""
+    spark, name = df.sparkSession, f"lm_blocks_{uuid.uuid4().hex}"
+    (df.write.format("parquet").option("path", os.path.join(scratch_path(spark, "llm"), name))
+     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").saveAsTable(name))
+    return spark.table(name)
+
+
 def scored(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES,
            lane: int = LANE, listed: int = LISTED) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    held_out = fold(F.col("doc_id"), FOLDS) == HELD
-    held = staged(blocks(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-                                     held_out.alias("held_out"), "text"), block_bytes, part_bytes, listed))
+    spark, held_out = docs.sparkSession, fold(F.col("doc_id"), FOLDS) == HELD
+    held = _staged_by_block(blocks(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                                               held_out.alias("held_out"), "text"), block_bytes, part_bytes, listed))
     size, tokens = held.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
     n_buckets = max(1, -(-size // bucket_bytes))
     share = max(listed, tokens // (2 * n_buckets))  # at most 2 * n_buckets words have more
-    often = (held.select(F.explode("listed").alias("w")).groupBy("w.h").agg(F.sum("w.n").alias("n")).where(F.col("n") > share).collect()
-             if n_buckets > 1 else [])
-    hot = {r["h"] + (1 << 63): -(-r["n"] // share) + 1 for r in often}
+    often = staged(held.select(F.explode("listed").alias("w")).groupBy("w.h").agg(F.sum("w.n").alias("n")))
+    hot = {r["h"] + (1 << 63): -(-r["n"] // share) + 1 for r in often.where(F.col("n") > share).collect()} if n_buckets > 1 else {}
+    first = often.orderBy(F.desc("n"), "h").limit(NUMBERED).select("h").collect()
+    frequent = spark.sparkContext.broadcast(np.sort(np.array([r["h"] + (1 << 63) for r in first], np.uint64)))
     schema = "bucket long, block long, " + ", ".join(f"{c} binary" for c in ANSWER) + ", n_tokens long, n_words long, split_word long"
     names = [c.split()[0] for c in schema.split(", ")]
-    told = staged(questions(held, n_buckets, hot).groupBy("bucket").applyInPandas(lambda rows: _answers(n_buckets, rows)[names], schema))
+    told = staged(questions(held, n_buckets, hot, frequent).groupBy("bucket")
+                  .applyInPandas(lambda rows: _answers(n_buckets, frequent.value, rows)[names], schema))
     total, distinct = told.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)),
                                F.coalesce(F.sum("n_words"), F.lit(0)) + F.countDistinct("split_word")).first()
     finish = partial(_finish, n_buckets, hot, float(total + distinct + 1), lane)
