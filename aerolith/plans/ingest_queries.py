@@ -19,14 +19,14 @@ LOCATIONS_A_PAGE = 10
 DECOY = "2020-02-02T02:02:02.000000Z"
 
 
-def faulty_record():
+def faulty_record(e):
     """Readings of which some lack a value or a time, or carry one that the
     table refuses; others carry a second time in a field of lower precedence."""
-    n = F.col("event_id")
+    n = e["event_id"]
     value = (F.when(n % 50 == 7, F.lit(None)).when(n % 389 == 3, F.lit("n/a")).when(n % 397 == 5, F.lit("100000.0000"))
-             .otherwise(F.format_string("%.4f", F.col("value"))))
-    time = F.when(n % 31 == 9, F.lit(None)).when(n % 401 == 11, F.lit("not a time")).otherwise(F.date_format("ts", B.ISO))
-    return B.reading_record(value, time, F.when((n % 5 == 0) & (n % 31 != 9), F.lit(DECOY)))
+             .otherwise(F.format_string("%.4f", e["value"])))
+    time = F.when(n % 31 == 9, F.lit(None)).when(n % 401 == 11, F.lit("not a time")).otherwise(F.date_format(e["ts"], B.ISO))
+    return B.reading_record(e, value, time, F.when((n % 5 == 0) & (n % 31 != 9), F.lit(DECOY)))
 
 
 def faulty_pages(c) -> DataFrame:
@@ -36,7 +36,7 @@ def faulty_pages(c) -> DataFrame:
     53 is 1, the sensor page where the key mod 28 is 8, and the location page
     of keys 70 to 79 on days 5 mod 7. Locations with a key 4 mod 37 carry a
     latitude that the table refuses."""
-    readings = B.measurement_pages(c.raw("events"), c.parameter, record=faulty_record())
+    readings = B.measurement_pages(c.raw("events"), c.parameter, record=faulty_record)
     day = F.col("run_id") % 100
     broken = ((F.col("source_id") + day) % 53 == 1) & (F.col("page_no") == 1)
     readings = readings.withColumn("response_body", F.when(broken, F.lit("<html>503</html>")).otherwise(F.col("response_body")))

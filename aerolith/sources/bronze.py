@@ -60,21 +60,22 @@ PAGE_SCHEMA = T.StructType([
 
 # --- landing (S1) -------------------------------------------------------------
 
-def reading_record(value, time, decoy=None):
-    """A reading as the source sends it. The time stands in one of four fields
-    (by event id mod 4), every third parameter unit uses the micro sign, every
-    third reading has no unit of its own. ``decoy``: a time that the fields of
-    lower precedence carry instead of nothing."""
+def reading_record(e, value, time, decoy=None):
+    """A reading ``e`` (a struct of ``READING_FIELDS``) as the source sends it.
+    The time stands in one of four fields (by event id mod 4), every third
+    parameter unit uses the micro sign, every third reading has no unit of its
+    own. ``decoy``: a time that the fields of lower precedence carry instead of
+    nothing."""
     none = F.lit(None).cast("string")
     decoy = none if decoy is None else decoy
-    k = F.col("event_id") % 4
+    k = e["event_id"] % 4
     at = lambda i: F.when(k == i, time).when(k < i, decoy)
     return F.struct(
         value.alias("value"),
-        F.when(F.col("event_id") % 3 != 2, F.lit(S.DEFAULT_UNIT)).alias("unit"),
-        F.struct(F.col("parameter_id").cast("long").alias("id"), F.col("event_type").alias("name"),
-                 F.col("event_type").alias("code"), F.col("display_name").alias("displayName"),
-                 F.when(F.col("event_id") % 3 == 0, F.lit("µg/m³")).otherwise(F.lit(S.DEFAULT_UNIT))
+        F.when(e["event_id"] % 3 != 2, F.lit(S.DEFAULT_UNIT)).alias("unit"),
+        F.struct(e["parameter_id"].cast("long").alias("id"), e["event_type"].alias("name"),
+                 e["event_type"].alias("code"), e["display_name"].alias("displayName"),
+                 F.when(e["event_id"] % 3 == 0, F.lit("µg/m³")).otherwise(F.lit(S.DEFAULT_UNIT))
                  .alias("units"), none.alias("unit"), none.alias("description")).alias("parameter"),
         F.struct(at(0).alias("utc")).alias("datetime"),
         F.struct(F.struct(at(1).alias("utc")).alias("datetimeFrom")).alias("period"),
@@ -82,22 +83,25 @@ def reading_record(value, time, decoy=None):
         at(3).alias("datetimeUtc"))
 
 
+def valid_record(e):
+    """A reading that lacks its value where the event id mod 50 is 7."""
+    return reading_record(e, F.when(e["event_id"] % 50 != 7, F.format_string("%.4f", e["value"])), F.date_format(e["ts"], ISO))
+
+
+READING_FIELDS = ("event_id", "ts", "value", "parameter_id", "event_type", "display_name")
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
-def measurement_pages(events: DataFrame, parameter: DataFrame, sensor_factor: int = 1000, record=None) -> DataFrame:
+def measurement_pages(events: DataFrame, parameter: DataFrame, sensor_factor: int = 1000, record=valid_record) -> DataFrame:
     """Readings as API pages: one page per (sensor, day, block of 250).
 
     Record variants exercise the parser: see ``reading_record``; every 50th
     record (id mod 50 = 7) lacks its value (an invalid reading). ``record``
-    replaces that form of a reading.
+    replaces that form of a reading. Pages are gathered from the readings' own
+    columns, a fifth of their text, and become text where they are whole.
     """
     p = parameter.select(F.col("code").alias("event_type"), "parameter_id", "display_name")
     e = events.join(p, "event_type").withColumn("sensor_id", F.col("user_id") * sensor_factor + F.col("parameter_id"))
-    if record is None:
-        record = reading_record(F.when(F.col("event_id") % 50 != 7, F.format_string("%.4f", F.col("value"))),
-                                F.date_format("ts", ISO))
-    rec = record
     # A record's position within its (sensor, day) is the number of records in
     # earlier hours plus its rank within the hour, so a hot sensor-day is spread
     # over several tasks and pages are full and numbered 1, 2, 3 in time order.
@@ -107,8 +111,8 @@ def measurement_pages(events: DataFrame, parameter: DataFrame, sensor_factor: in
     e = e.withColumn("__pos", F.col("__before") + F.row_number().over(w) - 1)
     e = e.withColumn("__page", F.floor(F.col("__pos") / PAGE_SIZE).cast("int"))
     pages = e.groupBy("sensor_id", "__day", "__page").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("__pos"), rec.alias("r")))).alias("__recs"))
-    body = F.to_json(F.struct(F.transform("__recs", lambda x: x["r"]).alias("results")))
+        F.sort_array(F.collect_list(F.struct("__pos", *READING_FIELDS))).alias("__recs"))
+    body = F.to_json(F.struct(F.transform("__recs", record).alias("results")))
     return pages.select(
         F.date_format("__day", "yyyyMMdd").cast("int").alias("run_id"),
         F.lit("/v3/sensors/{id}/measurements").alias("endpoint"),
@@ -167,9 +171,9 @@ def location_pages(location: DataFrame, sensor: DataFrame, parameter: DataFrame)
     return loc_pages.unionByName(fallback)
 
 
-def land(pages: DataFrame, path: str) -> str:
-    """Append raw pages as JSON lines (partitioned by run)."""
-    pages.write.mode("append").partitionBy("run_id").json(path)
+def land(pages: DataFrame, path: str, mode: str = "append") -> str:
+    """Append raw pages as JSON lines (partitioned by run, compressed)."""
+    pages.write.mode(mode).partitionBy("run_id").json(path, compression="gzip")
     return path
 
 
@@ -408,6 +412,6 @@ def land_once(spark, pages: DataFrame, name: str) -> DataFrame:
     marker = path + "._landed"
     with store.PUBLISH_LOCK:
         if store.read_marker(spark, marker) is None:
-            pages.write.mode("overwrite").partitionBy("run_id").json(path)
+            land(pages, path, "overwrite")
             store.write_marker(spark, marker, path)
     return read_landed(spark, path)

@@ -36,6 +36,7 @@ from pyspark.sql.window import Window
 
 from aerolith.functions import scalars as S
 from aerolith.operators.runs import error_texts, run_status
+from aerolith.session import staged
 from aerolith.sources import bronze as B
 
 LOCATIONS, SENSORS, READINGS = "/v3/locations", "/v3/locations/{id}/sensors", "/v3/sensors/{id}/measurements"
@@ -165,20 +166,20 @@ def ingest(pages: DataFrame, stored: DataFrame | None = None, cities: list[str]
            parameters: list[str] | None = None, max_locations: int | None = None, max_sensors: int | None = None) -> Run:
     """Run the landed ``pages`` (any number of runs) against the ``stored``
     readings (sensor_id, measured_at): the first writer of a reading wins."""
-    stopped = stops(pages).checkpoint()
-    units = _first(location_units(pages, stopped, cities), UNIT[1:], max_locations).checkpoint()
+    stopped = staged(stops(pages), "stops")
+    units = staged(_first(location_units(pages, stopped, cities), UNIT[1:], max_locations), "units")
     batches, unread = sensor_batches(units.filter("cause is null"), pages, parameters)
-    batches = _first(batches, BATCH[1:], max_sensors).checkpoint()
+    batches = staged(_first(batches, BATCH[1:], max_sensors), "batches")
     units, unread = (_until_full(df, batches, max_sensors) for df in (units, unread))
     refused = units.filter("cause is not null")
     if max_locations is not None or max_sensors is not None:  # a capped run may end before the page that would fail it
-        stopped = _reached(stopped, units, batches, max_locations, max_sensors).checkpoint()
-    location_faults = refused.select(*UNIT, "location_id", "cause").unionByName(unread).checkpoint()
-    rows = tagged_readings(batches.filter("cause is null"), pages).checkpoint()
+        stopped = staged(_reached(stopped, units, batches, max_locations, max_sensors), "stops")
+    location_faults = staged(refused.select(*UNIT, "location_id", "cause").unionByName(unread), "location-faults")
+    rows = staged(tagged_readings(batches.filter("cause is null"), pages), "readings")
     found = _first_faults(rows)
     refused_batches = batches.filter("cause is not null").select(
         *BATCH, "location_id", "sensor_id", F.lit(0).alias("fault_page"), F.lit(-1).alias("fault_pos"), "cause")
-    batch_faults = found.unionByName(refused_batches).checkpoint()
+    batch_faults = staged(found.unionByName(refused_batches), "batch-faults")
 
     # inserted: readings of batches without a fault, the first writer of each
     good = rows.filter("message is null").join(batch_faults.select(*BATCH), BATCH, "left_anti")
@@ -194,7 +195,7 @@ def ingest(pages: DataFrame, stored: DataFrame | None = None, cities: list[str]
         | (F.struct("page_no", "position") < F.struct(F.col("fault_page").alias("page_no"), F.col("fault_pos").alias("position"))))
     text = lambda *parts: F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
     col, place = F.col, lambda *names: {n: F.col(n) for n in names}
-    errors = (
+    errors = staged(
         skipped.select("run_id", at(**place(*LEVELS)).alias("at"), F.lit("reading").alias("kind"), "message")
         .unionByName(batch_faults.select(
             "run_id", at(**place(*BATCH[1:]), page_no=col("fault_page"), position=col("fault_pos")).alias("at"), F.lit("batch").alias("kind"),
@@ -204,9 +205,11 @@ def ingest(pages: DataFrame, stored: DataFrame | None = None, cities: list[str]
             text("location ", col("location_id"), " rolled back: ", col("cause")).alias("message")))
         .unionByName(stopped.select(
             "run_id", at(loc_page=col("stop_page")).alias("at"), F.lit("run").alias("kind"),
-            text("run failed: ", col("cause")).alias("message")))).checkpoint()
+            text("run failed: ", col("cause")).alias("message"))), "errors")
 
-    inserted = readings.groupBy("run_id").agg(F.count(F.lit(1)).alias("records_inserted"))
+    # who was first needs no payload: the counts leave it out
+    firsts = good.select("sensor_id", "measured_at", "run_id", order.alias("__at"))
+    inserted = B.insert_if_absent(firsts, stored, order=("__at",)).groupBy("run_id").agg(F.count(F.lit(1)).alias("records_inserted"))
     failed = errors.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("records_failed"),
         *[F.count_if(F.col("kind") == k).alias(n) for k, n in (("reading", "readings_skipped"), ("batch", "batches_undone"),

@@ -40,6 +40,22 @@ def test_a_join_of_a_table_over_the_limit_is_not_broadcast(spark, tmp_path):
     assert "BroadcastExchange" not in dim.join(other, "id")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_pages_are_landed_compressed_and_read_back_whole(spark, tmp_path):
+    pages = B.measurement_pages(_events(spark), _parameter(spark))
+    path = B.land(pages, str(tmp_path / "pages"))
+    files = glob.glob(f"{path}/run_id=*/part-*")
+    assert files and all(f.endswith(".json.gz") for f in files)
+    cols = ["run_id", "source_id", "page_no", "response_body"]
+    back = B.read_landed(spark, path).select(cols)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, pages.select(cols).collect()))
+
+
+def test_pages_are_gathered_from_columns_not_from_their_text(spark):
+    plan = B.measurement_pages(_events(spark), _parameter(spark))._jdf.queryExecution().optimizedPlan().toString()
+    gathered = plan.split("collect_list(")[1].split("), 0, 0")[0]
+    assert "event_id" in gathered and "date_format" not in gathered and "format_string" not in gathered
+
+
 def test_staged_rows_come_from_compressed_columns(spark):
     df = spark.range(50).withColumn("text", F.lit("a repeated text " * 20))
     out = session.staged(df, "rows")
