@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from aerolith.functions import scalars as S
 from aerolith.operators import alerts as A
-from aerolith.session import scratch_path
+from aerolith.session import scratch_path, staged
 from aerolith.sources import bronze as B
 from aerolith.sources import store
 
@@ -58,7 +58,7 @@ class Feed:
 
     def land(self, pages: DataFrame | None = None) -> Feed:
         if pages is not None:
-            pages.write.mode("append").partitionBy("run_id").json(self.landing)
+            B.land(pages, self.landing)
         self.stored = first_writer_stream(self.spark, self.landing, self.table, self._checkpoint)
         return self
 
@@ -121,8 +121,8 @@ def hourly_updates(feed: Feed, core) -> DataFrame:
     out, ckpt = feed.dirs("hourly-updates")
 
     def version(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        # one job a batch: asking for its rows first would run its whole state twice
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
     q = (_hourly_windows(feed, core).writeStream.outputMode("update").foreachBatch(version)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     _run(q)
@@ -181,6 +181,7 @@ def first_writer_stream(spark: SparkSession, landing: str, table: str, checkpoin
     def upsert(batch: DataFrame, batch_id: int) -> None:
         good = batch.filter(F.col("error").isNull()).select(*cols) \
             .withColumn("measured_month", F.trunc(F.col("measured_at").cast("date"), "MM"))
+        good = staged(good, "readings")  # read for its time range and for its rows; parsed once
         stored = None
         if store.exists(spark, table):
             # only the stored rows inside the batch's time range can clash:

@@ -61,3 +61,19 @@ def test_staged_rows_come_from_compressed_columns(spark):
     out = session.staged(df, "rows")
     assert out.dtypes == df.dtypes and sorted(out.collect()) == sorted(df.collect())
     assert all(f.endswith(".parquet") and "/staged/rows-" in f for f in out.inputFiles())
+
+
+def test_update_stream_runs_its_state_once_a_batch(spark):
+    core = SimpleNamespace(
+        sensor=spark.createDataFrame([(u * 1000 + 1, u, 1) for u in range(3)], "sensor_id long, location_id long, parameter_id int"),
+        location=spark.createDataFrame([(u, "X") for u in range(3)], "location_id long, city string"),
+        parameter=_parameter(spark))
+    feed = ST.Feed(spark, "once-a-batch").land(B.measurement_pages(_events(spark), core.parameter))
+    rows = ST.hourly_updates(feed, core).collect()
+    assert sum(r.measurement_count for r in rows) == 117  # 7, 57 and 107 lack their value
+    out, ckpt = feed.dirs("hourly-updates")
+    plain = lambda p: p.removeprefix("file://")
+    # every batch is written as it comes, empty ones too: none is asked for rows first
+    batches = {f.rsplit("/", 1)[1] for f in glob.glob(f"{plain(ckpt)}/commits/[0-9]*")}
+    assert len(batches) > 1
+    assert {f.rsplit("=", 1)[1] for f in glob.glob(f"{plain(out)}/batch_id=*")} == batches
