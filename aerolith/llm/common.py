@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from aerolith.session import scratch_path
+from aerolith.session import limit_batches, scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -20,6 +20,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    limit_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -61,6 +62,7 @@ def mapped(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema
         for batch in batches:
             if batch.num_rows:
                 yield fn(batch)
+    limit_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
@@ -70,6 +72,7 @@ def flagged(docs: DataFrame, keep: Callable[[pa.RecordBatch], list], text: str =
         for batch in batches:
             if batch.num_rows:
                 yield batch.filter(pa.array(keep(batch), pa.bool_()))
+    limit_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
 
 
