@@ -87,3 +87,37 @@ def test_work_follows_the_rows_not_the_keys(spark):
     model = ML.fit_model("random-forest", train)
     assert isinstance(model, FO.Forest) and model.trees == FO.TREES == 200
     assert model.transform(train.limit(10)).count() == 10
+
+
+def test_counting_the_smaller_part_gives_the_same_tree(monkeypatch):
+    """Nodes split one by one, the larger part counted by what the smaller leaves."""
+    x, w, y = _rows(3000, 5)
+    w[::3] = 0
+    trees = []
+    for large in (10 ** 9, 100, 1):
+        monkeypatch.setattr(FO, "LARGE_ROWS", large)
+        nodes = FO.grow(x, w, y, 0, [6, 4])
+        trees.append(nodes["value"][FO.descend(nodes, np.zeros(len(y), np.int64), x, 2)])
+    assert np.allclose(trees[0], trees[1], atol=1e-9) and np.allclose(trees[0], trees[2], atol=1e-9)
+    assert np.allclose(trees[0][w > 0], _plain(x[w > 0], w[w > 0], y[w > 0], 0, 2))
+
+
+def test_rows_are_counted_once_while_keys_are_split_off(monkeypatch):
+    """Each split takes one key's few rows away: the rest was counted anew at every level."""
+    rng = np.random.default_rng(1)
+    n = 40_000
+    x = np.stack([rng.integers(0, 32, n), rng.integers(0, 8000, n)], axis=1).astype(np.int32)
+    y = np.zeros(n)
+    for key in range(20):
+        y[x[:, 1] == key] = 1000.0 * (key + 1)
+    counted = []
+    count = FO._Large.count
+    monkeypatch.setattr(FO._Large, "count", lambda self, *a: counted.append(len(self.rows)) or count(self, *a))
+    nodes = FO.grow(x, np.ones(n, np.int64), y, 0, [32])
+    assert len(nodes) == 41 and sum(counted) < 5 * n
+
+
+def test_rows_are_sent_once_to_a_group_of_trees(spark):
+    numbers = FO._spread(spark, 24)
+    parts = spark.createDataFrame([(n,) for n in numbers], "grp long").repartition(24, "grp").select(F.spark_partition_id()).collect()
+    assert len({r[0] for r in parts}) == 24
